@@ -4,13 +4,22 @@ from __future__ import annotations
 
 import public_tokenizers as vocabularies
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallybrook.llm import exact_dedup, packing, token_counts
+from tallybrook.llm import exact_dedup, lang_id, packing, token_counts, topk, toxicity, url_filters
 from tallybrook.llm.common import read
 
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(read(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), vocabularies.path(RANKS), vocabularies.PATTERN)
 
@@ -19,13 +28,38 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+#: The rules of the query (host, path, verdict).
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(read(spark, sf_dir, "pages"), RULES)
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), vocabularies.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op6_exact_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_toxicity, op3_best_fit_packing, op6_exact_dedup, op8_url_filters, op9_exact_top_k, op10_token_counts)}
 
 ORACLE_SQL = {
+    "op9_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+        r AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+            FROM s)
+        SELECT * FROM r WHERE rank <= 5""",
     "op6_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER g AS keep_id,
