@@ -6,7 +6,7 @@ import public_tokenizers as vocabularies
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import exact_dedup, lang_id, packing, token_counts, topk, toxicity, url_filters
+from tallybrook.llm import exact_dedup, lang_id, near_dedup, packing, token_counts, topk, toxicity, url_filters
 from tallybrook.llm.common import read
 
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -28,6 +28,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 #: The rules of the query (host, path, verdict).
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -44,7 +48,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), vocabularies.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_toxicity, op3_best_fit_packing, op6_exact_dedup, op8_url_filters, op9_exact_top_k, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_toxicity, op3_best_fit_packing, op6_exact_dedup, op7_minhash_near_dedup, op8_url_filters, op9_exact_top_k, op10_token_counts)}
 
 ORACLE_SQL = {
     "op9_exact_top_k": """

@@ -1,8 +1,8 @@
 """URL filters: rules on hosts and paths, and trust that spreads over links between hosts (operator 8).
 
 A rule (host, path) fits its host and all subdomains where the url's path starts with the rule's; the longest rule
-wins. Other pages get their host's verdict. Hosts with pages that a rule allows are trusted seeds, those with pages
-that a rule blocks are distrusted seeds, both weighted by pages. Personalised PageRank spreads trust along links and
+wins. Other pages get their host's verdict. Hosts most of whose pages a rule allows are trusted seeds, those most of
+whose pages a rule blocks are distrusted seeds, both weighted by such pages. Personalised PageRank spreads trust along links and
 distrust against them; a host is blocked where distrust outweighs trust by `ratio` and reaches `least`. Links are
 those of href and src attributes with a host of their own, counted per pair of hosts before anything is shuffled.
 
@@ -71,8 +71,9 @@ def judge(pages: DataFrame, rules: list[Rule], ratio: float = 1.0, least: float
     """page_id, host, path, rule, verdict."""
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"), F.col(html_col).alias("html"))
     judged = rows.withColumn("match", matched_rule(F.col("host"), F.col("path"), rules))
-    per_host = judged.groupBy("host").agg(F.count(F.when(F.col("match.verdict") == "allow", 1)).alias("allow"), F.count(F.when(F.col("match.verdict") == "block", 1)).alias("block")).where("host != ''")
+    per_host = judged.groupBy("host").agg(F.count("*").alias("pages"), F.count(F.when(F.col("match.verdict") == "allow", 1)).alias("allow"), F.count(F.when(F.col("match.verdict") == "block", 1)).alias("block")).where("host != ''")
     per_host = write_table(per_host, "seeds")
+    per_host = per_host.select("host", *(F.when(2 * F.col(c) > F.col("pages"), F.col(c)).otherwise(0).alias(c) for c in ("allow", "block")))
     total = per_host.agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
     seeds = lambda kind: per_host.where(F.col(kind) > 0).select("host", (F.col(kind) / F.lit(float(total[kind] or 1))).alias("seed"))
     edges = write_table(links(rows), "pairs")
