@@ -6,7 +6,7 @@ import public_tokenizers as vocabularies
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import exact_dedup, lang_id, near_dedup, packing, token_counts, topk, toxicity, url_filters
+from tallybrook.llm import chat_views, exact_dedup, lang_id, near_dedup, packing, sentence_pieces, token_counts, topk, toxicity, url_filters
 from tallybrook.llm.common import read
 
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -24,6 +24,14 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), vocabularies.path(RANKS), vocabularies.PATTERN)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip(read(spark, sf_dir, "documents"), vocabularies.path("piece_bpe_32k.model"))
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_views.views(read(spark, sf_dir, "conversations"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -48,9 +56,29 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), vocabularies.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_toxicity, op3_best_fit_packing, op6_exact_dedup, op7_minhash_near_dedup, op8_url_filters, op9_exact_top_k, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_toxicity, op3_best_fit_packing, op4_sentencepiece, op5_chat_formatting, op6_exact_dedup, op7_minhash_near_dedup, op8_url_filters, op9_exact_top_k, op10_token_counts)}
 
 ORACLE_SQL = {
+    "op5_chat_formatting": r"""
+        WITH said AS (
+            SELECT conv_id, turn, regexp_replace(coalesce(role, 'unknown'), '[^\p{L}\p{N}_-]', '_', 'g') AS speaker, coalesce(text, '') AS text
+            FROM conversations),
+        people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
+        headed AS (
+            SELECT s.conv_id, p.perspective, s.turn, s.speaker, s.text,
+                   '<|im_start|>' || CASE WHEN s.speaker = p.perspective THEN 'assistant' WHEN s.speaker = 'system' THEN 'system'
+                                          ELSE 'user name=' || s.speaker END || chr(10) AS header
+            FROM said s JOIN people p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+        placed AS (
+            SELECT *, header || text || '<|im_end|>' || chr(10) AS segment,
+                   row_number() OVER w - 1 AS position,
+                   coalesce(sum(length(header || text || '<|im_end|>' || chr(10))) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+            FROM headed
+            WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text))
+        SELECT conv_id, perspective, position, turn, speaker, segment, start, start + length(segment) AS "end",
+               CASE WHEN speaker = perspective THEN start + length(header) END AS train_start,
+               CASE WHEN speaker = perspective THEN start + length(segment) END AS train_end
+        FROM placed""",
     "op9_exact_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
