@@ -276,7 +276,9 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     path: a tokenizer file that every executor has. Only the maps of chunks are shuffled, never the texts.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.posexplode(chunked(text, chunk_chars)).alias("at", "chunk"))
+    # numbered before the texts are cut up: the chunks of a row share its number
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.select("row", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.posexplode(chunked(F.col("text"), chunk_chars)).alias("at", "chunk"))
     kind = docs.schema[id_col].dataType.simpleString()
     maps = rows.mapInArrow(_map_chunks(path), f"row long, doc_id {kind}, n_bytes long, at int, head string, count long, tail string")
     texts = maps.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.array_sort(F.collect_list(F.struct("at", "head", "count", "tail"))).alias("maps"))
