@@ -70,7 +70,10 @@ class Automaton:
     def reset(self) -> None:
         self.states: list[frozenset] = [frozenset()]
         self.ids = {self.states[0]: 0}
-        self.arcs: dict[tuple[int, str], int] = {}
+        #: By state: the best term that a word may end with here, and the best open term, as (edits, -weight, term).
+        self.ending: list[tuple | None] = [None]
+        self.open: list[tuple | None] = [None]
+        self.arcs: dict[int, int] = {}
         self.start = self._number({0: 0})
 
     def _number(self, reach: dict[int, int]) -> int:
@@ -88,6 +91,9 @@ class Automaton:
         if (known := self.ids.get(key)) is None:
             known = self.ids[key] = len(self.states)
             self.states.append(key)
+            ends = [(k, -end[1], end[0], end[2]) for node, k in key if (end := self.trie.ends[node]) and k <= edits(end[0], end[2])]
+            self.ending.append(min(ends, default=None))
+            self.open.append(min((e for e in ends if e[3]), default=None))
         return known
 
     def _step(self, state: int, char: str) -> int:
@@ -107,18 +113,18 @@ class Automaton:
         """The term that a word is with the fewest edits, and those; then the heavier term, then the smaller."""
         if len(self.states) > self.most_states:
             self.reset()
-        state, best = self.start, None
-        for i, c in enumerate(word):
-            to = self.arcs.get((state, c))
-            if to is None:
-                to = self.arcs[state, c] = self._step(state, c)
+        state, best, arcs, opened = self.start, None, self.arcs, self.open
+        for c in word:
+            at = state << 21 | ord(c)
+            if (to := arcs.get(at)) is None:
+                to = arcs[at] = self._step(state, c)
             state = to
-            if state == self.DEAD:
+            if not state:
                 break
-            for node, k in self.states[state]:
-                if (end := self.trie.ends[node]) and (i == len(word) - 1 or end[2]) and k <= edits(end[0], end[2]):
-                    found = (k, -end[1], end[0])
-                    best = found if best is None or found < best else best
+            if (found := opened[state]) and (best is None or found < best):
+                best = found
+        if (found := self.ending[state]) and (best is None or found < best):
+            best = found
         return best and (best[2], best[0])
 
 
