@@ -7,10 +7,11 @@ shingle's multiplicity. Each component keeps its earliest point. Two signatures
 probability of the weighted Jaccard similarity, and large multiplicities cost their logarithm.
 
 Texts with equal multisets are one node. Bands of the signature give buckets. In each bucket all nodes are compared
-with two leaders, and verified pairs are merged into components; where a bucket still holds several components, its
-nodes are compared across them in blocks by their signatures, and what may be similar is verified too. So no bucket,
-however large, is enumerated where its members already belong together, and none is capped. Verification counts the
-exact overlap of the multisets. Classes are the connected components.
+with two leaders, and verified pairs are merged into components; where a bucket still holds several components, the
+nodes outside the largest are compared with all of the bucket, block by block, by signature and then exactly. So no
+bucket, however large, is enumerated where its members already belong together, none is capped, and a block emits only
+the links that join components. Verification counts the exact overlap of the multisets. Classes are the connected
+components.
 
 Texts of fewer than five words are one shingle. Defined results: texts without words (null and empty ones too) are
 alike only if identical, null as empty; repeated rows are copies; an empty table gives an empty result; further columns
@@ -200,43 +201,62 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(threshold: float):
-    """Pairs of one bucket and pair of blocks whose nodes have different labels and similar signatures."""
-    least = int(threshold * M)
+def _across(similarity: float, maybe: float):
+    """Links between the nodes of two blocks of a bucket that have different labels: signatures first, then the exact
+    overlap of the multisets. A pair is judged in the first band that it shares, and not where links join it already."""
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = key[1], key[2]
         left, right = pdf[pdf["block"] == i], pdf[pdf["block"] == j]
-        a, b = np.array(left["sig"].tolist(), np.int32).reshape(-1, M), np.array(right["sig"].tolist(), np.int32).reshape(-1, M)
-        labels, found = right["label"].to_numpy(), []
-        nodes_a, nodes_b = left["node"].to_numpy(), right["node"].to_numpy()
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []})
+        band = int(pdf["band"].iloc[0])
+        sig_a, sig_b = (np.array(x["sig"].tolist(), np.int32).reshape(-1, M) for x in (left, right))
         n_a, n_b = left["n"].to_numpy(), right["n"].to_numpy()
-        main = left["label"].value_counts().index[0] if len(left) else None
-        same = bool((labels == main).all())
-        for x, label in enumerate(left["label"]):
-            if same and label == main:
-                continue  # all of the other block belongs to the same component already
-            at = np.flatnonzero((labels != label) & (n_b >= 0.8 * n_a[x]) & (n_a[x] >= 0.8 * n_b))
-            at = at[(b[at] == a[x]).sum(axis=1) >= least]
-            found += [(min(nodes_a[x], nodes_b[y]), max(nodes_a[x], nodes_b[y])) for y in at if i != j or nodes_a[x] < nodes_b[y]]
+        nodes_a, nodes_b = left["node"].tolist(), right["node"].tolist()
+        labels, places = np.unique(np.array([*left["label"], *right["label"]], object), return_inverse=True)
+        root_a, root_b = places[: len(left)], places[len(left) :]
+        sizes = [len(x) for side in (left, right) for x in side["elements"]]
+        _, codes = np.unique(np.concatenate([*left["elements"], *right["elements"]]), return_inverse=True)
+        sets = np.split(codes, np.cumsum(sizes)[:-1])
+        mark, found = np.zeros(int(codes.max()) + 1, bool), []
+        for x in range(len(left)):
+            at = np.flatnonzero((root_b != root_a[x]) & (n_b >= similarity * n_a[x]) & (n_a[x] >= similarity * n_b))
+            agree = sig_b[at] == sig_a[x]
+            at = at[(agree.sum(axis=1) >= int(maybe * M)) & (agree.reshape(-1, M // ROWS, ROWS).all(axis=2).argmax(axis=1) == band)]
+            if not len(at):
+                continue
+            others = [sets[len(left) + y] for y in at]
+            mark[sets[x]] = True
+            overlap = np.add.reduceat(mark[np.concatenate(others)].astype(np.int64), np.cumsum([0, *map(len, others)])[:-1])
+            mark[sets[x]] = False
+            for y in at[overlap >= similarity * (n_a[x] + n_b[at] - overlap)]:
+                if root_b[y] != root_a[x]:
+                    old, new = root_b[y], root_a[x]
+                    places[places == old] = new  # root_a and root_b are views of places
+                    found.append((min(nodes_a[x], nodes_b[y]), max(nodes_a[x], nodes_b[y])))
         return pd.DataFrame(found, columns=["a", "b"])
 
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, maybe: float = 0.6, block: int = 2000, broadcast_rows: int = 500_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, maybe: float = 0.6, block: int = 2000, block_elements: int = 1_000_000, broadcast_rows: int = 500_000) -> DataFrame:
     """One row for each row of docs: doc_id, class_id (smallest id of the class), class_size, kept (the id names the class).
 
     maybe: pairs whose signatures agree in a smaller share of components aren't verified (at 0.8, almost five standard
-    deviations below). broadcast_rows: with more candidates than that, their texts are found by a shuffled join.
+    deviations below). block, block_elements: about how many nodes and shingles a task holds of either side.
+    broadcast_rows: with more candidates than that, their texts are found by a shuffled join.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     signed = write_table(rows.select("doc_id", "row", "text").mapInArrow(_sign, "doc_id long, row long, node binary, n long, sig array<int>, bands array<long>"), "signed")
     # one row stands for the rows of equal multisets
     nodes = write_table(signed.where("n > 0").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    leaders = banded.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(F.col("first") < F.col("last"))
-    shared = write_table(banded.join(leaders, "bucket"), "buckets")
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = write_table(banded.join(sizes, "bucket"), "buckets")
+    # the leaders of a bucket: the node with the most company in all its buckets, as one that others derive from has, and the least
+    company = shared.groupBy("node").agg(F.sum("size").alias("company"))
+    leaders = shared.join(company, "node").groupBy("bucket").agg(F.max(F.struct("company", "node"))["node"].alias("first"), F.min("node").alias("last"))
     facts = nodes.select("node", "n", "sig")
 
     def alike(pairs: DataFrame) -> DataFrame:
@@ -246,24 +266,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda z: z))
         return both.where((F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")) & (agree >= int(maybe * M))).select("a", "b", "n_a", "n_b")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs whose multisets overlap enough. The texts come from docs again, only those of candidates."""
-        wanted = write_table(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "row"), "node"), "wanted")
+    def sets_of(some: DataFrame) -> DataFrame:
+        """node, elements of the nodes in `some`. The texts come from docs again, only those of candidates."""
+        wanted = write_table(some.select("node").distinct().join(nodes.select("node", "row"), "node"), "wanted")
         found = rows.select("row", "text").join(F.broadcast(wanted) if wanted.count() <= broadcast_rows else wanted, "row")
-        sets = write_table(found.select("node", "text").mapInArrow(_sets, "node binary, elements array<long>"), "sets").dropDuplicates(["node"])
-        left, right = (sets.select(F.col("node").alias(x), F.col("elements").alias(f"set_{x}")) for x in "ab")
-        overlap = F.size(F.array_intersect("set_a", "set_b"))
-        return write_table(pairs.join(left, "a").join(right, "b").where(overlap >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - overlap)).select("a", "b"), "links")
-
-    stars = shared.select("node", F.explode(F.array("first", "last")).alias("leader")).where("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    links = verified(write_table(alike(stars), "pairs"))
+        return write_table(found.select("node", "text").mapInArrow(_sets, "node binary, elements array<long>"), "sets").dropDuplicates(["node"])
+
+    stars = shared.select("bucket", "node").join(leaders, "bucket").select("node", F.explode(F.array("first", "last")).alias("leader")).where("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    pairs = write_table(alike(stars), "pairs")
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+    left, right = (sets.select(F.col("node").alias(x), F.col("elements").alias(f"set_{x}")) for x in "ab")
+    overlap = F.size(F.array_intersect("set_a", "set_b"))
+    links = write_table(pairs.join(left, "a").join(right, "b").where(overlap >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - overlap)).select("a", "b"), "links")
     labels = components(links)
-    placed = shared.select("bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("label").alias("x"), F.max("label").alias("y")).where("x != y and size > 2").select("bucket", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    spread = placed.join(mixed, "bucket").join(facts, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    meeting = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "n", "sig")
-    rest = meeting.groupBy("bucket", "i", "j").applyInPandas(_across(maybe), "a binary, b binary").distinct().join(stars, ["a", "b"], "left_anti")
-    more = verified(write_table(alike(rest), "pairs"))
+
+    # buckets of several components: what is outside the largest meets the whole bucket, in blocks
+    placed = shared.join(labels, "node", "left").select("bucket", "band", "node", F.coalesce("label", "node").alias("label"))
+    mixed = placed.groupBy("bucket", "label").agg(F.count("*").alias("of_label")).groupBy("bucket").agg(F.max(F.struct("of_label", "label"))["label"].alias("main"), F.sum("of_label").alias("size"), F.count("*").alias("labels")).where("labels > 1 and size > 2").select("bucket", "main")
+    spread = write_table(placed.join(mixed, "bucket").select("bucket", "band", "node", "label", (F.col("label") == F.col("main")).alias("inner")).join(facts.select("node", "n"), "node"), "spread")
+    parts = lambda inner: F.greatest(F.lit(1), F.ceil(F.greatest(F.count(F.when(F.col("inner") == inner, 1)) / block, F.sum(F.when(F.col("inner") == inner, F.col("n"))) / block_elements))).cast("int")
+    blocks = spread.groupBy("bucket").agg(parts(False).alias("outer_blocks"), parts(True).alias("inner_blocks"))
+    dealt = spread.join(blocks, "bucket").withColumn("block", F.when(F.col("inner"), F.col("outer_blocks") + F.pmod(F.xxhash64("node"), F.col("inner_blocks"))).otherwise(F.pmod(F.xxhash64("node"), F.col("outer_blocks"))).cast("int"))
+    others = F.when(F.col("inner"), F.sequence(F.lit(0), F.col("outer_blocks") - 1)).otherwise(F.sequence(F.lit(0), F.col("outer_blocks") + F.col("inner_blocks") - 1))
+    known = facts.select("node", "sig").join(sets_of(spread), "node")
+    meeting = dealt.join(known, "node").withColumn("other", F.explode(others)).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "node", "label", "n", "sig", "elements")
+    more = write_table(meeting.groupBy("bucket", "i", "j").applyInPandas(_across(similarity, maybe), "a binary, b binary"), "more")
     labels = components(links.unionByName(more))
     classed = signed.select("doc_id", "node").join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"))
     named = classed.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
