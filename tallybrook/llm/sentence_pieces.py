@@ -33,7 +33,7 @@ LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 FINE_WORD = re.compile(f"{MARK}*[{LATIN}]+|{MARK}*[^{LATIN}{MARK}]+|{MARK}+\\Z")
 JOINT = re.compile(f"[{LATIN}][^{LATIN}]|[^{LATIN}{MARK}][{LATIN}]").search
 #: Numbers of single characters are their code points; longer pieces follow in the order of their scores.
-BASE = 1 << 21
+BASE, SHIFT = 1 << 21, 23
 WORST = float("-inf")
 
 
@@ -55,7 +55,7 @@ class Pieces:
         #: The number of a longer piece that merging can end in, else -1.
         self.candidate = Memo(lambda x: k if (k := self.number.get(x)) is not None and self.halves(k) else -1, most=500_000).__getitem__
         self.split: dict[int, tuple[int, int] | None] = {}
-        self.stable: dict[tuple[int, int], bool] = {}
+        self.stable: dict[int, bool] = {}
         self.raw = [bytes([bytes_at[i]]) if i in bytes_at else b"" if i in special else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
 
     def string(self, number: int) -> str:
@@ -78,7 +78,7 @@ class Pieces:
     def fits(self, left: int, right: int) -> bool:
         """Whether two pieces side by side stay apart: undoes the later merge of the two again and again, and looks for
         a merge over the border that would have come before it."""
-        key = (left, right)
+        key = left << SHIFT | right
         if (known := self.stable.get(key)) is not None:
             return known
         limit, ok = 1 << 60, True
@@ -135,7 +135,7 @@ class Forward:
                 piece = word[k : i + 1]
                 if best < 0 and (number := candidate(piece)) >= 0:
                     before = last[k]
-                    if before < 0 or (ok := stable.get((before, number))) or (ok is None and fits(before, number)):
+                    if before < 0 or (ok := stable.get(before << SHIFT | number)) or (ok is None and fits(before, number)):
                         best = k
                         last.append(number)
                 if piece in begins:
@@ -195,19 +195,36 @@ def _carry(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch
     return pa.record_batch([*batch.columns, values], names=[*batch.schema.names, name])
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", kind: str = "bpe", known_words: int = 250_000) -> DataFrame:
-    """docs with a column ids (little-endian 32-bit piece ids as binary)."""
+def _parts(texts: pa.Array, chars: int):
+    """Lists of texts of about so many characters, and at least one text."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t.as_py() or "")
+        size += len(part[-1])
+        if size >= chars:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def encode(docs: DataFrame, path: str, text_col: str = "text", kind: str = "bpe", known_words: int = 250_000, group_chars: int = 1 << 20) -> DataFrame:
+    """docs with a column ids (little-endian 32-bit piece ids as binary). A trie is made of the words of about
+    group_chars characters of texts; the ids of known_words words are kept for the next."""
 
     def run(batches):
         pieces, known = model(path, kind), {}
         for batch in batches:
-            lists = [pieces.words.findall(marked(t or "")) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
-            if len(known) > known_words:
-                known = {}
-            if len(pieces.stable) > 1_500_000:
-                pieces.stable.clear()
-            known |= encode_words({w for words in lists for w in words}.difference(known), pieces)
-            yield _carry(batch, "ids", pa.array([b"".join(map(known.__getitem__, words)) for words in lists], pa.binary()))
+            ids, texts = [], batch.column(batch.schema.get_field_index(text_col))
+            for part in _parts(texts, group_chars):
+                lists = [pieces.words.findall(marked(t)) for t in part]
+                if len(known) > known_words:
+                    known = {}
+                if len(pieces.stable) > 800_000:
+                    pieces.stable.clear()
+                known |= encode_words({w for words in lists for w in words}.difference(known), pieces)
+                ids += [b"".join(map(known.__getitem__, words)) for words in lists]
+            yield _carry(batch, "ids", pa.array(ids, pa.binary()))
 
     docs = docs.drop("ids")
     return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", ids binary")
