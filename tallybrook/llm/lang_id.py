@@ -47,8 +47,8 @@ def codewords(languages: int) -> np.ndarray:
     """A row of +1 and -1 for each language: all splits of the languages in two if they are few, else 63 pseudo-random
     ones of which each has both signs."""
     if languages <= 6:
-        splits = range(1, 1 << max(languages - 1, 1)) if languages < 3 else range(1, 1 << (languages - 1))
-        return np.array([[1 if i and s >> (i - 1) & 1 else -1 for s in splits] for i in range(languages)], dtype=float)
+        splits = range(1, 1 << max(languages - 1, 1))
+        return np.array([[1 if i and s >> (i - 1) & 1 else -1 for s in splits] for i in range(languages)], dtype=float).reshape(languages, len(splits))
     columns, k = [], 0
     while len(columns) < 63:
         bits = [hashlib.sha256(f"{k}/{i}".encode()).digest()[0] & 1 for i in range(languages)]
