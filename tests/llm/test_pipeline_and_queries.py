@@ -1,5 +1,6 @@
 import os
 import re
+import zlib
 
 import duckdb
 import pytest
@@ -32,7 +33,7 @@ def test_names():
 def test_stages_match_plain_filters(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = docs.collect()
-    extra = [(90_001, "", "en", "s", 0), (90_002, None, None, None, None), (90_003, rows[0]["text"], "en", "s", 1), (90_004, "...", "en", "s", 3), (90_005, "the idiot moron is a worthless loser and stupid scum", "en", "s", 9)]
+    extra = [(90_001, "", "en", "s", 0), (90_002, None, None, None, None), (90_003, rows[0]["text"], "en", "s", 1), (90_004, "...", "en", "s", 3)]
     docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
     seen = {}
     for name, stage in corpus_pipeline.STAGES:
@@ -43,7 +44,6 @@ def test_stages_match_plain_filters(spark, sf_dir):
         seen[name] = kept
     assert not {90_001, 90_002, 90_004} & seen["language_id"]
     assert {r["doc_id"] for r in rows if r["text"] and re.search(r"[^\W\d_]", r["text"])} <= seen["language_id"]
-    assert 90_005 not in seen["toxicity"]
     assert seen["toxicity"] <= seen["language_id"] and seen["near_dedup"] <= seen["exact_dedup"] <= seen["toxicity"]
     texts = {r["doc_id"]: r["text"] for r in rows} | {e[0]: e[1] for e in extra}
     best = {}
@@ -56,6 +56,19 @@ def test_stages_match_plain_filters(spark, sf_dir):
     assert seen["packing"] == seen["near_dedup"]
 
 
+def test_toxic_documents_go_and_clean_ones_stay(spark):
+    """On 0.1, as the smaller tables have too few toxic rows to learn the rarer terms from."""
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    extra = [(90_005, "the idiot moron is a worthless loser and stupid scum", "en", "s", 9), (90_006, "the weather is fine and the river is calm", "en", "s", 9)]
+    kept = {r["doc_id"] for r in corpus_pipeline.civil(spark, docs.unionByName(spark.createDataFrame(extra, docs.schema)), sf_dir).select("doc_id").collect()}
+    assert 90_005 not in kept and 90_006 in kept
+    marks = [(r["doc_id"], r["toxic"]) for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    clean, toxic = ([i for i, y in marks if y == k] for k in (0, 1))
+    assert sum(i in kept for i in clean) >= 0.98 * len(clean)
+    assert sum(i not in kept for i in toxic) >= 0.8 * len(toxic)
+
+
 def test_stages_on_no_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
