@@ -1,10 +1,12 @@
 """Toxicity by Levenshtein automata over a learned lexicon trie (operator 2).
 
 Learning, on a bounded sample of labelled rows: words whose document counts lean strongly to toxic rows become terms;
-a beginning that many such words share becomes an open term, which any ending may follow. Terms form one trie.
+a beginning that many such words share becomes an open term, which any ending may follow, if the documents that hold it
+lean as strongly; the words below it stay terms beside it. Terms form one trie.
 Matching intersects the trie with each term's Levenshtein automaton (more edits for longer terms): the intersection is
 determinised as words reach its states, and most words leave it after a few letters. Each hit scores the weight that
-the sample gives its term with that many edits (nothing if such words turn up in clean texts), far less if it stands between quotation marks, more with further hits in its window of words. A
+the sample gives its term with that many edits; where such words turn up in clean texts, the term with these edits is
+void and a word goes to the next term that it fits, which is weighed anew. A hit scores far less if it stands between quotation marks, more with further hits in its window of words. A
 logistic curve fitted on the same sample turns the sum into a probability.
 
 Defined results: null and empty texts have no hits and get the score of a text without hits; no labelled rows: score 0
@@ -29,6 +31,8 @@ QUOTES = "\"“”„«»‹›‘"
 #: Words on either side that a hit's context covers, and how many characters a quotation may reach.
 WINDOW, QUOTED_CHARS, QUOTED, NEAR = 12, 80, 0.25, 0.2
 EDIT_FACTOR = (1.0, 0.7, 0.5)
+#: Ends the name of an open term, which may also be a term of its own; and the share of toxic documents that a weight takes.
+ANY, CLEAR = "*", 0.9
 
 
 def edits(term: str, is_open: bool) -> int:
@@ -37,24 +41,28 @@ def edits(term: str, is_open: bool) -> int:
 
 
 class Trie:
-    """Terms as nodes: arcs by letter, the term that ends at a node, and the terms' edits below it."""
+    """Terms as nodes: arcs by letter, the terms that end at a node, and the terms' edits below it. Void (term, edits)
+    don't match."""
 
-    def __init__(self, terms: dict[str, tuple[float, bool]]):
+    def __init__(self, terms: dict[str, tuple[float, bool]], void: set[tuple[str, int]] = frozenset()):
+        self.void = void
         self.arcs: list[dict[str, int]] = [{}]
-        self.ends: list[tuple[str, float, bool] | None] = [None]
+        self.ends: list[list[tuple[str, float, bool]]] = [[]]
         self.most = [-1]
         for term, (weight, is_open) in sorted(terms.items()):
-            at, k = 0, edits(term, is_open)
+            at, k = 0, max((k for k in range(edits(term, is_open) + 1) if (term, k) not in void), default=-1)
+            if k < 0:
+                continue
             self.most[0] = max(self.most[0], k)
-            for c in term:
+            for c in term.removesuffix(ANY) if is_open else term:
                 if c not in self.arcs[at]:
                     self.arcs[at][c] = len(self.arcs)
                     self.arcs.append({})
-                    self.ends.append(None)
+                    self.ends.append([])
                     self.most.append(-1)
                 at = self.arcs[at][c]
                 self.most[at] = max(self.most[at], k)
-            self.ends[at] = (term, weight, is_open)
+            self.ends[at].append((term, weight, is_open))
 
 
 class Automaton:
@@ -91,7 +99,7 @@ class Automaton:
         if (known := self.ids.get(key)) is None:
             known = self.ids[key] = len(self.states)
             self.states.append(key)
-            ends = [(k, -end[1], end[0], end[2]) for node, k in key if (end := self.trie.ends[node]) and k <= edits(end[0], end[2])]
+            ends = [(k, -end[1], end[0], end[2]) for node, k in key for end in self.trie.ends[node] if k <= edits(end[0], end[2]) and (end[0], k) not in self.trie.void]
             self.ending.append(min(ends, default=None))
             self.open.append(min((e for e in ends if e[3]), default=None))
         return known
@@ -111,9 +119,13 @@ class Automaton:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The term that a word is with the fewest edits, and those; then the heavier term, then the smaller."""
+        return self.matches(word)[0]
+
+    def matches(self, word: str) -> tuple[tuple[str, int] | None, tuple[str, int] | None]:
+        """That match, and the best of open terms alone."""
         if len(self.states) > self.most_states:
             self.reset()
-        state, best, arcs, opened = self.start, None, self.arcs, self.open
+        state, free, arcs, opened = self.start, None, self.arcs, self.open
         for c in word:
             at = state << 21 | ord(c)
             if (to := arcs.get(at)) is None:
@@ -121,11 +133,12 @@ class Automaton:
             state = to
             if not state:
                 break
-            if (found := opened[state]) and (best is None or found < best):
-                best = found
+            if (found := opened[state]) and (free is None or found < free):
+                free = found
+        best = free
         if (found := self.ending[state]) and (best is None or found < best):
             best = found
-        return best and (best[2], best[0])
+        return best and (best[2], best[0]), free and (free[2], free[0])
 
 
 class Lexicon:
@@ -138,11 +151,16 @@ class Lexicon:
     def __getstate__(self):
         return {**self.__dict__, "_memo": None}
 
+    def void(self) -> set[tuple[str, int]]:
+        return {m for m, w in self.weights.items() if w <= 0}
+
+    def automaton(self) -> Automaton:
+        return Automaton(Trie(self.terms, self.void()))
+
     def matches(self, lowered: str) -> list[tuple[int, tuple[str, int]]]:
         """Places of the hits, in words, with term and edits."""
         if self._memo is None:
-            match = Automaton(Trie(self.terms)).match
-            self._memo = Memo(lambda w: m if (m := match(w)) and self.weights[m] > 0 else None)
+            self._memo = Memo(self.automaton().match)
         return [(i, m) for i, m in enumerate(map(self._memo.__getitem__, WORD.findall(lowered))) if m]
 
     def hits(self, text: str) -> float:
@@ -194,28 +212,38 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample_rows: int
     if not n_toxic or not n_clean:
         lexicon.offset = 99.0 if n_toxic else -99.0
         return lexicon
-    words = rows.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"(?U)\W+"))).alias("term")).where("term != ''")
-    by_word = words.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"), F.lit(1).alias("kinds"))
+    words = rows.select("toxic", F.array_distinct(F.split(F.lower("text"), r"(?U)\W+")).alias("words"))
+    counted = lambda df: df.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+    by_word = counted(words.select("toxic", F.explode("words").alias("term")).where("term != ''")).withColumn("kinds", F.lit(1))
     starts = by_word.select("*", F.explode(F.filter(F.array(*map(F.lit, (4, 5, 6))), lambda k: k < F.length("term"))).alias("k"))
     starts = starts.groupBy(F.expr("substring(term, 1, k)").alias("term")).agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count("*").alias("kinds"))
     ratio, odds = _lean(F.col("toxic"), F.col("clean"), n_toxic, n_clean)
+    clear = F.col("toxic") >= CLEAR * (F.col("toxic") + F.col("clean"))
+    #: Beginnings by the documents that hold them, also as whole words: an open term matches both.
+    held = "array_distinct(flatten(transform(words, w -> transform(filter(array(4, 5, 6), k -> k <= length(w)), k -> substring(w, 1, k)))))"
+    by_doc = counted(words.select("toxic", F.explode(F.expr(held)).alias("term"))).where(clear).select("term")
     strong = lambda df, precise: df.where((F.col("toxic") >= precise * (F.col("toxic") + F.col("clean"))) & (ratio >= min_ratio)).select("term", ratio.alias("ratio"), odds.alias("odds"), "kinds")
     best = lambda df: df.orderBy(F.desc("ratio"), "term").limit(max_terms).collect()
     opened: dict[str, tuple[float, bool]] = {}
-    for r in sorted(best(strong(starts.where("kinds >= 6"), 0.85)), key=lambda r: (len(r["term"]), r["term"])):
-        if not any(r["term"].startswith(x) for x in opened):
-            opened[r["term"]] = (r["odds"], True)
-    terms = {r["term"]: (r["odds"], False) for r in best(strong(by_word.where("toxic >= 4"), 0.8)) if not any(r["term"].startswith(x) for x in opened)}
+    for r in sorted(best(strong(starts.where("kinds >= 6"), 0.85).join(by_doc, "term", "left_semi")), key=lambda r: (len(r["term"]), r["term"])):
+        if not any(r["term"].startswith(x.removesuffix(ANY)) for x in opened):
+            opened[r["term"] + ANY] = (r["odds"], True)
+    terms = {r["term"]: (r["odds"], False) for r in best(strong(by_word.where("toxic >= 4"), 0.8))}
     lexicon = Lexicon(terms | opened)
 
     def seen_hits(pdfs):
+        memo = Memo(lexicon.automaton().matches)
         for pdf in pdfs:
-            out = [(*m, y) for t, y in zip(pdf["text"], pdf["toxic"]) for m in {m for _, m in lexicon.matches(t.lower())}]
+            found = ({m for w in WORD.findall(t.lower()) for m in memo[w] if m} for t in pdf["text"])
+            out = [(*m, y) for ms, y in zip(found, pdf["toxic"]) for m in ms]
             yield pd.DataFrame(out, columns=["term", "edits", "toxic"]).astype({"edits": "int32", "toxic": "int32"})
 
-    leaning = rows.select("text", "toxic").mapInPandas(seen_hits, "term string, edits int, toxic int").groupBy("term", "edits").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
-    for r in leaning.select("term", "edits", odds.alias("odds"), (F.col("toxic") / (F.col("toxic") + F.col("clean"))).alias("share")).collect():
-        lexicon.weights[r["term"], r["edits"]] = r["odds"] if r["share"] >= 0.9 else 0.0
+    # A word counts for its match, and for its open term too; each round either makes some void or is the last.
+    void = None
+    while void != (void := lexicon.void()):
+        leaning = rows.select("text", "toxic").mapInPandas(seen_hits, "term string, edits int, toxic int").groupBy("term", "edits").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+        for r in leaning.select("term", "edits", odds.alias("odds"), clear.alias("clear")).collect():
+            lexicon.weights[r["term"], r["edits"]] = r["odds"] if r["clear"] else 0.0
 
     def totals(pdfs):
         for pdf in pdfs:

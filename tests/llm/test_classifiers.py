@@ -104,6 +104,27 @@ def test_toxic_rows_misspellings_and_quotes(spark):
     assert lexicon.hits("worthless moronic ka") > lexicon.hits("worthless ka") + lexicon.hits("moronic ka")
 
 
+def test_terms_below_a_beginning_that_clean_documents_hold_too(spark):
+    rng = random.Random(15)
+    rows = [(i, prose(rng, "aa") + (" loser" if i < 120 else f" lose{'abdfghiklmnopqtu'[i % 16]}qu" if i < 136 else ""), int(i < 120)) for i in range(500)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    lexicon = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"), F.lit(True))
+    assert lexicon.score("ka loser lo") > 0.5 and lexicon.score("ka losser lo") > 0.5
+    assert lexicon.hits("ka loseaqu lo") == 0
+
+
+def test_terms_stay_beside_an_open_beginning_and_void_ones_give_way(spark):
+    rng = random.Random(16)
+    rows = [(i, prose(rng, "aa") + (" idiot" if i < 60 else f" idiot{'abdfghik'[i % 8]}x" if i < 120 else ""), int(i < 120)) for i in range(500)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    lexicon = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"), F.lit(True))
+    assert all(lexicon.hits(f"ka {w} lo") > 0 for w in ("idiot", "idiotically", "idjot"))
+    terms = {"lose*": (3.0, True), "loser": (2.0, False)}
+    assert toxicity.Automaton(toxicity.Trie(terms)).match("loser") == ("lose*", 0)
+    assert toxicity.Automaton(toxicity.Trie(terms, {("lose*", 0)})).match("loser") == ("loser", 0)
+    assert toxicity.Automaton(toxicity.Trie(terms, {("lose*", 0)})).match("losser") == ("loser", 1)
+
+
 def test_no_labels_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "text")], "doc_id long, text string")
     marks = spark.createDataFrame([], "doc_id long, toxic int")
