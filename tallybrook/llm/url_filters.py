@@ -3,7 +3,8 @@
 A rule (host, path) fits its host and all subdomains where the url's path starts with the rule's; the longest rule
 wins. Other pages get their host's verdict. Hosts most of whose pages a rule allows are trusted seeds, those most of
 whose pages a rule blocks are distrusted seeds, both weighted by such pages. Personalised PageRank spreads trust along links and
-distrust against them; a host is blocked where distrust outweighs trust by `ratio` and reaches `least`. Links are
+distrust against them, over as many links as there are; a host is blocked where distrust outweighs trust by `ratio`,
+however small both are (ranks below the smallest double are 0, some 4,000 links from a seed). Links are
 those of href and src attributes with a host of their own, counted per pair of hosts before anything is shuffled.
 
 Defined results: a null url or one without `://` has an empty host and path, no rule and the verdict allow; null html
@@ -47,27 +48,24 @@ def links(pages: DataFrame) -> DataFrame:
     return pairs
 
 
-def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 30) -> DataFrame:
+def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
     """Personalised PageRank: seeds(host, seed) summing to 1, edges(src, dst, n) -> host, rank. What hosts without
-    links hold goes back to the seeds. A round's change is the only thing that the driver sees."""
+    links hold goes back to the seeds: the ranks are the sum over all walks from the seeds, scaled to 1. Each round adds
+    the walks that are a link longer, until they add less than `tolerance` of its rank to every host."""
     edges = edges.join(edges.groupBy("src").agg(F.sum("n").alias("total")), "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share"))
     edges = write_table(edges, "links")
-    ranks = write_table(seeds.select("host", F.col("seed").alias("rank")), "ranks")
+    ranks = write_table(seeds.select("host", F.col("seed").alias("rank"), F.col("seed").alias("added")), "ranks")
     if edges.isEmpty():
-        return ranks
-    for _ in range(rounds):
-        moved = edges.join(ranks, edges.src == ranks.host).select(F.col("dst").alias("host"), (damping * F.col("share") * F.col("rank")).alias("rank"))
-        lost = 1 - (moved.agg(F.sum("rank")).first()[0] or 0.0)
-        back = seeds.select("host", (F.col("seed") * F.lit(lost)).alias("rank"))
-        after = write_table(moved.unionByName(back).groupBy("host").agg(F.sum("rank").alias("rank")), "ranks")
-        change = after.select("host", F.col("rank")).unionByName(ranks.select("host", (-F.col("rank")).alias("rank"))).groupBy("host").agg(F.abs(F.sum("rank")).alias("d")).agg(F.sum("d")).first()[0]
-        ranks = after
-        if (change or 0.0) < tolerance:
-            break
-    return ranks
-
-
-def judge(pages: DataFrame, rules: list[Rule], ratio: float = 1.0, least: float = 1e-9, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
+        return ranks.select("host", "rank")
+    while not ranks.where(F.col("added") > tolerance * F.col("rank")).isEmpty():
+        moved = edges.join(ranks.where("added > 0"), edges.src == ranks.host).select(F.col("dst").alias("host"), (damping * F.col("share") * F.col("added")).alias("added"))
+        both = ranks.select("host", "rank", F.lit(0.0).alias("added")).unionByName(moved.select("host", F.col("added").alias("rank"), "added"))
+        ranks = write_table(both.groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("added").alias("added")), "ranks")
+    total = ranks.agg(F.sum("rank")).first()[0] or 1.0
+    return ranks.select("host", (F.col("rank") / F.lit(total)).alias("rank"))
+
+
+def judge(pages: DataFrame, rules: list[Rule], ratio: float = 1.0, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
     """page_id, host, path, rule, verdict."""
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"), F.col(html_col).alias("html"))
     judged = rows.withColumn("match", matched_rule(F.col("host"), F.col("path"), rules))
@@ -80,6 +78,6 @@ def judge(pages: DataFrame, rules: list[Rule], ratio: float = 1.0, least: float
     trust = spread(seeds("allow"), edges)
     distrust = spread(seeds("block"), edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
     both = trust.select("host", F.col("rank").alias("trust"), F.lit(0.0).alias("distrust")).unionByName(distrust.select("host", F.lit(0.0).alias("trust"), F.col("rank").alias("distrust")))
-    hosts = both.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")).where((F.col("distrust") >= least) & (F.col("distrust") > ratio * F.col("trust"))).select("host", F.lit("block").alias("spread"))
+    hosts = both.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")).where(F.col("distrust") > ratio * F.col("trust")).select("host", F.lit("block").alias("spread"))
     pages_judged = judged.select("page_id", "host", "path", "match").join(hosts, "host", "left")
     return pages_judged.select("page_id", "host", "path", F.col("match.rule").alias("rule"), F.coalesce("match.verdict", "spread", F.lit("allow")).alias("verdict"))

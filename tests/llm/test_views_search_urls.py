@@ -58,6 +58,15 @@ def test_distrust_spreads_to_hosts_that_link_to_blocked_ones(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow"}
 
 
+def test_distrust_reaches_hosts_at_any_distance_and_of_any_rank(spark):
+    chain = [(1, "http://bad.net/es/", "")] + [(i, f"http://h{i}.org/", f'<a href="//{"bad.net" if i == 2 else f"h{i - 1}.org"}/">') for i in range(2, 36)]
+    # A seed of one page among 100,000, and a host with 1/100,000 of the links to it.
+    small = [(101, "http://small.net/es/", ""), (102, "http://loud.org/", '<a href="//small.net/">' * 100_000), (103, "http://quiet.org/", '<a href="//small.net/">')]
+    pages = spark.createDataFrame(chain + small, "page_id long, url string, html string").union(spark.range(1000, 101_000).selectExpr("id", "'http://big.net/es/'", "''"))
+    got = {r["page_id"]: r["verdict"] for r in url_filters.judge(pages, RULES).where("page_id < 1000").collect()}
+    assert set(got.values()) == {"block"} and len(got) == 38
+
+
 def test_spread_is_personalised_pagerank(spark):
     edges = [("a", "b", 1), ("a", "c", 3), ("b", "c", 1), ("c", "a", 2), ("c", "d", 2)]
     seeds = {"a": 0.75, "b": 0.25}
