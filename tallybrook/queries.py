@@ -371,6 +371,16 @@ def daily_balance_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.daily_wide(portfolio.daily_balance(_l1(spark, sf_dir)).where(F.col("acct").isin(*few)), few)
 
 
+#: All accounts that the ledger can hold; those without rows are null.
+ACCOUNTS = [f"A{i}" for i in range(25)]
+_WIDE = ", ".join(f"""round(max(balance) FILTER (WHERE acct = '{a}'), 2) AS "{a}\"""" for a in ACCOUNTS)
+
+
+@query(f"WITH {L1}, {DAILY} SELECT day, {_WIDE}, round(sum(balance), 2) AS total FROM daily GROUP BY day")
+def daily_balance_wide_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return portfolio.daily_wide(portfolio.daily_balance(_l1(spark, sf_dir)), ACCOUNTS)
+
+
 _SUMMARY = """min(day) AS first_day, max(day) AS last_day, count(*) AS days, arg_min(total, day) AS opening, arg_max(total, day) AS closing,
     max(total) AS peak, arg_min(day, (-total, day)) AS peak_day, min(total) AS trough, arg_min(day, (total, day)) AS trough_day"""
 

@@ -35,6 +35,13 @@ def test_query_gives_what_sql_gives(spark, sf_dir, duck, name):
     assert plain(got) == plain(want)
 
 
+def test_wide_balances_hold_every_account(spark, sf_dir):
+    wide = queries.QUERIES["daily_balance_wide_all"](spark, sf_dir)
+    accounts = {r["acct"] for r in queries.QUERIES["daily_balance_long"](spark, sf_dir).select("acct").distinct().collect()}
+    assert accounts | {"day", "total"} <= set(wide.columns)
+    assert sorted(wide.select("day", "total").collect()) == sorted(queries.QUERIES["daily_total"](spark, sf_dir).select("day", "total").collect())
+
+
 def test_entry(spark):
     import __spark_entry__
 
