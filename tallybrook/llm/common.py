@@ -15,9 +15,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share. Where none is set, a temporary one serves a session whose executors
+    run on the driver's own machine; any other session is refused."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tallybrook-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -28,7 +31,37 @@ def write_table(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def drop_table(table: DataFrame) -> None:
+    """Removes a table of write_table that no later step reads."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def hot_keys(rows: DataFrame, key: str, most: int = 1000, least: int = 1000) -> list:
+    """The keys that hold more than 1/most of the rows each, so fewer than `most` keys, and `least` rows. Null is none."""
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("of_key")).where(F.col("of_key") >= least)
+    found = counts.orderBy(F.desc("of_key")).limit(most).collect()
+    total = rows.count() if found else 0
+    return [r[key] for r in found if r["of_key"] * most > total]
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, hot: list | None = None) -> DataFrame:
+    """rows left join facts (a row per key), although a key may hold a large share of the rows: the facts of such keys
+    (`hot`, by default found by counting; few) are broadcast, so their rows stay where they are; the others meet in a
+    shuffled join."""
+    hot = hot_keys(rows, key) if hot is None else hot
+    if not hot:
+        return rows.join(facts, key, "left")
+    kind = facts.schema[key].dataType.simpleString()
+    keys = F.broadcast(rows.sparkSession.createDataFrame([(x,) for x in hot], f"{key} {kind}"))
+    known = F.broadcast(facts.join(keys, key, "left_semi"))
+    return rows.join(keys, key, "left_anti").join(facts, key, "left").unionByName(rows.join(keys, key, "left_semi").join(known, key, "left"))
 
 
 def fold(doc_id: Column, of: int) -> Column:
@@ -36,11 +69,6 @@ def fold(doc_id: Column, of: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % of, F.lit(0))
 
 
-def chunked(text: Column, chars: int) -> Column:
-    """The text as an array of pieces of at most `chars` characters (one empty piece for an empty text)."""
-    return F.when(F.length(text) <= chars, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % chars), F.lit(0)))
-
-
 class Memo(dict):
     """A dict that computes what it lacks, and starts anew when it holds `most` entries."""
 

@@ -14,8 +14,9 @@ the links that join components. Verification counts the exact overlap of the mul
 components.
 
 Texts of fewer than five words are one shingle. Defined results: texts without words (null and empty ones too) are
-alike only if identical, null as empty; repeated rows are copies; an empty table gives an empty result; further columns
-don't matter; ties: a class is named by its smallest id.
+alike only if identical, null as empty; a very long text is a node like any other, handled by itself; repeated rows are
+copies; an empty table gives an empty result; further columns don't matter, whatever their names; ties: a class is named
+by its smallest id, and a null id names a class only if all its ids are null.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import write_table
+from tallybrook.llm.common import drop_table, hot_keys, spread_join, write_table
 
 WORDS = 5
 M, ROWS = 96, 4
@@ -175,29 +176,38 @@ def _sign(batches):
 
 
 def _sets(batches):
-    """node, elements: 64-bit hashes of (shingle, which occurrence), so that overlap of sets is overlap of multisets."""
+    """node, elements: 64-bit hashes of (shingle, which occurrence), so that overlap of sets is overlap of multisets.
+    Texts that are not their node's, as a row hash may stand for two texts, are left out."""
     for batch in batches:
-        texts = batch.column(1).to_pylist()
+        texts, wanted = batch.column(1).to_pylist(), batch.column(0).to_pylist()
         for a, b in _groups(texts):
             doc, h, weight = shingles(texts[a:b])
-            at = np.repeat(np.arange(len(h)), weight)
-            nth = np.arange(len(at)) - np.repeat(np.cumsum(weight) - weight, weight)
+            own = np.array([x == y for x, y in zip(wanted[a:b], fingerprints(texts[a:b], doc, h, weight))])
+            at = np.repeat(np.arange(len(h)), weight * own[doc])
+            nth = np.arange(len(at)) - np.repeat(np.cumsum(weight * own[doc]) - weight * own[doc], weight * own[doc])
             element = mix(h[at] + nth.astype(np.uint64) * np.uint64(0x589965CC75374CC3)).view(np.int64)
-            cuts = np.concatenate([[0], np.cumsum(np.bincount(doc, weights=weight, minlength=b - a))]).astype(np.int32)
-            yield pa.record_batch([batch.column(0)[a:b], pa.ListArray.from_arrays(pa.array(cuts), pa.array(element))], names=["node", "elements"])
+            cuts = np.concatenate([[0], np.cumsum(np.bincount(doc, weights=weight, minlength=b - a)[own])]).astype(np.int32)
+            yield pa.record_batch([batch.column(0)[a:b].filter(pa.array(own)), pa.ListArray.from_arrays(pa.array(cuts), pa.array(element))], names=["node", "elements"])
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """edges(a, b) -> node, label: the least node that a path reaches. Labels of neighbours, then labels of labels."""
+    """edges(a, b) -> node, label: the least node that a path reaches. Labels of neighbours, then labels of labels. A
+    node with very many neighbours, or a label of very many nodes, is spread over the tasks."""
     both = write_table(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = write_table(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    labels = write_table(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    hubs = hot_keys(both, "b")
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, labels.node == near.a).select("node", "label", F.least("label", "near").alias("lower"))
-        jump = labels.select(F.col("node").alias("via"), F.col("label").alias("far"))
-        after = write_table(lower.join(jump, lower.lower == jump.via, "left").select("node", F.least("lower", "far").alias("label"), (F.least("lower", "far") < F.col("label")).alias("changed")), "labels")
+        near = spread_join(both, labels.withColumnRenamed("node", "b"), "b", hubs).groupBy("a").agg(F.min("label").alias("near"))
+        lower = write_table(labels.join(near, labels.node == near.a).select("node", "label", F.least("label", "near").alias("lower")), "lower")
+        jumped = spread_join(lower, labels.select(F.col("node").alias("lower"), F.col("label").alias("far")), "lower")
+        after = write_table(jumped.select("node", F.least("lower", "far").alias("label"), (F.least("lower", "far") < F.col("label")).alias("changed")), "labels")
+        drop_table(labels)
+        drop_table(lower)
+        done = after.where("changed").isEmpty()
         labels = after.drop("changed")
-        if after.where("changed").isEmpty():
+        labels.written_to = after.written_to
+        if done:
+            drop_table(both)
             return labels
 
 
@@ -240,7 +250,7 @@ def _across(similarity: float, maybe: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, maybe: float = 0.6, block: int = 2000, block_elements: int = 1_000_000, broadcast_rows: int = 500_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, maybe: float = 0.6, block: int = 1000, block_elements: int = 1_000_000, broadcast_rows: int = 500_000) -> DataFrame:
     """One row for each row of docs: doc_id, class_id (smallest id of the class), class_size, kept (the id names the class).
 
     maybe: pairs whose signatures agree in a smaller share of components aren't verified (at 0.8, almost five standard
@@ -252,8 +262,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # one row stands for the rows of equal multisets
     nodes = write_table(signed.where("n > 0").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
     banded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    sizes = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = write_table(banded.join(sizes, "bucket"), "buckets")
+    sizes = write_table(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    # a bucket may hold a large share of the nodes
+    hot = hot_keys(banded, "bucket")
+    shared = write_table(spread_join(banded, sizes, "bucket", hot).where("size is not null"), "buckets")
     # the leaders of a bucket: the node with the most company in all its buckets, as one that others derive from has, and the least
     company = shared.groupBy("node").agg(F.sum("size").alias("company"))
     leaders = shared.join(company, "node").groupBy("bucket").agg(F.max(F.struct("company", "node"))["node"].alias("first"), F.min("node").alias("last"))
@@ -272,7 +284,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = rows.select("row", "text").join(F.broadcast(wanted) if wanted.count() <= broadcast_rows else wanted, "row")
         return write_table(found.select("node", "text").mapInArrow(_sets, "node binary, elements array<long>"), "sets").dropDuplicates(["node"])
 
-    stars = shared.select("bucket", "node").join(leaders, "bucket").select("node", F.explode(F.array("first", "last")).alias("leader")).where("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    stars = spread_join(shared.select("bucket", "node"), leaders, "bucket", hot).select("node", F.explode(F.array("first", "last")).alias("leader")).where("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     pairs = write_table(alike(stars), "pairs")
     sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
     left, right = (sets.select(F.col("node").alias(x), F.col("elements").alias(f"set_{x}")) for x in "ab")
@@ -283,15 +295,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # buckets of several components: what is outside the largest meets the whole bucket, in blocks
     placed = shared.join(labels, "node", "left").select("bucket", "band", "node", F.coalesce("label", "node").alias("label"))
     mixed = placed.groupBy("bucket", "label").agg(F.count("*").alias("of_label")).groupBy("bucket").agg(F.max(F.struct("of_label", "label"))["label"].alias("main"), F.sum("of_label").alias("size"), F.count("*").alias("labels")).where("labels > 1 and size > 2").select("bucket", "main")
-    spread = write_table(placed.join(mixed, "bucket").select("bucket", "band", "node", "label", (F.col("label") == F.col("main")).alias("inner")).join(facts.select("node", "n"), "node"), "spread")
+    inner = spread_join(placed, mixed, "bucket", hot).where("main is not null").select("bucket", "band", "node", "label", (F.col("label") == F.col("main")).alias("inner"))
+    spread = write_table(inner.join(facts.select("node", "n"), "node"), "spread")
     parts = lambda inner: F.greatest(F.lit(1), F.ceil(F.greatest(F.count(F.when(F.col("inner") == inner, 1)) / block, F.sum(F.when(F.col("inner") == inner, F.col("n"))) / block_elements))).cast("int")
     blocks = spread.groupBy("bucket").agg(parts(False).alias("outer_blocks"), parts(True).alias("inner_blocks"))
-    dealt = spread.join(blocks, "bucket").withColumn("block", F.when(F.col("inner"), F.col("outer_blocks") + F.pmod(F.xxhash64("node"), F.col("inner_blocks"))).otherwise(F.pmod(F.xxhash64("node"), F.col("outer_blocks"))).cast("int"))
+    dealt = spread_join(spread, blocks, "bucket", hot).withColumn("block", F.when(F.col("inner"), F.col("outer_blocks") + F.pmod(F.xxhash64("node"), F.col("inner_blocks"))).otherwise(F.pmod(F.xxhash64("node"), F.col("outer_blocks"))).cast("int"))
     others = F.when(F.col("inner"), F.sequence(F.lit(0), F.col("outer_blocks") - 1)).otherwise(F.sequence(F.lit(0), F.col("outer_blocks") + F.col("inner_blocks") - 1))
     known = facts.select("node", "sig").join(sets_of(spread), "node")
     meeting = dealt.join(known, "node").withColumn("other", F.explode(others)).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "node", "label", "n", "sig", "elements")
     more = write_table(meeting.groupBy("bucket", "i", "j").applyInPandas(_across(similarity, maybe), "a binary, b binary"), "more")
     labels = components(links.unionByName(more))
-    classed = signed.select("doc_id", "node").join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"))
-    named = classed.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return classed.join(named, "label").select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    # a row per node, then per class; the rows of one text, and the texts of one class, may be a large share of all
+    held = signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "least", "rows")
+    held = write_table(held, "held")
+    named = held.groupBy("label").agg(F.min("least").alias("class_id"), F.sum("rows").alias("class_size"))
+    facts_of = write_table(spread_join(held, named, "label").select("node", "class_id", "class_size"), "classes")
+    return spread_join(signed.select("doc_id", "node"), facts_of, "node").select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))

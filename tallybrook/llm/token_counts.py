@@ -10,12 +10,17 @@ transitions of a text is its token count. Two machines are composed:
 * the pre-token rules (contractions, letter, number and other runs with one leading space, white space whose last
   character goes with what follows) are an automaton over character classes whose states hold the states above.
 
-Where white space follows something else, every state behaves as the start state. A chunk of a text therefore acts on an
-unknown incoming state as (head, count, tail): what stands before its first such place, the tokens up to its last one,
-and the rest. These maps compose associatively; the scan over a text's chunks is a tree of compositions.
-
-Defined results: a null text counts as empty (0 tokens); repeated rows each give a row; an empty table gives an empty
-result; further columns don't matter.
+Where white space follows something else, and behind a special string, every state behaves as the start state; texts
+up to chunk_chars run from there in one go. Longer ones are cut into chunks, at such places where there are any. A chunk
+acts as a map from incoming states to (outgoing state, count). Its first entry is for the start state, or, where the cut
+is at no such place, for the state that the characters before it lead to, which most texts agree on soon; then entries
+are added, in rounds over all chunks at once, for every state that the chunk before may end in, until no state is
+missing. Maps hold states and counts, never texts, and pairs of neighbours compose into one (a join on the state
+between them), level by level, as in a parallel prefix scan, so a text's chunks and maps lie in as many tasks as it
+needs.
+
+Defined results: a null text counts as empty (0 tokens); a very long text is cut as above, with or without white space;
+repeated rows each give a row; an empty table gives an empty result; further columns don't matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,19 +28,24 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from ast import literal_eval
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import Memo, chunked
+from tallybrook.llm.common import Memo, write_table
 
 #: Unicode's White_Space, as a character class of re.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space with what follows up to the next white space; the start state holds before each.
 SEGMENT = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+\Z")
-_IS_SPACE = re.compile(rf"[{SPACE}]").fullmatch
+_IS_SPACE, _HAS_SPACE = re.compile(rf"[{SPACE}]").fullmatch, re.compile(rf"[{SPACE}]").search
+#: Up to the last such place.
+LAST_RESET = re.compile(rf"(?s).*[^{SPACE}](?=[{SPACE}])")
+#: How many characters before a cut give the first guess of the state there.
+LEAD = 512
 ONE_LETTER, TWO_LETTERS = {"s", "t", "m", "d"}, {"r": "e", "v": "e", "l": "l"}
 
 
@@ -101,11 +111,13 @@ class WordMachine:
             change += delta
             cut = next(k for k in range(len(window) + 1) if k == len(window) or window[k:] in self.begins)
             window, lasts, since = window[cut:], (*lasts[cut:], token), (*(n + delta for n in since[cut:]), 0)
-        key = (window, lasts, since)
-        if (to := self.ids.get(key)) is None:
-            to = self.ids[key] = len(self.keys)
+        return self.number_of((window, lasts, since)), change
+
+    def number_of(self, key: tuple) -> int:
+        if (k := self.ids.get(key)) is None:
+            k = self.ids[key] = len(self.keys)
             self.keys.append(key)
-        return to, change
+        return k
 
 
 class TextMachine:
@@ -116,6 +128,7 @@ class TextMachine:
     def __init__(self, words: WordMachine, special: list[str], most_states: int = 300_000):
         self.words, self.most = words, most_states
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.longest = max(map(len, special), default=0)
         self.classes = Memo(self._class_of)
         self.reset()
 
@@ -176,25 +189,45 @@ class TextMachine:
                 return ("run", "L", state), n - self._walk(key[1])[1]
         return self._open(char)
 
+    def run(self, text: str, state: int = 0) -> tuple[int, int]:
+        """The state that a text leads to, and the tokens it adds. Special strings, which no pre-token rule sees, count
+        one each and lead to the start."""
+        total, arcs = 0, self.arcs
+        parts = self.special.split(text) if self.special else [text]
+        for n, part in enumerate(parts):
+            if n:
+                state, total = 0, total + 1
+            for char in part:
+                at = state << 21 | ord(char)
+                if (arc := arcs.get(at)) is None:
+                    to, change = self._next(self.keys[state], char)
+                    arc = arcs[at] = self._number(to) << 12 | change + 2048  # the state and the emission in one number
+                state = arc >> 12
+                total += (arc & 4095) - 2048
+        return state, total
+
+    def _number(self, key: tuple) -> int:
+        if (k := self.ids.get(key)) is None:
+            k = self.ids[key] = len(self.keys)
+            self.keys.append(key)
+        return k
+
     def count(self, text: str) -> int:
-        """Tokens of a text from the start state. Special strings, which no pre-token rule sees, count one each."""
-        if self.special and self.special.search(text):
-            parts = self.special.split(text)
-            return len(parts) - 1 + sum(map(self.count, parts))
+        """Tokens of a text from the start state."""
         if len(self.keys) > self.most:
             self.reset()
-        state, total, arcs = 0, 0, self.arcs
-        for char in text:
-            at = state << 21 | ord(char)
-            if (arc := arcs.get(at)) is None:
-                to, n = self._next(self.keys[state], char)
-                if (k := self.ids.get(to)) is None:
-                    k = self.ids[to] = len(self.keys)
-                    self.keys.append(to)
-                arc = arcs[at] = k << 12 | n + 2048  # the state and the emission in one number
-            state = arc >> 12
-            total += (arc & 4095) - 2048
-        return total
+        return self.run(text)[1]
+
+    def shown(self, state: int) -> str:
+        """A state as text that another machine of the same rules understands."""
+        key = self.keys[state]
+        at = {"run": (2,), "space": (1, 2)}.get(key[0], ())
+        return repr(tuple(self.words.keys[x] if i in at else x for i, x in enumerate(key)))
+
+    def known(self, shown: str) -> int:
+        key = literal_eval(shown)
+        at = {"run": (2,), "space": (1, 2)}.get(key[0], ())
+        return self._number(tuple(self.words.number_of(x) if i in at else x for i, x in enumerate(key)))
 
 
 @lru_cache(maxsize=2)
@@ -205,82 +238,125 @@ def machine(path: str) -> TextMachine:
     of = byte_of_char()
     raw = lambda token: bytes(map(of.__getitem__, token))
     special = [t["content"] for t in rules["added_tokens"]]
+    if any(map(_HAS_SPACE, special)):
+        raise ValueError("special strings with white space aren't supported")
     pairs = [m if isinstance(m, list) else m.split(" ") for m in rules["model"]["merges"]]
     return TextMachine(WordMachine([(raw(a), raw(b)) for a, b in pairs]), special)
 
 
-#: What a chunk does to any incoming state: (head, count, tail); tail None: no place of the chunk resets the state.
-Map = tuple[str, int, "str | None"]
+@lru_cache(maxsize=2)
+def segment_counts(path: str) -> Memo:
+    """Tokens of segments from the start state."""
+    return Memo(machine(path).count, most=250_000)
 
 
-def chunk_map(chunk: str, memo: Memo) -> Map:
+def cuts(text: str, size: int, rules: TextMachine) -> list[tuple[int, bool]]:
+    """Where chunks of at most `size` characters begin, and whether every state behaves as the start state there. No
+    cut is inside a special string."""
+    out, at = [(0, True)], 0
+    while len(text) - at > size:
+        if found := LAST_RESET.match(text, at, at + size + 1):
+            at, reset = found.end(), True
+        else:
+            to, reset = at + size, False
+            for m in rules.special.finditer(text, max(at + 1, to - rules.longest), to + rules.longest) if rules.special else ():
+                if m.start() < to < m.end():
+                    to = m.start()
+            at = to
+        out.append((at, reset))
+    return out
+
+
+def chunk_from(rules: TextMachine, memo: Memo, chunk: str, state: str) -> tuple[str, int]:
+    """A chunk's entry for one incoming state: the outgoing state and the tokens added. What stands between its first
+    and last reset counts by segments."""
+    if len(rules.keys) > rules.most:
+        rules.reset()
     parts = SEGMENT.findall(chunk)
-    if len(parts) < 2:
-        return chunk, 0, None
-    return parts[0], sum(map(memo.__getitem__, parts[1:-1])), parts[-1]
-
-
-def compose(a: Map, b: Map, memo: Memo) -> Map:
-    """First a, then b. Associative."""
-    if a[2] is None:
-        joined = chunk_map(a[0] + b[0], memo)  # two pieces of one segment may hold a place between them
-        if joined[2] is None:
-            return joined[0], b[1], b[2]
-        if b[2] is None:
-            return joined
-        return joined[0], joined[1] + memo[joined[2]] + b[1], b[2]
-    middle = chunk_map(a[2] + b[0], memo)
-    if middle[2] is None:
-        return (a[0], a[1], middle[0]) if b[2] is None else (a[0], a[1] + memo[middle[0]] + b[1], b[2])
-    count = a[1] + memo[middle[0]] + middle[1]
-    return (a[0], count, middle[2]) if b[2] is None else (a[0], count + memo[middle[2]] + b[1], b[2])
-
-
-def scan(maps: list[Map], memo: Memo) -> int:
-    """Composes the maps of a text's chunks as a balanced tree and applies the result to the start state."""
-    while len(maps) > 1:
-        pairs = [compose(maps[i], maps[i + 1], memo) for i in range(0, len(maps) - 1, 2)]
-        maps = pairs + maps[len(maps) - len(maps) % 2 :]
-    head, count, tail = maps[0]
-    return memo[head] + count + (0 if tail is None else memo[tail])
-
-
-def _memo(path: str) -> Memo:
-    return Memo(machine(path).count, most=250_000)
+    at, total = rules.run(parts[0] if parts else "", rules.known(state))
+    if len(parts) > 1:
+        total += sum(map(memo.__getitem__, parts[1:-1]))
+        at, n = rules.run(parts[-1])
+        total += n
+    return rules.shown(at), total
 
 
-def _map_chunks(path: str):
+def _whole(path: str):
     def run(batches):
-        memo = _memo(path)
+        memo = segment_counts(path)
         for batch in batches:
-            maps = [chunk_map(x, memo) for x in batch.column(4).to_pylist()]
-            heads, counts, tails = zip(*maps) if maps else ((), (), ())
-            yield pa.record_batch([*batch.columns[:4], pa.array(heads, pa.string()), pa.array(counts, pa.int64()), pa.array(tails, pa.string())], names=["row", "doc_id", "n_bytes", "at", "head", "count", "tail"])
+            totals = [sum(map(memo.__getitem__, SEGMENT.findall(t))) for t in batch.column(2).to_pylist()]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(totals, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     return run
 
 
-def _compose_rows(path: str):
+def _cut(path: str, size: int):
     def run(batches):
-        memo = _memo(path)
+        rules = machine(path)
         for batch in batches:
-            totals = [scan([(m["head"], m["count"], m["tail"]) for m in maps], memo) for maps in batch.column(2).to_pylist()]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(totals, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                begins = cuts(text, size, rules)
+                ends = [a for a, _ in begins[1:]] + [len(text)]
+                for k, ((a, reset), b) in enumerate(zip(begins, ends)):
+                    first = 0 if reset else rules.run(text[max(0, a - LEAD) : a])[0]
+                    yield pa.record_batch([[row], pa.array([k], pa.int64()), [text[a:b]], [rules.shown(first)], [reset]], names=["row", "at", "chunk", "state", "reset"])
+
+    return run
+
+
+def _entries(path: str):
+    def run(batches):
+        rules, memo = machine(path), segment_counts(path)
+        for batch in batches:
+            found = [chunk_from(rules, memo, c, s) for c, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            after, counts = zip(*found) if found else ((), ())
+            yield pa.record_batch([batch.column(0), batch.column(1), batch.column(3), pa.array(after, pa.string()), pa.array(counts, pa.int64())], names=["row", "at", "state", "after", "n"])
 
     return run
 
 
+def chunk_maps(chunks: DataFrame, path: str) -> DataFrame:
+    """chunks(row, at, chunk, state, reset) -> row, at, state, after, n: the maps, with an entry for every state that a
+    chunk's neighbour may hand on. What is handed to a chunk that begins at a reset is the start state."""
+    # dealt by chunk, so that the chunks of one text are spread over the tasks
+    dealt = lambda df: df.repartition("row", "at").select("row", "at", "chunk", "state").mapInArrow(_entries(path), "row long, at long, state string, after string, n long")
+    resets = chunks.where("reset").select("row", (F.col("at") - 1).alias("at"), F.col("state").alias("begin"))
+    handing = lambda df: dealt(df).join(resets, ["row", "at"], "left").withColumn("after", F.coalesce("begin", "after")).drop("begin")
+    maps = write_table(handing(chunks), "maps")
+    while True:
+        handed = maps.select("row", (F.col("at") + 1).alias("at"), F.col("after").alias("state")).distinct()
+        unknown = handed.join(maps.select("row", "at", "state"), ["row", "at", "state"], "left_anti")
+        missing = write_table(unknown.join(chunks.select("row", "at", "chunk"), ["row", "at"]).select("row", "at", "chunk", "state"), "asked")
+        if missing.isEmpty():
+            return maps
+        maps = write_table(maps.unionByName(handing(missing)), "maps")
+
+
+def scanned(maps: DataFrame) -> DataFrame:
+    """row, n: the maps of each row's chunks, composed in pairs until one is left, and applied to the start state."""
+    half = F.floor(F.col("at") / 2).alias("half")
+    while not maps.where("at > 0").isEmpty():
+        left = maps.where("at % 2 = 0").select("row", half, "state", F.col("after").alias("between"), F.col("n").alias("n_left"))
+        right = maps.where("at % 2 = 1").select("row", half, F.col("state").alias("between"), "after", F.col("n").alias("n_right"))
+        both = left.join(right, ["row", "half", "between"]).select("row", F.col("half").alias("at"), "state", "after", (F.col("n_left") + F.col("n_right")).alias("n"))
+        alone = left.join(right.select("row", "half").distinct(), ["row", "half"], "left_anti").select("row", F.col("half").alias("at"), "state", F.col("between").alias("after"), F.col("n_left").alias("n"))
+        maps = write_table(both.unionByName(alone), "scan")
+    return maps.where(F.col("state") == repr(TextMachine.START)).select("row", "n")
+
+
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024, chunk_chars: int = 1 << 16) -> DataFrame:
     """One row for each row of docs: doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
-    path: a tokenizer file that every executor has. Only the maps of chunks are shuffled, never the texts.
+    path: a tokenizer file that every executor has. Only texts longer than chunk_chars are shuffled, in chunks.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    # numbered before the texts are cut up: the chunks of a row share its number
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("row", F.monotonically_increasing_id())
-    rows = rows.select("row", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.posexplode(chunked(F.col("text"), chunk_chars)).alias("at", "chunk"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
     kind = docs.schema[id_col].dataType.simpleString()
-    maps = rows.mapInArrow(_map_chunks(path), f"row long, doc_id {kind}, n_bytes long, at int, head string, count long, tail string")
-    texts = maps.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.array_sort(F.collect_list(F.struct("at", "head", "count", "tail"))).alias("maps"))
-    counted = texts.select("doc_id", "n_bytes", "maps").mapInArrow(_compose_rows(path), f"doc_id {kind}, n_bytes long, n_tokens long")
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    short = rows.where(F.length("text") <= chunk_chars).select("doc_id", "n_bytes", "text").mapInArrow(_whole(path), f"doc_id {kind}, n_bytes long, n_tokens long")
+    # the row numbers of the written table hold from then on
+    long = write_table(rows.where(F.length("text") > chunk_chars).withColumn("row", F.monotonically_increasing_id()), "long")
+    chunks = write_table(long.select("row", "text").mapInArrow(_cut(path, chunk_chars), "row long, at long, chunk string, state string, reset boolean"), "chunks")
+    if chunks.isEmpty():
+        return short.withColumn("over_limit", F.col("n_tokens") > limit)
+    counted = long.join(scanned(chunk_maps(chunks, path)), "row").select("doc_id", "n_bytes", F.col("n").alias("n_tokens"))
+    return short.unionByName(counted).withColumn("over_limit", F.col("n_tokens") > limit)
