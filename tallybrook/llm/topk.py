@@ -1,77 +1,101 @@
 """Exact top-k search by distributed histogram selection (operator 9).
 
-Vectors are made integer; queries and candidates are cut into blocks, and every pair of blocks is scored, so a task
-holds one block of each. Round by round each pair of blocks counts its scores in a histogram over the query's current
-range; the counts, added up per query, show the bin that holds the kth best score, and that bin is the next range,
-until it is one value wide. A block reports its upper bins only, down to its own kth score: the global kth can't be
-lower. A last round keeps the scores above the kth value, and of those equal to it the k smallest ids of each block;
-what remains, at most k per block, is ranked by score and id.
+Vectors are made integer; queries and candidates are cut into blocks, and every pair of blocks is scored once, so a task
+holds one block of each. Of a block, a query keeps the scores down to its own kth there, as the global kth can't be
+lower, and of those equal to it the ones with the smallest ids. The kth best score of each query is then found in
+histograms: round by round its scores are counted in bins over its current range, the counts add up over all blocks, and
+the bin that holds the kth is the next range, until it is one value wide. Scores above the kth value stay, those equal
+to it are ranked by id.
+
+Scores are exact 64-bit integers: blocks whose norms keep all sums below 2^53 are multiplied in floating point, others
+modulo 2^64, and what may lie beyond 64 bits by itself in unbounded integers. Such a score counts as the largest or
+smallest long; where it would be part of the result, the query stops, as its column can't hold it.
 
 Defined results: vectors that are null, or hold null or non-finite components, and rows without an id take no part;
-vectors of different lengths aren't compared; an id that repeats is one query, and all its rows are candidates of other
-queries; fewer than k candidates are all returned; an empty table gives an empty result; further columns don't matter.
+vectors of different lengths aren't compared; every row is a query of its own and a candidate of all others, also where
+ids repeat; ties go to the smaller id; fewer than k candidates are all returned; an empty table gives an empty result;
+further columns don't matter, whatever their names.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import write_table
+from tallybrook.llm.common import drop_table, write_table
 
-EXACT = 1 << 53
+EXACT, TOP = 1 << 53, (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
     """vec_id, q (array of double, integers), dim, of the vectors that take part."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).where("vec_id is not null and v is not null")
     sound = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return rows.where(F.coalesce(sound, F.lit(True))).select("vec_id", F.transform("v", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double")).alias("q"), F.size("v").alias("dim"))
-
-
-def _scores(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
-    """Queries x candidates; a query's own rows get the least number."""
-    a, b = np.array(left["q"].tolist()).reshape(len(left), -1), np.array(right["q"].tolist()).reshape(len(right), -1)
-    out = (a @ b.T).astype(np.int64)
-    out[left["vec_id"].to_numpy()[:, None] == right["vec_id"].to_numpy()[None, :]] = np.iinfo(np.int64).min
+    scaled = F.transform("v", lambda x: F.lit(float(scale)) * x.cast("double"))
+    # numbers of that size are whole, and floor would make longs of them
+    floors = F.transform(scaled, lambda x: F.when(F.abs(x) < EXACT, F.floor(x).cast("double")).otherwise(x))
+    return rows.where(F.coalesce(sound, F.lit(True))).select("vec_id", floors.alias("q"), F.size("v").alias("dim"))
+
+
+def _wrapped(x: np.ndarray) -> np.ndarray:
+    """Whole numbers modulo 2^64."""
+    return np.array([int(v) & (1 << 64) - 1 for v in x.ravel().tolist()], np.uint64).reshape(x.shape)
+
+
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of whole numbers, as longs; beyond 64 bits the largest or smallest one."""
+    guess = a @ b.T
+    norms = np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
+    if not norms.size or norms.max() < EXACT:
+        return guess.astype(np.int64)
+    out = (_wrapped(a) @ _wrapped(b).T).view(np.int64)
+    # where the guess, give or take its error, may be beyond 64 bits
+    for i, j in np.argwhere(np.abs(guess) + norms * (a.shape[1] + 2) * 2.0**-52 >= 2.0**63).tolist():
+        exact = sum(int(x) * int(y) for x, y in zip(a[i].tolist(), b[j].tolist()))
+        out[i, j] = max(-TOP, min(TOP, exact))
     return out
 
 
-def _histogram(k: int, bins: int):
+def _best_of_block(k: int):
+    """Each query's scores in a block of candidates, down to the kth there."""
+
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         parts = []
         if len(left) and len(right):
-            scores = _scores(left, right)
-            for row, query, low, width in zip(scores, left["vec_id"], left["low"], left["width"]):
-                at = np.minimum((row[row >= low] - low) // width, bins)  # bin `bins`: above the range
-                counts = np.bincount(at, minlength=bins + 1)
-                from_top = np.cumsum(counts[::-1])[::-1]
-                # upper bins, down to the one where this block alone has k
-                keep = np.flatnonzero((counts > 0) & (from_top - counts < k))
-                parts.append(pd.DataFrame({"query_id": query, "bin": keep, "n": counts[keep]}))
-        return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "bin": [], "n": []}).astype("int64")
+            a, b = (np.array(x["q"].tolist(), float).reshape(len(x), -1) for x in (left, right))
+            ids, rows = right["vec_id"].to_numpy(), right["row"].to_numpy()
+            for scores, row, query in zip(products(a, b), left["row"], left["vec_id"]):
+                at = np.flatnonzero(rows != row)
+                if len(at) > k:
+                    kth = np.partition(scores[at], len(at) - k)[len(at) - k]
+                    above, equal = at[scores[at] > kth], at[scores[at] == kth]
+                    at = np.concatenate([above, equal[np.argsort(ids[equal], kind="stable")[: k - len(above)]]])
+                parts.append(pd.DataFrame({"row": row, "query_id": query, "vec_id": ids[at], "score": scores[at]}))
+        return pd.concat(parts) if parts else pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
 
     return run
 
 
-def _keep(k: int):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        if len(left) and len(right):
-            scores, ids = _scores(left, right), right["vec_id"].to_numpy()
-            for row, query, low in zip(scores, left["vec_id"], left["low"]):
-                above, equal = np.flatnonzero(row > low), np.flatnonzero((row == low) & (row > np.iinfo(np.int64).min))
-                equal = equal[np.argsort(ids[equal], kind="stable")[:k]]
-                # several rows above the kth value: fewer than k over all blocks
-                at = np.concatenate([above, equal])
-                parts.append(pd.DataFrame({"query_id": query, "vec_id": ids[at], "score": row[at]}))
-        return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-
-    return run
+def kth_values(scores: DataFrame, k: int, bins: int) -> DataFrame:
+    """scores(row, score) -> row, kth: each row's kth highest score, its least one where it has fewer than k."""
+    scores = scores.select("row", F.col("score").cast("decimal(20,0)").alias("score"))  # differences of longs
+    width = lambda span: F.greatest(F.lit(1), F.ceil(span / bins)).cast("decimal(20,0)")
+    ends = scores.groupBy("row").agg(F.min("score").alias("low"), F.max("score").alias("high"))
+    ranges = write_table(ends.select("row", "low", width(F.col("high") - F.col("low") + 1).alias("width")), "ranges")
+    while True:
+        at = F.least(F.floor((F.col("score") - F.col("low")) / F.col("width")).cast("long"), F.lit(bins))  # bin `bins`: above the range
+        counts = scores.join(ranges, "row").where("score >= low").groupBy("row", at.alias("bin")).agg(F.count("*").alias("n"))
+        from_top = counts.withColumn("seen", F.sum("n").over(Window.partitionBy("row").orderBy(F.desc("bin"))))
+        found = from_top.where((F.col("seen") >= k) & (F.col("seen") - F.col("n") < k)).select("row", "bin")
+        low = (F.col("low") + F.coalesce("bin", F.lit(0)) * F.col("width")).cast("decimal(20,0)")
+        narrower = write_table(ranges.join(found, "row", "left").select("row", low.alias("low"), width(F.col("width")).alias("width"), (F.col("width") == 1).alias("done")), "ranges")
+        drop_table(ranges)
+        if narrower.where("not done").isEmpty():
+            return narrower.select("row", F.col("low").cast("long").alias("kth"))
+        ranges = narrower.drop("done")
+        ranges.written_to = narrower.written_to
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, block: int = 4096, query_block: int = 1024, bins: int = 1024, **columns) -> DataFrame:
@@ -79,35 +103,17 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, block: int = 4096, query_blo
 
     is_query: a condition on vec_id.
     """
-    table = write_table(quantised(vectors, **columns), "vectors")
-    norm = F.sqrt(F.aggregate("q", F.lit(0.0), lambda s, x: s + x * x))
-    size = table.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("queries"), F.max(norm).alias("norm"), F.max(F.when(is_query, norm)).alias("query_norm")).first()
-    bound = int((size["norm"] or 0.0) * (size["query_norm"] or 0.0)) + 1
-    if bound >= EXACT:
-        raise ValueError("scores of this size can't be computed exactly")
+    # the row numbers of the written table hold from then on
+    table = write_table(quantised(vectors, **columns).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    size = table.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("queries")).first()
     blocks, query_blocks = max(1, -(-size["n"] // block)), max(1, -(-size["queries"] // query_block))
-    width = max(1, math.ceil((2 * bound + 1) / bins))
-    at = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n))
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
-    # dealt by row, so that an id with very many rows spreads over all blocks
-    candidates = table.select("vec_id", "q", "dim", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).alias("c"), numbers(query_blocks).alias("b"))
-    queries = table.where(is_query).dropDuplicates(["vec_id"]).select(*(F.col(c).alias(c) for c in ("vec_id", "q", "dim")), at(query_blocks, 1).alias("b"))
-    ranges = table.where(is_query).select(F.col("vec_id").alias("query_id")).distinct().select("query_id", F.lit(-bound).cast("long").alias("low"), F.lit(width).cast("long").alias("width"))
-
-    def paired(now: DataFrame, run, schema: str) -> DataFrame:
-        left = queries.join(now, F.col("vec_id") == F.col("query_id")).select("vec_id", "q", "dim", "b", "low", "width", numbers(blocks).alias("c"))
-        return left.groupBy("dim", "b", "c").cogroup(candidates.groupBy("dim", "b", "c")).applyInPandas(run, schema)
-
-    while True:
-        counts = paired(ranges, _histogram(k, bins), "query_id long, bin long, n long").groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
-        from_top = counts.withColumn("seen", F.sum("n").over(Window.partitionBy("query_id").orderBy(F.desc("bin"))))
-        kth = from_top.where((F.col("seen") >= k) & (F.col("seen") - F.col("n") < k)).select("query_id", "bin")
-        narrower = max(1, -(-width // bins))
-        # a query with fewer than k candidates keeps the lowest value as its threshold
-        ranges = write_table(ranges.join(kth, "query_id", "left").select("query_id", (F.col("low") + F.coalesce("bin", F.lit(0)) * F.col("width")).alias("low"), F.lit(narrower).cast("long").alias("width")), "ranges")
-        if width == 1:
-            break
-        width = narrower
-    kept = paired(ranges, _keep(k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return kept.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    dealt = lambda n: F.pmod(F.xxhash64("row"), F.lit(n))
+    candidates = table.select("row", "vec_id", "q", "dim", dealt(blocks).alias("c"), numbers(query_blocks).alias("b"))
+    queries = table.where(is_query).select("row", "vec_id", "q", "dim", dealt(query_blocks).alias("b"), numbers(blocks).alias("c"))
+    paired = queries.groupBy("dim", "b", "c").cogroup(candidates.groupBy("dim", "b", "c"))
+    scores = write_table(paired.applyInPandas(_best_of_block(k), "row long, query_id long, vec_id long, score long"), "scores")
+    kept = scores.join(kth_values(scores, k, bins), "row").where("score >= kth")
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
+    held = F.when(F.abs("score") < TOP, F.col("score")).otherwise(F.raise_error(F.lit("a score of the result is beyond 64 bits")).cast("long"))
+    return kept.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k).withColumn("score", held)

@@ -17,13 +17,37 @@ def test_top_k_matches_brute_force(spark, block, queries, bins):
     rows.append((560, [3.0, 1.0]))
     table = spark.createDataFrame([(i, v, "q") for i, v in rows], "vec_id long, embedding array<float>, q string")
     sound = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    assert search(table, block, queries, bins) == brute_top_k(sound)
+
+
+def brute_top_k(sound):
     want = []
-    for q in sorted({i for i, _ in sound if i % 10 == 0}):
-        vector = next(v for i, v in sound if i == q)
-        scores = sorted((-sum(a * b for a, b in zip(vector, v)), i) for i, v in sound if i != q and len(v) == len(vector))
-        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
-    got = topk.top_k(table, F.col("vec_id") % 10 == 0, k=5, block=block, query_block=queries, bins=bins).collect()
-    assert sorted(map(tuple, got)) == want
+    for at, (q, vector) in enumerate(sound):
+        if q % 10 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(vector, v)), i) for n, (i, v) in enumerate(sound) if n != at and len(v) == len(vector))
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
+    return sorted(want)
+
+
+def search(table, block=4096, queries=1024, bins=1024):
+    return sorted(map(tuple, topk.top_k(table, F.col("vec_id") % 10 == 0, k=5, block=block, query_block=queries, bins=bins).collect()))
+
+
+@pytest.mark.parametrize(("size", "others"), [(1e6, 1e6), (1e9, 1e4), (1e12, 10.0)])
+def test_top_k_of_large_vectors_and_repeated_ids(spark, size, others):
+    """Inner products beyond 2^53; those with the last vector lie beyond 64 bits, but below the five best."""
+    rng = random.Random(size)
+    rows = [(i % 40, [rng.uniform(0, 1) * rng.choice([1, others]) for _ in range(3)]) for i in range(90)]
+    rows += [(10, [size, size / 3, 0.1]), (31, [-1e24, -1e24, -5.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert search(table, 16, 4) == brute_top_k([(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows])
+
+
+def test_top_k_beyond_64_bits(spark):
+    a, b = np.array([[3e38 * 256, 1.0]]), np.array([[3e38 * 256, 0.0], [-3e38, 0.0], [0.0, 7.0]])
+    assert topk.products(a, b).tolist() == [[topk.TOP, -topk.TOP, 7]]
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        search(spark.createDataFrame([(10, [3e38]), (20, [3e38])], "vec_id long, embedding array<float>"))
 
 
 def test_top_k_of_nothing(spark):
