@@ -7,13 +7,19 @@ parent into the other, removes the bins that would then hold a piece twice, and
 fit. Between epochs the best solution of an island moves on to the next island of its shard, and of all islands the
 best solution counts. An island stops once it reaches the lower bound, ceil(sum of lengths / capacity).
 
-Defined results: a null or empty text is one piece that holds the end id only; repeated rows are packed each; an empty
-table gives an empty result; further columns don't matter. Seeds depend on shard, island and epoch only.
+Each shard leaves some bins open, so the pieces of all shards' open bins are dealt anew into far fewer shards and evolve
+again, level by level, until one shard is left or the open bins don't get fewer.
+
+Defined results: a null or empty text is one piece that holds the end id only; a very long text is cut into as many
+pieces as it needs; repeated rows are packed each; ties between pieces of one length go by their numbers; an empty table
+gives an empty result; further columns don't matter, whatever their names. Seeds depend on level, shard, island and
+epoch only.
 """
 
 from __future__ import annotations
 
-import base64
+import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
@@ -22,26 +28,64 @@ from random import Random
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import Memo, write_table
-from tallybrook.llm.token_counts import SEGMENT
+from tallybrook.llm.common import drop_table, write_table
+from tallybrook.llm.token_counts import LATIN, segment_pattern
 
 Bin = list[int]
 
 
+class SegmentIds:
+    """Little-endian 32-bit ids of texts, by a tokenizer file. A pre-token never crosses the border of two segments, so
+    a text's ids are those of its segments one after another, and each distinct segment is encoded once."""
+
+    #: One pre-token, and still one behind another.
+    one_word = re.compile(f" [{LATIN}]+").fullmatch
+
+    def __init__(self, path: str, most: int = 500_000, at_once: int = 1000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
+        from tokenizers import Tokenizer
+
+        self.coder, self.most, self.at_once = Tokenizer.from_file(path), most, at_once
+        self.segments = segment_pattern([t.content for t in self.coder.get_added_tokens_decoder().values()]).findall
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, segments: set[str]) -> None:
+        if len(self.known) > self.most:
+            self.known = {}
+        new = segments.difference(self.known)
+        words = [s for s in new if self.one_word(s)]
+        for at in range(0, len(words), self.at_once):
+            part = words[at : at + self.at_once]
+            found = self.coder.encode("".join(part), add_special_tokens=False)
+            ids, edges = np.array(found.ids, "<u4").tobytes(), 4 * (np.flatnonzero(np.diff(found.word_ids)) + 1)
+            self.known.update(zip(part, (ids[a:b] for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(ids)])), strict=True))
+        for s in new.difference(words):
+            self.known[s] = np.array(self.coder.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        parts = [self.segments(t) for t in texts]
+        self.learn(set().union(*parts))
+        return [b"".join(map(self.known.__getitem__, p)) for p in parts]
+
+
 @lru_cache(maxsize=2)
-def segment_ids(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...]) -> Memo:
-    """Little-endian 32-bit ids of a segment, by the byte-level vocabulary given as ranks. A pre-token never goes on
-    where white space follows something else, so a text's ids are those of its segments one after another."""
-    import tiktoken
+def segment_ids(path: str) -> SegmentIds:
+    return SegmentIds(path)
+
 
-    with open(ranks_path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
-    allowed = {x for x, _ in special}
-    return Memo(lambda s: np.array(coder.encode(s, allowed_special=allowed) if "<|" in s else coder.encode_ordinary(s), "<u4").tobytes(), most=250_000)
+def grouped(texts: list[str], chars: int):
+    """Slices of the list of about so many characters, and at least one text."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= chars:
+            yield at, i + 1
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield at, len(texts)
 
 
 def cut(size: int, capacity: int) -> list[int]:
@@ -50,19 +94,21 @@ def cut(size: int, capacity: int) -> list[int]:
     return [rest] * (rest > 0) + [capacity] * full
 
 
-def _pieces(ranks_path: str, pattern: str, special: tuple, end_id: int, capacity: int):
+def _pieces(path: str, end_id: int, capacity: int, group_chars: int = 1 << 20):
     def run(batches):
-        ids_of, end = segment_ids(ranks_path, pattern, special), np.array([end_id], "<u4").tobytes()
+        coder, end = segment_ids(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = b"".join([*map(ids_of.__getitem__, SEGMENT.findall(text)), end])
-                start = 0
-                for k, n in enumerate(cut(len(ids) // 4, capacity)):
-                    rows.append((doc_id, k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
-                    start += n
-            columns = list(zip(*rows)) or [()] * 5
-            yield pa.record_batch([pa.array(columns[0], batch.column(0).type), *(pa.array(c, t) for c, t in zip(columns[1:], (pa.int32(), pa.int64(), pa.int64(), pa.int64())))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            texts = batch.column(1).to_pylist()
+            for a, b in grouped(texts, group_chars):
+                at: list[int] = []
+                rows: list[tuple] = []
+                for i, ids in enumerate(coder.of(texts[a:b]), a):
+                    ids, start = ids + end, 0
+                    for k, n in enumerate(cut(len(ids) // 4, capacity)):
+                        at.append(i)
+                        rows.append((k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
+                        start += n
+                yield pa.record_batch([batch.column(0).take(pa.array(at)), *(pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int64())))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return run
 
@@ -107,9 +153,10 @@ def crossover(a: list[Bin], b: list[Bin], size, capacity: int, rng: Random) -> l
     return best_fit(displaced, size, capacity, [list(x) for x in injected] + [list(x) for x in kept[worst:]])
 
 
-def evolve(population: list[list[Bin]], size, capacity: int, rng: Random, generations: int) -> list[list[Bin]]:
-    """Steady state: two parents by tournament, their child replaces the worst. Best first."""
-    least = -(-sum(size) // capacity)
+def evolve(population: list[list[Bin]], size, capacity: int, rng: Random, generations: int) -> tuple[list[list[Bin]], int]:
+    """The population, best first, and the generations that it took. Steady state: two parents by tournament, their
+    child replaces the worst."""
+    least, ran = -(-sum(size) // capacity), 0
     scored = sorted(((fitness(p, size, capacity), k, p) for k, p in enumerate(population)), key=lambda x: x[:2])
     for g in range(generations):
         if scored[0][0][0] <= least:
@@ -118,7 +165,8 @@ def evolve(population: list[list[Bin]], size, capacity: int, rng: Random, genera
         child = crossover(pick(), pick(), size, capacity, rng)
         scored[-1] = (fitness(child, size, capacity), len(population) + g, child)
         scored.sort(key=lambda x: x[:2])
-    return [x[2] for x in scored]
+        ran += 1
+    return [x[2] for x in scored], ran
 
 
 def seeds(size, capacity: int, rng: Random, count: int) -> list[list[Bin]]:
@@ -133,60 +181,94 @@ def seeds(size, capacity: int, rng: Random, count: int) -> list[list[Bin]]:
     return out
 
 
-def _epoch(capacity: int, epoch: int, islands: int, generations: int):
+def _epoch(capacity: int, name: str, generations: int):
     """An island's rows hold its own pieces with the bins of its elite and of the elite that moved here (-1: none)."""
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("item", kind="stable")
-        size, rng = pdf["length"].tolist(), Random(f"{key[0]}/{key[1]}/{epoch}")
+        size, rng = pdf["length"].tolist(), Random(f"{key[0]}/{key[1]}/{name}")
         population = []
         for column in ("bin", "moved"):
             if pdf[column].iloc[0] >= 0:
-                grouped: dict[int, Bin] = {}
+                by_bin: dict[int, Bin] = {}
                 for i, b in enumerate(pdf[column].tolist()):
-                    grouped.setdefault(b, []).append(i)
-                population.append(list(grouped.values()))
-        if not population or len(population[0]) > -(-sum(size) // capacity):
+                    by_bin.setdefault(b, []).append(i)
+                population.append(list(by_bin.values()))
+        least = -(-sum(size) // capacity)
+        if not population or len(population[0]) > least:
             population += seeds(size, capacity, rng, 6)
-        best = evolve(population, size, capacity, rng, generations)[0]
+        (best, *_), ran = evolve(population, size, capacity, rng, generations)
         at = np.empty(len(size), "int64")
         for k, items in enumerate(best):
             at[items] = k
-        return pdf.assign(bin=at, moved=-1, bins=len(best))
+        return pdf.assign(bin=at, moved=-1, over=len(best) - least, generations=pdf["generations"] + ran)
 
     return run
 
 
-_ISLAND = "shard long, island int, item long, length long, bin long, moved long, bins long"
+_ISLAND = "shard long, island int, item long, length long, bin long, moved long, over long, generations long"
 
 
-def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = 4096, islands: int = 2, epochs: int = 2, generations: int = 12) -> DataFrame:
-    """pieces(item long, unique; length long) -> item, sequence_id, offset for pieces shorter than capacity."""
-    n = pieces.count()
-    shards = max(1, -(-n // shard_pieces))
-    state = pieces.select(F.pmod(F.xxhash64("item"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), "item", "length", F.lit(-1).cast("long").alias("bin"), F.lit(-1).cast("long").alias("moved"), F.lit(-1).cast("long").alias("bins"))
+def evolved(pieces: DataFrame, name: str, capacity: int, shards: int, islands: int, epochs: int, generations: int) -> DataFrame:
+    """item, length, shard, bin, generations: each shard's best packing, and the generations that its island ran."""
+    none = F.lit(-1).cast("long")
+    state = pieces.select(F.pmod(F.xxhash64("item", F.lit(name)), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), "item", "length", none.alias("bin"), none.alias("moved"), none.alias("over"), F.lit(0).cast("long").alias("generations"))
     for epoch in range(epochs):
+        before = state
         if epoch:  # each island's elite moves to the next island of its shard
             guests = state.select("shard", F.pmod(F.col("island") + 1, F.lit(islands)).cast("int").alias("island"), "item", F.col("bin").alias("moved"))
-            state = state.drop("moved").join(guests, ["shard", "island", "item"]).select(*state.columns)
-        state = write_table(state.groupBy("shard", "island").applyInPandas(_epoch(capacity, epoch, islands, generations), _ISLAND), "islands")
-    best = state.groupBy("shard").agg(F.min_by("island", F.struct("bins", "island")).alias("island"))
-    elite = state.join(best, ["shard", "island"])
-    from pyspark.sql import Window
-
-    inside = Window.partitionBy("shard", "bin").orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
-    return elite.select("item", (F.col("shard") * (1 << 32) + F.col("bin")).alias("sequence_id"), F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"))
-
-
-def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, special: tuple = (("<|endoftext|>", 50256),), end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+            state = state.drop("moved").join(guests, ["shard", "island", "item"]).select(*before.columns)
+        state = write_table(state.groupBy("shard", "island").applyInPandas(_epoch(capacity, f"{name}/{epoch}", generations), _ISLAND), "islands")
+        if epoch:
+            drop_table(before)
+        if state.groupBy("shard").agg(F.min("over").alias("over")).where("over > 0").isEmpty():
+            break
+    best = state.groupBy("shard").agg(F.min_by("island", F.struct("over", "island")).alias("island"))
+    return state.join(best, ["shard", "island"]).select("item", "length", "shard", "bin", "generations")
+
+
+def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = 4096, islands: int = 2, epochs: int = 3, generations: int = 12) -> DataFrame:
+    """pieces(item long, unique; length long) -> item, sequence_id, offset, generations for pieces shorter than
+    capacity. generations: those of the island that placed the piece."""
+    placed, level = [], 0
+    #: A bin is open below one of these fills: the first with which at most half of the pieces stay in play.
+    fills = [capacity, capacity - capacity // 256, capacity - capacity // 64, capacity - capacity // 16]
+    while True:
+        n = pieces.count()
+        shards = max(1, -(-n // shard_pieces))
+        found = write_table(evolved(pieces, str(level), capacity, shards, islands, epochs, generations), "packed")
+        number = F.lit(level << 56) + F.shiftleft("shard", 20) + F.col("bin")
+        found = found.withColumn("sequence_id", number)
+        filled = found.groupBy("sequence_id").agg(F.sum("length").alias("fill"), F.count("*").alias("items"))
+        open_below = None
+        if shards > 1 and level < 60:
+            counts = filled.agg(*(F.sum(F.when(F.col("fill") < f, F.col("items")).otherwise(0)).alias(f"below_{k}") for k, f in enumerate(fills))).first()
+            open_below = next((f for f, items in zip(fills, counts) if 0 < items <= n // 2), None)
+        if open_below is None:
+            placed.append(found)
+            break
+        marked = write_table(found.join(filled.select("sequence_id", "fill"), "sequence_id"), "levels")
+        placed.append(marked.where(F.col("fill") >= open_below).drop("fill"))
+        pieces = marked.where(F.col("fill") < open_below).select("item", "length")
+        level += 1
+    inside = Window.partitionBy("sequence_id").orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
+    every = placed[0]
+    for more in placed[1:]:
+        every = every.unionByName(more)
+    return every.select("item", "sequence_id", F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"), "generations")
+
+
+def pack_documents(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, generations (0 for pieces
+    that fill a sequence). path: a tokenizer file that every executor has."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cut_up = rows.mapInArrow(_pieces(ranks_path, pattern, special, end_id, capacity), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    cut_up = rows.mapInArrow(_pieces(path, end_id, capacity), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
     # the item numbers of the written table hold from then on
     pieces = write_table(cut_up.withColumn("item", F.monotonically_increasing_id()), "pieces")
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    whole = pieces.where(F.col("length") == capacity).select(*columns, (-1 - F.col("item")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    none = F.lit(0).cast("long")
+    whole = pieces.where(F.col("length") == capacity).select(*columns, (-1 - F.col("item")).alias("sequence_id"), none.alias("offset"), none.alias("generations"))
     rest = pieces.where(F.col("length") < capacity)
     placed = rest.join(pack(rest.select("item", "length"), capacity, **options), "item")
-    return whole.unionByName(placed.select(*columns, "sequence_id", "offset"))
+    return whole.unionByName(placed.select(*columns, "sequence_id", "offset", "generations"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallybrook.llm import chat_views, exact_dedup, lang_id, near_dedup, packing, sentence_pieces, token_counts, topk, toxicity, url_filters
 from tallybrook.llm.common import read
 
-TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +21,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabularies.path(RANKS), vocabularies.PATTERN)
+    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabularies.path(TOKENIZER))
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ transitions of a text is its token count. Two machines are composed:
 * the pre-token rules (contractions, letter, number and other runs with one leading space, white space whose last
   character goes with what follows) are an automaton over character classes whose states hold the states above.
 
-Where white space follows something else, and behind a special string, every state behaves as the start state; texts
-up to chunk_chars run from there in one go. Longer ones are cut into chunks, at such places where there are any. A chunk
+Where white space or another kind of character follows a run, and behind a special string, every state behaves as the
+start state; texts up to chunk_chars run from there in one go, parts between such places counted once. Longer ones are cut into chunks, at such places where there are any. A chunk
 acts as a map from incoming states to (outgoing state, count). Its first entry is for the start state, or, where the cut
 is at no such place, for the state that the characters before it lead to, which most texts agree on soon; then entries
 are added, in rounds over all chunks at once, for every state that the chunk before may end in, until no state is
@@ -39,8 +39,8 @@ from tallybrook.llm.common import Memo, write_table
 
 #: Unicode's White_Space, as a character class of re.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: White space with what follows up to the next white space; the start state holds before each.
-SEGMENT = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+\Z")
+#: Characters that are surely letters, beside others that may be.
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 _IS_SPACE, _HAS_SPACE = re.compile(rf"[{SPACE}]").fullmatch, re.compile(rf"[{SPACE}]").search
 #: Up to the last such place.
 LAST_RESET = re.compile(rf"(?s).*[^{SPACE}](?=[{SPACE}])")
@@ -128,6 +128,7 @@ class TextMachine:
     def __init__(self, words: WordMachine, special: list[str], most_states: int = 300_000):
         self.words, self.most = words, most_states
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.segments = segment_pattern(special).findall
         self.longest = max(map(len, special), default=0)
         self.classes = Memo(self._class_of)
         self.reset()
@@ -230,6 +231,15 @@ class TextMachine:
         return self._number(tuple(self.words.number_of(x) if i in at else x for i, x in enumerate(key)))
 
 
+def segment_pattern(special: list[str]) -> re.Pattern:
+    """Parts of a text, before each of which every state behaves as the start state: runs of letters, digits or marks
+    with the white space before them, where what follows surely is of another kind; else all up to white space. Marks
+    of special strings never end a part."""
+    marks = re.escape("".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'" and not any(c in x for x in special)))
+    runs = rf"(?:'?[{LATIN}]++|[0-9]++)(?=[{LATIN}0-9'{marks}{SPACE}]|\Z)|[{marks}]++(?=[{LATIN}0-9{SPACE}]|\Z)"
+    return re.compile(rf"[{SPACE}]*+(?:{runs}|[^{SPACE}]++)|[{SPACE}]++\Z")
+
+
 @lru_cache(maxsize=2)
 def machine(path: str) -> TextMachine:
     """Compiles the rules of a byte-level BPE in a tokenizer file; further states come as texts reach them."""
@@ -272,7 +282,7 @@ def chunk_from(rules: TextMachine, memo: Memo, chunk: str, state: str) -> tuple[
     and last reset counts by segments."""
     if len(rules.keys) > rules.most:
         rules.reset()
-    parts = SEGMENT.findall(chunk)
+    parts = rules.segments(chunk)
     at, total = rules.run(parts[0] if parts else "", rules.known(state))
     if len(parts) > 1:
         total += sum(map(memo.__getitem__, parts[1:-1]))
@@ -283,9 +293,9 @@ def chunk_from(rules: TextMachine, memo: Memo, chunk: str, state: str) -> tuple[
 
 def _whole(path: str):
     def run(batches):
-        memo = segment_counts(path)
+        memo, segments = segment_counts(path), machine(path).segments
         for batch in batches:
-            totals = [sum(map(memo.__getitem__, SEGMENT.findall(t))) for t in batch.column(2).to_pylist()]
+            totals = [sum(map(memo.__getitem__, segments(t))) for t in batch.column(2).to_pylist()]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(totals, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     return run
