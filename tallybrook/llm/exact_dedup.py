@@ -7,8 +7,9 @@ is treated likewise, one level deeper. The table's classes are then joined to th
 digest with very many rows among tasks.
 
 Defined results: a null text counts as empty; all empty texts form one group; null ids lose against any id, and a group
-of null ids only keeps null; rows that repeat the kept row's id and text are the kept row (all flagged kept); an
-empty table gives an empty result; further columns don't matter.
+of null ids only keeps null; rows that repeat the kept row's id and text are the kept row (all flagged kept); a
+very long text may outgrow a task's memory bound by itself only; an empty table gives an empty result; further columns
+don't matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -153,15 +154,16 @@ def _bucket(budget: int):
     return run
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", memory_bytes: int = 48 << 20) -> DataFrame:
-    """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", memory_bytes: int = 48 << 20, row_col: str | None = None) -> DataFrame:
+    """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256, and row_col if there is one.
 
     Texts are equal when they are identical; the row with the largest id of a group stays. memory_bytes bounds the
     distinct contents that a task holds before it emits (map side) or spills (reduce side).
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("content"))
-    parts = rows.mapInArrow(_combine(memory_bytes // 2), "digest binary, content binary, n long, top long")
+    number = [row_col] if row_col else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("content"), *number)
+    parts = rows.select("doc_id", "content").mapInArrow(_combine(memory_bytes // 2), "digest binary, content binary, n long, top long")
     classes = parts.repartition("digest").select("content", "n", "top").mapInArrow(_bucket(memory_bytes), "digest binary, n long, top long")
     classes = classes.select("digest", F.col("n").alias("group_size"), F.when(F.col("top") != NONE, F.col("top")).alias("keep_id"))
-    members = rows.select("doc_id", F.unhex(F.sha2("content", 256)).alias("digest"))
-    return members.join(classes, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    members = rows.select("doc_id", *number, F.unhex(F.sha2("content", 256)).alias("digest"))
+    return members.join(classes, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), *number)

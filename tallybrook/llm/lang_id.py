@@ -4,22 +4,25 @@ Every language has a codeword of bits; one binary classifier per bit scores hash
 text (whole text, in blocks). Decoding adds each bit's logistic loss against each codeword and takes the language of
 least loss; a small gap to the runner-up marks the document as ambiguous.
 
-The classifiers are fitted on a bounded sample of labelled training rows (`sample_rows`): each language's mean n-gram
-distribution gives each bit's log odds between the languages that have the bit and those that don't, scaled so that the
+The classifiers are fitted on a bounded sample of labelled training rows (`sample_rows`, shared out evenly among the
+languages, so that rare ones stay in) of at most `max_languages` languages, the most frequent ones: each language's mean
+n-gram distribution gives each bit's log odds between the languages that have the bit and those that don't, scaled so that the
 two sides' own expectations are +1 and -1.
 
-Defined results: null texts and texts without a letter are `und` with score 0; rows without a language don't train; no
-training rows: every text is `und`; repeated rows each give a row; an empty table gives an empty result.
+Defined results: null texts and texts without a letter are `und` with score 0; a very long text counts in blocks, whole;
+equal losses go to the language that sorts first, and equally frequent languages likewise; rows without a language don't
+train; no training rows: every text is `und`; repeated rows each give a row; an empty table gives an empty result;
+further columns stay, but for those under the names of the results.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +31,7 @@ from tallybrook.llm.common import fold
 BITS = 15
 DIM = 1 << BITS
 BLOCK = 1 << 16
-LETTER = re.compile(r"[^\W\d_]").search
+LETTER = regex.compile(r"\p{L}").search
 #: ASCII other than letters becomes a space; everything else stays.
 _TABLE = np.array([b if b > 127 or chr(b).isalpha() else 32 for b in range(256)], dtype="u4")
 
@@ -102,37 +105,45 @@ def _histograms(pdfs):
         yield pd.DataFrame({"lang": list(sums), "h": [v.tolist() for v in sums.values()]})
 
 
-def train(docs: DataFrame, training: Column, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", sample_rows: int = 20_000, parts: int = 8) -> Model:
-    """Fits on a sample of about sample_rows rows, chosen by a hash of the id, of those where `training` holds."""
+def train(docs: DataFrame, training: Column, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", sample_rows: int = 20_000, max_languages: int = 500, parts: int = 8) -> Model:
+    """Fits on a sample of about sample_rows rows of those where `training` holds, chosen by a hash of id and text."""
     rows = docs.where(training & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(key_col).alias("key"))
-    n = rows.select("key").count()
-    if n > sample_rows:
-        rows = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(sample_rows / n * (1 << 30)))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    left, rates = sample_rows, []
+    for k, r in enumerate(reversed(counts)):  # what a rare language leaves of its share goes to the others
+        share = min(r["n"], left / (len(counts) - k))
+        left -= share
+        rates.append((r["lang"], int(share / r["n"] * (1 << 30))))
+    rate = docs.sparkSession.createDataFrame(rates, f"lang {docs.schema[lang_col].dataType.simpleString()}, rate long")
+    rows = rows.join(F.broadcast(rate), "lang").where(F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30)) < F.col("rate"))
     found: dict[str, np.ndarray] = {}
-    for r in rows.repartition(parts).mapInPandas(_histograms, "lang string, h array<double>").toLocalIterator():
+    for r in rows.select("text", F.col("lang").cast("string").alias("lang")).repartition(parts).mapInPandas(_histograms, "lang string, h array<double>").toLocalIterator():
         found[r["lang"]] = found.get(r["lang"], 0) + np.array(r["h"])
     languages = sorted(found)
     return Model(languages, np.array([found[x] for x in languages]).reshape(len(languages), DIM))
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", gap: float = 0.5) -> DataFrame:
-    """docs with lang_pred, score and ambiguous (the runner-up's loss is within `gap`) in place of columns of those names."""
-    docs = docs.drop("lang_pred", "score", "ambiguous")
+def predict(docs: DataFrame, model: Model, text_col: str = "text", gap: float = 0.5, names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """docs with lang_pred, score and ambiguous (the runner-up's loss is within `gap`), or under other names, in place of
+    columns of those names."""
+    docs = docs.drop(*(n for n in names if n != text_col))
+    at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
             out = []
-            for text in batch.column(batch.schema.get_field_index("__text")).to_pylist():
+            for text in batch.column(at):
+                text = text.as_py()
                 if not text or not model.languages or not LETTER(text):
                     out.append(("und", 0.0, False))
                 else:
                     lang, score, between = model.decode(model.margins(text))
                     out.append((lang, score, between < gap))
-            names, scores, flags = zip(*out) if out else ((), (), ())
-            yield pa.record_batch([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(flags, pa.bool_())], names=[*batch.schema.names[:-1], "lang_pred", "score", "ambiguous"])
+            langs, scores, flags = zip(*out) if out else ((), (), ())
+            yield pa.record_batch([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(flags, pa.bool_())], names=[*batch.schema.names, *names])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.withColumn("__text", F.col(text_col)).mapInArrow(run, f"{schema}, lang_pred string, score double, ambiguous boolean")
+    return docs.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` boolean")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

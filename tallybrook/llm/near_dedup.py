@@ -250,14 +250,17 @@ def _across(similarity: float, maybe: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, maybe: float = 0.6, block: int = 1000, block_elements: int = 1_000_000, broadcast_rows: int = 500_000) -> DataFrame:
-    """One row for each row of docs: doc_id, class_id (smallest id of the class), class_size, kept (the id names the class).
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, maybe: float = 0.6, block: int = 1000, block_elements: int = 1_000_000, broadcast_rows: int = 500_000, row_col: str | None = None) -> DataFrame:
+    """One row for each row of docs: doc_id, class_id (smallest id of the class), class_size, kept (the id names the
+    class); with row_col, a unique number of each row, also that number and stays (true for one row of each class, of
+    the id that names it).
 
     maybe: pairs whose signatures agree in a smaller share of components aren't verified (at 0.8, almost five standard
     deviations below). block, block_elements: about how many nodes and shingles a task holds of either side.
     broadcast_rows: with more candidates than that, their texts are found by a shuffled join.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), (F.col(row_col).cast("long") if row_col else F.xxhash64(F.col(id_col).cast("long"), text)).alias("row"))
     signed = write_table(rows.select("doc_id", "row", "text").mapInArrow(_sign, "doc_id long, row long, node binary, n long, sig array<int>, bands array<long>"), "signed")
     # one row stands for the rows of equal multisets
     nodes = write_table(signed.where("n > 0").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
@@ -306,8 +309,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = write_table(meeting.groupBy("bucket", "i", "j").applyInPandas(_across(similarity, maybe), "a binary, b binary"), "more")
     labels = components(links.unionByName(more))
     # a row per node, then per class; the rows of one text, and the texts of one class, may be a large share of all
-    held = signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "least", "rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("gone"), "doc_id", "row")).alias("first")
+    held = signed.groupBy("node").agg(first, F.count("*").alias("rows")).join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "first", "rows")
     held = write_table(held, "held")
-    named = held.groupBy("label").agg(F.min("least").alias("class_id"), F.sum("rows").alias("class_size"))
-    facts_of = write_table(spread_join(held, named, "label").select("node", "class_id", "class_size"), "classes")
-    return spread_join(signed.select("doc_id", "node"), facts_of, "node").select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    named = held.groupBy("label").agg(F.min("first").alias("first"), F.sum("rows").alias("class_size"))
+    of_node = write_table(spread_join(held.select("node", "label"), named, "label").select("node", "first", "class_size"), "classes")
+    out = spread_join(signed.select("doc_id", "row", "node"), of_node, "node")
+    number = [F.col("row").alias(row_col), (F.col("row") == F.col("first.row")).alias("stays")] if row_col else []
+    return out.select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size", F.col("doc_id").eqNullSafe(F.col("first.doc_id")).alias("kept"), *number)

@@ -267,17 +267,18 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return float(w[0]), float(w[1])
 
 
-def predict(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFrame:
-    """docs with score and predicted (1 if score >= 0.5) in place of columns of those names."""
-    docs = docs.drop("score", "predicted")
+def predict(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """docs with score and predicted (1 if score >= 0.5), or under other names, in place of columns of those names."""
+    docs = docs.drop(*(n for n in names if n != text_col))
+    at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            scores = pa.array([lexicon.score(t) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.float64())
-            yield pa.record_batch([*(batch.column(i) for i in range(batch.num_columns - 1)), scores], names=[*batch.schema.names[:-1], "score"])
+            scores = pa.array([lexicon.score(t.as_py()) for t in batch.column(at)], pa.float64())
+            yield pa.record_batch([*batch.columns, scores], names=[*batch.schema.names, names[0]])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.withColumn("__text", F.col(text_col)).mapInArrow(run, f"{schema}, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return docs.mapInArrow(run, f"{schema}, `{names[0]}` double").withColumn(names[1], (F.col(f"`{names[0]}`") >= 0.5).cast("int"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -27,6 +27,28 @@ def test_held_out_languages_are_found(spark):
     assert np.mean([a == b for a, b in held]) > 0.97
 
 
+def test_languages_of_held_out_documents(spark):
+    """On the driver's documents, which texts never see their own label."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    found = lang_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null and lang_pred != 'und'")
+    right, n = found.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert n > 2000 and right >= 0.98 * n
+
+
+def test_rare_languages_stay_in_the_sample(spark):
+    rng = random.Random(17)
+    rows = [(i, prose(rng, "aa", 5), "aa") for i in range(3000)] + [(3000 + i, prose(rng, "bb", 5), "bb") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert lang_id.train(docs, F.lit(True), sample_rows=60).languages == ["aa", "bb"]
+    assert lang_id.train(docs, F.lit(True), max_languages=1).languages == ["aa"]
+
+
+def test_ties_numbers_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "ka lo", "aa", "x", "y"), (2, "½ ² 12", "aa", "x", "y")], "doc_id long, text string, lang string, lang_pred string, __text string")
+    got = {r["doc_id"]: r for r in lang_id.predict(docs, lang_id.Model(["b", "a"][::-1], np.ones((2, lang_id.DIM)))).collect()}
+    assert [got[i]["lang_pred"] for i in (1, 2)] == ["a", "und"] and got[1]["__text"] == "y" and got[1]["ambiguous"]
+
+
 def test_codewords_differ_in_many_bits():
     for n in (2, 3, 4, 6, 7, 20):
         code = lang_id.codewords(n)

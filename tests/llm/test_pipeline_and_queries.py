@@ -74,3 +74,32 @@ def test_stages_on_no_documents(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0
+
+
+def test_no_language_and_no_label_lose_nothing(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "some words here", None), (2, "a b", None), (3, "...", None), (4, None, None)], "doc_id long, text string, lang string")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert {r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, "").collect()} == {1, 2}
+    assert corpus_pipeline.civil(spark, docs, str(tmp_path)).count() == 4
+
+
+def test_predicted_language_decides(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = corpus_pipeline.known_language(spark, docs, sf_dir, ["de", "fr"]).where("lang is not null")
+    assert kept.where("lang in ('de', 'fr')").count() >= 0.95 * kept.count() > 0
+
+
+def test_stages_keep_columns_of_any_name_and_one_row_of_each_group(spark, sf_dir):
+    names = ["kept_id", "__text", "score", "predicted", "lang_pred", "ambiguous", "row_number", "kept", "node", "row", "class_id", "label", "piece", "item"]
+    docs = spark.createDataFrame([(5, "one two three four five six", "en", *names)] * 3 + [(5, "other words", "en", *names), (None, "other words", "en", *names), (7, "One two  three four, five six", "en", *names), (8, "one two three four five six", "en", *names)], "doc_id long, text string, lang string, " + ", ".join(f"{n} string" for n in names))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.columns == columns
+        assert all(list(r)[3:] == names for r in docs.collect())
+        if name == "exact_dedup":
+            assert sorted((r["doc_id"], r["text"][:5]) for r in docs.collect()) == [(5, "other"), (7, "One t"), (8, "one t")]
+    assert sorted((r["doc_id"], r["text"][:5]) for r in docs.collect()) == [(5, "other"), (7, "One t")]
+    assert corpus_pipeline.packed(spark, docs, sf_dir).count() == 2
+    repeated = spark.createDataFrame([(3, "a b c d e f g"), (3, "A b c d e f g"), (3, "a b c d e f g"), (4, "a b c d e f g"), (3, "x")], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.one_of_similar(spark, repeated, sf_dir).collect()) == [3, 3]
