@@ -1,4 +1,11 @@
-"""The corpus pipeline: language ID, toxicity, exact dedup, near-dedup and packing, each on what the stage before kept."""
+"""The corpus pipeline: language ID, toxicity, exact dedup, near-dedup and packing, each on what the stage before kept.
+
+Defined results: a null or empty text, and one without a letter, goes at the first stage; where no row tells a language,
+all others stay there, and where no row is labelled, all stay at the second; very long texts pass every stage whole; of
+rows that repeat, or of ids that do, exactly one row of each group of equal or similar texts stays; ties go by doc_id,
+then by the order of the rows; an empty table gives an empty result; all columns of the documents stay as they are,
+whatever their names, until packing.
+"""
 
 from __future__ import annotations
 
@@ -11,33 +18,55 @@ from tallybrook.llm import lang_id, near_dedup, packing, toxicity
 from tallybrook.llm.common import read, write_table
 
 
-def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter. The model learns from the rows of docs that op1 learns from."""
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: list[str] | None = None) -> DataFrame:
+    """Keeps documents whose predicted language is one of `languages` (by default of those learned), so none without a
+    letter. The model learns from the rows of docs that op1 learns from; without any, the letter alone decides."""
     model = lang_id.train(docs, ~lang_id.held_out())
-    return lang_id.predict(docs, model).where("lang_pred != 'und'").select(*docs.columns)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    names = tuple(fresh(docs, n) for n in ("lang_pred", "lang_score", "ambiguous"))
+    found = lang_id.predict(docs, model, names=names)
+    return found.where(F.col(names[0]).isin(languages or model.languages)).select(*docs.columns)
 
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that are predicted toxic. The lexicon learns from the rows of docs that op2 learns from."""
     lexicon = toxicity.train(docs, read(spark, sf_dir, "labels"), ~toxicity.held_out())
-    return toxicity.predict(docs, lexicon).where("predicted = 0").select(*docs.columns)
+    names = tuple(fresh(docs, n) for n in ("toxic_score", "toxic_pred"))
+    return toxicity.predict(docs, lexicon, names=names).where(F.col(names[1]) == 0).select(*docs.columns)
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a number for each row, written, so that the numbers hold; and that column's name."""
+    number = fresh(docs, "row_number")
+    return write_table(docs.withColumn(number, F.monotonically_increasing_id()), "numbered"), number
 
 
 def one_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of identical texts, the row with the largest id."""
-    kept = exact.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*docs.columns)
+    """Keeps, of identical texts, one row with the largest id."""
+    rows, number = numbered(docs)
+    kept = exact.exact_dedup(rows, row_col=number).where("kept").groupBy("text_sha256").agg(F.min(number).alias(number))
+    return rows.join(kept.select(number), number, "left_semi").select(*docs.columns)
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of each near-duplicate class, the row with the smallest id."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*docs.columns)
+    """Keeps, of each near-duplicate class, one row with the smallest id."""
+    rows, number = numbered(docs)
+    kept = near_dedup.near_duplicates(rows, row_col=number).where("stays")
+    return rows.join(kept.select(number), number, "left_semi").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return packing.pack_documents(docs, vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN)
+    """Pieces of token sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset, generations."""
+    return packing.pack_documents(docs, vocabularies.path("byte_bpe_50k.json"))
 
 
 STAGES = [("language_id", known_language), ("toxicity", civil), ("exact_dedup", one_of_equals), ("near_dedup", one_of_similar), ("packing", packed)]
