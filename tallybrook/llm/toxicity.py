@@ -9,8 +9,10 @@ the sample gives its term with that many edits; where such words turn up in clea
 void and a word goes to the next term that it fits, which is weighed anew. A hit scores far less if it stands between quotation marks, more with further hits in its window of words. A
 logistic curve fitted on the same sample turns the sum into a probability.
 
-Defined results: null and empty texts have no hits and get the score of a text without hits; no labelled rows: score 0
-for all; repeated rows each give a row; an empty table gives an empty result.
+Defined results: null and empty texts have no hits and get the score of a text without hits; very long texts count whole;
+of terms that a word fits with equally few edits, the heavier and then the smaller one counts, and of several labels of
+an id the largest; no labelled rows: score 0 for all; repeated rows each give a row; an empty table gives an empty
+result; further columns stay, but for those under the names of the results.
 """
 
 from __future__ import annotations
@@ -198,9 +200,10 @@ def _lean(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> tuple[Col
     return 2 * (part(toxic, share) + part(clean, 1 - share)), F.log((toxic + 0.5) / (n_toxic + 1)) - F.log((clean + 0.5) / (n_clean + 1))
 
 
-def train(docs: DataFrame, labels: DataFrame, training: Column, sample_rows: int = 20_000, max_terms: int = 3000, min_ratio: float = 24.0) -> Lexicon:
+def train(docs: DataFrame, labels: DataFrame, training: Column, sample_rows: int = 20_000, min_ratio: float = 24.0) -> Lexicon:
     """docs(doc_id, text), labels(doc_id, toxic); `training` is a condition on doc_id. Fits on a sample of about
-    sample_rows labelled rows, chosen by a hash of the id; keeps the max_terms terms that lean the most."""
+    sample_rows labelled rows, chosen by a hash of the id, which bounds the terms too: each stands in four toxic rows of
+    the sample at least and leans as strongly as min_ratio, a log-likelihood ratio, says."""
     known = labels.where(training & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = known.count()
     if n > sample_rows:
@@ -223,12 +226,11 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample_rows: int
     held = "array_distinct(flatten(transform(words, w -> transform(filter(array(4, 5, 6), k -> k <= length(w)), k -> substring(w, 1, k)))))"
     by_doc = counted(words.select("toxic", F.explode(F.expr(held)).alias("term"))).where(clear).select("term")
     strong = lambda df, precise: df.where((F.col("toxic") >= precise * (F.col("toxic") + F.col("clean"))) & (ratio >= min_ratio)).select("term", ratio.alias("ratio"), odds.alias("odds"), "kinds")
-    best = lambda df: df.orderBy(F.desc("ratio"), "term").limit(max_terms).collect()
     opened: dict[str, tuple[float, bool]] = {}
-    for r in sorted(best(strong(starts.where("kinds >= 6"), 0.85).join(by_doc, "term", "left_semi")), key=lambda r: (len(r["term"]), r["term"])):
+    for r in sorted(strong(starts.where("kinds >= 6"), 0.85).join(by_doc, "term", "left_semi").collect(), key=lambda r: (len(r["term"]), r["term"])):
         if not any(r["term"].startswith(x.removesuffix(ANY)) for x in opened):
             opened[r["term"] + ANY] = (r["odds"], True)
-    terms = {r["term"]: (r["odds"], False) for r in best(strong(by_word.where("toxic >= 4"), 0.8))}
+    terms = {r["term"]: (r["odds"], False) for r in strong(by_word.where("toxic >= 4"), 0.8).collect()}
     lexicon = Lexicon(terms | opened)
 
     def seen_hits(pdfs):

@@ -8,7 +8,9 @@ however small both are (ranks below the smallest double are 0, some 4,000 links
 those of href and src attributes with a host of their own, counted per pair of hosts before anything is shuffled.
 
 Defined results: a null url or one without `://` has an empty host and path, no rule and the verdict allow; null html
-has no links; repeated rows each give a row and count as pages; an empty table gives an empty result.
+has no links; very long html is searched whole; of equally long rules that fit, the one that sorts first wins; where
+trust equals distrust, a host is allowed; repeated rows each give a row and count as pages; an empty table gives an
+empty result; further columns don't matter, whatever their names.
 """
 
 from __future__ import annotations

@@ -147,6 +147,38 @@ def test_terms_stay_beside_an_open_beginning_and_void_ones_give_way(spark):
     assert toxicity.Automaton(toxicity.Trie(terms, {("lose*", 0)})).match("losser") == ("loser", 1)
 
 
+def plain_score(lexicon, text):
+    """The score by comparing every word with every term."""
+    words = [(m.group(), *m.span()) for m in toxicity.WORD.finditer(text.lower())]
+    found = []
+    for i, (word, a, b) in enumerate(words):
+        fits = []
+        for (term, k), weight in lexicon.weights.items():
+            is_open = lexicon.terms[term][1]
+            near = min((distance(word[:n], term.removesuffix("*")) for n in range(len(word) + 1)), default=9) if is_open else distance(word, term)
+            if weight > 0 and near == k:
+                fits.append((k, -lexicon.terms[term][0], term))
+        if fits:
+            k, _, term = min(fits)
+            line_start, line_end = text.rfind("\n", 0, a) + 1, text.find("\n", b) if "\n" in text[b:] else len(text)
+            before, after = text[max(line_start, a - 80) : a], text[b : min(line_end, b + 80)]
+            quoted = sum(c in toxicity.QUOTES for c in before) % 2 == 1 and any(c in toxicity.QUOTES for c in after)
+            found.append((i, lexicon.weights[term, k] * (0.25 if quoted else 1)))
+    total = sum(w * (1 + 0.2 * sum(0 <= m < len(found) and abs(found[m][0] - i) <= 12 for m in (n - 1, n + 1))) for n, (i, w) in enumerate(found))
+    return 1 / (1 + np.exp(-(lexicon.slope * np.log1p(total) + lexicon.offset)))
+
+
+def test_scores_match_brute_force(spark):
+    rng = random.Random(18)
+    rows, labels = labelled(rng)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lexicon = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    odd = ["stupidest", "stupidst", "sstupidest", "morronic", "wrthless", "worthles", '"moronic"', "«", "»", '"', "\n", "moron", "worthlessness"]
+    texts = [" ".join(rng.choice(odd) if rng.random() < 0.4 else rng.choice(["ka", "lo", "mitar"]) for _ in range(rng.randint(1, 60))) for _ in range(150)] + ["", "ka"]
+    got = toxicity.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), lexicon).collect()
+    assert {r["doc_id"]: r["score"] for r in got} == pytest.approx({i: plain_score(lexicon, t) for i, t in enumerate(texts)})
+
+
 def test_no_labels_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "text")], "doc_id long, text string")
     marks = spark.createDataFrame([], "doc_id long, toxic int")

@@ -66,7 +66,7 @@ def test_toxic_documents_go_and_clean_ones_stay(spark):
     marks = [(r["doc_id"], r["toxic"]) for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
     clean, toxic = ([i for i, y in marks if y == k] for k in (0, 1))
     assert sum(i in kept for i in clean) >= 0.98 * len(clean)
-    assert sum(i not in kept for i in toxic) >= 0.8 * len(toxic)
+    assert sum(i not in kept for i in toxic) >= 0.9 * len(toxic)
 
 
 def test_stages_on_no_documents(spark, sf_dir):
