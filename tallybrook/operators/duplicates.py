@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybrook.tables import numbered
+
+# What is advised about a group.
+KEEP, REVIEW = "保留一笔", "人工复核"
 DUPLICATE_KEYS = ["own_account", "txn_time", "income", "expense", "balance", "opp_name"]
 FINGERPRINT = ["txn_time", "income", "expense", "balance", "opp_name"]
 
 
-def numbered(groups: DataFrame, order: list[Column], pattern: str) -> DataFrame:
-    """group_id by rank of the order. Only the groups found are ranked, and they are few against the ledger."""
-    return groups.withColumn("group_id", F.format_string(pattern, F.row_number().over(Window.orderBy(*order))))
+def named(groups: DataFrame, order: list[Column], pattern: str) -> DataFrame:
+    """group_id by rank of the order."""
+    return numbered(groups, order, "_rank").withColumn("group_id", F.format_string(pattern, "_rank")).drop("_rank")
 
 
 def joined_ids(column: str = "txn_id") -> Column:
@@ -24,14 +28,14 @@ def duplicate_groups(ledger: DataFrame, keys: list[str] | None = None) -> DataFr
     keys = keys or DUPLICATE_KEYS
     groups = ledger.groupBy(*keys).agg(F.count("*").alias("size"), F.count_distinct("source_file").alias("files"), joined_ids().alias("txn_ids"), F.array_join(F.sort_array(F.collect_set("source_file")), ",").alias("source_files"))
     sure = (F.col("files") > 1) & F.col("balance").isNotNull()
-    found = groups.where("size >= 2").select(*keys, "size", "files", "txn_ids", "source_files", F.when(sure, 0.9).otherwise(0.5).alias("confidence"), F.when(sure, "confirm and keep one").otherwise("review").alias("action"))
-    return numbered(found, [F.asc_nulls_first(k) for k in keys], "DUP-%04d")
+    found = groups.where("size >= 2").select(*keys, "size", "files", "txn_ids", "source_files", F.when(sure, 0.9).otherwise(0.5).alias("confidence"), F.when(sure, KEEP).otherwise(REVIEW).alias("action"))
+    return named(found, [F.asc_nulls_first(k) for k in keys], "DUP-%04d")
 
 
 def cross_customer_fingerprints(ledger: DataFrame, limit: int | None = None) -> DataFrame:
     """Groups of rows of several customers that agree in time, amounts, balance and counterparty."""
     groups = ledger.where(F.col("txn_time").isNotNull()).groupBy(*FINGERPRINT).agg(F.count("*").alias("size"), F.count_distinct("customer_id").alias("customers"), F.array_join(F.sort_array(F.collect_set("customer_id")), ",").alias("customer_ids"), joined_ids().alias("txn_ids"))
-    found = numbered(groups.where("customers > 1").withColumn("confidence", F.lit(0.6)), [F.asc_nulls_first(k) for k in FINGERPRINT], "XDUP-%04d")
+    found = named(groups.where("customers > 1").withColumn("confidence", F.lit(0.6)), [F.asc_nulls_first(k) for k in FINGERPRINT], "XDUP-%04d")
     return found if limit is None else found.orderBy("group_id").limit(limit)
 
 

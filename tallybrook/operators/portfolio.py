@@ -43,6 +43,11 @@ def daily_total(daily: DataFrame, by: list[str] | None = None) -> DataFrame:
     return daily.groupBy(*(by or []), "day").agg(F.bround(F.sum("balance"), 2).alias("total"))
 
 
+def daily_with_total(daily: DataFrame) -> DataFrame:
+    """day, acct, balance, total: the panel in long form; a sink may pivot it."""
+    return daily.join(daily_total(daily), "day").select("day", "acct", F.bround("balance", 2).alias("balance"), "total")
+
+
 def daily_wide(daily: DataFrame, accounts: list[str] | None = None) -> DataFrame:
     """A column per account, and the total; for few accounts."""
     wide = daily.groupBy("day").pivot("acct", accounts).agg(F.bround(F.first("balance"), 2)) if accounts else daily.groupBy("day").pivot("acct").agg(F.bround(F.first("balance"), 2))

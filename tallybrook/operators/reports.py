@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions.money import quality_score
+from tallybrook.operators.duplicates import REVIEW
+from tallybrook.tables import numbered
 
 KINDS = {"余额断裂": "中", "疑似重复": "中", "共用账户": "高", "重复提交": "中", "标签待复核": "低"}
 
@@ -17,21 +19,21 @@ def _items(df: DataFrame, kind: str, subject, detail, evidence) -> DataFrame:
 
 
 def review_items(checks: DataFrame | None = None, duplicates: DataFrame | None = None, shared: DataFrame | None = None, resubmitted: DataFrame | None = None, tagged: DataFrame | None = None, tag_limit: int = 50) -> DataFrame:
-    """One list of all kinds, numbered RV-001 on by kind and subject."""
+    """One list of all kinds, numbered RV-001 on by kind and subject. Duplicates that are sure need no review."""
     parts = []
     if checks is not None:
         parts.append(_items(checks.where(F.col("status") == "预警"), "余额断裂", F.col("own_account"), F.concat(F.col("breaks").cast("string"), F.lit(" breaks")), F.col("example_ids")))
     if duplicates is not None:
-        parts.append(_items(duplicates, "疑似重复", F.col("group_id"), F.concat(F.col("size").cast("string"), F.lit(" rows")), F.col("txn_ids")))
+        parts.append(_items(duplicates.where(F.col("action") == REVIEW), "疑似重复", F.col("group_id"), F.concat(F.col("size").cast("string"), F.lit(" rows")), F.col("txn_ids")))
     if shared is not None:
         parts.append(_items(shared, "共用账户", F.col("own_account"), F.col("customer_ids"), F.col("example_ids")))
     if resubmitted is not None:
         parts.append(_items(resubmitted, "重复提交", F.col("group_id"), F.col("customer_ids"), F.col("txn_ids")))
     if tagged is not None:
         open_rows = tagged.where(F.col("rule_id").isNull()).orderBy("seq").limit(tag_limit)
-        parts.append(_items(open_rows, "标签待复核", F.col("txn_id"), F.col("label_1"), F.col("txn_id")))
+        parts.append(_items(open_rows, "标签待复核", F.col("txn_id"), F.col("label_3"), F.col("txn_id")))
     every = reduce(DataFrame.unionByName, parts)
-    return every.withColumn("item_id", F.format_string("RV-%03d", F.row_number().over(Window.orderBy("kind", "subject"))))
+    return numbered(every, [F.col("kind"), F.col("subject")], "_rank").withColumn("item_id", F.format_string("RV-%03d", "_rank")).drop("_rank")
 
 
 def quality(checks: DataFrame, duplicates: DataFrame, issues: int = 0) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.money import IN, OUT, priority
+from tallybrook.tables import numbered
 
 # How the lexicon names fields, texts that are no keyword or label, and the inline rules.
 FIELDS = {"摘要或备注": "摘要或备注", "对方户名": "对手名称", "摘要": "银行备注"}
@@ -53,15 +54,15 @@ def compile_rules(dimension: DataFrame, lexicon: DataFrame) -> DataFrame:
     known = raw.join(dimension, "label_3").withColumn("priority", F.when(F.col("direction") == IN, F.col("for_income")).otherwise(F.col("for_expense")))
     key = ["direction", "scope", "keyword", "excludes", "opp_any", "label_3"]
     first = known.groupBy(*key).agg(F.min_by(F.struct("label_1", "label_2", "priority", "remark", "ord"), "ord").alias("r")).select(*key, "r.*")
-    seq = F.row_number().over(Window.orderBy(F.desc("priority"), "label_1", "label_3", "ord"))
-    return first.withColumn("rule_seq", seq.cast("long")).withColumn("rule_id", F.format_string("R%04d", "rule_seq")).drop("ord")
+    return numbered(first, [F.desc("priority"), F.col("label_1"), F.col("label_3"), F.col("ord")], "rule_seq").withColumn("rule_id", F.format_string("R%04d", "rule_seq")).drop("ord")
 
 
 def typed_rules(table: DataFrame) -> DataFrame:
-    """A rule table of texts as tag() wants it: lists split at `|`, a missing or bad priority 500, ordered by priority."""
+    """A rule table of texts as tag() wants it: lists split at `|`, a missing or bad priority 500; rule_seq is the rank of
+    the rule in the table's own order, which decides between equal priorities."""
     parts = lambda c: F.filter(F.split(F.coalesce(c, F.lit("")), r"\|"), lambda x: x != "") if c in table.columns else F.array().cast("array<string>")
     scope = F.coalesce("scope", F.lit("通用")) if "scope" in table.columns else F.lit("通用")
-    order = [F.col("rule_seq")] if "rule_seq" in table.columns else [F.col("rule_id")]
+    order = [F.col("rule_seq")] if "rule_seq" in table.columns else [F.length("rule_id"), F.col("rule_id")]
     level = F.coalesce(F.col("priority").try_cast("double"), F.lit(500.0))
     typed = table.select("rule_id", "direction", scope.alias("scope"), "keyword", parts("excludes").alias("excludes"), parts("opp_any").alias("opp_any"), "label_1", "label_2", "label_3", level.alias("priority"), *(order if "rule_seq" in table.columns else []))
-    return typed.withColumn("rule_seq", F.row_number().over(Window.orderBy(F.desc("priority"), *order)).cast("long"))
+    return numbered(typed, order, "_rank").withColumn("rule_seq", F.col("_rank")).drop("_rank")

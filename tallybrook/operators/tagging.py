@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.money import ANY, IN, OUT, direction_of
@@ -17,7 +17,9 @@ from tallybrook.functions.money import ANY, IN, OUT, direction_of
 SCOPES = {"对手名称": ["opp_name"], "银行备注": ["memo"], "账户方附言": ["note"], "摘要或备注": ["memo", "note"], "通用": ["opp_name", "memo", "note"]}
 FIELD_NAMES = {"opp_name": "对手名称", "memo": "银行备注", "note": "账户方附言"}
 CONFIDENCE = {"对手名称": 0.9, "银行备注": 0.78, "账户方附言": 0.72}
-NO_RULE = {"source": "兜底", "confidence": 0.3, "income": "其他收入", "expense": "其他支出"}
+# Labels and source of rows with a rule and of rows without one.
+BY_RULE = "规则库"
+NO_RULE = {"source": "兜底", "confidence": 0.3, "label_1": "其他类", "label_2": "其他", "income": "其他收入", "expense": "其他支出"}
 TEXTS = ["opp_name", "memo", "note"]
 RULES = "rule_id string, direction string, scope string, keyword string, excludes array<string>, opp_any array<string>, label_1 string, label_2 string, label_3 string, priority double, rule_seq long"
 
@@ -42,18 +44,23 @@ def _hit_field(scope: Column, keyword: Column) -> Column:
 
 def match_rules(texts: DataFrame, rules: DataFrame, few_rules: int = 500) -> DataFrame:
     """texts(direction, opp_name, memo, note; distinct, none null) with the columns of the best rule: highest priority,
-    then rule order. Rules of an unknown scope cover all fields; rules of an unknown direction fit all."""
+    then rule order. An empty keyword stands in every text, a null one in none. Rules of an unknown scope cover all fields; rules of an unknown direction fit all."""
     scope = F.when(F.col("scope").isin(*SCOPES), F.col("scope")).otherwise(ANY)
     rules = rules.withColumn("scope", scope).withColumn("for", F.when(F.col("direction").isin(IN, OUT), F.col("direction")).otherwise(ANY)).drop("direction")
-    keyed = texts.withColumn("_key", F.struct("direction", *TEXTS))
-    scoped = keyed.select("direction", *TEXTS, "_key", F.explode(F.array(*(F.struct(F.lit(s).alias("scope"), _scoped(f).alias("text")) for s, f in SCOPES.items()))).alias("x")).select("direction", *TEXTS, "_key", "x.scope", "x.text").where("text != ''")
+    # only scopes that the rules use
+    used = {r["scope"] for r in rules.select("scope").distinct().collect()}
+    if not used:
+        return texts.where("false").select("direction", *TEXTS, F.lit(None).cast("struct<rule_id:string,keyword:string,scope:string,label_1:string,label_2:string,label_3:string>").alias("rule"), F.lit(None).cast("string").alias("hit_field"))
+    scoped = texts.select("direction", *TEXTS, F.explode(F.array(*(F.struct(F.lit(s).alias("scope"), _scoped(f).alias("text")) for s, f in SCOPES.items() if s in used))).alias("x")).select("direction", *TEXTS, "x.scope", "x.text").where("text != ''")
     if rules.count() <= few_rules:
         pairs = scoped.join(F.broadcast(rules), "scope").where(F.col("text").contains(F.col("keyword")))
     else:
         lengths = rules.select(F.length("keyword").alias("n")).distinct().groupBy().agg(F.sort_array(F.collect_list("n")).alias("ns"))  # one row of small numbers
         cuts = F.flatten(F.transform("ns", lambda n: F.when((n > 0) & (n <= F.length("text")), F.transform(F.sequence(F.lit(1), F.length("text") - n + 1), lambda i: F.substring(F.col("text"), i, n))).otherwise(F.array().cast("array<string>"))))
         grams = scoped.crossJoin(F.broadcast(lengths)).withColumn("keyword", F.explode(F.array_distinct(cuts))).drop("ns")
-        pairs = grams.join(rules, ["scope", "keyword"])
+        # an empty keyword stands in every text
+        empty = scoped.join(F.broadcast(rules.where("keyword = ''")), "scope")
+        pairs = grams.join(rules.where("keyword != ''"), ["scope", "keyword"]).unionByName(empty)
     fits = ((F.col("for") == ANY) | (F.col("for") == F.col("direction"))) & ~F.exists("excludes", lambda x: F.col("text").contains(x)) & ((F.size("opp_any") == 0) | F.exists("opp_any", lambda x: F.col("opp_name").contains(x)))
     chosen = F.struct("rule_id", "keyword", "scope", "label_1", "label_2", "label_3")
     return pairs.where(fits).groupBy("direction", *TEXTS).agg(F.min_by(chosen, F.struct(-F.col("priority"), "rule_seq")).alias("rule")).withColumn("hit_field", _hit_field(F.col("rule.scope"), F.col("rule.keyword")))
@@ -71,8 +78,8 @@ def tag(ledger: DataFrame, rules: DataFrame, few_rules: int = 500) -> DataFrame:
     trust = reduce(lambda rest, kv: F.when(F.col("hit_field") == kv[0], kv[1]).otherwise(rest), CONFIDENCE.items(), F.lit(None).cast("double"))
     fallback = F.when(F.col("direction") == OUT, NO_RULE["expense"]).otherwise(NO_RULE["income"])
     return found.withColumns({
-        "label_1": F.when(hit, F.col("rule.label_1")).otherwise(fallback), "label_2": F.when(hit, F.col("rule.label_2")), "label_3": F.when(hit, F.col("rule.label_3")),
-        "label_source": F.when(hit, "规则").otherwise(NO_RULE["source"]), "label_confidence": F.when(hit, trust).otherwise(NO_RULE["confidence"]),
+        "label_1": F.when(hit, F.col("rule.label_1")).otherwise(NO_RULE["label_1"]), "label_2": F.when(hit, F.col("rule.label_2")).otherwise(NO_RULE["label_2"]), "label_3": F.when(hit, F.col("rule.label_3")).otherwise(fallback),
+        "label_source": F.when(hit, BY_RULE).otherwise(NO_RULE["source"]), "label_confidence": F.when(hit, trust).otherwise(NO_RULE["confidence"]),
         "rule_id": F.col("rule.rule_id"), "keyword": F.col("rule.keyword"),
     }).drop("rule", "_d", *clean, *(f"__{c}" for c in TEXTS))
 
@@ -107,7 +114,5 @@ def suggestions(tagged: DataFrame, top: int = 40, least: int = 5) -> DataFrame:
     ties go to the first seen."""
     open_rows = tagged.where(F.col("rule_id").isNull() & (F.coalesce("opp_name", F.lit("")) != ""))
     found = open_rows.groupBy("direction", "opp_name").agg(F.count("*").alias("rows"), F.min("seq").alias("first_seq")).orderBy(F.desc("rows"), "first_seq").limit(top)
-    from pyspark.sql import Window
-
-    number = F.format_string("NEW-%03d", F.row_number().over(Window.orderBy(F.desc("rows"), "first_seq")))
+    number = F.format_string("NEW-%03d", F.row_number().over(Window.orderBy(F.desc("rows"), "first_seq")))  # `top` rows at most
     return found.where(F.col("rows") >= least).withColumn("suggestion_id", number)

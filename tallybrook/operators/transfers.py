@@ -1,25 +1,39 @@
 """Transfers between own accounts.
 
-Candidates come from an equi-join on whole cents and their neighbours, then the exact float tolerance. The greedy
-one-to-one matching depends on load order; since a pair never leaves a run of amounts that lie less than the tolerance
-apart (an island), every island is matched by itself, and inside it only rows that have a candidate at all."""
+The greedy one-to-one matching depends on load order: each outgoing row takes the first incoming row that is free. A
+pair never leaves a run of amounts that lie less than the tolerance apart (an island), nor, inside it, a run of times
+without a gap of more than the allowed days; so each such run is matched by itself. Legs are sent there once, never
+pairs: inside a run, free incoming legs wait in queues by amount, slot of time and account, and an outgoing leg looks at
+the heads of the queues only.
+
+`candidates` lists the pairs that the amounts, times and accounts allow, for reports."""
 
 from __future__ import annotations
 
-import numpy as np
+from collections import defaultdict
+from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from itertools import groupby
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.schema import TOLERANCE
+from tallybrook.tables import numbered, write_table
 
 DAYS = 3
+DAY = 86_400_000_000
 BLOCK = 4096
+#: A slot of time is this part of the days that two legs may lie apart.
+SLOTS = 12
 
 
 def legs(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Outgoing and incoming rows; micros is the time in microseconds."""
-    base = ledger.select("seq", "txn_id", F.coalesce("own_account", F.lit("")).alias("account"), "opp_name", "opp_account", "txn_time", "income", "expense", F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', txn_time)").alias("micros"))
+    """Outgoing and incoming rows; micros is the time in microseconds. Rows without a place in the load order, which
+    decides between partners, are refused."""
+    seq = F.coalesce("seq", F.raise_error(F.lit("a ledger row has no load order (seq)")).cast("long"))
+    base = ledger.select(seq.alias("seq"), "txn_id", F.coalesce("own_account", F.lit("")).alias("account"), "income", "expense", F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', txn_time)").alias("micros"))
     side = lambda c: base.where(F.col(c) > 0).withColumn("size", F.col(c))
     return side("expense"), side("income")
 
@@ -31,7 +45,7 @@ def candidates(ledger: DataFrame, days: int = DAYS) -> DataFrame:
     cents = F.floor(F.col("size") * 100)
     left = out.select(F.col("seq").alias("out_seq"), F.col("txn_id").alias("out_id"), F.col("account").alias("out_account"), F.col("micros").alias("out_micros"), "size", F.explode(F.array(cents - 1, cents, cents + 1)).alias("cents"))
     right = into.select(F.col("seq").alias("in_seq"), F.col("txn_id").alias("in_id"), F.col("account").alias("in_account"), F.col("micros").alias("in_micros"), F.col("size").alias("in_size"), cents.alias("cents"))
-    close = F.col("out_micros").isNull() | (F.abs(F.col("out_micros") - F.col("in_micros")) <= days * 86_400_000_000)
+    close = F.col("out_micros").isNull() | (F.abs(F.col("out_micros") - F.col("in_micros")) <= days * DAY)
     return left.join(right, "cents").where((F.abs(F.col("size") - F.col("in_size")) < TOLERANCE) & (F.col("out_account") != F.col("in_account")) & close).drop("cents")
 
 
@@ -47,30 +61,117 @@ def islands(amounts: DataFrame) -> DataFrame:
     return starts.withColumn("inside", inside).join(carried, "block").select("cents", F.coalesce("inside", "carried").alias("island"))
 
 
-def _greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Each outgoing row in load order takes the first incoming row in load order that is free."""
-    pdf = pdf.sort_values(["out_seq", "in_seq"], kind="stable")
-    used_in: set = set()
-    used_out: set = set()
-    keep = np.zeros(len(pdf), bool)
-    for n, (a, b) in enumerate(zip(pdf["out_seq"], pdf["in_seq"])):
-        if a not in used_out and b not in used_in:
-            used_out.add(a)
-            used_in.add(b)
-            keep[n] = True
-    return pdf.loc[keep, ["out_seq", "in_seq", "out_id", "in_id", "size"]]
+def runs(ledger: DataFrame, days: int = DAYS) -> DataFrame:
+    """Legs (side, seq, txn_id, account, micros, size) with island and run. Where an outgoing leg of an island has no
+    time, it fits any incoming one, so the island is one run; elsewhere legs without a time fit none and are left out."""
+    out, into = (df.select(F.lit(side).alias("side"), "seq", "txn_id", "account", "micros", "size", F.floor(F.col("size") * 100).alias("cents")) for side, df in zip("oi", legs(ledger)))
+    both = out.unionByName(into)
+    placed = write_table(both.join(islands(both), "cents").drop("cents").withColumn("day", F.floor(F.col("micros") / DAY)), "legs")
+    kinds = placed.groupBy("island").agg(F.count_distinct("side").alias("sides"), F.bool_or((F.col("side") == "o") & F.col("micros").isNull()).alias("whole")).where("sides = 2").drop("sides")
+    # runs of times, from the days of an island
+    by_day = placed.where("day is not null").groupBy("island", "day").agg(F.min("micros").alias("low"), F.max("micros").alias("high"))
+    order = Window.partitionBy("island").orderBy("day")
+    starts = by_day.withColumn("start", F.when(F.coalesce(F.col("low") - F.lag("high").over(order) > days * DAY, F.lit(True)), F.col("day")))
+    run_of = starts.select("island", "day", F.last("start", True).over(order).alias("run"))
+    marked = placed.join(kinds, "island").join(run_of, ["island", "day"], "left").where("whole or run is not null")
+    return marked.select("side", "seq", "txn_id", "account", "micros", "size", "island", F.when(~F.col("whole"), F.col("run")).alias("run"))
+
+
+class Waiting:
+    """Free incoming legs (seq, number, micros, account, txn_id) of one amount, in queues by slot of time and account. A
+    slot's heap holds the head of each of its queues, so the two smallest tell the first leg of another account."""
+
+    def __init__(self, legs: list[tuple], slot: int):
+        self.slot = slot
+        self.queues: dict = defaultdict(lambda: defaultdict(list))
+        for leg in sorted(legs, reverse=True):  # a queue's head is its last
+            self.queues[self._slot(leg)][leg[3]].append(leg)
+        self.heads = {at: [q[-1] for q in by_account.values()] for at, by_account in self.queues.items()}
+        for heap in self.heads.values():
+            heapify(heap)
+
+    def _slot(self, leg: tuple) -> int | None:
+        return None if leg[2] is None else leg[2] // self.slot
+
+    def first(self, account: str, micros: int | None, reach: int) -> tuple | None:
+        """The first free leg of another account within reach; any, if there is no time."""
+        if micros is None:
+            slots, ends = list(self.heads), ()
+        else:
+            ends = ((micros - reach) // self.slot, (micros + reach) // self.slot)
+            slots = [at for at in range(ends[0], ends[1] + 1) if at in self.heads]
+        best = None
+        for at in slots:
+            if at in ends:  # within reach in part
+                near = (leg for name, queue in self.queues[at].items() if name != account for leg in queue if abs(leg[2] - micros) <= reach)
+            else:
+                near = (leg for leg in self.heads[at][:3] if leg[3] != account)
+            found = min(near, default=None)
+            if found and (best is None or found < best):
+                best = found
+        return best
+
+    def take(self, leg: tuple) -> None:
+        at = self._slot(leg)
+        queue, heap = self.queues[at][leg[3]], self.heads[at]
+        if queue[-1] is not leg:
+            queue.remove(leg)
+            return
+        queue.pop()
+        if heap[0] is leg:
+            heappop(heap)
+        else:
+            heap.remove(leg)
+            heapify(heap)
+        if queue:
+            heappush(heap, queue[-1])
+        else:
+            del self.queues[at][leg[3]]
+        if not heap:
+            del self.heads[at], self.queues[at]
+
+
+def matched_run(out: list[tuple], into: dict[float, list[tuple]], reach: int) -> list[tuple]:
+    """out: (seq, micros, account, txn_id, size); into: legs by amount. Pairs of outgoing and incoming legs."""
+    waiting = {size: Waiting(legs, max(1, reach // SLOTS)) for size, legs in into.items()}
+    pairs = []
+    for leg in sorted(out, key=lambda x: x[0]):
+        near = [(found, size) for size, w in waiting.items() if abs(size - leg[4]) < TOLERANCE and (found := w.first(leg[2], leg[1], reach))]
+        if near:
+            found, size = min(near, key=lambda x: x[0][:2])
+            waiting[size].take(found)
+            pairs.append((leg, found))
+    return pairs
+
+
+def _match(days: int):
+    columns = ("island", "run", "side", "seq", "micros", "account", "txn_id", "size")
+    whole = lambda x: None if x is None or x != x else int(x)
+
+    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (row for pdf in pdfs for row in zip(*(pdf[c].tolist() for c in columns)))
+        for _, legs_of in groupby(rows, key=lambda r: (r[0], whole(r[1]))):
+            out, into = [], defaultdict(list)
+            for n, (_, _, side, seq, micros, account, txn, size) in enumerate(legs_of):
+                if side == "o":
+                    out.append((seq, whole(micros), account, txn, size))
+                else:
+                    into[size].append((seq, n, whole(micros), account, txn))
+            if pairs := matched_run(out, into, days * DAY):
+                yield pd.DataFrame([(o[0], i[0], o[3], i[4], o[4]) for o, i in pairs], columns=["out_seq", "in_seq", "out_id", "in_id", "size"])
+
+    return run
 
 
 def self_transfers(ledger: DataFrame, self_accounts: list[str] | None = None, days: int = DAYS) -> DataFrame:
     """out_id, in_id, size, confidence (0.85 if a leg's counterparty is an own name or account, else 0.5), transfer_id."""
-    found = candidates(ledger, days).withColumn("cents", F.floor(F.col("size") * 100))
-    where = islands(found.select("size").unionByName(found.select(F.col("in_size").alias("size"))))
-    pairs = found.join(where, "cents").select("island", "out_seq", "in_seq", "out_id", "in_id", "size")
-    matched = pairs.groupBy("island").applyInPandas(_greedy, "out_seq long, in_seq long, out_id string, in_id string, size double")
+    # whole runs lie side by side in a partition, and a task holds one run at a time
+    dealt = runs(ledger, days).repartition("island", "run").sortWithinPartitions("island", "run")
+    matched = write_table(dealt.mapInPandas(_match(days), "out_seq long, in_seq long, out_id string, in_id string, size double"), "matched")
     own = own_marks(ledger, self_accounts)
     marks = matched.join(own.select(F.col("seq").alias("out_seq"), F.col("is_self").alias("a")), "out_seq", "left").join(own.select(F.col("seq").alias("in_seq"), F.col("is_self").alias("b")), "in_seq", "left")
-    number = F.format_string("INT-%04d", F.row_number().over(Window.orderBy("out_seq")))
-    return marks.select("out_id", "in_id", "out_seq", "in_seq", "size", F.when(F.coalesce("a", F.lit(False)) | F.coalesce("b", F.lit(False)), 0.85).otherwise(0.5).alias("confidence"), number.alias("transfer_id"))
+    ranked = numbered(marks, [F.col("out_seq")], "_rank")
+    return ranked.select("out_id", "in_id", "out_seq", "in_seq", "size", F.when(F.coalesce("a", F.lit(False)) | F.coalesce("b", F.lit(False)), 0.85).otherwise(0.5).alias("confidence"), F.format_string("INT-%04d", "_rank").alias("transfer_id"))
 
 
 def own_marks(ledger: DataFrame, self_accounts: list[str] | None = None) -> DataFrame:

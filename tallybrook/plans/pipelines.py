@@ -13,6 +13,7 @@ from tallybrook.operators.standardize import standardize
 from tallybrook.schema import CANONICAL, DELIVERABLE, TAGS, published
 from tallybrook.sources import ledgers
 from tallybrook.sources.grids import read_grids
+from tallybrook.tables import write_table
 
 COVERED = ["txn_time", "own_name", "own_account", "opp_name", "opp_account", "income", "expense", "balance", "memo", "note"]
 
@@ -68,14 +69,14 @@ def several_customers(specs: list[tuple]) -> dict[str, DataFrame]:
 def deliverable(client: str, subjects: list[tuple[str, DataFrame]], rule_table: DataFrame) -> dict[str, DataFrame]:
     """The sheets of a client's workbook, under published column names. subjects: (name, ledger)."""
     parts = [ledger.withColumn("subject_name", F.coalesce(F.nullif(F.trim("own_name"), F.lit("")), F.lit(name or client))) for name, ledger in subjects]
-    ledger = ledgers.union_all(parts).withColumn("seq", F.monotonically_increasing_id())
+    ledger = ledgers.in_load_order(parts)
     main = portfolio.virtual_balance(tagging.tag(ledger, rules.typed_rules(rule_table))).withColumn("bank", F.lit("")).withColumn("customer_name", F.lit(client))
     columns = ["customer_name", "subject_name", "bank", *(n for n, *_ in CANONICAL), "virtual_balance", *(n for n, _ in TAGS)]
     assert {n for n, _ in DELIVERABLE} <= set(columns)
     check = checks.balance_check(ledger, ["own_account"])
     daily = portfolio.daily_balance(ledger)
     return {
-        "封面与说明": portfolio.overview(ledger), "整合打标流水": published(ledgers.integrated(main).select(*columns)), "组合日余额": portfolio.daily_total(daily), "主体账户清单": portfolio.account_index(ledger),
+        "封面与说明": portfolio.overview(ledger), "整合打标流水": published(ledgers.integrated(main).select(*columns)), "组合日余额": portfolio.daily_with_total(daily), "主体账户清单": portfolio.account_index(ledger),
         "余额校验": check, "标签汇总": published(tagging.tag_summary(main)), "人工复核事项": reports.review_items(checks=check, duplicates=duplicates.duplicate_groups(ledger), tagged=main),
     }
 
@@ -83,5 +84,5 @@ def deliverable(client: str, subjects: list[tuple[str, DataFrame]], rule_table:
 def one_customer(spark: SparkSession, customer: str, folder: str, rule_table: DataFrame, self_accounts: list[str] | None = None, **options) -> dict[str, dict[str, DataFrame]]:
     """Raw folder to all reports of one customer."""
     ledger, files = standardize_files(spark, folder, customer=customer, **options)
-    ledger = ledger.withColumn("seq", F.xxhash64("source_file", "source_row"))
+    ledger = write_table(ledger, "ledger")
     return {"files": {"report": files}, "integrated": integrate(ledger, self_accounts), "portfolio": portfolio_report(ledger), "tags": tag_report(ledger, rule_table)}

@@ -10,6 +10,7 @@ from tallybrook.functions.headers import match_field
 from tallybrook.operators import checks, customers, duplicates, portfolio, reports, rules, standardize, tagging, transfers
 from tallybrook.schema import NOISE, SYNONYMS
 from tallybrook.sources import ledgers, testdata
+from tallybrook.tables import numbered
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -161,11 +162,34 @@ def header_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(h,) for h in HEADERS], "raw string").select("raw", match_field(F.col("raw")).alias("field"))
 
 
-@query("SELECT 'f' || n || '.csv' AS file, 2::BIGINT AS header_idx, CASE n WHEN 0 THEN 8 WHEN 2 THEN 7 ELSE 6 END AS hits FROM range(4) t(n)")
+_GRID_HEADS = ", ".join(f"({n}, '{h}')" for n, hs in testdata.GRID_HEADS.items() for h in hs)
+_MATCHED = """(SELECT field FROM syn WHERE h.h <> '' AND lower(h.h) <> 'nan' AND (contains(h.h, word) OR contains(word, h.h)) ORDER BY (h.h = word) DESC, ord LIMIT 1)"""
+
+
+@query(f"""
+    WITH syn(ord, field, word) AS (VALUES {_SYN}), heads(n, h) AS (VALUES {_GRID_HEADS}),
+    m AS (SELECT n, {_MATCHED} AS field FROM heads h)
+    SELECT 'f' || n || '.csv' AS file, 2::BIGINT AS header_idx, count(field)::INT AS hits FROM m WHERE n IN (SELECT event_id % 4 FROM events) GROUP BY n""")
 def header_row_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize.header_rows(testdata.raw_grids(spark, sf_dir)).select("file", "header_idx", "hits")
 
 
+_PART_HEADS = ["交易{}日期", "对方 户名（{}）", "{}金额", "开户名", "记账时间{}", "贷方发生额（收入）", " 余额 ", "{}"]
+
+
+@query(f"""
+    WITH syn(ord, field, word) AS (VALUES {_SYN}),
+    heads AS (SELECT p_partkey, CASE p_partkey % 8 {" ".join(f"WHEN {k} THEN replace('{h}', '{{}}', p_name)" for k, h in enumerate(_PART_HEADS))} END AS raw FROM part),
+    h AS (SELECT *, replace(replace(regexp_replace(raw, '\\s+', '', 'g'), '（', '('), '）', ')') AS h FROM heads)
+    SELECT p_partkey, raw, {_MATCHED} AS field FROM h""")
+def header_match_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers with the names of all parts in them."""
+    k, raw = F.col("p_partkey") % 8, F.lit(None).cast("string")
+    for n, h in enumerate(_PART_HEADS):
+        raw = F.when(k == n, F.replace(F.lit(h), F.lit("{}"), F.col("p_name"))).otherwise(raw)
+    return testdata.table(spark, sf_dir, "part").select("p_partkey", raw.alias("raw")).select("p_partkey", "raw", match_field(F.col("raw")).alias("field"))
+
+
 METAS = [("户名：测试公司 账号：6226****4806", "测试公司", "6226****4806", "对公"), ("某某公司)-800091876502013 流水", None, "800091876502013", "对公"), ("活期一本通 123456789 1234567890123", None, "1234567890123", "个人"), ("账户名:张三 没有号码", "张三", None, "未知")]
 _METAS = ", ".join("({})".format(", ".join("NULL" if v is None else f"'{v}'" for v in m)) for m in METAS)
 
@@ -175,6 +199,23 @@ def account_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(m[0],) for m in METAS], "meta string").select("meta", standardize.sniffed(F.col("meta")).alias("s")).select("meta", "s.*")
 
 
+@query("""
+    SELECT c_custkey, CASE WHEN c_custkey % 4 = 3 THEN NULL ELSE c_name END AS own_name,
+           CASE c_custkey % 4 WHEN 0 THEN '62' || lpad(c_custkey::VARCHAR, 8, '0') WHEN 1 THEN '62****' || lpad(c_custkey::VARCHAR, 6, '0') WHEN 2 THEN lpad(c_custkey::VARCHAR, 9, '7') END AS own_account,
+           CASE c_custkey % 4 WHEN 0 THEN '个人' WHEN 1 THEN '对公' ELSE '未知' END AS account_type
+    FROM customer""")
+def account_sniff_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles that name each customer: labelled and masked numbers, one behind a dash, and none."""
+    c, k, key = testdata.table(spark, sf_dir, "customer"), F.col("c_custkey") % 4, F.col("c_custkey").cast("string")
+    meta = (
+        F.when(k == 0, F.concat(F.lit("户名："), "c_name", F.lit("  储蓄 卡 号: 62"), F.lpad(key, 8, "0")))
+        .when(k == 1, F.concat(F.lit("某公司 账户名 "), "c_name", F.lit("，账号 62****"), F.lpad(key, 6, "0")))
+        .when(k == 2, F.concat(F.lit("账户名称:"), "c_name", F.lit(" 户主)-"), F.lpad(key, 9, "7"), F.lit(" 12345678")))
+        .otherwise(F.lit("1234567 流水"))
+    )
+    return c.select("c_custkey", standardize.sniffed(meta).alias("s")).select("c_custkey", "s.*")
+
+
 @query(f"""
     WITH {L1} SELECT seq, 'TX-' || substr(md5(own_name || '|' || own_account || '|' || strftime(txn_time, '%Y-%m-%d %H:%M:%S') || '|'
         || printf('%.2f', coalesce(income, expense)) || '|' || source_file || '|' || source_row), 1, 12) AS unique_id FROM l1""")
@@ -277,18 +318,11 @@ def empty_row_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Integration --------------------------------------------------------------------------------------------------------
 @query(f"WITH {L1} SELECT row_number() OVER (ORDER BY own_account NULLS LAST, txn_time NULLS LAST, source_file NULLS LAST, source_row NULLS LAST) AS position, txn_id, CASE WHEN seq % 4 = 3 THEN NULL ELSE memo END AS memo FROM l1")
 def integrated_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ledger of four files, of which one lacks the memo. The position comes from a sorted write in practice; here a
-    rank shows the order."""
-    from pyspark.sql import Window
-
+    """One ledger of four files, of which one lacks the memo; position is its rank in the order of integration."""
     ledger = _l1(spark, sf_dir)
     files = [ledger.where(F.col("seq") % 4 == k) for k in range(4)]
     whole = ledgers.union_all([*files[:3], files[3].drop("memo")])
-    order = [F.asc_nulls_last(c) for c in ("own_account", "txn_time", "source_file", "source_row")]
-    counts = whole.groupBy("own_account").agg(F.count("*").alias("n"))
-    before = counts.select(F.col("own_account").alias("_a"), F.coalesce(F.sum("n").over(Window.orderBy(F.asc_nulls_last("own_account")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    ranked = whole.withColumn("_n", F.row_number().over(Window.partitionBy("own_account").orderBy(*order[1:])))
-    return ranked.join(before, F.col("own_account").eqNullSafe(F.col("_a"))).select((F.col("_b") + F.col("_n")).alias("position"), "txn_id", "memo")
+    return numbered(whole, ledgers.integrated_order(), "position").select("position", "txn_id", "memo")
 
 
 _DUP = "own_account, txn_time, income, expense, balance, opp_name"
@@ -303,13 +337,14 @@ _DUP = "own_account, txn_time, income, expense, balance, opp_name"
         FROM both_ GROUP BY ALL HAVING count(*) >= 2)
     SELECT own_account, strftime(txn_time, '%Y-%m-%d %H:%M:%S') AS txn_time, income, expense, balance, opp_name, size, files, txn_ids, source_files,
            CASE WHEN files > 1 AND balance IS NOT NULL THEN 0.9 ELSE 0.5 END::DOUBLE AS confidence,
+           CASE WHEN files > 1 AND balance IS NOT NULL THEN '保留一笔' ELSE '人工复核' END AS action,
            printf('DUP-%04d', row_number() OVER (ORDER BY own_account NULLS FIRST, txn_time NULLS FIRST, income NULLS FIRST, expense NULLS FIRST, balance NULLS FIRST, opp_name NULLS FIRST)) AS group_id
     FROM g""")
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     l1 = _l1(spark, sf_dir)
     again = l1.where(F.col("seq") % 100 < 2).withColumns({"txn_id": F.concat("txn_id", F.lit("b")), "source_file": F.when(F.col("seq") % 2 == 0, "again.csv").otherwise(F.col("source_file"))})
     found = duplicates.duplicate_groups(ledgers.union_all([_l2(spark, sf_dir), l1, again]))
-    return found.withColumn("txn_time", F.date_format("txn_time", "yyyy-MM-dd HH:mm:ss")).drop("action")
+    return found.withColumn("txn_time", F.date_format("txn_time", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(f"""
@@ -364,13 +399,6 @@ def daily_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.daily_total(portfolio.daily_balance(_l1(spark, sf_dir)))
 
 
-@query(f"""WITH {L1}, {DAILY} SELECT day, round(max(balance) FILTER (WHERE acct = 'A1'), 2) AS "A1", round(max(balance) FILTER (WHERE acct = 'A2'), 2) AS "A2", round(max(balance) FILTER (WHERE acct = 'A3'), 2) AS "A3",
-    round(sum(balance) FILTER (WHERE acct IN ('A1', 'A2', 'A3')), 2) AS total FROM daily GROUP BY day""")
-def daily_balance_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    few = ["A1", "A2", "A3"]
-    return portfolio.daily_wide(portfolio.daily_balance(_l1(spark, sf_dir)).where(F.col("acct").isin(*few)), few)
-
-
 #: All accounts that the ledger can hold; those without rows are null.
 ACCOUNTS = [f"A{i}" for i in range(25)]
 _WIDE = ", ".join(f"""round(max(balance) FILTER (WHERE acct = '{a}'), 2) AS "{a}\"""" for a in ACCOUNTS)
@@ -381,6 +409,14 @@ def daily_balance_wide_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.daily_wide(portfolio.daily_balance(_l1(spark, sf_dir)), ACCOUNTS)
 
 
+@query(ORACLE_SQL["daily_balance_wide_all"])
+def daily_balance_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same columns, found in the ledger instead of given."""
+    daily = portfolio.daily_balance(_l1(spark, sf_dir))
+    found = portfolio.daily_wide(daily)
+    return found.select("day", *((F.col(a) if a in found.columns else F.lit(None).cast("double")).alias(a) for a in ACCOUNTS), "total")
+
+
 _SUMMARY = """min(day) AS first_day, max(day) AS last_day, count(*) AS days, arg_min(total, day) AS opening, arg_max(total, day) AS closing,
     max(total) AS peak, arg_min(day, (-total, day)) AS peak_day, min(total) AS trough, arg_min(day, (total, day)) AS trough_day"""
 
@@ -446,7 +482,8 @@ _RULES = """
                CASE WHEN f.rule_id IS NULL THEN NULL WHEN scope = '对手名称' THEN '对手名称' WHEN scope = '银行备注' THEN '银行备注' WHEN scope = '账户方附言' THEN '账户方附言'
                     WHEN scope = '摘要或备注' THEN CASE WHEN contains(x.memo, f.keyword) THEN '银行备注' WHEN contains(x.note, f.keyword) THEN '账户方附言' ELSE '银行备注' END
                     ELSE CASE WHEN contains(o, f.keyword) THEN '对手名称' WHEN contains(x.memo, f.keyword) THEN '银行备注' WHEN contains(x.note, f.keyword) THEN '账户方附言' ELSE '对手名称' END END AS hit_field,
-               coalesce(l1_, CASE WHEN direction = '支出' THEN '其他支出' ELSE '其他收入' END) AS label_1, l2_ AS label_2, l3_ AS label_3
+               CASE WHEN f.rule_id IS NULL THEN '其他类' ELSE l1_ END AS label_1, CASE WHEN f.rule_id IS NULL THEN '其他' ELSE l2_ END AS label_2,
+               CASE WHEN f.rule_id IS NOT NULL THEN l3_ WHEN direction = '支出' THEN '其他支出' ELSE '其他收入' END AS label_3
         FROM x LEFT JOIN f ON f.rid = x.rid AND nth = 1)"""
 TAGGED = f"{L2}, {_RULES}"
 
@@ -457,7 +494,7 @@ def txn_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    WITH {TAGGED} SELECT txn_id, seq, opp_name, memo, direction, label_1, label_2, label_3, CASE WHEN rule_id IS NULL THEN '兜底' ELSE '规则' END AS label_source,
+    WITH {TAGGED} SELECT txn_id, seq, opp_name, memo, direction, label_1, label_2, label_3, CASE WHEN rule_id IS NULL THEN '兜底' ELSE '规则库' END AS label_source,
         CASE hit_field WHEN '对手名称' THEN 0.9 WHEN '银行备注' THEN 0.78 WHEN '账户方附言' THEN 0.72 ELSE 0.3 END::DOUBLE AS label_confidence, rule_id, keyword, hit_field FROM tagged""")
 def tag_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(spark, sf_dir).select("txn_id", "seq", "opp_name", "memo", "direction", "label_1", "label_2", "label_3", "label_source", "label_confidence", "rule_id", "keyword", "hit_field")

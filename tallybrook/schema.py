@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The published names of all columns, here and in TAGS, CUSTOMER and DELIVERABLE.
 #: Column, published name, type. Money stays DOUBLE: all tolerances compare float64 differences with 0.01.
 CANONICAL = [
     ("txn_id", "交易唯一编号", T.StringType()),
@@ -64,6 +65,11 @@ TOLERANCE = 0.01
 ZERO_DAY = "1900-01-01"
 
 
+def load_order(file_rank: Column, row: Column) -> Column:
+    """The place of a row in load order: by file, then by row, as one number; a file has fewer than 2^36 rows."""
+    return F.shiftleft(file_rank.cast("long"), 36) + row
+
+
 def conform(df: DataFrame) -> DataFrame:
     """The ledger's columns in order and type; missing ones null, further ones kept behind."""
     known = {f.name for f in LEDGER}

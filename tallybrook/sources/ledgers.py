@@ -4,22 +4,64 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.schema import conform, from_published
+from tallybrook.tables import numbered
+
+
+#: Names of the artifacts of a customer, the furthest processed first.
+ARTIFACTS = ("*__打标流水.csv", "*__整合流水.csv", "*__standardized.csv")
+
+
+def listed(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Paths in a folder that fit a pattern, sorted by name. Only names are listed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{pattern}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f"{folder.rstrip('/')}/{x.getPath().getName()}" for x in found or [])
+
+
+def standardized_files(spark: SparkSession, *paths: str) -> list[str]:
+    """CSV paths as they are, and for folders the standardised ledgers in them; an error if there is none at all."""
+    files = [f for p in paths for f in ([p] if p.endswith(".csv") else listed(spark, p, ARTIFACTS[-1]))]
+    if not files:
+        raise FileNotFoundError(f"no {ARTIFACTS[-1]} in {', '.join(paths)}")
+    return files
+
+
+def best_artifact(spark: SparkSession, path: str) -> str:
+    """The path of a CSV as it is; of a folder the first ledger that is tagged, else integrated, else standardised."""
+    if path.endswith(".csv"):
+        return path
+    for pattern in ARTIFACTS:
+        if found := listed(spark, path, pattern):
+            return found[0]
+    raise FileNotFoundError(f"no ledger in {path}")
 
 
 def read_csv_ledgers(spark: SparkSession, *paths: str) -> DataFrame:
-    """Standardised ledgers as CSV with published or own column names; columns that a file lacks are null."""
-    def one(path: str) -> DataFrame:
-        raw = from_published(spark.read.option("header", True).option("escape", '"').csv(path))
+    """Standardised ledgers as CSV with published or own column names; columns that a file lacks are null. seq, the load
+    order, goes by file in the order given (by name inside a folder), then by row."""
+    def one(rank: int, path: str) -> DataFrame:
+        # a file is read in blocks, and inside a block row by row
+        raw = spark.read.option("header", True).option("escape", '"').csv(path)
+        raw = raw.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+        raw = from_published(raw)
         typed = {c: F.col(c).try_cast("double") for c in ("income", "expense", "amount", "balance") if c in raw.columns}
-        typed |= {c: F.col(c).try_cast("long") for c in ("source_row", "seq") if c in raw.columns}
+        typed |= {"source_row": F.col("source_row").try_cast("long")} if "source_row" in raw.columns else {}
         time = {"txn_time": F.try_to_timestamp("txn_time", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"), "time_text": F.col("txn_time")} if "txn_time" in raw.columns else {}
-        return conform(raw.withColumns(typed | time))
+        return conform(raw.drop("seq").withColumns(typed | time).withColumn("_rank", F.lit(rank)))
+
+    rows = union_all([one(k, p) for k, p in enumerate(standardized_files(spark, *paths))])
+    order = ["_rank", "_path", "_block", "_at"]
+    return conform(numbered(rows.drop("seq"), [F.col(c) for c in order], "seq").drop(*order))
 
-    return union_all([one(p) for p in paths])
+
+def in_load_order(parts: list[DataFrame]) -> DataFrame:
+    """Ledgers as one whose load order is theirs, one after another. Rows without one are refused."""
+    held = [p.withColumns({"_ledger": F.lit(k), "seq": F.coalesce("seq", F.raise_error(F.lit("a ledger row has no load order (seq)")).cast("long"))}) for k, p in enumerate(parts)]
+    return numbered(union_all(held).withColumnRenamed("seq", "_seq"), [F.col("_ledger"), F.col("_seq")], "seq").drop("_ledger", "_seq")
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
@@ -27,9 +69,13 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def integrated_order() -> list[Column]:
+    return [F.asc_nulls_last(c) for c in ("own_account", "txn_time", "source_file", "source_row")]
+
+
 def integrated(ledger: DataFrame) -> DataFrame:
     """The ledger in order of account, time, file and row, missing values last."""
-    return ledger.orderBy(*(F.asc_nulls_last(c) for c in ("own_account", "txn_time", "source_file", "source_row")))
+    return ledger.orderBy(*integrated_order())
 
 
 def customers(specs: list[tuple[str, DataFrame] | tuple[str, DataFrame, str]]) -> tuple[DataFrame, list[tuple[str, int]]]:
@@ -40,7 +86,7 @@ def customers(specs: list[tuple[str, DataFrame] | tuple[str, DataFrame, str]]) -
         cid = spec[2] if len(spec) > 2 else f"C{k + 1:03d}"
         order.append((cid, k))
         parts.append(spec[1].select(F.lit(cid).alias("customer_id"), F.lit(spec[0]).alias("customer_name"), "*"))
-    return union_all(parts), order
+    return in_load_order(parts), order
 
 
 def read_rule_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -58,6 +58,15 @@ def customers_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(again)
 
 
+#: Headers of the raw files, by layout.
+GRID_HEADS = {
+    0: ["账号", "交易日期", "交易时间", "收入金额", "支出金额", "余额", "对方户名", "摘要"],
+    1: ["交易时间", "金额", "账户余额", "对方户名", "摘要", "卡号"],
+    2: ["记账日期", "借贷标志", "发生额", "余额", "摘要", "对方户名", "账号"],
+    3: ["交易时间", "交易金额", "余额", "账号", "对方户名", "摘要"],
+}
+
+
 def raw_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events ledger as four raw files of different layouts, with titles, page totals, repeated headers and empty
     rows among the data."""
@@ -73,12 +82,7 @@ def raw_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("n") == 2, F.array(F.date_format("txn_time", "yyyy/MM/dd  HH:mm:ss"), F.when(F.col("income").isNotNull(), "贷").otherwise("借"), text(size), bal, F.col("memo"), opp, F.col("own_account")))
         .otherwise(F.array(F.date_format("txn_time", "yyyyMMddHH:mm:ss"), text(F.col("amount")), bal, F.col("own_account"), opp, F.col("memo")))
     )
-    heads = {
-        0: ["账号", "交易日期", "交易时间", "收入金额", "支出金额", "余额", "对方户名", "摘要"],
-        1: ["交易时间", "金额", "账户余额", "对方户名", "摘要", "卡号"],
-        2: ["记账日期", "借贷标志", "发生额", "余额", "摘要", "对方户名", "账号"],
-        3: ["交易时间", "交易金额", "余额", "账号", "对方户名", "摘要"],
-    }
+    heads = GRID_HEADS
     rank = F.row_number().over(Window.partitionBy("n").orderBy("seq")).cast("long")
     data = rows.select(F.concat(F.lit("f"), F.col("n").cast("string"), F.lit(".csv")).alias("file"), (rank * 2 + 2).alias("row_idx"), cells.alias("cells"), "n")
     junk = F.when(F.col("row_idx") % 5 == 0, F.array(F.lit("本页小计"), F.lit("1,000.00"))).when(F.col("row_idx") % 3 == 0, F.array(blank, blank))

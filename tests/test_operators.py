@@ -7,11 +7,13 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tallybrook import file_queries
 from tallybrook.operators import checks, portfolio, tagging, transfers
 from tallybrook.plans import pipelines
 from tallybrook.schema import LEDGER
-from tallybrook.sources import testdata
+from tallybrook.sources import ledgers, testdata
 from tallybrook.sources.grids import text_rows
+from tallybrook.tables import numbered
 
 
 def ledger(spark, rows):
@@ -31,9 +33,8 @@ def random_rows(seed, n=120):
     return rows
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_transfers_match_a_plain_loop(spark, seed):
-    rows = random_rows(seed)
+def plain_transfers(rows):
+    """Pairs of places in the list, which is in load order."""
     used, want = set(), []
     for i, a in enumerate(rows):
         if not a["expense"]:
@@ -44,6 +45,13 @@ def test_transfers_match_a_plain_loop(spark, seed):
                     used.add(j)
                     want.append((i, j))
                     break
+    return want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_transfers_match_a_plain_loop(spark, seed):
+    rows = random_rows(seed)
+    want = plain_transfers(rows)
     got = transfers.self_transfers(ledger(spark, rows)).orderBy("out_seq").collect()
     assert [(r["out_seq"], r["in_seq"]) for r in got] == want
     assert [r["transfer_id"] for r in got] == [f"INT-{k + 1:04d}" for k in range(len(want))]
@@ -94,6 +102,68 @@ def test_both_ways_of_matching_rules_agree(spark, sf_dir):
     assert few == many and few
 
 
+@pytest.mark.parametrize("keyword", ["", "ring"])
+def test_empty_keywords_stand_in_every_text_either_way(spark, keyword):
+    rule = spark.createDataFrame([("R1", "other", "银行备注", keyword, [], [], "a", "b", "c", 1.0, 1), ("R2", "other", "银行备注", None, [], [], "a", "b", "c", 9.0, 2)], tagging.RULES)
+    texts = spark.createDataFrame([("收入", "", "a ring", ""), ("收入", "", "", "x"), ("支出", "o", "bolt", "")], "direction string, opp_name string, memo string, note string")
+    few, many = (sorted(r["memo"] for r in tagging.match_rules(texts, rule, few_rules=k).collect()) for k in (500, 0))
+    assert few == many == (["a ring", "bolt"] if keyword == "" else ["a ring"])
+
+
+def test_rows_without_a_rule_have_the_fallback_labels(spark):
+    rows = ledger(spark, [{"income": 1.0, "txn_time": datetime(2024, 1, 1)}, {"expense": 1.0}, {"income": 0.0}])
+    got = tagging.tag(rows, pipelines.rules.typed_rules(testdata.demo_rules(spark).where("false"))).orderBy("seq").select("label_1", "label_2", "label_3", "label_source", "label_confidence").collect()
+    assert [tuple(r) for r in got] == [("其他类", "其他", x, "兜底", 0.3) for x in ("其他收入", "其他支出", "其他收入")]
+
+
+def two_by_two():
+    day = datetime(2024, 1, 1)
+    return [{"txn_time": day, "own_account": a, "expense": 5.0} for a in "AB"] + [{"txn_time": day, "own_account": a, "income": 5.0} for a in "CD"]
+
+
+def test_two_transfers_of_one_amount_are_two_pairs(spark):
+    got = transfers.self_transfers(ledger(spark, two_by_two())).orderBy("out_seq").collect()
+    assert [(r["out_seq"], r["in_seq"]) for r in got] == [(0, 2), (1, 3)]
+
+
+def test_rows_without_load_order_are_refused(spark):
+    rows = ledger(spark, two_by_two())
+    with pytest.raises(Exception, match="no load order"):
+        transfers.self_transfers(rows.withColumn("seq", F.lit(None).cast("long"))).collect()
+
+
+def test_an_island_of_very_many_legs(spark):
+    """One amount, a third of the legs of one account, against the plain loop."""
+    rng, start = random.Random(19), datetime(2024, 1, 1)
+    rows = []
+    for _ in range(1500):
+        income = rng.random() < 0.5
+        rows.append({"txn_time": start + timedelta(minutes=rng.randint(0, 30_000)), "own_account": rng.choice(["A", "A", "B", "C", "D", "E"]), "income": 9.99 if income else None, "expense": None if income else 9.99})
+    got = transfers.self_transfers(ledger(spark, rows)).orderBy("out_seq").collect()
+    assert [(r["out_seq"], r["in_seq"]) for r in got] == plain_transfers(rows)
+
+
+def test_transfers_of_files_follow_their_load_order(spark, sf_dir):
+    rows = file_queries._files(spark, sf_dir).orderBy("seq").collect()
+    assert [r["seq"] for r in rows] == sorted({r["seq"] for r in rows})
+    assert [(r["source_file"], r["source_row"]) for r in rows] == sorted((r["source_file"], r["source_row"]) for r in rows)
+    want = [(rows[i]["source_file"], rows[i]["source_row"], rows[j]["source_file"], rows[j]["source_row"]) for i, j in plain_transfers([r.asDict() for r in rows])]
+    got = file_queries.files_to_transfers(spark, sf_dir).orderBy("transfer_id").collect()
+    assert [(r["out_file"], r["out_row"], r["in_file"], r["in_row"]) for r in got] == want and want
+
+
+def test_numbers_rank_the_whole(spark):
+    rows = spark.range(1000).select(F.xxhash64("id").alias("x"))
+    got = numbered(rows, [F.desc("x")], "n").orderBy("n").collect()
+    assert [r["n"] for r in got] == list(range(1, 1001)) and [r["x"] for r in got] == sorted((r["x"] for r in got), reverse=True)
+
+
+def test_folders_without_ledgers_are_an_error(spark, tmp_path):
+    for f in (ledgers.standardized_files, ledgers.best_artifact):
+        with pytest.raises(FileNotFoundError):
+            f(spark, str(tmp_path))
+
+
 def test_empty_ledger(spark):
     empty = ledger(spark, [])
     for df in (checks.balance_check(empty, ["own_account"]), transfers.self_transfers(empty), portfolio.virtual_balance(empty), portfolio.daily_balance(empty)):

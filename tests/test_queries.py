@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from tallybrook import queries
+from tallybrook import file_queries as queries
 
 
 @pytest.fixture(scope="module")
