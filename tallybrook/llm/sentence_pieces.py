@@ -10,13 +10,16 @@ the sum: there a piece may follow another only if merging the two pieces' charac
 other transition scores minus infinity, and a single path survives, which is the library's own encoding. Characters
 without a piece become byte pieces. Decoding joins pieces and bytes, and turns marks back into spaces.
 
-Defined results: null and empty texts have no pieces and decode to the empty text; a text's own marks decode to spaces;
-repeated rows each give a row; an empty table gives an empty result; further columns don't matter.
+Defined results: null and empty texts have no pieces and decode to the empty text; a very long text is a group of its own
+and is encoded whole; a text's own marks decode to spaces; repeated rows each give a row; an empty table gives an empty
+result; further columns stay, but for one under the name of the result.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -52,8 +55,9 @@ class Pieces:
         order = sorted((p for p in self.id_of if len(p) > 1), key=lambda p: (-scores[self.id_of[p]], self.id_of[p]))
         self.number = {p: BASE + k for k, p in enumerate(order)}
         self.text = dict(zip(self.number.values(), order))
-        #: The number of a longer piece that merging can end in, else -1.
-        self.candidate = Memo(lambda x: k if (k := self.number.get(x)) is not None and self.halves(k) else -1, most=500_000).__getitem__
+        #: Of each piece and beginning of one: twice the number of a longer piece (0: none), plus 1 where more may follow.
+        self.info = {x: (self.number.get(x, 0) << 1) + (x in self.begins) for x in self.begins.union(order)}
+        self.id_bytes = Memo(lambda k: np.array(self.ids(self.string(k)), "<i4").tobytes(), most=500_000)
         self.split: dict[int, tuple[int, int] | None] = {}
         self.stable: dict[int, bool] = {}
         self.raw = [bytes([bytes_at[i]]) if i in bytes_at else b"" if i in special else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
@@ -81,6 +85,9 @@ class Pieces:
         key = left << SHIFT | right
         if (known := self.stable.get(key)) is not None:
             return known
+        if self.halves(right) is None:
+            self.stable[key] = False
+            return False
         limit, ok = 1 << 60, True
         while True:
             if (k := self.number.get(self.string(left) + self.string(right))) is not None and k < limit:
@@ -126,26 +133,30 @@ class Forward:
     def _extend_merged(self, word: str, n: int) -> None:
         """The one piece that may end at each place: among those that fit what stands before, there is no second."""
         p = self.pieces
-        candidate, stable, fits, begins, last, starts = p.candidate, p.stable, p.fits, p.begins, self.last, self.starts
+        info, stable, fits, last, starts, begin = p.info.get, p.stable.get, p.fits, self.last, self.starts, self.begin
         for i in range(n, len(word)):
-            open_at = starts[i]
-            number = best = -1
+            best = -1
             on = []
-            for k in open_at:  # the earliest first: longer pieces first
-                piece = word[k : i + 1]
-                if best < 0 and (number := candidate(piece)) >= 0:
-                    before = last[k]
-                    if before < 0 or (ok := stable.get(before << SHIFT | number)) or (ok is None and fits(before, number)):
+            for k in starts[i]:  # the earliest first: longer pieces first
+                if (x := info(word[k : i + 1])) is None:
+                    continue
+                if best < 0 and x > 1:
+                    number, before = x >> 1, last[k]
+                    if before < 0:
+                        ok = p.halves(number) is not None
+                    elif (ok := stable(before << SHIFT | number)) is None:
+                        ok = fits(before, number)
+                    if ok:
                         best = k
                         last.append(number)
-                if piece in begins:
+                if x & 1:
                     on.append(k)
             if best < 0:
                 best = i
                 last.append(ord(word[i]))
-            if word[i] in begins:
+            if info(word[i]) is not None:  # single characters are there as beginnings only
                 on.append(i)
-            self.begin.append(best)
+            begin.append(best)
             starts.append(on)
 
     def _extend_scored(self, word: str, n: int) -> None:
@@ -160,12 +171,14 @@ class Forward:
             self.begin.append(best[1])
             self.starts.append([k for k in [*self.starts[i], i] if word[k : i + 1] in p.begins])
 
-    def ids(self) -> list[int]:
+    def ids(self) -> bytes:
+        """Little-endian 32-bit ids of the word."""
         out, at = [], len(self.word)
+        merged, known = self.pieces.kind == "bpe", self.pieces.id_bytes
         while at:
-            out.append(self.pieces.ids(self.word[self.begin[at] : at]))
+            out.append(known[self.last[at]] if merged else np.array(self.pieces.ids(self.word[self.begin[at] : at]), "<i4").tobytes())
             at = self.begin[at]
-        return [i for x in reversed(out) for i in x]
+        return b"".join(reversed(out))
 
 
 def encode_words(words, pieces: Pieces) -> dict[str, bytes]:
@@ -173,7 +186,7 @@ def encode_words(words, pieces: Pieces) -> dict[str, bytes]:
     forward, out = Forward(pieces), {}
     for word in sorted(words):
         forward.move_to(word)
-        out[word] = np.array(forward.ids(), "<i4").tobytes()
+        out[word] = forward.ids()
     return out
 
 
@@ -208,46 +221,64 @@ def _parts(texts: pa.Array, chars: int):
         yield part
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", kind: str = "bpe", known_words: int = 250_000, group_chars: int = 1 << 20) -> DataFrame:
-    """docs with a column ids (little-endian 32-bit piece ids as binary). A trie is made of the words of about
-    group_chars characters of texts; the ids of known_words words are kept for the next."""
-
+def _encoder(path: str, kind: str, text_at: int, known_words: int, group_chars: int):
     def run(batches):
         pieces, known = model(path, kind), {}
         for batch in batches:
-            ids, texts = [], batch.column(batch.schema.get_field_index(text_col))
-            for part in _parts(texts, group_chars):
+            ids = []
+            for part in _parts(batch.column(text_at), group_chars):
                 lists = [pieces.words.findall(marked(t)) for t in part]
                 if len(known) > known_words:
                     known = {}
-                if len(pieces.stable) > 800_000:
+                if len(pieces.stable) > 500_000:
                     pieces.stable.clear()
-                known |= encode_words({w for words in lists for w in words}.difference(known), pieces)
+                known |= encode_words(set().union(*lists).difference(known), pieces)
                 ids += [b"".join(map(known.__getitem__, words)) for words in lists]
             yield _carry(batch, "ids", pa.array(ids, pa.binary()))
 
-    docs = docs.drop("ids")
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", ids binary")
+    return run
 
 
-def decode(encoded: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
-    """encoded(ids, ...) with a column decoded."""
-
+def _decoder(path: str, kind: str, ids_at: int):
     def run(batches):
         raw = model(path, kind).raw
         for batch in batches:
             texts = []
-            for ids in batch.column(batch.schema.get_field_index("ids")).to_pylist():
-                text = b"".join(map(raw.__getitem__, np.frombuffer(ids or b"", "<i4").tolist())).decode("utf-8", "replace")
+            for ids in batch.column(ids_at):
+                text = b"".join(map(raw.__getitem__, np.frombuffer(ids.as_py() or b"", "<i4").tolist())).decode("utf-8", "replace")
                 texts.append(text.removeprefix(" "))
             yield _carry(batch, "decoded", pa.array(texts, pa.string()))
 
+    return run
+
+
+def _columns(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def encode(docs: DataFrame, path: str, text_col: str = "text", kind: str = "bpe", known_words: int = 250_000, group_chars: int = 1 << 20) -> DataFrame:
+    """docs with a column ids (little-endian 32-bit piece ids as binary). A trie is made of the words of about
+    group_chars characters of texts; the ids of known_words words are kept for the next."""
+    docs = docs.drop("ids") if text_col != "ids" else docs
+    return docs.mapInArrow(_encoder(path, kind, docs.columns.index(text_col), known_words, group_chars), _columns(docs) + ", ids binary")
+
+
+def decode(encoded: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
+    """encoded(ids, ...) with a column decoded."""
     encoded = encoded.drop("decoded")
-    return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded string")
+    return encoded.mapInArrow(_decoder(path, kind, encoded.columns.index("ids")), _columns(encoded) + ", decoded string")
+
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", known_words: int = 250_000, group_chars: int = 1 << 20) -> DataFrame:
+    """doc_id, n_pieces, ids_crc32, decoded_sha256, exact (decoding gave the text) for each row of docs. Encodes and
+    decodes in one task, and only these digests leave it."""
+    encoding, decoding = _encoder(path, "bpe", 1, known_words, group_chars), _decoder(path, "bpe", 2)
+
+    def run(batches):
+        for batch in decoding(encoding(batches)):
+            rows = [(len(i) // 4, zlib.crc32(i), hashlib.sha256(d.encode()).hexdigest(), d == (t or "")) for t, i, d in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)))]
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.bool_())))], names=["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "exact"])
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_pieces, ids_crc32, decoded_sha256, exact (decoding gave the text) for each row of docs."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    both = decode(encode(rows, path), path)
-    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
+    return rows.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_pieces long, ids_crc32 long, decoded_sha256 string, exact boolean")

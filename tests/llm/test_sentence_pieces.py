@@ -13,7 +13,7 @@ PARTS = [*"abcdefghijklmnopqrstuvwxyz    \n\t.,!?0123456789éñ日本\xa0ß½
 
 def test_ids_are_the_librarys_and_decode_back(spark):
     library, rng = sentencepiece.SentencePieceProcessor(model_file=PATH), random.Random(8)
-    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 60))) for _ in range(600)] + ["a" * 3000, "", " ", "the▁x"]
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 60))) for _ in range(600)] + ["a" * 3000, "", " ", "the▁x", "".join(rng.choice(PARTS) for _ in range(60_000))]
     rows = [*enumerate(texts), (None, None), (0, texts[0])]
     docs = spark.createDataFrame([(*r, b"") for r in rows], "doc_id long, text string, ids binary")
     for r in x.decode(x.encode(docs, PATH), PATH).collect():
