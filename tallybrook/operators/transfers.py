@@ -102,13 +102,22 @@ class Waiting:
             slots = [at for at in range(ends[0], ends[1] + 1) if at in self.heads]
         best = None
         for at in slots:
+            heap = self.heads[at]
+            if best is not None and heap[0] > best:
+                continue
             if at in ends:  # within reach in part
-                near = (leg for name, queue in self.queues[at].items() if name != account for leg in queue if abs(leg[2] - micros) <= reach)
+                for name, queue in self.queues[at].items():
+                    if name != account:
+                        for leg in reversed(queue):
+                            if best is not None and leg > best:
+                                break
+                            if abs(leg[2] - micros) <= reach:
+                                best = leg
+                                break
             else:
-                near = (leg for leg in self.heads[at][:3] if leg[3] != account)
-            found = min(near, default=None)
-            if found and (best is None or found < best):
-                best = found
+                found = min((leg for leg in heap[:3] if leg[3] != account), default=None)
+                if found and (best is None or found < best):
+                    best = found
         return best
 
     def take(self, leg: tuple) -> None:

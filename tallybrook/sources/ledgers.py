@@ -47,7 +47,7 @@ def read_csv_ledgers(spark: SparkSession, *paths: str) -> DataFrame:
         # a file is read in blocks, and inside a block row by row
         raw = spark.read.option("header", True).option("escape", '"').csv(path)
         raw = raw.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
-        raw = from_published(raw)
+        raw = from_published(raw.toDF(*(c.removeprefix("\ufeff") for c in raw.columns)))
         typed = {c: F.col(c).try_cast("double") for c in ("income", "expense", "amount", "balance") if c in raw.columns}
         typed |= {"source_row": F.col("source_row").try_cast("long")} if "source_row" in raw.columns else {}
         time = {"txn_time": F.try_to_timestamp("txn_time", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"), "time_text": F.col("txn_time")} if "txn_time" in raw.columns else {}

@@ -152,6 +152,13 @@ def test_transfers_of_files_follow_their_load_order(spark, sf_dir):
     assert [(r["out_file"], r["out_row"], r["in_file"], r["in_row"]) for r in got] == want and want
 
 
+def test_csv_ledgers_with_a_byte_order_mark_keep_their_rows_in_order(spark, tmp_path):
+    for name, ids in (("b__standardized.csv", "xy"), ("a__standardized.csv", "zw")):
+        (tmp_path / name).write_bytes(("\ufeff交易唯一编号,收入金额\n" + "".join(f"{i},1.5\n" for i in ids)).encode())
+    got = ledgers.read_csv_ledgers(spark, str(tmp_path)).orderBy("seq").select("seq", "txn_id", "income").collect()
+    assert [tuple(r) for r in got] == [(k + 1, i, 1.5) for k, i in enumerate("zwxy")]
+
+
 def test_numbers_rank_the_whole(spark):
     rows = spark.range(1000).select(F.xxhash64("id").alias("x"))
     got = numbered(rows, [F.desc("x")], "n").orderBy("n").collect()
