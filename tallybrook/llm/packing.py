@@ -22,7 +22,7 @@ import os
 import re
 import zlib
 from bisect import bisect_left, insort
-from functools import lru_cache
+from functools import lru_cache, reduce
 from random import Random
 
 import numpy as np
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import drop_table, write_table
+from tallybrook.llm.common import write_table
 from tallybrook.llm.token_counts import LATIN, segment_pattern
 
 Bin = list[int]
@@ -213,18 +213,23 @@ def evolved(pieces: DataFrame, name: str, capacity: int, shards: int, islands: i
     """item, length, shard, bin, generations: each shard's best packing, and the generations that its island ran."""
     none = F.lit(-1).cast("long")
     state = pieces.select(F.pmod(F.xxhash64("item", F.lit(name)), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), "item", "length", none.alias("bin"), none.alias("moved"), none.alias("over"), F.lit(0).cast("long").alias("generations"))
+    done, columns = [], state.columns
     for epoch in range(epochs):
-        before = state
         if epoch:  # each island's elite moves to the next island of its shard
             guests = state.select("shard", F.pmod(F.col("island") + 1, F.lit(islands)).cast("int").alias("island"), "item", F.col("bin").alias("moved"))
-            state = state.drop("moved").join(guests, ["shard", "island", "item"]).select(*before.columns)
+            state = state.drop("moved").join(guests, ["shard", "island", "item"]).select(*columns)
         state = write_table(state.groupBy("shard", "island").applyInPandas(_epoch(capacity, f"{name}/{epoch}", generations), _ISLAND), "islands")
-        if epoch:
-            drop_table(before)
-        if state.groupBy("shard").agg(F.min("over").alias("over")).where("over > 0").isEmpty():
+        # shards that meet their bound are done
+        unmet = state.groupBy("shard").agg(F.min("over").alias("least")).where("least > 0").select("shard")
+        if epoch == epochs - 1 or unmet.isEmpty():
+            done.append(state)
             break
-    best = state.groupBy("shard").agg(F.min_by("island", F.struct("over", "island")).alias("island"))
-    return state.join(best, ["shard", "island"]).select("item", "length", "shard", "bin", "generations")
+        unmet = write_table(unmet, "unmet")
+        done.append(state.join(unmet, "shard", "left_anti"))
+        state = state.join(unmet, "shard", "left_semi")
+    every = reduce(DataFrame.unionByName, done)
+    best = every.groupBy("shard").agg(F.min_by("island", F.struct("over", "island")).alias("island"))
+    return every.join(best, ["shard", "island"]).select("item", "length", "shard", "bin", "generations")
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = 4096, islands: int = 2, epochs: int = 3, generations: int = 12) -> DataFrame:
@@ -252,10 +257,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = 4096, isla
         pieces = marked.where(F.col("fill") < open_below).select("item", "length")
         level += 1
     inside = Window.partitionBy("sequence_id").orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
-    every = placed[0]
-    for more in placed[1:]:
-        every = every.unionByName(more)
-    return every.select("item", "sequence_id", F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"), "generations")
+    return reduce(DataFrame.unionByName, placed).select("item", "sequence_id", F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"), "generations")
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
