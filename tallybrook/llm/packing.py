@@ -94,9 +94,9 @@ def cut(size: int, capacity: int) -> list[int]:
     return [rest] * (rest > 0) + [capacity] * full
 
 
-def _pieces(path: str, end_id: int, capacity: int, group_chars: int = 1 << 20):
+def _pieces(path: str, end_id: int, capacity: int, keep_segments: bool, group_chars: int = 1 << 20):
     def run(batches):
-        coder, end = segment_ids(path), np.array([end_id], "<u4").tobytes()
+        coder, end = segment_ids(path) if keep_segments else SegmentIds(path, most=100_000), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in grouped(texts, group_chars):
@@ -260,12 +260,17 @@ def pack(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = 4096, isla
     return reduce(DataFrame.unionByName, placed).select("item", "sequence_id", F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"), "generations")
 
 
-def pack_documents(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", keep_segments: bool = True, **options) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, generations (0 for pieces
-    that fill a sequence). path: a tokenizer file that every executor has."""
+    that fill a sequence).
+
+    path: a tokenizer file that every executor has. keep_segments: Python workers keep the tokenizer and the ids of known
+    segments (up to about 200 MB each) for their next task, which spares time; where they have other work too, they
+    hold a fifth of the segments at most, and none between tasks.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cut_up = rows.mapInArrow(_pieces(path, end_id, capacity), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    cut_up = rows.mapInArrow(_pieces(path, end_id, capacity, keep_segments), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
     # the item numbers of the written table hold from then on
     pieces = write_table(cut_up.withColumn("item", F.monotonically_increasing_id()), "pieces")
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]

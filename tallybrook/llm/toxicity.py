@@ -73,7 +73,7 @@ class Automaton:
 
     DEAD = 0
 
-    def __init__(self, trie: Trie, most_states: int = 200_000):
+    def __init__(self, trie: Trie, most_states: int = 100_000):
         self.trie, self.most_states = trie, most_states
         self.reset()
 
@@ -162,7 +162,7 @@ class Lexicon:
     def matches(self, lowered: str) -> list[tuple[int, tuple[str, int]]]:
         """Places of the hits, in words, with term and edits."""
         if self._memo is None:
-            self._memo = Memo(self.automaton().match)
+            self._memo = Memo(self.automaton().match, most=120_000)
         return [(i, m) for i, m in enumerate(map(self._memo.__getitem__, WORD.findall(lowered))) if m]
 
     def hits(self, text: str) -> float:
@@ -234,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample_rows: int
     lexicon = Lexicon(terms | opened)
 
     def seen_hits(pdfs):
-        memo = Memo(lexicon.automaton().matches)
+        memo = Memo(lexicon.automaton().matches, most=120_000)
         for pdf in pdfs:
             found = ({m for w in WORD.findall(t.lower()) for m in memo[w] if m} for t in pdf["text"])
             out = [(*m, y) for ms, y in zip(found, pdf["toxic"]) for m in ms]
