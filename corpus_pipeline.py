@@ -53,7 +53,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
 def one_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps, of identical texts, one row with the largest id."""
     rows, number = numbered(docs)
-    kept = exact.exact_dedup(rows, row_col=number).where("kept").groupBy("text_sha256").agg(F.min(number).alias(number))
+    kept = exact.exact_dedup(rows, row_col=number, memory_bytes=24 << 20).where("kept").groupBy("text_sha256").agg(F.min(number).alias(number))
     return rows.join(kept.select(number), number, "left_semi").select(*docs.columns)
 
 
@@ -66,7 +66,7 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset, generations."""
-    return packing.pack_documents(docs, vocabularies.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, vocabularies.path("byte_bpe_50k.json"), keep_segments=False)
 
 
 STAGES = [("language_id", known_language), ("toxicity", civil), ("exact_dedup", one_of_equals), ("near_dedup", one_of_similar), ("packing", packed)]
