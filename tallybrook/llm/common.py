@@ -2,47 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.tables import drop_table, write_table
+
+__all__ = ["Memo", "drop_table", "fold", "hot_keys", "read", "spread_join", "write_table"]
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One of the input tables, through Spark's reader only."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where none is set, a temporary one serves a session whose executors
-    run on the driver's own machine; any other session is refused."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        path = tempfile.mkdtemp(prefix="tallybrook-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def write_table(df: DataFrame, label: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table.written_to = path
-    return table
-
-
-def drop_table(table: DataFrame) -> None:
-    """Removes a table of write_table that no later step reads."""
-    spark = table.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def hot_keys(rows: DataFrame, key: str, most: int = 1000, least: int = 1000) -> list:
     """The keys that hold more than 1/most of the rows each, so fewer than `most` keys, and `least` rows. Null is none."""
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("of_key")).where(F.col("of_key") >= least)

@@ -297,6 +297,7 @@ def _whole(path: str):
         for batch in batches:
             totals = [sum(map(memo.__getitem__, segments(t))) for t in batch.column(2).to_pylist()]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(totals, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+        memo.clear()  # a worker that waits for its next task holds no segments
 
     return run
 

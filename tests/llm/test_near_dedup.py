@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tallybrook.llm import common
 from tallybrook.llm import near_dedup as x
 
 
@@ -52,6 +53,8 @@ def texts(seed):
     for _ in range(25):  # a chain: each like the one before, its ends unlike
         base[rng.randrange(120)] = rng.choice(words)
         out.append(" ".join(base))
+    long = " ".join(rng.choice(words) for _ in range(60_000))  # very long texts, alike and not
+    out += [long, long + " end", long[: len(long) // 2]]
     return [*out, "a b c d e f g " * 40, "a b c d e f g " * 45, None, "", "", "!!!", "Ü é, x", "ü É x"]
 
 
@@ -63,6 +66,21 @@ def test_classes_match_brute_force(spark, seed, block, few):
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
+def test_hot_keys_and_their_join(spark):
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}" if i % 2 else None) for i in range(300)], "i long, k string")
+    facts = spark.createDataFrame([("hot", 1), ("k3", 2), ("k9", 3), ("other", 4)], "k string, v long")
+    assert common.hot_keys(rows, "k", most=3, least=10) == ["hot"]
+    for hot in (None, ["hot"], ["hot", "k3", "other"]):
+        got = {r["i"]: r["v"] for r in common.spread_join(rows, facts, "k", hot).collect()}
+        assert got == {i: 1 if i % 3 else {3: 2, 9: 3}.get(i) for i in range(300)}
+
+
+def test_row_numbers_tell_one_row_of_each_class(spark):
+    docs = spark.createDataFrame([(5, "a b c d e f", 10), (5, "A b c d e f", 11), (None, "a b c d e f", 12), (6, "x", 13), (6, "x", 14)], "doc_id long, text string, nr long")
+    got = {r["nr"]: (r["class_id"], r["kept"], r["stays"]) for r in x.near_duplicates(docs, row_col="nr").collect()}
+    assert got == {10: (5, True, True), 11: (5, True, False), 12: (5, False, False), 13: (6, True, True), 14: (6, True, False)}
+
+
 def test_empty_table(spark):
     assert x.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

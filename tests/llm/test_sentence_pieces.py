@@ -22,6 +22,12 @@ def test_ids_are_the_librarys_and_decode_back(spark):
         assert r["decoded"] == (r["text"] or "").replace("▁", " ")
 
 
+def test_clashing_columns_stay_or_give_way(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", "y")], "doc_id long, text string, decoded string, words string")
+    row = x.decode(x.encode(docs, PATH), PATH).first()
+    assert (row["decoded"], row["words"]) == ("a b", "y")
+
+
 def test_round_trip_query_shape(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert [(r["doc_id"], r["n_pieces"], r["exact"]) for r in x.round_trip(docs, PATH).orderBy("doc_id").collect()] == [(1, 2, True), (2, 0, True)]

@@ -75,6 +75,20 @@ def test_urls_and_rules(spark):
     assert url_filters.judge(spark.createDataFrame([], "page_id long, url string, html string"), RULES).count() == 0
 
 
+def test_ties_long_html_and_clashing_columns(spark):
+    """Rules of one length, trust equal to distrust, and a link behind a megabyte of text."""
+    rules = [("b.org", "/x", "block"), ("org", "/x/a", "allow"), ("good.com", "/", "allow"), ("bad.com", "/", "block")]
+    link = lambda h: f"<a href='//{h}/'>"
+
+    def judged(*rows):
+        pages = spark.createDataFrame([(*r, "v", "t") for r in rows], "page_id long, url string, html string, verdict string, trust string")
+        return {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filters.judge(pages, rules).collect()}
+
+    # good.com -> mid.net -> bad.com: as far from the one as from the other
+    assert judged((1, "http://good.com/", link("mid.net")), (2, "http://bad.com/", ""), (3, "http://mid.net/", link("bad.com"))) == {1: ("good.com/", "allow"), 2: ("bad.com/", "block"), 3: (None, "allow")}
+    assert judged((1, "http://b.org/x/ab", ""), (2, "http://bad.com/", ""), (3, "http://far.net/", "word " * 250_000 + link("bad.com"))) == {1: ("b.org/x", "block"), 2: ("bad.com/", "block"), 3: (None, "block")}
+
+
 def test_distrust_spreads_to_hosts_that_link_to_blocked_ones(spark):
     link = lambda *hosts: "".join(f'<a href="//{h}/">' for h in hosts)
     rows = [(1, "http://bad.net/es/", ""), (2, "http://farm.org/", link("bad.net", "bad.net", "x.com")), (3, "http://ring.org/", link("farm.org")), (4, "http://x.com/", link("good.org")), (5, "http://good.org/", link("bad.net")), (6, "http://far.org/", "")]
