@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.tables import drop_table, write_table
 
-__all__ = ["Memo", "drop_table", "fold", "hot_keys", "read", "spread_join", "write_table"]
+__all__ = ["Memo", "drop_table", "fold", "hot_keys", "matrix_of", "read", "spread_join", "whole_vectors", "write_table"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,6 +43,21 @@ def fold(doc_id: Column, of: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % of, F.lit(0))
 
 
+def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int, below: int = 1 << 53) -> DataFrame:
+    """vec_id, x (array of long: each entry times scale, rounded down), dim, of the vectors that aren't null and hold no
+    null or non-finite entry. An entry that isn't smaller than `below` stops the query."""
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).where("v is not null")
+    sound = ~F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    scaled = F.transform("v", lambda c: F.lit(float(scale)) * c.cast("double"))
+    large = F.raise_error(F.lit(f"an entry of a vector, times {scale}, is {below} or more in size")).cast("long")
+    return rows.where(F.coalesce(sound, F.lit(True))).select("vec_id", F.transform(scaled, lambda c: F.when(F.abs(c) < below, F.floor(c)).otherwise(large)).alias("x"), F.size("v").alias("dim"))
+
+
+def matrix_of(lists: pa.Array) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
 class Memo(dict):
     """A dict that computes what it lacks, and starts anew when it holds `most` entries."""
 

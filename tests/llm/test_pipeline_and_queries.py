@@ -27,7 +27,7 @@ def test_query_gives_what_sql_gives(spark, sf_dir, duck, name):
 
 
 def test_names():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 14))
 
 
 def test_stages_match_plain_filters(spark, sf_dir):
