@@ -3,10 +3,11 @@ shared folder, and reads them back through the library."""
 
 from __future__ import annotations
 
-import io
 import json
-import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +17,9 @@ from tallybrook.plans import pipelines, sinks
 from tallybrook.queries import _CHECKS3, _DUP, _RULES, ACCOUNTS, BY_FILE, DAILY, L1, L2, ORACLE_SQL, QUERIES, _check, _steps, query
 from tallybrook.schema import PUBLISHED
 from tallybrook.sources import ledgers, testdata
-from tallybrook.sources.grids import read_grids
+from tallybrook.sources.grids import read_grids, sheets_of, whole_files
 from tallybrook.tables import new_path, numbered, write_table
 
-
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 
@@ -60,6 +60,76 @@ def files_to_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("seq").alias("position"), "source_file", "source_row", F.date_format("txn_time", "yyyy-MM-dd HH:mm:ss").alias("txn_time"), "own_name", "own_account", "opp_name", "income", "expense", "balance", "memo")
 
 
+@contextmanager
+def small_splits(spark: SparkSession, size: str = "64k") -> Iterator[None]:
+    """Files are cut into many splits, as large ones are."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    for n, v in zip(names, (size, "0")):
+        spark.conf.set(n, v)
+    try:
+        yield
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+
+
+#: Encodings of the files of encoded_statements().
+CODES = ["utf-8-sig", "gb18030", "utf-16-le", "gbk"]
+
+
+def _encoded(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines in the encoding of their file; the first line carries its mark, and none its end's first byte."""
+    for pdf in pdfs:
+        coded = [(b"\xff\xfe" if n == 2 and i < 0 else b"") + text.encode(CODES[n] if n or i < 0 else "utf-8") for n, i, text in zip(pdf["n"], pdf["row_idx"], pdf["value"])]
+        yield pdf[["n", "row_idx"]].assign(value=coded)
+
+
+def encoded_statements(spark: SparkSession, sf_dir: str) -> str:
+    """The raw grids of the events as a text file of another encoding each, below folders n=0 to n=3. Among the rows stand
+    comments, blank lines, and page totals with a quoted cell over several lines."""
+    grids = testdata.raw_grids(spark, sf_dir)
+    cells = F.transform("cells", lambda c: F.when(F.coalesce(c, F.lit("")).rlike(","), F.concat(F.lit('"'), c, F.lit('"'))).otherwise(F.coalesce(c, F.lit(""))))
+    total = F.lit('\n# 备注，一\n\n"本页小计\n# 不是单元格\n二行","x ""y""",1')
+    line = F.concat(F.when(F.col("row_idx") < 0, "# ").otherwise(""), F.array_join(cells, ","), F.when((F.col("row_idx") > 2) & (F.col("row_idx") % 7 == 0), total).otherwise(""))
+    rows = grids.select(F.substring("file", 2, 1).cast("int").alias("n"), "row_idx", line.alias("value"))
+    path = new_path(spark, "encoded")
+    # the bytes go through the text writer as they are; a line end is a character of its own in UTF-16
+    raw = rows.repartition("n").sortWithinPartitions("n", "row_idx").mapInPandas(_encoded, "n int, row_idx long, value binary").select("n", F.col("value").cast("string").alias("value"))
+    for n in range(len(CODES)):
+        raw.where(F.col("n") == n).select("value").write.option("lineSep", "\n\0" if n == 2 else "\n").text(f"{path}/n={n}")
+    return path
+
+
+@query(f"""
+    WITH {L1}, ff AS (SELECT * REPLACE ('测试公司' || (seq % 4) AS own_name), 2 * row_number() OVER (PARTITION BY seq % 4 ORDER BY seq) + 2 AS i FROM l1)
+    SELECT source_file, i - 1 + (i - 1) // 7 AS source_row, strftime(txn_time, '%Y-%m-%d %H:%M:%S') AS txn_time, own_name, own_account, opp_name, income, expense, balance, memo FROM ff""")
+def files_of_any_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files in UTF-8 with a mark, GBK, UTF-16 and GB18030, read in many splits."""
+    path = encoded_statements(spark, sf_dir)
+    with small_splits(spark):
+        ledger, _ = pipelines.standardize_files(spark, f"{path}/n=*")
+    name = F.concat(F.lit("f"), F.regexp_extract("source_file", r"n=(\d)", 1), F.lit(".csv"))
+    return ledger.select(name.alias("source_file"), "source_row", F.date_format("txn_time", "yyyy-MM-dd HH:mm:ss").alias("txn_time"), "own_name", "own_account", "opp_name", "income", "expense", "balance", "memo")
+
+
+@query(f"""
+    WITH {L1}, k AS (SELECT 2 * row_number() OVER (PARTITION BY seq % 4 ORDER BY seq) + 3 AS i, seq % 4 AS n FROM l1)
+    SELECT 'n=' || n AS name, 'read' AS status, NULL::VARCHAR AS reason, 2 * count(*) - count(*) FILTER (WHERE i % 5 <> 0 AND i % 3 = 0) AS rows FROM k GROUP BY n
+    UNION ALL SELECT 'nations.txt', 'no header', 'no cell of the first rows names a field', 0 UNION ALL SELECT 'broken.xlsx', 'unreadable', 'BadZipFile: File is not a zip file', 0
+    UNION ALL SELECT 'long.csv', 'unreadable', 'field larger than field limit (131072)', 0 UNION ALL SELECT 'letter.docx', 'unknown type', 'no reader for files of type .docx', 0""")
+def file_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a folder, and a file that is named itself: what became of each file. Those that can't be read stop no other."""
+    path = statements(spark, sf_dir)
+    others = new_path(spark, "others")
+    nations = "\n".join(f"{r['n_nationkey']},{r['n_name']}" for r in testdata.table(spark, sf_dir, "nation").collect())  # a table of 25 rows
+    for name, data in (("nations.txt", nations.encode()), ("broken.xlsx", b"no zip"), ("long.csv", b"a,b\n" + b"x" * 200_000), ("letter.docx", b"x"), ("ignored.md", b"x")):
+        put(spark, f"{others}/{name}", data)
+    ledger, report = pipelines.standardize_files(spark, f"{path}/n=*", others, f"{others}/letter.docx")
+    name = F.regexp_extract("file", r"(n=\d|[^/]*$)", 1)
+    return report.select(name.alias("name"), "status", "reason", F.col("rows").cast("long").alias("rows"))
+
+
 @query()
 def files_to_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files through integrate() to transfers. Depends on load order; a test holds it against a plain loop."""
@@ -83,29 +153,39 @@ def files_integrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.crossJoin(out["quality"]).select("accounts", "rows", "breaks", "duplicate_groups", "score")  # single rows
 
 
-def workbook(rows: list[list[str]]) -> bytes:
-    """An xlsx file with an empty first sheet and the rows in the second."""
-    sheet = lambda body: f"<worksheet><sheetData>{body}</sheetData></worksheet>"
-    cell = lambda i, k, v: f"<c r='{chr(65 + k)}{i + 1}' t='inlineStr'><is><t>{v}</t></is></c>"
-    body = "".join(f"<row r='{i + 1}'>{''.join(cell(i, k, v) for k, v in enumerate(r))}</row>" for i, r in enumerate(rows))
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w") as book:
-        book.writestr("xl/workbook.xml", "<workbook xmlns:r='http://x/r'><sheets><sheet name='a' r:id='rId1'/><sheet name='b' r:id='rId2'/></sheets></workbook>")
-        book.writestr("xl/_rels/workbook.xml.rels", "<Relationships><Relationship Id='rId1' Target='worksheets/a.xml'/><Relationship Id='rId2' Target='worksheets/b.xml'/></Relationships>")
-        book.writestr("xl/worksheets/a.xml", sheet(""))
-        book.writestr("xl/worksheets/b.xml", sheet(body))
-    return data.getvalue()
-
-
 @query("SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS row_idx, n_nationkey::VARCHAR || '|' || n_name || '|' || n_regionkey AS cells FROM nation")
 def excel_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nations from the second sheet of a workbook, as the first is empty."""
     rows = [[str(x) for x in r] for r in testdata.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey").orderBy("n_nationkey").collect()]  # a table of 25 rows
     path = f"{new_path(spark, 'excel')}/nations.xlsx"
-    put(spark, path, workbook(rows))
+    put(spark, path, testdata.workbook({"empty": [], "nations": rows}))
     return read_grids(spark, path).where("row_idx >= 0").select("row_idx", F.array_join("cells", "|").alias("cells"))
 
 
+def _book(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A workbook of the events of a block, each cell of another type."""
+    rows = [["No.", "when", "day", "clock", "amount", "whole", "income", "none", "label"]]
+    for r in pdf.sort_values("event_id").to_dict("records"):
+        day = r["seconds"] // 86_400 + 25_569
+        cents = int(r["cents"])
+        rows.append([("number", int(r["event_id"])), ("moment", day + r["seconds"] % 86_400 / 86_400), ("han", day), ("clock", r["seconds"] % 86_400 / 86_400), ("money", cents / 100), ("number", float(cents)), bool(r["inc"]), ("error", "#N/A"), f" {r['event_type']} & <x> " if r["event_id"] % 2 else "N/A"])
+    return pd.DataFrame({"file": [f"b{pdf['block'].iloc[0]}.xlsx"], "content": [testdata.workbook({"cover": [["only a title"]], "data": rows})]})
+
+
+@query("""
+    WITH e AS (SELECT *, event_id // 1000 AS block, floor(value * 100 + 0.5)::BIGINT AS cents, date_trunc('second', ts) AS t FROM events)
+    SELECT 'b' || block || '.xlsx' AS file, row_number() OVER (PARTITION BY block ORDER BY event_id) AS row_idx, event_id::VARCHAR || '|' || strftime(t, '%Y-%m-%d %H:%M:%S') || '|' || strftime(t, '%Y-%m-%d 00:00:00') || '|' || strftime(t, '%H:%M:%S')
+           || '|' || CASE WHEN cents % 100 = 0 THEN (cents // 100)::VARCHAR ELSE (cents::DOUBLE / 100)::VARCHAR END || '|' || cents || '|' || CASE WHEN event_type IN ('purchase', 'signup') THEN 'True' ELSE 'False' END
+           || '|?|' || CASE WHEN event_id % 2 = 1 THEN ' ' || event_type || ' & <x> ' ELSE '?' END AS cells
+    FROM e""")
+def typed_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that are dates, times, amounts, truth values and errors by their style and type, in a workbook for each
+    thousand events."""
+    e = testdata.table(spark, sf_dir, "events").select("event_id", "event_type", F.floor(F.col("event_id") / 1000).alias("block"), F.floor(F.col("value") * 100 + 0.5).alias("cents"), F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01', ts)").alias("seconds"), F.col("event_type").isin("purchase", "signup").alias("inc"))
+    files = e.groupBy("block").applyInPandas(_book, "file string, content binary")
+    return whole_files(files).where("record > 0").select("file", F.col("record").alias("row_idx"), F.array_join("cells", "|", "?").alias("cells"))
+
+
 @query("SELECT row_number() OVER (ORDER BY r_regionkey) AS row_idx, r_regionkey::VARCHAR || '|' || r_name AS cells FROM region UNION ALL SELECT 0, 'key|name'")
 def pdf_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page per region, each with the header again, through an extractor of the caller's."""
@@ -151,6 +231,25 @@ def csv_ledgers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("seq", "txn_id", F.date_format("txn_time", "yyyy-MM-dd HH:mm:ss").alias("txn_time"), "own_account", "opp_name", "income", "expense", "amount", "balance", "source_file", "source_row", "position")
 
 
+@query(f"""
+    WITH {L1} SELECT row_number() OVER (ORDER BY seq % 50, seq) AS seq, txn_id, strftime(txn_time, '%Y-%m-%d %H:%M:%S') AS txn_time, own_account, income, expense, balance, memo || chr(10) || '"a", b' || chr(13) || chr(10) || ' # c ' AS memo,
+           CASE WHEN (seq % 50) % 3 = 1 THEN NULL ELSE '' || opp_name END AS opp_name, CASE WHEN (seq % 50) % 3 = 2 THEN 'C' || (seq % 50) END AS customer_id FROM l1""")
+def csv_ledgers_of_any_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty ledgers with marks, of three sets of columns in other orders, whose memos hold quotes, commas and line breaks:
+    written, read back in many splits as one scan."""
+    rows, path = write_table(testdata.events_ledger(spark, sf_dir), "l1"), new_path(spark, "texts")
+    rows = rows.withColumns({"memo": F.concat("memo", F.lit('\n"a", b\r\n # c ')), "k": (F.col("seq") % 50).cast("int")})
+    columns = ["txn_id", "txn_time", "own_account", "income", "expense", "balance", "memo", "opp_name"]
+    kinds = [columns, ["memo", *columns[:6]], ["customer_id", *reversed(columns)]]
+    shown = rows.withColumns({"customer_id": F.concat(F.lit("C"), F.col("k")), "f": F.format_string("k%02d__standardized.csv", "k")}).repartition("f").sortWithinPartitions("f", "seq")
+    for n, kind in enumerate(kinds):
+        sinks.write_csv(shown.where(F.col("k") % 3 == n).select(*kind, "f"), f"{path}-{n}", partition="f")
+    found = [f for n in range(3) for f in ledgers.listed(spark, f"{path}-{n}", "f=*")]
+    with small_splits(spark):
+        back = ledgers.read_csv_ledgers(spark, *sorted(found, key=lambda f: f.rpartition("/")[2]))
+    return back.select("seq", "txn_id", F.date_format("txn_time", "yyyy-MM-dd HH:mm:ss").alias("txn_time"), "own_account", "income", "expense", "balance", "memo", "opp_name", "customer_id")
+
+
 @query(f"WITH {L1} SELECT 'a__整合流水.csv' AS name, count(*) AS rows FROM l1")
 def best_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of a folder's artifacts, the integrated ledger comes before the standardised ones."""
@@ -172,6 +271,23 @@ def rule_table_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.withColumns(joined).withColumn("direction", F.when(F.col("direction") == "other", "通用").otherwise(F.col("direction")))
 
 
+def _rule_book(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A rule workbook of a block of the lexicon; the first has the labels too."""
+    block, text = int(pdf["block"].iloc[0]), lambda v: None if v is None else str(v)
+    labels = [["L1", "L2", "L3", *"abcdef", "in", "out"], *([r[1], r[2], r[3], *[None] * 6, r[4], r[5]] for r in (testdata.DIMENSION if block == 0 else []))]
+    words = [["FlowField", "Operator", "Keyword", "Tags_Income", "Tags_Expenditure", "ut"]]
+    words += [[text(r["flow_field"]), "包含", text(r["keyword"]), text(r["income_label"]), text(r["expense_label"]), None] for r in pdf.sort_values("row").to_dict("records")]
+    return pd.DataFrame({"file": [f"rules{block:09d}.xlsx"], "content": [testdata.workbook({"notes": [["x"]], rules.DIMENSION_SHEET: labels, rules.LEXICON_SHEET: words})]})
+
+
+@query(ORACLE_SQL["compile_rules"])
+def rule_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules that compile_rules gives from tables, from workbooks of a thousand keywords each, by their sheets' names."""
+    files = testdata.lexicon(spark, sf_dir).withColumn("block", F.floor(F.col("row") / 1000)).groupBy("block").applyInPandas(_rule_book, "file string, content binary")
+    labels, words = rules.of_workbook(write_table(sheets_of(files), "sheets"))
+    return rules.compile_rules(rules.label_dimension(labels), words)
+
+
 @query(f"""
     WITH {L1}, c AS (SELECT 'C001' AS customer_id, 'first' AS customer_name, * FROM l1 WHERE seq % 3 = 0 UNION ALL SELECT 'X9', 'second', * FROM l1 WHERE seq % 3 = 1 UNION ALL SELECT 'C003', 'third', * FROM l1 WHERE seq % 3 = 2)
     SELECT customer_id, customer_name, txn_id, row_number() OVER (ORDER BY customer_name, seq) AS seq FROM c""")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +12,10 @@ from tallybrook.schema import SYNONYMS
 ALIASES = {"交易时间戳": "交易时间"}
 
 
+#: All synonyms in matching order, as one literal: word and field.
+WORDS = "array({})".format(", ".join(f"struct('{w}' AS word, '{ALIASES.get(f, f)}' AS field)" for f, words in SYNONYMS for w in words))
+
+
 def match_field(text: Column, overrides: dict[str, str] | None = None) -> Column:
     """The standard field of a header, else null: an override, else the first field with an equal synonym, else the
     first one with a synonym that contains the header or stands in it."""
@@ -21,13 +23,9 @@ def match_field(text: Column, overrides: dict[str, str] | None = None) -> Column
 
 
 def _field_of(h: Column, overrides: dict[str, str]) -> Column:
-    chain = None
-    for name, field in overrides.items():
-        chain = F.when(h == name, field) if chain is None else chain.when(h == name, field)
-    for field, words in SYNONYMS:
-        test = h.isin(*words)
-        chain = F.when(test, ALIASES.get(field, field)) if chain is None else chain.when(test, ALIASES.get(field, field))
-    for field, words in SYNONYMS:
-        test = reduce(lambda a, b: a | b, (h.contains(w) | F.lit(w).contains(h) for w in words))
-        chain = chain.when(test, ALIASES.get(field, field))
-    return F.when((h != "") & (F.lower(h) != "nan"), chain)
+    words = F.expr(WORDS)
+    first = lambda test: F.get(F.filter(words, test), F.lit(0))["field"]
+    found = F.coalesce(first(lambda s: s["word"] == h), first(lambda s: h.contains(s["word"]) | s["word"].contains(h)))
+    for name, field in reversed(overrides.items()):
+        found = F.when(h == name, field).otherwise(found)
+    return F.when((h != "") & (F.lower(h) != "nan"), found)

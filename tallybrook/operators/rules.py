@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.money import IN, OUT, priority
+from tallybrook.schema import load_order
 from tallybrook.tables import numbered
 
 # How the lexicon names fields, texts that are no keyword or label, and the inline rules.
@@ -33,6 +34,21 @@ def label_dimension(sheet: DataFrame) -> DataFrame:
     return latest.select("label_3", "d.*")
 
 
+#: The sheets of a rule workbook, and the places of the columns that count in them.
+DIMENSION_SHEET, LEXICON_SHEET = "资金用途标签判定逻辑", "流水标签词库管理表"
+DIMENSION_COLUMNS = {"label_1": 0, "label_2": 1, "label_3": 2, "income_priority": 9, "expense_priority": 10}
+LEXICON_COLUMNS = {"flow_field": 0, "keyword": 2, "income_label": 3, "expense_label": 4}
+
+
+def of_workbook(sheets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """sheets(file, sheet, row_idx, cells): of rule workbooks -> the label sheet as label_dimension() takes it, and the
+    lexicon. A sheet's first row is its header; rows of several workbooks go by file, then by row."""
+    files = numbered(sheets.select("file").distinct(), [F.col("file")], "_rank")
+    rows = sheets.where("row_idx > 0 and exists(cells, c -> c is not null)").join(F.broadcast(files), "file")  # a row per workbook
+    part = lambda name, columns: rows.where(F.col("sheet") == name).select(load_order(F.col("_rank") - 1, F.col("row_idx")).alias("row"), *(F.get("cells", F.lit(k)).alias(c) for c, k in columns.items()))
+    return part(DIMENSION_SHEET, DIMENSION_COLUMNS), part(LEXICON_SHEET, LEXICON_COLUMNS)
+
+
 def inline_rules(spark) -> DataFrame:
     rows = [(IN, "摘要或备注", w, "|".join(INTEREST_EXCLUDE), "", "结息", "内联:结息") for w in INTEREST]
     rows += [(IN, "摘要或备注", w, "", "|".join(SUBSIDY_COUNTERPARTIES), "财政补贴", "内联:财政补贴") for w in SUBSIDY]

@@ -12,16 +12,17 @@ from tallybrook.operators import checks, customers, duplicates, portfolio, repor
 from tallybrook.operators.standardize import standardize
 from tallybrook.schema import CANONICAL, DELIVERABLE, TAGS, published
 from tallybrook.sources import ledgers
-from tallybrook.sources.grids import read_grids
+from tallybrook.sources.grids import scan_files
 from tallybrook.tables import write_table
 
 COVERED = ["txn_time", "own_name", "own_account", "opp_name", "opp_account", "income", "expense", "balance", "memo", "note"]
 
 
 def standardize_files(spark: SparkSession, *paths: str, extractors: dict[str, Callable] | None = None, **options) -> tuple[DataFrame, DataFrame]:
-    """Raw statement files and folders to a ledger and a report row per file. options: overrides (header to field),
-    header_row, customer, account_type."""
-    return standardize(read_grids(spark, *paths, extractors=extractors), **options)
+    """Raw statement files and folders to a ledger and a report row per file, also of files that have no header or that
+    nothing reads. options: overrides (header to field), header_row, customer, account_type."""
+    grids, outcomes = scan_files(spark, *paths, extractors=extractors)
+    return standardize(grids, outcomes=outcomes, **options)
 
 
 def integrate(ledger: DataFrame, self_accounts: list[str] | None = None) -> dict[str, DataFrame]:

@@ -16,11 +16,17 @@ def safe_name(name: str) -> str:
     return re.sub(r'[\\/:*?"<>|\s]+', "_", name).strip("_") or "_"
 
 
-def write_csv(df: DataFrame, path: str, names: bool = True) -> None:
-    """Text-only columns with a header; published names if asked."""
+def write_csv(df: DataFrame, path: str, names: bool = True, mark: bool = True, partition: str | None = None) -> None:
+    """Text-only columns with a header; published names if asked. Fields keep their blanks, quotes and line breaks. mark:
+    each file begins with a byte order mark, which spreadsheets need to see that it is UTF-8. partition: a column whose
+    values go to a folder each."""
     out = published(df) if names else df
     times = {f.name: F.date_format(F.col(f"`{f.name}`"), "yyyy-MM-dd HH:mm:ss") for f in out.schema if f.dataType.typeName() == "timestamp_ntz"}
-    out.withColumns(times).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    out = out.withColumns(times)
+    if mark:
+        out = out.toDF("\ufeff" + out.columns[0], *out.columns[1:])
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    out.write.mode("overwrite").partitionBy(*([partition] if partition else [])).options(header=True, escape='"', **kept).csv(path)
 
 
 def write_report(sections: dict[str, DataFrame], path: str) -> None:

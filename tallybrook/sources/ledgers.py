@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybrook.schema import conform, from_published
-from tallybrook.tables import numbered
+from tallybrook.sources import textfiles
+from tallybrook.tables import beside, numbered, write_table
 
 
 #: Names of the artifacts of a customer, the furthest processed first.
@@ -42,20 +43,33 @@ def best_artifact(spark: SparkSession, path: str) -> str:
 
 def read_csv_ledgers(spark: SparkSession, *paths: str) -> DataFrame:
     """Standardised ledgers as CSV with published or own column names; columns that a file lacks are null. seq, the load
-    order, goes by file in the order given (by name inside a folder), then by row."""
-    def one(rank: int, path: str) -> DataFrame:
-        # a file is read in blocks, and inside a block row by row
-        raw = spark.read.option("header", True).option("escape", '"').csv(path)
-        raw = raw.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
-        raw = from_published(raw.toDF(*(c.removeprefix("\ufeff") for c in raw.columns)))
-        typed = {c: F.col(c).try_cast("double") for c in ("income", "expense", "amount", "balance") if c in raw.columns}
-        typed |= {"source_row": F.col("source_row").try_cast("long")} if "source_row" in raw.columns else {}
-        time = {"txn_time": F.try_to_timestamp("txn_time", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"), "time_text": F.col("txn_time")} if "txn_time" in raw.columns else {}
-        return conform(raw.drop("seq").withColumns(typed | time).withColumn("_rank", F.lit(rank)))
-
-    rows = union_all([one(k, p) for k, p in enumerate(standardized_files(spark, *paths))])
-    order = ["_rank", "_path", "_block", "_at"]
-    return conform(numbered(rows.drop("seq"), [F.col(c) for c in order], "seq").drop(*order))
+    order, goes by file in the order given (by name inside a folder), then by row.
+
+    All files are one scan in splits, whatever their columns: each row looks up its file's header. Line breaks and quotes
+    inside fields stay as they are; empty fields are null. A file that can't be read is an error.
+    """
+    given: dict[str, int] = {}
+    for k, path in enumerate(standardized_files(spark, *paths)):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        given.setdefault(p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString(), k)
+    rank = lambda f: (given.get(f, given.get(f.rpartition("/")[0])), f)  # noqa: E731  a ledger may be a folder of part files
+    files = sorted(textfiles.files_in(spark, *(textfiles.literally(g) for g in given)), key=rank)
+    table = write_table(textfiles.records(spark, files, record_safe=True), "ledgers")
+    if (bad := table.where("error is not null").first()) is not None:
+        raise ValueError(f"{bad['file']}: {bad['error']}")
+    heads = table.groupBy("file").agg(F.max("record").alias("rows"), F.max(F.when(F.col("record") == 0, F.col("cells"))).alias("header"))
+    placed = heads.join(spark.createDataFrame(list(enumerate(files)), "place long, file string"), "file")
+    # a row per file
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    facts = write_table(placed.select("file", "header", before.alias("before")), "headers")
+    names = sorted({n for r in facts.select(F.explode(F.array_distinct("header")).alias("name")).distinct().collect() for n in (r["name"],) if n})
+    rows = table.where("record > 0").join(beside(facts), "file")
+    raw = rows.select((F.col("before") + F.col("record")).alias("_seq"), *(F.nullif(F.get("cells", F.nullif(F.array_position("header", n), F.lit(0)).cast("int") - 1), F.lit("")).alias(n) for n in names))
+    raw = from_published(raw)
+    typed = {c: F.col(c).try_cast("double") for c in ("income", "expense", "amount", "balance") if c in raw.columns}
+    typed |= {"source_row": F.col("source_row").try_cast("long")} if "source_row" in raw.columns else {}
+    time = {"txn_time": F.try_to_timestamp("txn_time", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"), "time_text": F.col("txn_time")} if "txn_time" in raw.columns else {}
+    return conform(raw.drop("seq").withColumns(typed | time).withColumnRenamed("_seq", "seq"))
 
 
 def in_load_order(parts: list[DataFrame]) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterable
+from xml.sax.saxutils import escape
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -104,9 +109,12 @@ def demo_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "rule_id string, direction string, scope string, keyword string, excludes string, opp_any string, label_1 string, label_2 string, label_3 string, priority string")
 
 
+#: Row, labels, priorities for income and expense of a label sheet.
+DIMENSION = [(1, "经营", "收入", "销售收入", "5", None), (2, None, None, "结息", "最高", "最高"), (3, "其他", "补贴", "财政补贴", "3", "x"), (4, None, None, None, "1", "1"), (5, None, "往来", "工资", "7.5", "2"), (6, None, None, "工资", "8", "4")]
+
+
 def demo_dimension(spark: SparkSession) -> DataFrame:
-    rows = [(1, "经营", "收入", "销售收入", "5", None), (2, None, None, "结息", "最高", "最高"), (3, "其他", "补贴", "财政补贴", "3", "x"), (4, None, None, None, "1", "1"), (5, None, "往来", "工资", "7.5", "2"), (6, None, None, "工资", "8", "4")]
-    return spark.createDataFrame(rows, "row long, label_1 string, label_2 string, label_3 string, income_priority string, expense_priority string")
+    return spark.createDataFrame(DIMENSION, "row long, label_1 string, label_2 string, label_3 string, income_priority string, expense_priority string")
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,3 +123,36 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = lambda k: F.when(k == 0, "销售收入").when(k == 1, "工资").when(k == 2, "—").when(k == 3, "财政补贴").otherwise("unknown")
     flow = F.when(F.col("p_partkey") % 3 == 0, "摘要").when(F.col("p_partkey") % 3 == 1, "对方户名").otherwise("elsewhere")
     return p.select(F.col("p_partkey").alias("row"), flow.alias("flow_field"), F.concat(F.lit(" "), "p_name").alias("keyword"), label(F.col("p_partkey") % 5).alias("income_label"), label(F.col("p_partkey") % 4).alias("expense_label"))
+
+
+#: Number formats of the cells that workbook() writes, by name.
+STYLES = {"number": 0, "money": 4, "day": 14, "moment": 164, "clock": 165, "han": 31, "duration": 46}
+
+
+def workbook(sheets: dict[str, Iterable[list]], of_1904: bool = False) -> bytes:
+    """An xlsx file. A cell is a text, a truth value, (style, number), ("error", text) or None."""
+
+    def cell(v) -> str:
+        if v is None:
+            return "<c/>"
+        if isinstance(v, bool):
+            return f"<c t='b'><v>{int(v)}</v></c>"
+        if isinstance(v, str):
+            return f"<c t='inlineStr'><is><t xml:space='preserve'>{escape(v)}</t></is></c>"
+        style, value = v
+        return f"<c t='e'><v>{value}</v></c>" if style == "error" else f"<c s='{list(STYLES).index(style)}'><v>{value!r}</v></c>"
+
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as book:
+        names = "".join(f"<sheet name='{escape(n)}' r:id='rId{k}'/>" for k, n in enumerate(sheets))
+        book.writestr("xl/workbook.xml", f"<workbook xmlns:r='http://x/r'><workbookPr date1904='{int(of_1904)}'/><sheets>{names}</sheets></workbook>")
+        book.writestr("xl/_rels/workbook.xml.rels", "<Relationships>" + "".join(f"<Relationship Id='rId{k}' Target='worksheets/s{k}.xml'/>" for k in range(len(sheets))) + "</Relationships>")
+        formats = "<numFmts><numFmt numFmtId='164' formatCode='yyyy\\-mm\\-dd\\ hh:mm:ss'/><numFmt numFmtId='165' formatCode='h:mm:ss;@'/></numFmts>"
+        book.writestr("xl/styles.xml", f"<styleSheet>{formats}<cellXfs>" + "".join(f"<xf numFmtId='{i}'/>" for i in STYLES.values()) + "</cellXfs></styleSheet>")
+        for k, rows in enumerate(sheets.values()):
+            with book.open(f"xl/worksheets/s{k}.xml", "w") as part:
+                part.write(b"<worksheet><sheetData>")
+                for row in rows:
+                    part.write(f"<row>{''.join(map(cell, row))}</row>".encode())
+                part.write(b"</sheetData></worksheet>")
+    return data.getvalue()

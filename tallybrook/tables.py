@@ -41,11 +41,25 @@ def drop_table(table: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: A table of so many rows at most may be ordered in one task, or broadcast.
+FEW_ROWS = 50_000
+
+
+def beside(facts: DataFrame) -> DataFrame:
+    """A written table of facts to join rows with: broadcast if it is counted to have few rows, so that the rows of a hot
+    key stay where they are; else as it is."""
+    return F.broadcast(facts) if facts.count() <= FEW_ROWS else facts
+
+
 def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """rows with their rank in the order, from 1, as a long. The rows are dealt out by ranges and written with their part
-    of the range, so that only the parts' sizes, a row each, are summed up in one task."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = write_table(rows.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "numbered")
+    """rows with their rank in the order, from 1, as a long. They are written and counted first. Few are ranked in one
+    task; more are dealt out by ranges and written with their part of the range, so that only the parts' sizes, a row
+    each, are summed up in one task."""
+    spark, held = rows.sparkSession, write_table(rows, "numbered")
+    if held.count() <= FEW_ROWS:
+        return held.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = write_table(held.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "numbered")
     before = dealt.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     inside = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
     return dealt.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + inside).drop("__part", "__before")

@@ -12,7 +12,6 @@ from tallybrook.operators import checks, portfolio, tagging, transfers
 from tallybrook.plans import pipelines
 from tallybrook.schema import LEDGER
 from tallybrook.sources import ledgers, testdata
-from tallybrook.sources.grids import text_rows
 from tallybrook.tables import numbered
 
 
@@ -191,10 +190,6 @@ def test_files_to_ledger(spark, tmp_path):
     assert {r["file"].rpartition(".")[2]: (r["mode"], r["dropped"]) for r in report.collect()} == {"csv": ("分列", 1), "xlsx": ("单列带符号", 0)}
 
 
-def test_text_rows_keep_comments_apart():
-    assert text_rows("﻿# 账号: 1\n\na, b\n".encode()) == ("账号: 1", [["a", "b"]])
-
-
 def test_pipelines_compose(spark, sf_dir):
     rows = testdata.events_ledger(spark, sf_dir)
     out = pipelines.integrate(rows)
