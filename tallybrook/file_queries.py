@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallybrook.operators import rules
 from tallybrook.operators.standardize import standardize
 from tallybrook.plans import pipelines, sinks
-from tallybrook.queries import _CHECKS3, _DUP, _RULES, ACCOUNTS, BY_FILE, DAILY, L1, L2, ORACLE_SQL, QUERIES, _check, _steps, query
+from tallybrook.queries import _CHECKS3, _DUP, _RULES, ACCOUNTS, BY_FILE, DAILY, L1, L2, ORACLE_SQL, QUERIES, _check, _steps, greedy, query
 from tallybrook.schema import PUBLISHED
 from tallybrook.sources import ledgers, testdata
 from tallybrook.sources.grids import read_grids, sheets_of, whole_files
@@ -130,9 +130,12 @@ def file_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(name.alias("name"), "status", "reason", F.col("rows").cast("long").alias("rows"))
 
 
-@query()
+@query(f"""
+    WITH RECURSIVE {FROM_FILES}, {greedy('fl')}
+    SELECT printf('INT-%04d', nth) AS transfer_id, o.source_file AS out_file, o.source_row AS out_row, i.source_file AS in_file, i.source_row AS in_row, size
+    FROM pairs JOIN fl o ON o.seq = out_seq JOIN fl i ON i.seq = in_seq""")
 def files_to_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text files through integrate() to transfers. Depends on load order; a test holds it against a plain loop."""
+    """Text files through integrate() to transfers, which depend on load order."""
     rows = _files(spark, sf_dir)
     found = pipelines.integrate(rows)["transfers"]
     places = rows.select("seq", "source_file", "source_row")
@@ -307,6 +310,15 @@ def json_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(index.schema).json(f"{path}/{sinks.safe_name('account index')}")
 
 
+@query(f"""
+    WITH {L1}, {DAILY} SELECT day, round(max(balance) FILTER (WHERE acct = 'A3'), 2) AS "A3", round(max(balance) FILTER (WHERE acct = 'A7'), 2) AS "A7", round(sum(balance), 2) AS total FROM daily GROUP BY day""")
+def daily_panel_of_some(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily panel of two accounts; the total is that of all."""
+    path = new_path(spark, "panel")
+    sinks.write_panel(testdata.events_ledger(spark, sf_dir), path, ["A3", "A7"])
+    return spark.read.option("header", True).schema("day date, A3 double, A7 double, total double").csv(path)
+
+
 @query(ORACLE_SQL["daily_balance_wide_all"])
 def daily_panel_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily panel as CSV, read back."""
@@ -359,12 +371,12 @@ def tag_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     WITH {FROM_FILES}, {DAILY.replace('FROM l1', 'FROM fl')}
     SELECT count(*) AS days, (SELECT count(*) FROM fl) AS rows, (SELECT count(DISTINCT own_account) FROM fl) AS accounts, max_by(total, day) AS closing,
-           (SELECT count(*) FROM fl WHERE expense > 0) AS outgoing FROM total""")
+           (SELECT count(*) FROM fl WHERE expense > 0) AS outgoing, (SELECT count(*) FROM fl WHERE contains(memo, 'ic')) AS hits FROM total""")
 def one_customer_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one_customer() from a folder of text files: a figure of each of its reports."""
-    out = pipelines.one_customer(spark, "Z", f"{statements(spark, sf_dir)}/n=*", testdata.demo_rules(spark).where("false"))
+    rule = testdata.demo_rules(spark).limit(1).withColumns({"direction": F.lit("通用"), "keyword": F.lit("ic"), "excludes": F.lit("")})
+    out = pipelines.one_customer(spark, "Z", f"{statements(spark, sf_dir)}/n=*", rule)
     whole = out["integrated"]["overview"].select("rows", "accounts")
     days = out["portfolio"]["summary"].select("days", "closing")
-    outgoing = out["tags"]["ledger"].where("direction = '支出'").agg(F.count("*").alias("outgoing"))
-    return days.crossJoin(whole).crossJoin(outgoing)  # single rows
-
+    tagged = out["tags"]["ledger"].agg(F.count_if(F.col("direction") == "支出").alias("outgoing"), F.count("rule_id").alias("hits"))
+    return days.crossJoin(whole).crossJoin(tagged)  # single rows

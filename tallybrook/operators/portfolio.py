@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.operators.checks import LAST_DAY, LAST_ROW, event_order
+from tallybrook.operators.checks import LAST_ROW
 from tallybrook.schema import TOLERANCE
+from tallybrook.tables import before_parts, in_ranges
 
 
 def account_key(ledger: DataFrame) -> Column:
@@ -43,6 +44,17 @@ def daily_total(daily: DataFrame, by: list[str] | None = None) -> DataFrame:
     return daily.groupBy(*(by or []), "day").agg(F.bround(F.sum("balance"), 2).alias("total"))
 
 
+def total_by_day(ledger: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """by, day, total: what daily_total(daily_balance()) gives, from the changes alone. An account has a row for each day on
+    which its balance is known; the changes of all accounts are summed by day, and carried forward on the calendar."""
+    by = by or []
+    known = F.lag("balance", 1, 0.0).over(Window.partitionBy(*by, "acct").orderBy("day"))
+    changes = eod_balance(ledger, by).withColumn("change", F.col("balance") - known).groupBy(*by, "day").agg(F.sum("change").alias("change"))
+    calendar = dated(ledger).groupBy(*by).agg(F.min("day").alias("first"), F.max("day").alias("last")).where("first is not null").select(*by, F.explode(F.sequence("first", "last")).alias("day"))
+    so_far = F.sum(F.coalesce("change", F.lit(0.0))).over(Window.partitionBy(*by).orderBy("day").rowsBetween(Window.unboundedPreceding, 0))  # one row per calendar day
+    return calendar.join(changes, [*by, "day"], "left").select(*by, "day", (F.bround(so_far, 2) + 0.0).alias("total"))
+
+
 def daily_with_total(daily: DataFrame) -> DataFrame:
     """day, acct, balance, total: the panel in long form; a sink may pivot it."""
     return daily.join(daily_total(daily), "day").select("day", "acct", F.bround("balance", 2).alias("balance"), "total")
@@ -61,7 +73,7 @@ def net_flow(ledger: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def continuity(ledger: DataFrame) -> DataFrame:
     """day, total, change, net, gap, is_break for each day but the first: the total's change against the day's net flow."""
-    total = daily_total(daily_balance(ledger))
+    total = total_by_day(ledger)
     change = F.col("total") - F.lag("total").over(Window.orderBy("day"))  # one row per calendar day
     days = total.withColumn("change", change).where(F.col("change").isNotNull()).join(net_flow(ledger), "day", "left").withColumn("net", F.coalesce("net", F.lit(0.0)))
     gap = F.bround(F.col("change") - F.col("net"), 2) + 0.0
@@ -72,9 +84,8 @@ def summary(ledger: DataFrame, by: list[str] | None = None) -> DataFrame:
     """by, accounts, first_day, last_day, days, opening, closing, peak, peak_day, trough, trough_day; each `by` group on
     its own calendar."""
     by = by or []
-    daily = daily_balance(ledger, by)
-    accounts = daily.groupBy(*by).agg(F.count_distinct("acct").alias("accounts"))
-    total = daily_total(daily, by)
+    accounts = dated(ledger).groupBy(*by).agg(F.count_distinct("acct").alias("accounts"))
+    total = total_by_day(ledger, by)
     out = total.groupBy(*by).agg(
         F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count("*").alias("days"), F.min_by("total", "day").alias("opening"), F.max_by("total", "day").alias("closing"),
         F.max("total").alias("peak"), F.min_by("day", F.struct(-F.col("total"), "day")).alias("peak_day"), F.min("total").alias("trough"), F.min_by("day", F.struct("total", "day")).alias("trough_day"),
@@ -86,23 +97,21 @@ def virtual_balance(ledger: DataFrame) -> DataFrame:
     """The ledger with virtual_balance: after each row, the sum over all accounts of the balance last known, in the
     order of time, account, row and load; rows without a time come last.
 
-    Each row changes the sum by its balance less its account's last one. Running sums over the days (few) and inside
-    each day replace one window over everything.
+    Each row changes the sum by its balance less its account's last one. The order is cut into ranges of even size, so a
+    day or an account may hold any share of the rows. Between ranges go each account's last balance there, and a sum.
     """
-    order = [F.coalesce("txn_time", F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")), F.coalesce("source_row", F.lit(LAST_ROW)), F.coalesce("seq", F.lit(LAST_ROW))]
-    rows = ledger.withColumn("_acct", account_key(ledger)).withColumn("_day", F.coalesce(F.to_date("txn_time"), F.lit(LAST_DAY).cast("date")))
-    inside = Window.partitionBy("_acct", "_day").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    ends = rows.where(F.col("balance").isNotNull()).groupBy("_acct", "_day").agg(F.max_by("balance", F.struct(*order)).alias("_end"))
-    days = rows.select("_acct", "_day").distinct().join(ends, ["_acct", "_day"], "left")
-    carried = days.select("_acct", "_day", F.last("_end", True).over(Window.partitionBy("_acct").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
-    rows = rows.withColumn("_inside", F.last("balance", True).over(inside)).join(carried, ["_acct", "_day"])
-    delta = F.when(F.col("balance").isNull(), 0.0).otherwise(F.col("balance") - F.coalesce("_inside", "_carried", F.lit(0.0)))
-    rows = rows.withColumn("_delta", delta)
-    per_day = rows.groupBy("_day").agg(F.sum("_delta").alias("_sum"))
-    before = per_day.select("_day", F.coalesce(F.sum("_sum").over(Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_before"))
-    running = F.sum("_delta").over(Window.partitionBy("_day").orderBy(order[0], "_acct", *order[1:]).rowsBetween(Window.unboundedPreceding, 0))
-    out = rows.withColumn("_running", running).join(before, "_day")
-    return out.withColumn("virtual_balance", F.bround(F.col("_before") + F.col("_running"), 2)).drop("_acct", "_day", "_inside", "_carried", "_delta", "_running", "_before")
+    keyed = ledger.withColumn("_acct", account_key(ledger))
+    order = [F.coalesce("txn_time", F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")), F.col("_acct"), F.coalesce("source_row", F.lit(LAST_ROW)), F.coalesce("seq", F.lit(LAST_ROW))]
+    rows = in_ranges(keyed, order)
+    back = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy("__part", "_acct").agg(F.max_by("balance", F.when(F.col("balance").isNotNull(), F.struct(*order))).alias("_end"))
+    carried = ends.select("__part", "_acct", F.last("_end", True).over(back(Window.partitionBy("_acct").orderBy("__part"))).alias("_carried"))
+    known = F.coalesce(F.last("balance", True).over(back(Window.partitionBy("__part", "_acct").orderBy(*order))), "_carried", F.lit(0.0))
+    rows = rows.join(carried, ["__part", "_acct"]).withColumn("_delta", F.when(F.col("balance").isNull(), 0.0).otherwise(F.col("balance") - known))
+    before = before_parts(rows.groupBy("__part").agg(F.sum("_delta").alias("_sum")), "_sum", "_before")
+    running = F.sum("_delta").over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    out = rows.withColumn("_running", running).join(F.broadcast(before), "__part")  # a row for each part
+    return out.withColumn("virtual_balance", F.bround(F.col("_before") + F.col("_running"), 2)).drop("__part", "_acct", "_carried", "_delta", "_running", "_before")
 
 
 def account_index(ledger: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Labels from a rule table: the rule of highest priority whose keyword stands in the texts of its scope.
 
-Rules meet texts by an equi-join: every distinct text of a scope is cut into its substrings of the keywords' lengths,
-and a keyword stands in the text exactly if it is one of them. Below `few_rules` rules (counted) the rules are
+Rules meet texts by an index of grams: a keyword is filed under the one of its pairs of letters that stands in the
+fewest texts (or under its only letter), every distinct text of a scope emits each of its pairs once, and where they meet
+the text is searched for the keyword. Below `few_rules` rules (counted) the rules are
 broadcast and tested directly."""
 
 from __future__ import annotations
@@ -42,6 +43,33 @@ def _hit_field(scope: Column, keyword: Column) -> Column:
     return out
 
 
+def _grams(text: str, n: int) -> Column:
+    """The distinct runs of n letters of a text."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(F.col(text), i, n)))
+
+
+def _index(scoped: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rules with the gram that they are filed under, and the texts with their grams. A rule whose grams don't all
+    stand in texts fits none and is left out."""
+    short = rules.where(F.length("keyword") == 1).limit(1).count() > 0  # only then single letters are grams too
+    of_text = F.when(F.length("text") > 1, _grams("text", 2)).otherwise(F.array().cast("array<string>"))
+    grams = scoped.withColumn("gram", F.explode(F.concat(of_text, _grams("text", 1)) if short else of_text))
+    seen = grams.groupBy("scope", "gram").agg(F.count("*").alias("texts"))
+    of_rule = F.when(F.length("keyword") > 1, _grams("keyword", 2)).otherwise(F.array("keyword"))
+    own = rules.withColumn("grams", of_rule).withColumn("gram", F.explode("grams")).join(seen, ["scope", "gram"])
+    rarest = own.groupBy("scope", "rule_seq").agg(F.min_by("gram", F.struct("texts", "gram")).alias("gram"), F.count("*").alias("found"))
+    return rules.join(rarest, ["scope", "rule_seq"]).where(F.col("found") == F.size(of_rule)).drop("found"), grams
+
+
+def _hits(rows: DataFrame, rules: DataFrame, few: bool) -> DataFrame:
+    """Rows with scope and text, and each rule of the scope whose keyword stands in the text."""
+    if few:
+        return rows.join(F.broadcast(rules), "scope").where(F.col("text").contains(F.col("keyword")))
+    filed, grams = _index(rows, rules.where("keyword != ''"))
+    indexed = grams.join(filed, ["scope", "gram"]).where(F.col("text").contains(F.col("keyword"))).drop("gram")
+    return indexed.unionByName(rows.join(rules.where("keyword = ''"), "scope"), allowMissingColumns=True)
+
+
 def match_rules(texts: DataFrame, rules: DataFrame, few_rules: int = 500) -> DataFrame:
     """texts(direction, opp_name, memo, note; distinct, none null) with the columns of the best rule: highest priority,
     then rule order. An empty keyword stands in every text, a null one in none. Rules of an unknown scope cover all fields; rules of an unknown direction fit all."""
@@ -52,18 +80,21 @@ def match_rules(texts: DataFrame, rules: DataFrame, few_rules: int = 500) -> Dat
     if not used:
         return texts.where("false").select("direction", *TEXTS, F.lit(None).cast("struct<rule_id:string,keyword:string,scope:string,label_1:string,label_2:string,label_3:string>").alias("rule"), F.lit(None).cast("string").alias("hit_field"))
     scoped = texts.select("direction", *TEXTS, F.explode(F.array(*(F.struct(F.lit(s).alias("scope"), _scoped(f).alias("text")) for s, f in SCOPES.items() if s in used))).alias("x")).select("direction", *TEXTS, "x.scope", "x.text").where("text != ''")
-    if rules.count() <= few_rules:
-        pairs = scoped.join(F.broadcast(rules), "scope").where(F.col("text").contains(F.col("keyword")))
-    else:
-        lengths = rules.select(F.length("keyword").alias("n")).distinct().groupBy().agg(F.sort_array(F.collect_list("n")).alias("ns"))  # one row of small numbers
-        cuts = F.flatten(F.transform("ns", lambda n: F.when((n > 0) & (n <= F.length("text")), F.transform(F.sequence(F.lit(1), F.length("text") - n + 1), lambda i: F.substring(F.col("text"), i, n))).otherwise(F.array().cast("array<string>"))))
-        grams = scoped.crossJoin(F.broadcast(lengths)).withColumn("keyword", F.explode(F.array_distinct(cuts))).drop("ns")
-        # an empty keyword stands in every text
-        empty = scoped.join(F.broadcast(rules.where("keyword = ''")), "scope")
-        pairs = grams.join(rules.where("keyword != ''"), ["scope", "keyword"]).unionByName(empty)
-    fits = ((F.col("for") == ANY) | (F.col("for") == F.col("direction"))) & ~F.exists("excludes", lambda x: F.col("text").contains(x)) & ((F.size("opp_any") == 0) | F.exists("opp_any", lambda x: F.col("opp_name").contains(x)))
-    chosen = F.struct("rule_id", "keyword", "scope", "label_1", "label_2", "label_3")
-    return pairs.where(fits).groupBy("direction", *TEXTS).agg(F.min_by(chosen, F.struct(-F.col("priority"), "rule_seq")).alias("rule")).withColumn("hit_field", _hit_field(F.col("rule.scope"), F.col("rule.keyword")))
+    order, chosen = F.struct(-F.col("priority"), "rule_seq"), F.struct("rule_id", "keyword", "scope", "label_1", "label_2", "label_3")
+    few = rules.count() <= few_rules
+    fits = ((F.col("for") == ANY) | (F.col("for") == F.col("direction"))) & ~F.exists("excludes", lambda x: F.col("text").contains(x))
+
+    def best(rows: DataFrame, some: DataFrame, fits: Column, by: list[str]) -> DataFrame:
+        return _hits(rows, some, few).where(fits).groupBy(*by).agg(F.min_by(F.struct(chosen.alias("rule"), order.alias("order")), order).alias("x"))
+
+    # rules that don't look at the counterparty are decided once for each text of a scope
+    by_text = ["direction", "scope", "text"]
+    plain = best(scoped.select(*by_text).distinct(), rules.where(F.size("opp_any") == 0), fits, by_text)
+    found = scoped.join(plain, by_text).select("direction", *TEXTS, "x")
+    of_opp = rules.where(F.size("opp_any") > 0)
+    if not of_opp.isEmpty():
+        found = found.unionByName(best(scoped, of_opp, fits & F.exists("opp_any", lambda x: F.col("opp_name").contains(x)), ["direction", *TEXTS]))
+    return found.groupBy("direction", *TEXTS).agg(F.min_by("x.rule", "x.order").alias("rule")).withColumn("hit_field", _hit_field(F.col("rule.scope"), F.col("rule.keyword")))
 
 
 def tag(ledger: DataFrame, rules: DataFrame, few_rules: int = 500) -> DataFrame:

@@ -33,16 +33,17 @@ def integrate(ledger: DataFrame, self_accounts: list[str] | None = None) -> dict
     missing = checks.missing_rate(ledger)
     issues = missing.select(F.col("flagged").cast("int").alias("a")).crossJoin(conflicts.agg((F.count("*") > 0).cast("int").alias("b")))  # single rows
     quality = reports.quality(check, groups).crossJoin(issues).select("breaks", "duplicate_groups", quality_score(F.col("breaks"), F.col("duplicate_groups"), F.col("a") + F.col("b")).alias("score"))
+    pairs = transfers.self_transfers(ledger, self_accounts)
     return {
         "ledger": ledgers.integrated(ledger), "overview": portfolio.overview(ledger), "accounts": portfolio.account_index(ledger), "balance_check": check, "duplicates": groups,
-        "transfers": transfers.self_transfers(ledger, self_accounts), "direction_conflicts": conflicts, "missing_counterparties": missing, "quality": quality, "review": reports.review_items(checks=check, duplicates=groups),
+        "transfers": pairs, "reasons": reports.reasons(check, groups, pairs, missing, conflicts), "direction_conflicts": conflicts, "missing_counterparties": missing, "quality": quality, "review": reports.review_items(checks=check, duplicates=groups),
     }
 
 
 def portfolio_report(ledger: DataFrame) -> dict[str, DataFrame]:
     daily = portfolio.daily_balance(ledger)
     check = checks.balance_check(ledger.withColumn("acct", portfolio.account_key(ledger)), ["acct"], by_file=False, drop_null_time=True)
-    out = {"daily": daily, "total": portfolio.daily_total(daily), "balance_check": check, "summary": portfolio.summary(ledger), "continuity": portfolio.continuity(ledger)}
+    out = {"daily": daily, "total": portfolio.total_by_day(ledger), "balance_check": check, "summary": portfolio.summary(ledger), "continuity": portfolio.continuity(ledger)}
     if "customer_id" in ledger.columns:
         out["by_customer"] = portfolio.summary(ledger, ["customer_id"])
     return out

@@ -36,9 +36,11 @@ def write_report(sections: dict[str, DataFrame], path: str) -> None:
 
 
 def write_panel(ledger: DataFrame, path: str, accounts: list[str]) -> None:
-    """The daily panel with a column per account, two decimals, and the total over these accounts."""
+    """The daily panel with a column for each of the accounts, two decimals, and the total over all of the ledger's."""
     daily = portfolio.daily_balance(ledger).where(F.col("acct").isin(*accounts))
-    portfolio.daily_wide(daily, accounts).orderBy("day").write.mode("overwrite").option("header", True).csv(path)
+    wide = portfolio.daily_wide(daily, accounts).drop("total")
+    total = portfolio.total_by_day(ledger)
+    total.join(wide, "day", "left").select("day", *(F.col(f"`{a}`") for a in accounts), "total").orderBy("day").write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_sheets(sheets: dict[str, DataFrame], folder: str) -> None:

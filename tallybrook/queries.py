@@ -225,7 +225,10 @@ def unique_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Standardisation ----------------------------------------------------------------------------------------------------
-@query("SELECT 'f' || n || '.csv' AS file, CASE n WHEN 0 THEN '分列' WHEN 2 THEN '方向+金额' ELSE '单列带符号' END AS mode, '12345678901' || n AS own_account, '测试公司' || n AS own_name, '对公' AS account_type FROM range(4) t(n)")
+@query(f"""
+    WITH {L1}, m AS (SELECT seq % 4 AS n, CASE seq % 4 WHEN 0 THEN NULL WHEN 2 THEN abs(amount) ELSE amount END AS shown, row_number() OVER (PARTITION BY seq % 4 ORDER BY seq) AS k FROM l1),
+    f AS (SELECT n, bool_or(shown < 0) FILTER (WHERE k <= 250) AS signed FROM m GROUP BY n)
+    SELECT 'f' || n || '.csv' AS file, CASE WHEN n = 0 THEN '分列' WHEN n = 2 AND NOT signed THEN '方向+金额' ELSE '单列带符号' END AS mode, '12345678901' || n AS own_account, '测试公司' || n AS own_name, '对公' AS account_type FROM f""")
 def amount_mode_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize.layouts(testdata.raw_grids(spark, sf_dir)).select("file", "mode", "own_account", "own_name", "account_type")
 
@@ -550,6 +553,24 @@ def compile_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.compile_rules(rules.label_dimension(testdata.demo_dimension(spark)), testdata.lexicon(spark, sf_dir))
 
 
+@query(f"""
+    WITH {L2}, {_RULES.split('x AS (')[0].rstrip().rstrip(',')},
+    p AS (SELECT p_partkey AS k, substr(p_name, (1 + p_partkey % 3)::INT, (1 + p_partkey % 6)::INT) AS word, CASE WHEN p_partkey % 2 = 0 THEN '收入' ELSE '通用' END AS dir, (p_partkey % 7) * 10 AS priority FROM part),
+    t AS (SELECT DISTINCT direction, memo FROM d2),
+    best AS (SELECT direction, memo, arg_min(k, (-priority, k)) AS k FROM t JOIN p ON word <> '' AND contains(memo, word) AND (dir = '通用' OR dir = direction) GROUP BY ALL)
+    SELECT seq, txn_id, 'P' || b.k AS rule_id, p.word AS keyword FROM d2 LEFT JOIN best b USING (direction, memo) LEFT JOIN p ON p.k = b.k""")
+def tag_by_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule for each part, with a piece of its name as the keyword, through the index of grams."""
+    p, k = testdata.table(spark, sf_dir, "part"), F.col("p_partkey")
+    word = F.substring("p_name", (1 + k % 3).cast("int"), (1 + k % 6).cast("int"))
+    none = F.array().cast("array<string>")
+    table = p.select(
+        F.concat(F.lit("P"), k.cast("string")).alias("rule_id"), F.when(k % 2 == 0, "收入").otherwise("通用").alias("direction"), F.lit("银行备注").alias("scope"), word.alias("keyword"), none.alias("excludes"), none.alias("opp_any"),
+        F.lit("a").alias("label_1"), F.lit("b").alias("label_2"), word.alias("label_3"), (k % 7 * 10).cast("double").alias("priority"), k.cast("long").alias("rule_seq"),
+    ).where("keyword != ''")
+    return tagging.tag(_l2(spark, sf_dir), table, few_rules=0).select("seq", "txn_id", "rule_id", "keyword")
+
+
 # Transfers ----------------------------------------------------------------------------------------------------------
 @query(f"""
     WITH {L1} SELECT a.txn_id AS out_id, b.txn_id AS in_id, a.expense AS size FROM l1 a JOIN l1 b
@@ -558,9 +579,31 @@ def transfer_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers.candidates(_l1(spark, sf_dir)).select("out_id", "in_id", "size")
 
 
-@query()
+def greedy(ledger: str) -> str:
+    """Self-transfers in SQL: islands of amounts; in each, one outgoing leg after another takes the first free leg that fits."""
+    return f"""
+    legs AS (SELECT seq, txn_id, own_account, coalesce(own_account, '') AS account, epoch_us(txn_time) AS micros, opp_name, opp_account, income, expense FROM {ledger}),
+    amounts AS (SELECT DISTINCT x FROM (SELECT income AS x FROM legs WHERE income > 0 UNION ALL SELECT expense FROM legs WHERE expense > 0)),
+    islands AS (SELECT x, sum(start) OVER (ORDER BY x) AS island FROM (SELECT x, CASE WHEN x - lag(x) OVER (ORDER BY x) < 0.01 THEN 0 ELSE 1 END AS start FROM amounts)),
+    outs AS MATERIALIZED (SELECT island, row_number() OVER (PARTITION BY island ORDER BY seq) AS n, seq, account, micros, x FROM legs JOIN islands ON expense = x),
+    ins AS MATERIALIZED (SELECT island, seq, account, micros, x FROM legs JOIN islands ON income = x),
+    matching(island, n, used, out_seq, in_seq, size) AS (
+        SELECT DISTINCT island, 0::BIGINT, []::BIGINT[], NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE FROM outs
+        UNION ALL
+        SELECT m.island, o.n, CASE WHEN min(i.seq) IS NULL THEN any_value(m.used) ELSE list_append(any_value(m.used), min(i.seq)) END, o.seq, min(i.seq), o.x
+        FROM matching m JOIN outs o ON o.island = m.island AND o.n = m.n + 1
+        LEFT JOIN ins i ON i.island = o.island AND abs(i.x - o.x) < 0.01 AND i.account <> o.account AND (o.micros IS NULL OR abs(i.micros - o.micros) <= 259200000000) AND NOT list_contains(m.used, i.seq)
+        GROUP BY m.island, o.n, o.seq, o.x),
+    pairs AS (SELECT row_number() OVER (ORDER BY out_seq) AS nth, out_seq, in_seq, size FROM matching WHERE in_seq IS NOT NULL)"""
+
+
+@query(f"""
+    WITH RECURSIVE {L1}, {greedy('l1')},
+    own AS (SELECT seq, coalesce(opp_name IN (SELECT own_name FROM l1), false) OR coalesce(opp_account IN (SELECT own_account FROM l1), false) AS is_self FROM l1)
+    SELECT o.txn_id AS out_id, i.txn_id AS in_id, out_seq, in_seq, size, CASE WHEN a.is_self OR b.is_self THEN 0.85 ELSE 0.5 END::DOUBLE AS confidence, printf('INT-%04d', nth) AS transfer_id
+    FROM pairs JOIN l1 o ON o.seq = out_seq JOIN l1 i ON i.seq = in_seq JOIN own a ON a.seq = out_seq JOIN own b ON b.seq = in_seq""")
 def self_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Depends on load order, so SQL can't express it; tests hold it against a plain loop."""
+    """Pairs depend on load order; the SQL goes through each island's outgoing legs one by one."""
     return transfers.self_transfers(_l1(spark, sf_dir))
 
 
@@ -570,6 +613,27 @@ def own_counterparty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfers.own_marks(_l1(spark, sf_dir))
 
 
+def _why(section: str, subject: str, reason: str, advice: str = "NULL") -> str:
+    return f"SELECT '{section}' AS section, {subject} AS subject, {reason} AS reason, {advice} AS advice"
+
+
+@query(f"""
+    WITH RECURSIVE {L1}, {greedy('l1')}, {_steps('l1', 'own_account', BY_FILE)}, checks AS ({_check('own_account', 8, BY_FILE)}),
+    own AS (SELECT seq, coalesce(opp_name IN (SELECT own_name FROM l1), false) OR coalesce(opp_account IN (SELECT own_account FROM l1), false) AS is_self FROM l1),
+    g AS (SELECT count(DISTINCT source_file) AS files, bool_or(balance IS NOT NULL) AS known, row_number() OVER (ORDER BY own_account, txn_time, income NULLS FIRST, expense NULLS FIRST, balance, opp_name NULLS FIRST) AS nth FROM l1 GROUP BY {_DUP} HAVING count(*) >= 2)
+    {_why('余额断裂', 'own_account', f"'{reports.BREAK[0]}'", f"'{reports.BREAK[1]}'")} FROM checks WHERE status = '预警'
+    UNION ALL {_why('疑似重复', "printf('DUP-%04d', nth)", f"'{reports.EQUAL_ROWS}' || CASE WHEN files > 1 THEN '{reports.IN_FILES}' ELSE '{reports.IN_FILE}' END", "CASE WHEN files > 1 AND known THEN '保留一笔' ELSE '人工复核' END")} FROM g
+    UNION ALL {_why('自有账户互转', "printf('INT-%04d', nth)", f"CASE WHEN a.is_self OR b.is_self THEN '{reports.TO_SELF}' ELSE '{reports.NOT_TO_SELF}' END")} FROM pairs JOIN own a ON a.seq = out_seq JOIN own b ON b.seq = in_seq
+    UNION ALL SELECT * FROM ({_why(reports.MISSING[0], "round(100.0 * count(*) FILTER (WHERE opp_name IS NULL) / count(*))::INT || '% 交易'", f"'{reports.MISSING[1]}'", f"'{reports.MISSING[2]}'")} FROM l1 HAVING count(*) FILTER (WHERE opp_name IS NULL) > 0.3 * count(*))
+    UNION ALL SELECT * FROM ({_why(reports.CONFLICT[0], "count(*) || ' 笔'", f"'{reports.CONFLICT[1]}'", f"'{reports.CONFLICT[2]}'")} FROM l1 WHERE income > 0 AND expense > 0 HAVING count(*) > 0)
+    UNION ALL SELECT * FROM ({_why('提示', 'NULL', f"'{reports.WARN_BREAKS}'")} FROM checks WHERE status = '预警' LIMIT 1)
+    UNION ALL SELECT * FROM ({_why('提示', 'NULL', f"'{reports.WARN_GROUPS[0]}' || count(*) || '{reports.WARN_GROUPS[1]}'")} FROM g HAVING count(*) > 0)""")
+def integration_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why each finding of an integration was made, in the published words."""
+    ledger = _l1(spark, sf_dir)
+    return reports.reasons(checks.balance_check(ledger, ["own_account"]), duplicates.duplicate_groups(ledger), transfers.self_transfers(ledger), checks.missing_rate(ledger), checks.direction_conflicts(ledger))
+
+
 # Customers ----------------------------------------------------------------------------------------------------------
 @query(f"""
     WITH {L3}, g AS (SELECT own_account, count(DISTINCT customer_id) AS customers, string_agg(DISTINCT customer_id, ',' ORDER BY customer_id) AS customer_ids, count(*) AS rows FROM l3 GROUP BY own_account HAVING count(DISTINCT customer_id) > 1),

@@ -51,15 +51,25 @@ def beside(facts: DataFrame) -> DataFrame:
     return F.broadcast(facts) if facts.count() <= FEW_ROWS else facts
 
 
-def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """rows with their rank in the order, from 1, as a long. They are written and counted first. Few are ranked in one
-    task; more are dealt out by ranges and written with their part of the range, so that only the parts' sizes, a row
-    each, are summed up in one task."""
-    spark, held = rows.sparkSession, write_table(rows, "numbered")
+def in_ranges(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """rows with __part, the range of the order in which a row lies, from 0; written. They are written and counted first:
+    few rows are one part."""
+    held = write_table(rows, "rows")
     if held.count() <= FEW_ROWS:
-        return held.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = write_table(held.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "numbered")
-    before = dealt.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+        return held.withColumn("__part", F.lit(0))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return write_table(held.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranges")
+
+
+def before_parts(parts: DataFrame, value: str, name: str) -> DataFrame:
+    """parts(__part, value), a row for each part -> __part, name: the sum over the parts before."""
+    return parts.select("__part", F.coalesce(F.sum(value).over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(name))
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """rows with their rank in the order, from 1, as a long. Only the sizes of the order's ranges, a row each, are summed
+    up in one task."""
+    dealt = in_ranges(rows, order)
+    before = before_parts(dealt.groupBy("__part").agg(F.count("*").alias("__n")), "__n", "__before")
     inside = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
     return dealt.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + inside).drop("__part", "__before")

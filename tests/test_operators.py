@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook import file_queries
+from tallybrook import file_queries, tables
 from tallybrook.operators import checks, portfolio, tagging, transfers
 from tallybrook.plans import pipelines
 from tallybrook.schema import LEDGER
@@ -20,13 +20,13 @@ def ledger(spark, rows):
     return spark.createDataFrame([tuple({"seq": i, "txn_id": f"T{i}", "source_row": i, "source_file": "f"} .get(f.name) if f.name not in r else r[f.name] for f in LEDGER) for i, r in enumerate(rows)], LEDGER)
 
 
-def random_rows(seed, n=120):
+def random_rows(seed, n=120, hours=400):
     rng, start = random.Random(seed), datetime(2024, 1, 1)
     rows = []
     for _ in range(n):
         size, income = rng.randint(1, 12) / 100 + rng.choice([0, 100]), rng.random() < 0.5
         rows.append({
-            "txn_time": None if rng.random() < 0.05 else start + timedelta(hours=rng.randint(0, 400)), "own_account": f"A{rng.randint(0, 3)}", "own_name": f"N{rng.randint(0, 3)}", "opp_name": f"N{rng.randint(0, 8)}",
+            "txn_time": None if rng.random() < 0.05 else start + timedelta(hours=rng.randint(0, hours)), "own_account": f"A{rng.randint(0, 3)}", "own_name": f"N{rng.randint(0, 3)}", "opp_name": f"N{rng.randint(0, 8)}",
             "income": size if income else None, "expense": None if income else size, "balance": None if rng.random() < 0.2 else rng.randint(0, 10**5) / 100,
         })
     return rows
@@ -56,9 +56,12 @@ def test_transfers_match_a_plain_loop(spark, seed):
     assert [r["transfer_id"] for r in got] == [f"INT-{k + 1:04d}" for k in range(len(want))]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_virtual_balance_matches_a_plain_loop(spark, seed):
-    rows = random_rows(seed)
+@pytest.mark.parametrize(("seed", "few", "hours"), [(0, 50_000, 400), (1, 0, 400), (2, 0, 20)])
+def test_virtual_balance_matches_a_plain_loop(spark, monkeypatch, seed, few, hours):
+    """In one range and in several; the last with all rows on a single day."""
+    monkeypatch.setattr(tables, "FEW_ROWS", few)
+    rows = random_rows(seed, hours=hours)
+    assert tables.in_ranges(ledger(spark, rows), [F.col("txn_time"), F.col("seq")]).select("__part").distinct().count() == (1 if few else 4)
     order = sorted(range(len(rows)), key=lambda i: (rows[i]["txn_time"] or datetime(9999, 12, 31), rows[i]["own_account"], i))
     latest, want = {}, {}
     for i in order:
@@ -158,7 +161,25 @@ def test_csv_ledgers_with_a_byte_order_mark_keep_their_rows_in_order(spark, tmp_
     assert [tuple(r) for r in got] == [(k + 1, i, 1.5) for k, i in enumerate("zwxy")]
 
 
-def test_numbers_rank_the_whole(spark):
+@pytest.mark.parametrize("by", [[], ["customer_id"]])
+def test_totals_from_changes_are_totals_of_daily_balances(spark, by):
+    rows = ledger(spark, random_rows(7)).withColumn("customer_id", F.concat(F.lit("C"), (F.col("seq") % 3).cast("string")))
+    want = portfolio.daily_total(portfolio.daily_balance(rows, by), by).orderBy(*by, "day").collect()
+    assert portfolio.total_by_day(rows, by).orderBy(*by, "day").collect() == want and len(want) > 10
+
+
+def test_index_of_grams_finds_what_contains_finds(spark):
+    rng = random.Random(8)
+    word = lambda most: "".join(rng.choice("ab款甲") for _ in range(rng.randint(0, most)))
+    texts = spark.createDataFrame(sorted({("收入", "", word(9), word(3)) for _ in range(200)}), "direction string, opp_name string, memo string, note string")
+    rules = spark.createDataFrame([(f"R{k}", "other", rng.choice(["银行备注", "摘要或备注", "通用"]), word(5), [], [], "a", "b", "c", float(rng.randint(0, 9)), k) for k in range(150)], tagging.RULES)
+    few, many = (sorted(map(str, tagging.match_rules(texts, rules, few_rules=k).select("memo", "note", "rule", "hit_field").collect())) for k in (500, 0))
+    assert few == many and few
+
+
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_numbers_rank_the_whole(spark, monkeypatch, few):
+    monkeypatch.setattr(tables, "FEW_ROWS", few)
     rows = spark.range(1000).select(F.xxhash64("id").alias("x"))
     got = numbered(rows, [F.desc("x")], "n").orderBy("n").collect()
     assert [r["n"] for r in got] == list(range(1, 1001)) and [r["x"] for r in got] == sorted((r["x"] for r in got), reverse=True)
