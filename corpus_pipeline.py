@@ -1,7 +1,7 @@
 """The corpus pipeline: language ID, toxicity, exact dedup, near-dedup and packing, each on what the stage before kept.
 
-Defined results: a null or empty text, and one without a letter, goes at the first stage; where no row tells a language,
-all others stay there, and where no row is labelled, all stay at the second; very long texts pass every stage whole; of
+Defined results: a null or empty text, one without a letter, and one whose language stays open between two goes at the
+first stage; where no row tells a language, all others stay there, and where no row is labelled, all stay at the second; very long texts pass every stage whole; of
 rows that repeat, or of ids that do, exactly one row of each group of equal or similar texts stays; ties go by doc_id,
 then by the order of the rows; an empty table gives an empty result; all columns of the documents stay as they are,
 whatever their names, until packing.
@@ -26,19 +26,31 @@ def fresh(docs: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows of a batch that goes to Python, unless the session sets another number: a batch of long texts stays small.
+BATCH_ROWS, BATCH_SETTING = 500, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: list[str] | None = None) -> DataFrame:
-    """Keeps documents whose predicted language is one of `languages` (by default of those learned), so none without a
-    letter. The model learns from the rows of docs that op1 learns from; without any, the letter alone decides."""
+    """Keeps documents whose predicted language is one of `languages` (by default of those learned) and isn't ambiguous, so
+    none without a letter and none that mixes languages about evenly. The model learns from the rows of docs that op1
+    learns from; without any, the letter alone decides."""
+    small_batches(spark)
     model = lang_id.train(docs, ~lang_id.held_out())
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     names = tuple(fresh(docs, n) for n in ("lang_pred", "lang_score", "ambiguous"))
     found = lang_id.predict(docs, model, names=names)
-    return found.where(F.col(names[0]).isin(languages or model.languages)).select(*docs.columns)
+    return found.where(F.col(names[0]).isin(languages or model.languages) & ~F.col(names[2])).select(*docs.columns)
 
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that are predicted toxic. The lexicon learns from the rows of docs that op2 learns from."""
+    small_batches(spark)
     lexicon = toxicity.train(docs, read(spark, sf_dir, "labels"), ~toxicity.held_out())
     names = tuple(fresh(docs, n) for n in ("toxic_score", "toxic_pred"))
     return toxicity.predict(docs, lexicon, names=names).where(F.col(names[1]) == 0).select(*docs.columns)
@@ -52,6 +64,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
 
 def one_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps, of identical texts, one row with the largest id."""
+    small_batches(spark)
     rows, number = numbered(docs)
     kept = exact.exact_dedup(rows, row_col=number, memory_bytes=24 << 20).where("kept").groupBy("text_sha256").agg(F.min(number).alias(number))
     return rows.join(kept.select(number), number, "left_semi").select(*docs.columns)
@@ -59,6 +72,7 @@ def one_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps, of each near-duplicate class, one row with the smallest id."""
+    small_batches(spark)
     rows, number = numbered(docs)
     kept = near_dedup.near_duplicates(rows, row_col=number).where("stays")
     return rows.join(kept.select(number), number, "left_semi").select(*docs.columns)
@@ -66,6 +80,7 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset, generations."""
+    small_batches(spark)
     return packing.pack_documents(docs, vocabularies.path("byte_bpe_50k.json"), keep_segments=False)
 
 
