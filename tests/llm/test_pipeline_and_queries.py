@@ -103,3 +103,21 @@ def test_stages_keep_columns_of_any_name_and_one_row_of_each_group(spark, sf_dir
     assert corpus_pipeline.packed(spark, docs, sf_dir).count() == 2
     repeated = spark.createDataFrame([(3, "a b c d e f g"), (3, "A b c d e f g"), (3, "a b c d e f g"), (4, "a b c d e f g"), (3, "x")], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.one_of_similar(spark, repeated, sf_dir).collect()) == [3, 3]
+
+
+def test_texts_between_two_languages_go_at_the_first_stage(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {}
+    for r in docs.where("length(text) > 600").orderBy("doc_id").collect():
+        texts.setdefault(r["lang"], r["text"][:600])
+    langs = sorted(texts)
+    mixed = [(90_100 + k, texts[a] + " " + texts[b], a, "s", 1) for k, (a, b) in enumerate((a, b) for a in langs for b in langs if a < b)]
+    pure = [(90_200 + k, texts[a], a, "s", 1) for k, a in enumerate(langs)]
+    added = docs.unionByName(spark.createDataFrame(mixed + pure, docs.schema))
+    kept = corpus_pipeline.known_language(spark, added, sf_dir)
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert {i for i, *_ in pure} <= ids and any(i not in ids for i, *_ in mixed)
+    assert len(ids) >= 0.99 * docs.count()
+    only = {r["doc_id"] for r in corpus_pipeline.known_language(spark, added, sf_dir, languages=langs[:1]).select("doc_id").collect()}
+    assert 90_200 in only and not {90_201, 90_202, 90_203} & only
+    assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == str(corpus_pipeline.BATCH_ROWS)
