@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from tallybrook.operators import rules
 from tallybrook.operators.standardize import standardize
 from tallybrook.plans import pipelines, sinks
+from tallybrook.plans.workbook_sink import write_workbooks
 from tallybrook.queries import _CHECKS3, _DUP, _RULES, ACCOUNTS, BY_FILE, DAILY, L1, L2, ORACLE_SQL, QUERIES, _check, _steps, greedy, query
 from tallybrook.schema import PUBLISHED
 from tallybrook.sources import ledgers, testdata
-from tallybrook.sources.grids import read_grids, sheets_of, whole_files
+from tallybrook.sources.grids import read_grids, read_sheets, sheets_of, whole_files
 from tallybrook.tables import new_path, numbered, write_table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -291,6 +292,27 @@ def rule_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.compile_rules(rules.label_dimension(labels), words)
 
 
+@query("""
+    WITH p AS (SELECT p_partkey AS k, p_name FROM part)
+    SELECT 'R' || k AS rule_id, CASE k % 3 WHEN 0 THEN '收入' WHEN 1 THEN '支出' ELSE '其他' END AS direction, CASE WHEN k % 2 = 0 THEN '银行备注' ELSE '通用' END AS scope, p_name || ', "' || k || '"' AS keyword,
+           CASE WHEN k % 4 = 0 THEN 'small|old' ELSE '' END AS excludes, CASE WHEN k % 5 = 0 THEN '1|2' ELSE '' END AS opp_any, p_name AS label_1, 'b' AS label_2, 'c' AS label_3,
+           CASE WHEN k % 7 < 2 THEN 500 ELSE k END::DOUBLE AS priority, row_number() OVER (ORDER BY length('R' || k), 'R' || k) AS rule_seq
+    FROM p""")
+def rule_table_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule for each part, under the published column names, written with a mark and read back: lists, bad and missing
+    priorities, the scope under its older name."""
+    p, k = testdata.table(spark, sf_dir, "part"), F.col("p_partkey")
+    table = p.select(
+        F.concat(F.lit("R"), k).alias("规则编号"), F.when(k % 3 == 0, "收入").when(k % 3 == 1, "支出").otherwise("其他").alias("适用方向"), F.when(k % 2 == 0, "银行备注").otherwise("通用").alias("适用字段"),
+        F.concat("p_name", F.lit(', "'), k, F.lit('"')).alias("关键词"), F.when(k % 4 == 0, "small|old").alias("排除关键词"), F.when(k % 5 == 0, "1||2").alias("对手名称含"), F.col("p_name").alias("一级标签"), F.lit("b").alias("二级标签"), F.lit("c").alias("三级标签"),
+        F.when(k % 7 == 0, "bad").when(k % 7 > 1, k.cast("string")).alias("优先级"),
+    )
+    path = new_path(spark, "rules")
+    sinks.write_csv(table, path, names=False)
+    typed = rules.typed_rules(ledgers.read_rule_csv(spark, path))
+    return typed.withColumns({c: F.array_join(c, "|") for c in ("excludes", "opp_any")})
+
+
 @query(f"""
     WITH {L1}, c AS (SELECT 'C001' AS customer_id, 'first' AS customer_name, * FROM l1 WHERE seq % 3 = 0 UNION ALL SELECT 'X9', 'second', * FROM l1 WHERE seq % 3 = 1 UNION ALL SELECT 'C003', 'third', * FROM l1 WHERE seq % 3 = 2)
     SELECT customer_id, customer_name, txn_id, row_number() OVER (ORDER BY customer_name, seq) AS seq FROM c""")
@@ -339,6 +361,24 @@ def deliverable_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main.select(*(F.col(PUBLISHED[n]).alias(n) for n in names))
 
 
+@query(f"""
+    WITH {L1}, d AS (SELECT *, balance - coalesce(lag(balance) OVER (PARTITION BY own_account ORDER BY txn_time, source_row), 0) AS delta FROM l1),
+    v AS (SELECT *, round(sum(delta) OVER (ORDER BY txn_time, own_account, source_row ROWS UNBOUNDED PRECEDING), 2) + 0.0 AS virtual FROM d),
+    p AS (SELECT *, row_number() OVER (ORDER BY own_account, txn_time, source_file, source_row) - 1 AS k FROM v)
+    SELECT k // 3000 + 1 AS book, k % 3000 + 1 AS row_idx, txn_id, strftime(txn_time, '%Y-%m-%d %H:%M:%S') AS txn_time, own_account, income, expense, balance, virtual AS virtual_balance, source_row FROM p""")
+def deliverable_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deliverable as workbooks of 3000 rows a sheet, written by tasks and read back: its main sheet, by workbook."""
+    sheets = pipelines.deliverable("client", [("a", testdata.events_ledger(spark, sf_dir))], testdata.demo_rules(spark))
+    books = write_workbooks(sheets, new_path(spark, "deliverable"), sheet_rows=3000)
+    rows = read_sheets(spark, *books, sheet="整合打标流水").where("row_idx > 0")
+    at = {n: F.get("cells", F.lit(k)) for k, n in enumerate(sheets["整合打标流水"].columns)}
+    number = lambda n: at[PUBLISHED[n]].cast("double").alias(n)
+    return rows.select(
+        F.regexp_extract("file", r"(\d+)\.xlsx$", 1).cast("long").alias("book"), "row_idx", at[PUBLISHED["txn_id"]].alias("txn_id"), at[PUBLISHED["txn_time"]].alias("txn_time"), at[PUBLISHED["own_account"]].alias("own_account"),
+        number("income"), number("expense"), number("balance"), (at[PUBLISHED["virtual_balance"]].cast("double") + 0.0).alias("virtual_balance"), at[PUBLISHED["source_row"]].cast("long").alias("source_row"),
+    )
+
+
 @query(f"""
     WITH {L1}, {DAILY} SELECT day, acct, round(balance, 2) AS balance, total FROM daily JOIN total USING (day)""")
 def deliverable_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,6 +107,7 @@ def read_rule_csv(spark: SparkSession, path: str) -> DataFrame:
     """A rule table as texts under this library's names; older tables name the scope differently."""
     # The published columns of a rule table.
     names = {"规则编号": "rule_id", "适用方向": "direction", "依据字段": "scope", "适用字段": "scope", "关键词": "keyword", "排除关键词": "excludes", "对手名称含": "opp_any", "一级标签": "label_1", "二级标签": "label_2", "三级标签": "label_3", "优先级": "priority"}
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = raw.toDF(*(c.removeprefix("\ufeff") for c in raw.columns))
     drop = ["适用字段"] if "依据字段" in raw.columns else []
     return raw.drop(*drop).select(*(F.col(f"`{c}`").alias(names[c]) for c in raw.columns if c in names and c not in drop))

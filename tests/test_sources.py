@@ -3,6 +3,7 @@
 import csv
 import io
 import random
+import zipfile
 from datetime import datetime
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.file_queries import small_splits
 from tallybrook.operators import rules
-from tallybrook.plans import pipelines, sinks
+from tallybrook.plans import pipelines, sinks, workbook_sink
 from tallybrook.sources import grids, ledgers, testdata, textfiles, workbooks
 from tests.test_operators import ledger
 
@@ -167,6 +168,24 @@ def test_rules_compile_from_a_workbook(spark, sf_dir, tmp_path):
     assert shown(rules.compile_rules(rules.label_dimension(sheet), found)) == want and want
 
 
+def test_sheets_come_back_from_workbooks_in_order(spark, tmp_path):
+    rows = [(k, f"t{k}", k / 4, datetime(2024, 1, 1, 0, 0, k % 60), k % 2 == 0, None) for k in range(250)]
+    rows[3] = (10**17, "a\r\n<&> \x0b\"'", 1e300, None, None, "x" * 40_000)
+    main = spark.createDataFrame(rows, "id long, name string, amount double, at timestamp_ntz, flag boolean, note string").repartition(5).orderBy("id")
+    none = spark.createDataFrame([], "only string")
+    books = workbook_sink.write_workbooks({"main/流水": main, "none": none}, str(tmp_path / "out"), sheet_rows=100)
+    assert [b.rpartition("/")[2] for b in books] == ["1.xlsx", "2.xlsx", "3.xlsx"]
+    back = grids.read_sheets(spark, str(tmp_path / "out")).orderBy("file", "sheet_idx", "row_idx").collect()
+    assert {r["sheet"] for r in back} == {"main_流水", "none"}
+    assert [r["cells"] for r in back if r["sheet"] == "none"] == [["only"]]
+    got = [r["cells"] for r in back if r["sheet"] == "main_流水" and r["row_idx"] > 0]
+    want = [[str(i), name, str(int(x)) if x == int(x) else repr(x), str(t), str(flag), None] for i, name, x, t, flag, _ in sorted(rows, key=lambda r: r[0]) if i < 10**15]
+    assert got[:-1] == want
+    assert got[-1] == [str(10**17), "a\r\n<&> \"'", str(int(1e300)), None, None, "x" * 32_767]
+    with zipfile.ZipFile(books[0].removeprefix("file:")) as book:
+        assert book.testzip() is None and "[Content_Types].xml" in book.namelist()
+
+
 TEXTS = ["plain", "one\ntwo", 'a "quoted", text', "\r\n", " blanks ", "# no comment", "\n\n", "tail\\", "甲，乙", None, ",", '"']
 
 
