@@ -6,6 +6,12 @@ without a gap of more than the allowed days; so each such run is matched by itse
 pairs: inside a run, free incoming legs wait in queues by amount, slot of time and account, and an outgoing leg looks at
 the heads of the queues only.
 
+A long run is cut into slots of the allowed days. As both sides prefer the earlier leg, the greedy matching is the one
+stable matching, which deferred acceptance finds in any order of proposals: each slot matches its outgoing legs with the
+incoming ones of its own and the two next slots; an incoming leg that several slots claim keeps the earliest outgoing
+one; and the slots that lost a leg match again, where legs that others hold take none but earlier ones. Rounds go on
+until no claim is lost. So a task holds three slots of a run.
+
 `candidates` lists the pairs that the amounts, times and accounts allow, for reports."""
 
 from __future__ import annotations
@@ -20,13 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.schema import TOLERANCE
-from tallybrook.tables import numbered, write_table
+from tallybrook.tables import beside, drop_table, numbered, write_table
 
 DAYS = 3
 DAY = 86_400_000_000
 BLOCK = 4096
 #: A slot of time is this part of the days that two legs may lie apart.
 SLOTS = 12
+#: A run of more legs is matched by slots, in rounds.
+LONG_RUN = 20_000
 
 
 def legs(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -140,47 +148,95 @@ class Waiting:
             del self.heads[at], self.queues[at]
 
 
-def matched_run(out: list[tuple], into: dict[float, list[tuple]], reach: int) -> list[tuple]:
-    """out: (seq, micros, account, txn_id, size); into: legs by amount. Pairs of outgoing and incoming legs."""
+def matched_run(out: list[tuple], into: dict[float, list[tuple]], reach: int, held: dict[int, int] | None = None) -> list[tuple]:
+    """out: (seq, micros, account, txn_id, size); into: legs by amount. Pairs of outgoing and incoming legs. held: of
+    incoming legs (by seq) the outgoing one that another slot has for it; only earlier ones may take it."""
     waiting = {size: Waiting(legs, max(1, reach // SLOTS)) for size, legs in into.items()}
-    pairs = []
+    closing = [(held[leg[0]], leg, size) for size, legs in into.items() for leg in legs if leg[0] in held] if held else []
+    heapify(closing)
+    pairs, taken = [], set()
     for leg in sorted(out, key=lambda x: x[0]):
+        while closing and closing[0][0] < leg[0]:
+            _, gone, size = heappop(closing)
+            if gone[0] not in taken:
+                waiting[size].take(gone)
         near = [(found, size) for size, w in waiting.items() if abs(size - leg[4]) < TOLERANCE and (found := w.first(leg[2], leg[1], reach))]
         if near:
             found, size = min(near, key=lambda x: x[0][:2])
             waiting[size].take(found)
+            taken.add(found[0])
             pairs.append((leg, found))
     return pairs
 
 
+PAIRS = "island long, run long, home long, out_seq long, in_seq long, out_id string, in_id string, size double"
+
+
 def _match(days: int):
-    columns = ("island", "run", "side", "seq", "micros", "account", "txn_id", "size")
+    columns = ("island", "run", "home", "side", "seq", "micros", "account", "txn_id", "size", "held")
     whole = lambda x: None if x is None or x != x else int(x)
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = (row for pdf in pdfs for row in zip(*(pdf[c].tolist() for c in columns)))
-        for _, legs_of in groupby(rows, key=lambda r: (r[0], whole(r[1]))):
-            out, into = [], defaultdict(list)
-            for n, (_, _, side, seq, micros, account, txn, size) in enumerate(legs_of):
+        for (island, part, home), legs_of in groupby(rows, key=lambda r: (r[0], whole(r[1]), whole(r[2]))):
+            out, into, held = [], defaultdict(list), {}
+            for n, (*_, side, seq, micros, account, txn, size, holder) in enumerate(legs_of):
                 if side == "o":
                     out.append((seq, whole(micros), account, txn, size))
                 else:
                     into[size].append((seq, n, whole(micros), account, txn))
-            if pairs := matched_run(out, into, days * DAY):
-                yield pd.DataFrame([(o[0], i[0], o[3], i[4], o[4]) for o, i in pairs], columns=["out_seq", "in_seq", "out_id", "in_id", "size"])
+                    if whole(holder) is not None:
+                        held[seq] = int(holder)
+            if pairs := matched_run(out, into, days * DAY, held):
+                yield pd.DataFrame([(island, part, home, o[0], i[0], o[3], i[4], o[4]) for o, i in pairs], columns=PAIRS.replace(",", "").split()[::2]).astype({"run": "Int64", "home": "Int64"})
 
     return run
 
 
-def self_transfers(ledger: DataFrame, self_accounts: list[str] | None = None, days: int = DAYS) -> DataFrame:
-    """out_id, in_id, size, confidence (0.85 if a leg's counterparty is an own name or account, else 0.5), transfer_id."""
-    # whole runs lie side by side in a partition, and a task holds one run at a time
-    dealt = runs(ledger, days).repartition("island", "run").sortWithinPartitions("island", "run")
-    matched = write_table(dealt.mapInPandas(_match(days), "out_seq long, in_seq long, out_id string, in_id string, size double"), "matched")
+def _matched(legs: DataFrame, days: int) -> DataFrame:
+    """Whole groups lie side by side in a partition, and a task holds one at a time."""
+    keys = ["island", "run", "home"]
+    return legs.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_match(days), PAIRS)
+
+
+def _by_slots(legs: DataFrame, days: int) -> tuple[DataFrame, int]:
+    """Pairs of long runs, and the rounds that it took."""
+    keys = ["island", "run", "home"]
+    slot = F.floor(F.col("micros") / (days * DAY))
+    seen_by = F.when(F.col("side") == "o", F.array(slot)).otherwise(F.array(slot - 1, slot, slot + 1))
+    blocks = write_table(legs.withColumn("home", F.explode(seen_by)), "slots")
+    claims = write_table(_matched(blocks.withColumn("held", F.lit(None).cast("long")), days), "claims")
+    rounds = 1
+    while True:
+        holders = claims.groupBy("in_seq").agg(F.min(F.struct("out_seq", "home")).alias("h")).select("in_seq", F.col("h.out_seq").alias("first"), F.col("h.home").alias("of"))
+        lost = write_table(claims.join(holders, "in_seq").where("out_seq != first").select(*keys).distinct(), "lost")
+        if lost.isEmpty():
+            return claims, rounds
+        again = blocks.join(beside(lost), keys, "left_semi")
+        known = again.join(holders, again.seq == holders.in_seq, "left").withColumn("held", F.when((F.col("side") == "i") & (F.col("of") != F.col("home")), F.col("first"))).drop("in_seq", "first", "of")
+        kept = claims.join(beside(lost), keys, "left_anti")
+        newer = write_table(kept.unionByName(_matched(known, days)), "claims")
+        drop_table(claims)
+        claims, rounds = newer, rounds + 1
+
+
+def self_transfers(ledger: DataFrame, self_accounts: list[str] | None = None, days: int = DAYS, long_run: int = LONG_RUN) -> DataFrame:
+    """out_id, in_id, size, confidence (0.85 if a leg's counterparty is an own name or account, else 0.5), transfer_id.
+    Runs of more than long_run legs, all with times, go by slots."""
+    placed = write_table(runs(ledger, days), "runs")
+    long = write_table(placed.where("run is not null").groupBy("island", "run").agg(F.count("*").alias("n")).where(F.col("n") > long_run).select("island", "run"), "long")
+    rest = placed.withColumns({"home": F.lit(None).cast("long"), "held": F.lit(None).cast("long")})
+    if long.isEmpty():
+        matched, rounds = write_table(_matched(rest, days), "matched"), 0
+    else:
+        by_slots, rounds = _by_slots(placed.join(beside(long), ["island", "run"], "left_semi"), days)
+        matched = write_table(_matched(rest.join(beside(long), ["island", "run"], "left_anti"), days).unionByName(by_slots), "matched")
     own = own_marks(ledger, self_accounts)
     marks = matched.join(own.select(F.col("seq").alias("out_seq"), F.col("is_self").alias("a")), "out_seq", "left").join(own.select(F.col("seq").alias("in_seq"), F.col("is_self").alias("b")), "in_seq", "left")
     ranked = numbered(marks, [F.col("out_seq")], "_rank")
-    return ranked.select("out_id", "in_id", "out_seq", "in_seq", "size", F.when(F.coalesce("a", F.lit(False)) | F.coalesce("b", F.lit(False)), 0.85).otherwise(0.5).alias("confidence"), F.format_string("INT-%04d", "_rank").alias("transfer_id"))
+    found = ranked.select("out_id", "in_id", "out_seq", "in_seq", "size", F.when(F.coalesce("a", F.lit(False)) | F.coalesce("b", F.lit(False)), 0.85).otherwise(0.5).alias("confidence"), F.format_string("INT-%04d", "_rank").alias("transfer_id"))
+    found.rounds = rounds
+    return found
 
 
 def own_marks(ledger: DataFrame, self_accounts: list[str] | None = None) -> DataFrame:

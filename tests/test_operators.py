@@ -47,11 +47,12 @@ def plain_transfers(rows):
     return want
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_transfers_match_a_plain_loop(spark, seed):
+@pytest.mark.parametrize(("seed", "long_run"), [(0, 20_000), (1, 0), (2, 5)])
+def test_transfers_match_a_plain_loop(spark, seed, long_run):
+    """Run by run, and by slots of time."""
     rows = random_rows(seed)
     want = plain_transfers(rows)
-    got = transfers.self_transfers(ledger(spark, rows)).orderBy("out_seq").collect()
+    got = transfers.self_transfers(ledger(spark, rows), long_run=long_run).orderBy("out_seq").collect()
     assert [(r["out_seq"], r["in_seq"]) for r in got] == want
     assert [r["transfer_id"] for r in got] == [f"INT-{k + 1:04d}" for k in range(len(want))]
 
@@ -141,8 +142,39 @@ def test_an_island_of_very_many_legs(spark):
     for _ in range(1500):
         income = rng.random() < 0.5
         rows.append({"txn_time": start + timedelta(minutes=rng.randint(0, 30_000)), "own_account": rng.choice(["A", "A", "B", "C", "D", "E"]), "income": 9.99 if income else None, "expense": None if income else 9.99})
-    got = transfers.self_transfers(ledger(spark, rows)).orderBy("out_seq").collect()
-    assert [(r["out_seq"], r["in_seq"]) for r in got] == plain_transfers(rows)
+    want = plain_transfers(rows)
+    for long_run in (20_000, 100):
+        found = transfers.self_transfers(ledger(spark, rows), long_run=long_run)
+        assert [(r["out_seq"], r["in_seq"]) for r in found.orderBy("out_seq").collect()] == want
+        assert (found.rounds == 0) == (long_run == 20_000)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_slots_in_any_order_give_the_greedy_pairs(seed):
+    """Deferred acceptance over slots, round by round, without Spark; load order and time have nothing to do with each other."""
+    rng, reach = random.Random(seed), 10
+    legs = [(k, rng.randint(0, 90), rng.choice("ABC"), f"T{k}", 1.0, rng.random() < 0.5) for k in range(60)]
+    outs, ins = [x[:5] for x in legs if x[5]], [(x[0], x[0], x[1], x[2], x[3]) for x in legs if not x[5]]
+    want = {(o[0], i[0]) for o, i in transfers.matched_run(outs, {1.0: ins}, reach)}
+    claims, active, rounds = {}, {o[1] // reach for o in outs}, 0
+    while active:
+        rounds += 1
+        holders = {}
+        for home, pairs in claims.items():
+            for o, i in pairs:
+                holders[i] = min(holders.get(i, (10**9, home)), (o, home))
+        new = {}
+        for home in active:
+            own = [i for i in ins if home - 1 <= i[2] // reach <= home + 1]
+            held = {i: o for i, (o, h) in holders.items() if h != home}
+            new[home] = [(o[0], i[0]) for o, i in transfers.matched_run([o for o in outs if o[1] // reach == home], {1.0: own}, reach, held)]
+        claims |= new
+        first = {}
+        for pairs in claims.values():
+            for o, i in pairs:
+                first[i] = min(first.get(i, o), o)
+        active = {home for home, pairs in claims.items() if any(first[i] != o for o, i in pairs)}
+    assert {p for pairs in claims.values() for p in pairs} == want and rounds < 20
 
 
 def test_transfers_of_files_follow_their_load_order(spark, sf_dir):
