@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -43,6 +44,33 @@ def test_rare_languages_stay_in_the_sample(spark):
     assert lang_id.train(docs, F.lit(True), max_languages=1).languages == ["aa"]
 
 
+def plain_decode(model, text):
+    """The language and score of a short text, byte by byte and codeword by codeword."""
+    data = [b if b > 127 or chr(b).isalpha() else 32 for b in f" {text.lower()} ".encode()]
+    wrap, total, n = (1 << 32) - 1, [0.0] * len(model.bias), 0
+    for i in range(len(data) - 1):
+        two = data[i] * 257 + data[i + 1]
+        slots = [(two * 2246822519 & wrap) >> 32 - lang_id.BITS]
+        if i + 2 < len(data):
+            slots.append(((two * 65599 + data[i + 2] & wrap) * 2654435761 & wrap) >> 32 - lang_id.BITS)
+        for slot in slots:
+            total = [t + float(w) for t, w in zip(total, model.weights[slot])]
+            n += 1
+    margins = [t / n + float(b) for t, b in zip(total, model.bias)]
+    losses = [sum(math.log1p(math.exp(-2 * bit * m)) for bit, m in zip(code, margins)) for code in model.code.tolist()]
+    best = losses.index(min(losses))
+    return model.languages[best], 1 / sum(math.exp(losses[best] - x) for x in losses)
+
+
+def test_predictions_match_a_plain_decode(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = lang_id.train(docs, ~lang_id.held_out())
+    some = docs.withColumn("text", F.substring("text", 1, 80)).where("text rlike '[a-zA-Z]'").orderBy("doc_id").limit(60)
+    for r in lang_id.predict(some, model).collect():
+        lang, score = plain_decode(model, r["text"])
+        assert (r["lang_pred"], r["score"]) == (lang, pytest.approx(score, rel=1e-4))
+
+
 def test_ties_numbers_and_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "ka lo", "aa", "x", "y"), (2, "½ ² 12", "aa", "x", "y")], "doc_id long, text string, lang string, lang_pred string, __text string")
     got = {r["doc_id"]: r for r in lang_id.predict(docs, lang_id.Model(["b", "a"][::-1], np.ones((2, lang_id.DIM)))).collect()}
