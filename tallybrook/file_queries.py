@@ -379,6 +379,20 @@ def deliverable_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    WITH {FROM_FILES}, s AS (SELECT *, CASE source_file WHEN 'f0.csv' THEN '甲' ELSE '乙/丙' END AS subject FROM fl WHERE source_file IN ('f0.csv', 'f1.csv'))
+    SELECT subject AS subject_name, own_account, count(*) AS rows, round(sum(coalesce(income, 0)), 2) AS income, round(sum(coalesce(expense, 0)), 2) AS expense FROM s GROUP BY ALL""")
+def deliverable_of_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two subjects' folders of text files to workbooks, read back: rows and amounts by subject and account."""
+    path = statements(spark, sf_dir)
+    sheets, _ = pipelines.deliverable_of_files(spark, "客户: x", [f"甲:{path}/n=0:对公", f"乙/丙:{path}/n=1"], testdata.demo_rules(spark))
+    books = pipelines.write_deliverable("客户: x", sheets, new_path(spark, "out"))
+    at = {n: F.get("cells", F.lit(sheets["整合打标流水"].columns.index(PUBLISHED[n]))) for n in ("subject_name", "own_account", "income", "expense")}
+    rows = read_sheets(spark, *books, sheet="整合打标流水").where("row_idx > 0").select(*(c.alias(n) for n, c in at.items()))
+    total = lambda n: F.bround(F.sum(F.coalesce(F.col(n).cast("double"), F.lit(0.0))), 2).alias(n)
+    return rows.groupBy("subject_name", "own_account").agg(F.count("*").alias("rows"), total("income"), total("expense"))
+
+
 @query(f"""
     WITH {L1}, {DAILY} SELECT day, acct, round(balance, 2) AS balance, total FROM daily JOIN total USING (day)""")
 def deliverable_daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tallybrook.functions.money import quality_score
 from tallybrook.operators import checks, customers, duplicates, portfolio, reports, rules, tagging, transfers
 from tallybrook.operators.standardize import standardize
+from tallybrook.plans import sinks
+from tallybrook.plans.workbook_sink import write_workbooks
 from tallybrook.schema import CANONICAL, DELIVERABLE, TAGS, published
 from tallybrook.sources import ledgers
 from tallybrook.sources.grids import scan_files
@@ -83,6 +85,37 @@ def deliverable(client: str, subjects: list[tuple[str, DataFrame]], rule_table:
     }
 
 
+def subject_spec(spec: str) -> tuple[str, str, str | None]:
+    """Name, path and account type (or none) of `name:path[:type]`. A path may have a scheme and a port: what follows the
+    last colon is a type only if it holds no separator of paths."""
+    name, _, rest = spec.partition(":")
+    path, _, kind = rest.rpartition(":")
+    if not name or not rest:
+        raise ValueError(f"{spec!r} isn't name:path[:type]")
+    return (name, path, kind or None) if path and "/" not in kind else (name, rest, None)
+
+
+def deliverable_of_files(spark: SparkSession, client: str, specs: list[str], rule_table: DataFrame, **options) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The sheets of a client from raw files, and a report row per file. specs: subjects as `name:path[:type]`, whose name
+    is the own name of their rows; or one path without a name, where names come from the files."""
+    parts, reports_of = [], []
+    for spec in specs:
+        name, path, kind = subject_spec(spec) if len(specs) > 1 or ":" in spec and not spec.startswith("/") else (None, spec, None)
+        ledger, files = standardize_files(spark, path, customer=name, account_type=kind, **options)
+        parts.append((name or client, write_table(ledger, "ledger")))
+        reports_of.append(files.withColumn("subject", F.lit(name or client)))
+    return deliverable(client, parts, rule_table), ledgers.union_all(reports_of)
+
+
+def write_deliverable(client: str, sheets: dict[str, DataFrame], out_dir: str) -> list[str]:
+    """The sheets as workbooks in the client's folder below out_dir, which is wiped first; the paths of the workbooks."""
+    spark = next(iter(sheets.values())).sparkSession
+    folder = f"{out_dir.rstrip('/')}/{sinks.safe_name(client)}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return write_workbooks(sheets, folder)
+
+
 def one_customer(spark: SparkSession, customer: str, folder: str, rule_table: DataFrame, self_accounts: list[str] | None = None, **options) -> dict[str, dict[str, DataFrame]]:
     """Raw folder to all reports of one customer."""
     ledger, files = standardize_files(spark, folder, customer=customer, **options)

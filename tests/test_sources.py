@@ -186,6 +186,21 @@ def test_sheets_come_back_from_workbooks_in_order(spark, tmp_path):
         assert book.testzip() is None and "[Content_Types].xml" in book.namelist()
 
 
+@pytest.mark.parametrize(("spec", "parts"), [("甲:/a/b", ("甲", "/a/b", None)), ("甲:/a/b:对公", ("甲", "/a/b", "对公")), ("x:hdfs://h:9000/d", ("x", "hdfs://h:9000/d", None)), ("x:hdfs://h:9000/d:个人", ("x", "hdfs://h:9000/d", "个人"))])
+def test_subjects_by_name_path_and_type(spec, parts):
+    assert pipelines.subject_spec(spec) == parts
+
+
+def test_a_clients_folder_is_wiped_and_its_name_made_safe(spark, tmp_path):
+    folder = tmp_path / "a_b"
+    folder.mkdir()
+    (folder / "stale.xlsx").write_bytes(b"x")
+    books = pipelines.write_deliverable("a/b", {"s": spark.range(3).toDF("n")}, str(tmp_path))
+    assert [p.name for p in folder.iterdir() if not p.name.startswith(".")] == ["1.xlsx"] and books == [f"{folder}/1.xlsx"]
+    with pytest.raises(ValueError, match="name:path"):
+        pipelines.subject_spec("only")
+
+
 TEXTS = ["plain", "one\ntwo", 'a "quoted", text', "\r\n", " blanks ", "# no comment", "\n\n", "tail\\", "甲，乙", None, ",", '"']
 
 
