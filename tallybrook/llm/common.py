@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.tables import drop_table, write_table
 
-__all__ = ["Memo", "drop_table", "fold", "hot_keys", "matrix_of", "read", "spread_join", "whole_vectors", "write_table"]
+__all__ = ["Memo", "drop_table", "fold", "hot_keys", "matrix_of", "read", "spread_join", "tidy", "whole_vectors", "write_table"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -58,6 +61,22 @@ def matrix_of(lists: pa.Array) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
 
 
+def tidy(run):
+    """run, a function of a task's batches, whose worker gives memory back to the system at its end: Python, Arrow and the
+    C library keep what they have freed, and a reused worker would hold the most that any stage before has needed."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return wrapped
+
+
 class Memo(dict):
     """A dict that computes what it lacks, and starts anew when it holds `most` entries."""
 

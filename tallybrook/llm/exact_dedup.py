@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybrook.llm.common import tidy
+
 NONE = -(2**63)
 _RECORD = struct.Struct("<Iqq")
 FAN_OUT_BITS, MAX_DEPTH = 4, 12
@@ -162,8 +164,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     number = [row_col] if row_col else []
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("content"), *number)
-    parts = rows.select("doc_id", "content").mapInArrow(_combine(memory_bytes // 2), "digest binary, content binary, n long, top long")
-    classes = parts.repartition("digest").select("content", "n", "top").mapInArrow(_bucket(memory_bytes), "digest binary, n long, top long")
+    parts = rows.select("doc_id", "content").mapInArrow(tidy(_combine(memory_bytes // 2)), "digest binary, content binary, n long, top long")
+    classes = parts.repartition("digest").select("content", "n", "top").mapInArrow(tidy(_bucket(memory_bytes)), "digest binary, n long, top long")
     classes = classes.select("digest", F.col("n").alias("group_size"), F.when(F.col("top") != NONE, F.col("top")).alias("keep_id"))
     members = rows.select("doc_id", *number, F.unhex(F.sha2("content", 256)).alias("digest"))
     return members.join(classes, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), *number)

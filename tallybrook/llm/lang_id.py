@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import fold
+from tallybrook.llm.common import fold, tidy
 
 BITS = 15
 DIM = 1 << BITS
@@ -117,7 +117,7 @@ def train(docs: DataFrame, training: Column, text_col: str = "text", lang_col: s
     rate = docs.sparkSession.createDataFrame(rates, f"lang {docs.schema[lang_col].dataType.simpleString()}, rate long")
     rows = rows.join(F.broadcast(rate), "lang").where(F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30)) < F.col("rate"))
     found: dict[str, np.ndarray] = {}
-    for r in rows.select("text", F.col("lang").cast("string").alias("lang")).repartition(parts).mapInPandas(_histograms, "lang string, h array<double>").toLocalIterator():
+    for r in rows.select("text", F.col("lang").cast("string").alias("lang")).repartition(parts).mapInPandas(tidy(_histograms), "lang string, h array<double>").toLocalIterator():
         found[r["lang"]] = found.get(r["lang"], 0) + np.array(r["h"])
     languages = sorted(found)
     return Model(languages, np.array([found[x] for x in languages]).reshape(len(languages), DIM))
@@ -143,7 +143,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", gap: float =
             yield pa.record_batch([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(flags, pa.bool_())], names=[*batch.schema.names, *names])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` boolean")
+    return docs.mapInArrow(tidy(run), f"{schema}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` boolean")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import drop_table, hot_keys, spread_join, write_table
+from tallybrook.llm.common import drop_table, hot_keys, spread_join, tidy, write_table
 
 WORDS = 5
 M, ROWS = 96, 4
@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), (F.col(row_col).cast("long") if row_col else F.xxhash64(F.col(id_col).cast("long"), text)).alias("row"))
-    signed = write_table(rows.select("doc_id", "row", "text").mapInArrow(_sign, "doc_id long, row long, node binary, n long, sig array<int>, bands array<long>"), "signed")
+    signed = write_table(rows.select("doc_id", "row", "text").mapInArrow(tidy(_sign), "doc_id long, row long, node binary, n long, sig array<int>, bands array<long>"), "signed")
     # one row stands for the rows of equal multisets
     nodes = write_table(signed.where("n > 0").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
     banded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
@@ -285,7 +285,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         """node, elements of the nodes in `some`. The texts come from docs again, only those of candidates."""
         wanted = write_table(some.select("node").distinct().join(nodes.select("node", "row"), "node"), "wanted")
         found = rows.select("row", "text").join(F.broadcast(wanted) if wanted.count() <= broadcast_rows else wanted, "row")
-        return write_table(found.select("node", "text").mapInArrow(_sets, "node binary, elements array<long>"), "sets").dropDuplicates(["node"])
+        return write_table(found.select("node", "text").mapInArrow(tidy(_sets), "node binary, elements array<long>"), "sets").dropDuplicates(["node"])
 
     stars = spread_join(shared.select("bucket", "node"), leaders, "bucket", hot).select("node", F.explode(F.array("first", "last")).alias("leader")).where("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     pairs = write_table(alike(stars), "pairs")

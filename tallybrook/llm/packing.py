@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import write_table
+from tallybrook.llm.common import tidy, write_table
 from tallybrook.llm.token_counts import LATIN, segment_pattern
 
 Bin = list[int]
@@ -270,7 +270,7 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 0, capacity: int =
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cut_up = rows.mapInArrow(_pieces(path, end_id, capacity, keep_segments), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    cut_up = rows.mapInArrow(tidy(_pieces(path, end_id, capacity, keep_segments)), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
     # the item numbers of the written table hold from then on
     pieces = write_table(cut_up.withColumn("item", F.monotonically_increasing_id()), "pieces")
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]

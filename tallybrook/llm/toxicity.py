@@ -243,15 +243,16 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample_rows: int
     # A word counts for its match, and for its open term too; each round either makes some void or is the last.
     void = None
     while void != (void := lexicon.void()):
-        leaning = rows.select("text", "toxic").mapInPandas(seen_hits, "term string, edits int, toxic int").groupBy("term", "edits").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+        leaning = rows.select("text", "toxic").mapInPandas(tidy(seen_hits), "term string, edits int, toxic int").groupBy("term", "edits").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
         for r in leaning.select("term", "edits", odds.alias("odds"), clear.alias("clear")).collect():
             lexicon.weights[r["term"], r["edits"]] = r["odds"] if r["clear"] else 0.0
 
     def totals(pdfs):
         for pdf in pdfs:
             yield pd.DataFrame({"x": [math.log1p(lexicon.hits(t)) for t in pdf["text"]], "toxic": pdf["toxic"].astype("int32")})
+        lexicon._memo = None
 
-    seen = rows.select("text", "toxic").mapInPandas(totals, "x double, toxic int").groupBy(F.round("x", 2).alias("x"), "toxic").count().collect()
+    seen = rows.select("text", "toxic").mapInPandas(tidy(totals), "x double, toxic int").groupBy(F.round("x", 2).alias("x"), "toxic").count().collect()
     lexicon.slope, lexicon.offset = logistic(np.array([r["x"] for r in seen]), np.array([r["toxic"] for r in seen]), np.array([r["count"] for r in seen], float))
     return lexicon
 
@@ -278,9 +279,10 @@ def predict(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", names: tu
         for batch in batches:
             scores = pa.array([lexicon.score(t.as_py()) for t in batch.column(at)], pa.float64())
             yield pa.record_batch([*batch.columns, scores], names=[*batch.schema.names, names[0]])
+        lexicon._memo = None
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, `{names[0]}` double").withColumn(names[1], (F.col(f"`{names[0]}`") >= 0.5).cast("int"))
+    return docs.mapInArrow(tidy(run), f"{schema}, `{names[0]}` double").withColumn(names[1], (F.col(f"`{names[0]}`") >= 0.5).cast("int"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
