@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import Memo, fold, write_table
+from tallybrook.llm.common import Memo, fold, tidy, write_table
 
 WORD = re.compile(r"\w+")
 QUOTES = "\"“”„«»‹›‘"
