@@ -264,12 +264,14 @@ def best_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledgers.read_csv_ledgers(spark, best).groupBy(F.lit(best.rpartition("/")[2]).alias("name")).agg(F.count("*").alias("rows"))
 
 
-@query(f"WITH {_RULES.split('x AS (')[0].rstrip().rstrip(',')} SELECT rule_id, dir AS direction, scope, keyword, excludes, opp_any, l1_ AS label_1, l2_ AS label_2, l3_ AS label_3, priority::DOUBLE AS priority, row_number() OVER (ORDER BY rule_id) AS rule_seq FROM rules")
+@query(f"WITH {_RULES.split('x AS (')[0].rstrip().rstrip(',')}, own AS (SELECT r.* REPLACE (rule_id || '-' || s_suppkey AS rule_id) FROM rules r JOIN supplier ON right(rule_id, 1)::INT = s_suppkey % 8 + 1) SELECT rule_id, dir AS direction, scope, keyword, excludes, opp_any, l1_ AS label_1, l2_ AS label_2, l3_ AS label_3, priority::DOUBLE AS priority, row_number() OVER (ORDER BY length(rule_id), rule_id) AS rule_seq FROM own")
 def rule_table_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rule table under its published column names, written and read back; the scope under its older name."""
+    """A rule for each supplier under the published column names, written and read back; the scope under its older name."""
     names = {"rule_id": "规则编号", "direction": "适用方向", "scope": "适用字段", "keyword": "关键词", "excludes": "排除关键词", "opp_any": "对手名称含", "label_1": "一级标签", "label_2": "二级标签", "label_3": "三级标签", "priority": "优先级"}
     path = new_path(spark, "rules")
-    testdata.demo_rules(spark).select(*(F.col(c).alias(n) for c, n in names.items())).write.option("header", True).csv(path)
+    suppliers = testdata.table(spark, sf_dir, "supplier").select("s_suppkey", F.format_string("R%04d", F.col("s_suppkey") % 8 + 1).alias("rule_id"))
+    own = suppliers.join(testdata.demo_rules(spark), "rule_id").withColumn("rule_id", F.concat_ws("-", "rule_id", "s_suppkey"))
+    own.select(*(F.col(c).alias(n) for c, n in names.items())).write.option("header", True).csv(path)
     typed = rules.typed_rules(ledgers.read_rule_csv(spark, path))
     joined = {c: F.array_join(c, "|") for c in ("excludes", "opp_any")}
     return typed.withColumns(joined).withColumn("direction", F.when(F.col("direction") == "other", "通用").otherwise(F.col("direction")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.tables import numbered
+from tallybrook.tables import beside, numbered, write_table
 
 # What is advised about a group.
 KEEP, REVIEW = "保留一笔", "人工复核"
@@ -32,6 +32,20 @@ def duplicate_groups(ledger: DataFrame, keys: list[str] | None = None) -> DataFr
     return named(found, [F.asc_nulls_first(k) for k in keys], "DUP-%04d")
 
 
+def duplicate_members(ledger: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The groups of duplicate_groups as a row for each of their rows, in place of lists of ids, which a group of any size
+    allows: group_id, size, files, nth (in load order), with the row's seq, txn_id and source_file. A group of a third of
+    all rows is numbered by ranges of the order."""
+    keys = keys or DUPLICATE_KEYS
+    groups = ledger.groupBy(*keys).agg(F.count("*").alias("size"), F.count_distinct("source_file").alias("files")).where("size >= 2")
+    groups = write_table(named(groups, [F.asc_nulls_first(k) for k in keys], "DUP-%04d").select(*(F.col(k).alias(f"_{k}") for k in keys), "size", "files", "group_id"), "groups")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    rows = ledger.join(beside(groups), same).select("group_id", "size", "files", "seq", "txn_id", "source_file")
+    ranked = write_table(numbered(rows, [F.col("group_id"), F.col("seq"), F.col("txn_id")], "_rank"), "members")
+    first = ranked.groupBy("group_id").agg(F.min("_rank").alias("_first"))
+    return ranked.join(beside(write_table(first, "first")), "group_id").withColumn("nth", F.col("_rank") - F.col("_first") + 1).drop("_rank", "_first")
+
+
 def cross_customer_fingerprints(ledger: DataFrame, limit: int | None = None) -> DataFrame:
     """Groups of rows of several customers that agree in time, amounts, balance and counterparty."""
     groups = ledger.where(F.col("txn_time").isNotNull()).groupBy(*FINGERPRINT).agg(F.count("*").alias("size"), F.count_distinct("customer_id").alias("customers"), F.array_join(F.sort_array(F.collect_set("customer_id")), ",").alias("customer_ids"), joined_ids().alias("txn_ids"))

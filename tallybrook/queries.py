@@ -149,17 +149,19 @@ def parse_datetime_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 HEADERS = ["交易日期", "对方户名", "金额", "开户名", "记账时间", "借方发生额（支取）", "本 次余额", "无关列", "nan", "", "摘要信息", "渠道", "客户附言", "交易对手账号"]
 _SYN = ", ".join(f"({i}, '{'交易时间' if f == '交易时间戳' else f}', '{w}')" for i, (f, ws) in enumerate(SYNONYMS) for w in ws)
-_HEADS = ", ".join(f"('{h}')" for h in HEADERS)
+_HEADS = ", ".join(f"'{h}'" for h in HEADERS)
 
 
 @query(f"""
-    WITH syn(ord, field, word) AS (VALUES {_SYN}), heads(raw) AS (VALUES {_HEADS}),
-    h AS (SELECT raw, replace(replace(regexp_replace(raw, '\\s+', '', 'g'), '（', '('), '）', ')') AS h FROM heads)
-    SELECT raw, (SELECT field FROM syn WHERE h.h <> '' AND lower(h.h) <> 'nan' AND (contains(h.h, word) OR contains(word, h.h))
+    WITH syn(ord, field, word) AS (VALUES {_SYN}), heads AS (SELECT s_suppkey, [{_HEADS}][s_suppkey % {len(HEADERS)} + 1] AS raw FROM supplier),
+    h AS (SELECT s_suppkey, raw, replace(replace(regexp_replace(raw, '\\s+', '', 'g'), '（', '('), '）', ')') AS h FROM heads)
+    SELECT s_suppkey, raw, (SELECT field FROM syn WHERE h.h <> '' AND lower(h.h) <> 'nan' AND (contains(h.h, word) OR contains(word, h.h))
                  ORDER BY (h.h = word) DESC, ord LIMIT 1) AS field
     FROM h""")
 def header_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(h,) for h in HEADERS], "raw string").select("raw", match_field(F.col("raw")).alias("field"))
+    """A header for each supplier."""
+    raw = F.element_at(F.array(*map(F.lit, HEADERS)), (F.col("s_suppkey") % len(HEADERS) + 1).cast("int"))
+    return testdata.table(spark, sf_dir, "supplier").select("s_suppkey", raw.alias("raw")).select("s_suppkey", "raw", match_field(F.col("raw")).alias("field"))
 
 
 _GRID_HEADS = ", ".join(f"({n}, '{h}')" for n, hs in testdata.GRID_HEADS.items() for h in hs)
@@ -191,12 +193,14 @@ def header_match_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 METAS = [("户名：测试公司 账号：6226****4806", "测试公司", "6226****4806", "对公"), ("某某公司)-800091876502013 流水", None, "800091876502013", "对公"), ("活期一本通 123456789 1234567890123", None, "1234567890123", "个人"), ("账户名:张三 没有号码", "张三", None, "未知")]
-_METAS = ", ".join("({})".format(", ".join("NULL" if v is None else f"'{v}'" for v in m)) for m in METAS)
+_METAS = ", ".join("({}, {})".format(n, ", ".join("NULL" if v is None else f"'{v}'" for v in m)) for n, m in enumerate(METAS))
 
 
-@query(f"SELECT * FROM (VALUES {_METAS}) t(meta, own_name, own_account, account_type)")
+@query(f"SELECT s_suppkey, t.* EXCLUDE (n) FROM supplier JOIN (VALUES {_METAS}) t(n, meta, own_name, own_account, account_type) ON n = s_suppkey % {len(METAS)}")
 def account_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(m[0],) for m in METAS], "meta string").select("meta", standardize.sniffed(F.col("meta")).alias("s")).select("meta", "s.*")
+    """A title for each supplier."""
+    meta = F.element_at(F.array(*(F.lit(m[0]) for m in METAS)), (F.col("s_suppkey") % len(METAS) + 1).cast("int"))
+    return testdata.table(spark, sf_dir, "supplier").select("s_suppkey", meta.alias("meta")).select("s_suppkey", "meta", standardize.sniffed(F.col("meta")).alias("s")).select("s_suppkey", "meta", "s.*")
 
 
 @query("""
@@ -331,6 +335,27 @@ def integrated_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DUP = "own_account, txn_time, income, expense, balance, opp_name"
 
 
+def _handed_in_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ledgers, and some rows of one a second time."""
+    l1 = _l1(spark, sf_dir)
+    again = l1.where(F.col("seq") % 100 < 2).withColumns({"txn_id": F.concat("txn_id", F.lit("b")), "source_file": F.when(F.col("seq") % 2 == 0, "again.csv").otherwise(F.col("source_file"))})
+    return ledgers.union_all([_l2(spark, sf_dir), l1, again])
+
+
+@query(f"""
+    WITH {L2}, {L1}, both_ AS (
+        SELECT {_DUP}, txn_id, source_file FROM l2 UNION ALL SELECT {_DUP}, txn_id, source_file FROM l1
+        UNION ALL SELECT {_DUP}, txn_id || 'b', CASE WHEN seq % 2 = 0 THEN 'again.csv' ELSE source_file END FROM l1 WHERE seq % 100 < 2),
+    g AS (
+        SELECT {_DUP}, count(*) AS size, count(DISTINCT source_file) AS files FROM both_ GROUP BY ALL HAVING count(*) >= 2),
+    n AS (SELECT *, row_number() OVER (ORDER BY own_account NULLS FIRST, txn_time NULLS FIRST, income NULLS FIRST, expense NULLS FIRST, balance NULLS FIRST, opp_name NULLS FIRST) AS n FROM g)
+    SELECT printf('DUP-%04d', n) AS group_id, size, files, txn_id, b.source_file
+    FROM n g JOIN both_ b ON {" AND ".join(f"g.{c} IS NOT DISTINCT FROM b.{c}" for c in _DUP.split(", "))}""")
+def duplicate_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each row of a group, with no list of ids."""
+    return duplicates.duplicate_members(_handed_in_again(spark, sf_dir)).select("group_id", "size", "files", "txn_id", "source_file")
+
+
 @query(f"""
     WITH {L2}, {L1}, both_ AS (
         SELECT {_DUP}, txn_id, source_file FROM l2 UNION ALL SELECT {_DUP}, txn_id, source_file FROM l1
@@ -344,9 +369,7 @@ _DUP = "own_account, txn_time, income, expense, balance, opp_name"
            printf('DUP-%04d', row_number() OVER (ORDER BY own_account NULLS FIRST, txn_time NULLS FIRST, income NULLS FIRST, expense NULLS FIRST, balance NULLS FIRST, opp_name NULLS FIRST)) AS group_id
     FROM g""")
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l1 = _l1(spark, sf_dir)
-    again = l1.where(F.col("seq") % 100 < 2).withColumns({"txn_id": F.concat("txn_id", F.lit("b")), "source_file": F.when(F.col("seq") % 2 == 0, "again.csv").otherwise(F.col("source_file"))})
-    found = duplicates.duplicate_groups(ledgers.union_all([_l2(spark, sf_dir), l1, again]))
+    found = duplicates.duplicate_groups(_handed_in_again(spark, sf_dir))
     return found.withColumn("txn_time", F.date_format("txn_time", "yyyy-MM-dd HH:mm:ss"))
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook import file_queries, tables
-from tallybrook.operators import checks, portfolio, tagging, transfers
+from tallybrook.operators import checks, duplicates, portfolio, tagging, transfers
 from tallybrook.plans import pipelines
 from tallybrook.schema import LEDGER
 from tallybrook.sources import ledgers, testdata
@@ -265,3 +265,13 @@ def test_stream_of_balances(spark, sf_dir, tmp_path):
     job.awaitTermination()
     want = checks.balance_steps(rows, ["own_account"], by_file=False).where("is_break").count()
     assert spark.table("breaks").count() == want > 0
+
+
+def test_duplicate_members_number_a_hot_group_in_load_order(spark, monkeypatch):
+    """A group of a third of the rows, one of rows without an account, and single rows; ranked by ranges of the order."""
+    monkeypatch.setattr("tallybrook.tables.FEW_ROWS", 10)
+    rows = [(i, f"T{i}", "A" if i % 3 == 0 else None if i % 3 == 1 and i < 60 else f"B{i}", f"f{i % 2}.csv") for i in range(120)]
+    made = ledger(spark, [{"own_account": a, "source_file": f} for _, _, a, f in rows])
+    got = duplicates.duplicate_members(made, ["own_account"]).collect()
+    want = {"DUP-0001": [i for i, _, a, _ in rows if a is None], "DUP-0002": [i for i, _, a, _ in rows if a == "A"]}
+    assert sorted((r["group_id"], r["nth"], r["seq"], r["size"]) for r in got) == sorted((g, n + 1, i, len(ids)) for g, ids in want.items() for n, i in enumerate(ids))
