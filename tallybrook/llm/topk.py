@@ -1,11 +1,13 @@
 """Exact top-k search by distributed histogram selection (operator 9).
 
-Vectors are made integer; queries and candidates are cut into blocks, and every pair of blocks is scored once, so a task
-holds one block of each. Of a block, a query keeps the scores down to its own kth there, as the global kth can't be
-lower, and of those equal to it the ones with the smallest ids. The kth best score of each query is then found in
-histograms: round by round its scores are counted in bins over its current range, the counts add up over all blocks, and
-the bin that holds the kth is the next range, until it is one value wide. Scores above the kth value stay, those equal
-to it are ranked by id.
+Vectors are made integer; queries and candidates are cut into blocks, and a task scores one block of each. The kth best
+score of each query is found in histograms: a query's range begins with all scores that its length and the longest
+vector allow, each task counts all its scores in bins of that range, the counts add up over all blocks, and the bin that
+holds the kth is the next range. A block reports its bins from the top down to the one that holds its own kth score, as
+the global kth can't be lower. Queries whose bin is one value wide, or above whose range few scores lie, are settled;
+the others are scored against narrower ranges again. Then every block is scored once more, and only scores in or above a
+query's range leave it; of those equal to its lower end the ones with the smallest ids. On what is left the histograms
+are refined until the range is one value wide. Scores above the kth value stay, those equal to it are ranked by id.
 
 Scores are exact 64-bit integers: blocks whose norms keep all sums below 2^53 are multiplied in floating point, others
 modulo 2^64, and what may lie beyond 64 bits by itself in unbounded integers. Such a score counts as the largest or
@@ -58,26 +60,66 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _best_of_block(k: int):
-    """Each query's scores in a block of candidates, down to the kth there."""
+def _scored(left: pd.DataFrame, right: pd.DataFrame):
+    """By query of a block: its row, and its candidates' places in their block with their scores."""
+    if len(left) and len(right):
+        a, b = (np.array(x["q"].tolist(), float).reshape(len(x), -1) for x in (left, right))
+        rows = right["row"].to_numpy()
+        for scores, query in zip(products(a, b), left.itertuples(index=False)):
+            at = np.flatnonzero((rows != query.row) & (scores >= query.low))
+            yield query, at, scores[at]
+
+
+def _frame(parts: list[dict], columns: list[str]) -> pd.DataFrame:
+    return pd.DataFrame({c: np.concatenate([np.broadcast_to(p[c], p["n_rows"]) for p in parts]) if parts else [] for c in columns}).astype("int64")
+
+
+def _counted(k: int, bins: int):
+    """Each query's scores of a block counted in the bins of its range, from the top to the block's kth; `bins`: above it."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         parts = []
-        if len(left) and len(right):
-            a, b = (np.array(x["q"].tolist(), float).reshape(len(x), -1) for x in (left, right))
-            ids, rows = right["vec_id"].to_numpy(), right["row"].to_numpy()
-            for scores, row, query in zip(products(a, b), left["row"], left["vec_id"]):
-                at = np.flatnonzero(rows != row)
-                if len(at) > k:
-                    kth = np.partition(scores[at], len(at) - k)[len(at) - k]
-                    above, equal = at[scores[at] > kth], at[scores[at] == kth]
-                    at = np.concatenate([above, equal[np.argsort(ids[equal], kind="stable")[: k - len(above)]]])
-                parts.append(pd.DataFrame({"row": row, "query_id": query, "vec_id": ids[at], "score": scores[at]}))
-        return pd.concat(parts) if parts else pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
+        for query, _, scores in _scored(left, right):
+            above = scores.view(np.uint64) - np.array([query.low], np.int64).view(np.uint64)  # modulo 2^64, as it may exceed a long
+            n = np.bincount(np.minimum(above // np.uint64(query.width), np.uint64(bins)).astype(np.int64), minlength=bins + 1)
+            higher = n[::-1].cumsum()[::-1] - n
+            found = np.flatnonzero((n > 0) & (higher < k))
+            parts.append({"row": query.row, "bin": found, "n": n[found], "n_rows": len(found)})
+        return _frame(parts, ["row", "bin", "n"])
 
     return run
 
 
+def _kept(k: int):
+    """Each query's scores of a block in or above its range; of those equal to its lower end the k with the smallest ids."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        parts, ids = [], right["vec_id"].to_numpy()
+        for query, at, scores in _scored(left, right):
+            equal = np.flatnonzero(scores == query.low)
+            keep = np.concatenate([np.flatnonzero(scores > query.low), equal[np.argsort(ids[at[equal]], kind="stable")[:k]]])
+            parts.append({"row": query.row, "query_id": query.vec_id, "vec_id": ids[at[keep]], "score": scores[keep], "n_rows": len(keep)})
+        return _frame(parts, ["row", "query_id", "vec_id", "score"])
+
+    return run
+
+
+def ranges_of(queries: DataFrame, score, k: int, bins: int, settled_at: int) -> DataFrame:
+    """queries(row, low, width) -> row, low, width: for each query a range that holds its kth best score in its bin at the
+    lower end; at most settled_at scores lie in or above it, or the bin is one value wide. score: scores such ranges."""
+    ranges = write_table(queries.withColumn("settled", F.lit(False)), "ranges")
+    while not ranges.where("not settled").isEmpty():
+        counts = score(ranges.where("not settled"), _counted(k, bins), "row long, bin long, n long").groupBy("row", "bin").agg(F.sum("n").alias("n"))
+        from_top = counts.withColumn("seen", F.sum("n").over(Window.partitionBy("row").orderBy(F.desc("bin"))))
+        found = from_top.where((F.col("seen") >= k) & (F.col("seen") - F.col("n") < k)).select("row", "bin", "seen")
+        low = (F.col("low").cast("decimal(20,0)") + F.coalesce("bin", F.lit(0)) * F.col("width").cast("decimal(20,0)")).cast("long")
+        met = F.col("settled") | F.col("bin").isNull() | (F.col("seen") <= settled_at) | (F.col("width") == 1)
+        narrower = write_table(ranges.join(found, "row", "left").select("row", low.alias("low"), F.ceil(F.col("width") / bins).cast("long").alias("width"), met.alias("settled")), "ranges")
+        drop_table(ranges)
+        ranges = narrower
+    return ranges
+
+
 def kth_values(scores: DataFrame, k: int, bins: int) -> DataFrame:
     """scores(row, score) -> row, kth: each row's kth highest score, its least one where it has fewer than k."""
     scores = scores.select("row", F.col("score").cast("decimal(20,0)").alias("score"))  # differences of longs
@@ -98,21 +140,34 @@ def kth_values(scores: DataFrame, k: int, bins: int) -> DataFrame:
         ranges.written_to = narrower.written_to
 
 
-def top_k(vectors: DataFrame, is_query, k: int = 5, block: int = 4096, query_block: int = 1024, bins: int = 1024, **columns) -> DataFrame:
+def top_k(vectors: DataFrame, is_query, k: int = 5, block: int = 1024, query_block: int = 1024, bins: int = 1024, settled_at: int = 256, **columns) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k highest integer inner products, ties to the smaller vec_id.
 
-    is_query: a condition on vec_id.
+    is_query: a condition on vec_id. settled_at: how many scores, at least k, may leave the blocks for a query, besides
+    those equal to its kth.
     """
     # the row numbers of the written table hold from then on
     table = write_table(quantised(vectors, **columns).withColumn("row", F.monotonically_increasing_id()), "vectors")
-    size = table.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("queries")).first()
+    norm = F.sqrt(F.aggregate("q", F.lit(0.0), lambda total, x: total + x * x))
+    size = table.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("queries"), F.max(norm).alias("longest")).first()
     blocks, query_blocks = max(1, -(-size["n"] // block)), max(1, -(-size["queries"] // query_block))
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
     dealt = lambda n: F.pmod(F.xxhash64("row"), F.lit(n))
     candidates = table.select("row", "vec_id", "q", "dim", dealt(blocks).alias("c"), numbers(query_blocks).alias("b"))
-    queries = table.where(is_query).select("row", "vec_id", "q", "dim", dealt(query_blocks).alias("b"), numbers(blocks).alias("c"))
-    paired = queries.groupBy("dim", "b", "c").cogroup(candidates.groupBy("dim", "b", "c"))
-    scores = write_table(paired.applyInPandas(_best_of_block(k), "row long, query_id long, vec_id long, score long"), "scores")
+
+    def score(ranges: DataFrame, run, schema: str) -> DataFrame:
+        asked = table.sparkSession.read.schema(table.schema).parquet(table.written_to)  # columns of its own, beside the candidates'
+        queries = asked.where(is_query).join(ranges.select("row", "low", "width"), "row")
+        queries = queries.select("row", "vec_id", "q", "dim", "low", "width", dealt(query_blocks).alias("b"), numbers(blocks).alias("c"))
+        return queries.groupBy("dim", "b", "c").cogroup(candidates.groupBy("dim", "b", "c")).applyInPandas(run, schema)
+
+    # no inner product is larger than the product of the lengths
+    reach = norm * F.lit(size["longest"] or 0.0) * (1 + 1e-9) + 1
+    reach = F.when(reach < 2.0**62, F.ceil(F.least(reach, F.lit(2.0**62)))).otherwise(F.lit(TOP)).cast("decimal(20,0)")
+    width = F.ceil((2 * reach + 1) / bins)
+    ranges = ranges_of(table.where(is_query).select("row", (-reach).cast("long").alias("low"), width.cast("long").alias("width")), score, k, bins, settled_at)
+    scores = write_table(score(ranges, _kept(k), "row long, query_id long, vec_id long, score long"), "scores")
+    drop_table(ranges)
     kept = scores.join(kth_values(scores, k, bins), "row").where("score >= kth")
     rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
     held = F.when(F.abs("score") < TOP, F.col("score")).otherwise(F.raise_error(F.lit("a score of the result is beyond 64 bits")).cast("long"))
