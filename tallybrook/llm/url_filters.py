@@ -1,11 +1,13 @@
 """URL filters: rules on hosts and paths, and trust that spreads over links between hosts (operator 8).
 
 A rule (host, path) fits its host and all subdomains where the url's path starts with the rule's; the longest rule
-wins. Other pages get their host's verdict. Hosts most of whose pages a rule allows are trusted seeds, those most of
-whose pages a rule blocks are distrusted seeds, both weighted by such pages. Personalised PageRank spreads trust along links and
-distrust against them, over as many links as there are; a host is blocked where distrust outweighs trust by `ratio`,
-however small both are (ranks below the smallest double are 0, some 4,000 links from a seed). Links are
-those of href and src attributes with a host of their own, counted per pair of hosts before anything is shuffled.
+wins. Other pages get their host's verdict. A host is a seed of trust by the share of its pages that a rule allows, and
+one of distrust by the share that a rule blocks. Personalised PageRank spreads trust along links and distrust against
+them, over as many links as there are; a host is blocked where distrust outweighs trust by `ratio`, however small both
+are (ranks below the smallest double are 0, some 4,000 links from a seed). Both are sums over walks that start with a
+host's share, not scaled by how many seeds there are, so pages that no walk joins to a host don't change its verdict.
+Links are those of href and src attributes with a host of their own, counted per pair of hosts before anything is
+shuffled.
 
 Defined results: a null url or one without `://` has an empty host and path, no rule and the verdict allow; null html
 has no links; very long html is searched whole; of equally long rules that fit, the one that sorts first wins; where
@@ -20,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import write_table
+from tallybrook.llm.common import drop_table, write_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'<>\s]+)"""
@@ -50,19 +52,27 @@ def links(pages: DataFrame) -> DataFrame:
     return pairs
 
 
-def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
-    """Personalised PageRank: seeds(host, seed) summing to 1, edges(src, dst, n) -> host, rank. What hosts without
-    links hold goes back to the seeds: the ranks are the sum over all walks from the seeds, scaled to 1. Each round adds
-    the walks that are a link longer, until they add less than `tolerance` of its rank to every host."""
+def walks(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
+    """seeds(host, seed), edges(src, dst, n) -> host, rank: the sum over all walks from the seeds of what arrives, where
+    each link passes on its share of `damping`. Each round adds the walks that are a link longer, until they add less than
+    `tolerance` of its rank to every host."""
     edges = edges.join(edges.groupBy("src").agg(F.sum("n").alias("total")), "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share"))
     edges = write_table(edges, "links")
     ranks = write_table(seeds.select("host", F.col("seed").alias("rank"), F.col("seed").alias("added")), "ranks")
-    if edges.isEmpty():
-        return ranks.select("host", "rank")
-    while not ranks.where(F.col("added") > tolerance * F.col("rank")).isEmpty():
+    while not edges.isEmpty() and not ranks.where(F.col("added") > tolerance * F.col("rank")).isEmpty():
         moved = edges.join(ranks.where("added > 0"), edges.src == ranks.host).select(F.col("dst").alias("host"), (damping * F.col("share") * F.col("added")).alias("added"))
         both = ranks.select("host", "rank", F.lit(0.0).alias("added")).unionByName(moved.select("host", F.col("added").alias("rank"), "added"))
-        ranks = write_table(both.groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("added").alias("added")), "ranks")
+        longer = write_table(both.groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("added").alias("added")), "ranks")
+        drop_table(ranks)
+        ranks = longer
+    drop_table(edges)
+    return ranks.select("host", "rank")
+
+
+def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
+    """Personalised PageRank: seeds(host, seed) summing to 1, edges(src, dst, n) -> host, rank. What hosts without
+    links hold goes back to the seeds: the ranks are the sum over all walks from the seeds, scaled to 1."""
+    ranks = walks(seeds, edges, damping, tolerance)
     total = ranks.agg(F.sum("rank")).first()[0] or 1.0
     return ranks.select("host", (F.col("rank") / F.lit(total)).alias("rank"))
 
@@ -72,13 +82,11 @@ def judge(pages: DataFrame, rules: list[Rule], ratio: float = 1.0, url_col: str
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"), F.col(html_col).alias("html"))
     judged = rows.withColumn("match", matched_rule(F.col("host"), F.col("path"), rules))
     per_host = judged.groupBy("host").agg(F.count("*").alias("pages"), F.count(F.when(F.col("match.verdict") == "allow", 1)).alias("allow"), F.count(F.when(F.col("match.verdict") == "block", 1)).alias("block")).where("host != ''")
-    per_host = write_table(per_host, "seeds")
-    per_host = per_host.select("host", *(F.when(2 * F.col(c) > F.col("pages"), F.col(c)).otherwise(0).alias(c) for c in ("allow", "block")))
-    total = per_host.agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
-    seeds = lambda kind: per_host.where(F.col(kind) > 0).select("host", (F.col(kind) / F.lit(float(total[kind] or 1))).alias("seed"))
+    per_host = write_table(per_host.where("allow > 0 or block > 0"), "seeds")
+    seeds = lambda kind: per_host.where(F.col(kind) > 0).select("host", (F.col(kind) / F.col("pages")).alias("seed"))
     edges = write_table(links(rows), "pairs")
-    trust = spread(seeds("allow"), edges)
-    distrust = spread(seeds("block"), edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
+    trust = walks(seeds("allow"), edges)
+    distrust = walks(seeds("block"), edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
     both = trust.select("host", F.col("rank").alias("trust"), F.lit(0.0).alias("distrust")).unionByName(distrust.select("host", F.lit(0.0).alias("trust"), F.col("rank").alias("distrust")))
     hosts = both.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")).where(F.col("distrust") > ratio * F.col("trust")).select("host", F.lit("block").alias("spread"))
     pages_judged = judged.select("page_id", "host", "path", "match").join(hosts, "host", "left")

@@ -9,15 +9,39 @@ from tallybrook.llm import chat_views, topk, url_filters
 from tallybrook.llm.queries import RULES
 
 
-@pytest.mark.parametrize(("block", "queries", "bins"), [(4096, 1024, 1024), (7, 3, 4)])
-def test_top_k_matches_brute_force(spark, block, queries, bins):
+@pytest.mark.parametrize(("block", "queries", "bins", "settled_at"), [(4096, 1024, 1024, 256), (7, 3, 4, 5)])
+def test_top_k_matches_brute_force(spark, block, queries, bins, settled_at):
     rng = random.Random(12)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(120)] + [(i, [0.5, 0.5, 0.25, 0.0]) for i in range(120, 160)]
     rows += [(500, None), (501, [float("nan"), 1.0, 1.0, 1.0]), (502, [1.0, None, 1.0, 1.0]), (503, [float("inf")] * 4), (510, [1.0, 2.0]), (None, [1.0] * 4), (130, [0.5, 0.5, 0.25, 0.0])]
     rows.append((560, [3.0, 1.0]))
     table = spark.createDataFrame([(i, v, "q") for i, v in rows], "vec_id long, embedding array<float>, q string")
     sound = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    assert search(table, block, queries, bins) == brute_top_k(sound)
+    assert search(table, block, queries, bins, settled_at) == brute_top_k(sound)
+
+
+def test_histograms_of_all_scores_select_what_leaves_the_blocks(spark):
+    """Several blocks: a range with its few scores for each query, found in rounds, although a third of the rows are alike."""
+    rng = random.Random(21)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(3)]) for i in range(200)] + [(i, [0.9, 0.9, 0.9]) for i in range(200, 300)]
+    vectors = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).withColumn("row", F.col("vec_id")).cache()
+    scored = []
+
+    def score(ranges, run, schema):
+        scored.append(ranges.count())
+        asked = ranges.join(vectors.select("row", F.col("q").alias("mine")), "row")
+        blocks = asked.crossJoin(spark.range(4).withColumnRenamed("id", "c")).select("row", "low", "width", F.col("mine").alias("q"), "c", F.col("row").alias("vec_id"))
+        return blocks.groupBy("c").cogroup(vectors.withColumn("c", F.col("row") % 4).groupBy("c")).applyInPandas(run, schema)
+
+    top = 1 << 20
+    asked = vectors.where("row % 10 = 0").select("row", F.lit(-top).cast("long").alias("low"), F.lit(-(-(2 * top + 1) // 16)).cast("long").alias("width"))
+    got = {r["row"]: r for r in topk.ranges_of(asked, score, 5, 16, 20).collect()}
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    for i, r in got.items():
+        scores = sorted((sum(a * b for a, b in zip(whole[i], v)) for j, v in whole.items() if j != i), reverse=True)
+        above = sum(s >= r["low"] for s in scores)
+        assert r["low"] <= scores[4] and (above <= 20 or r["low"] == scores[4])
+    assert len(scored) > 2 and scored[0] == len(got) == 30 and scored[-1] < 30
 
 
 def brute_top_k(sound):
@@ -29,8 +53,8 @@ def brute_top_k(sound):
     return sorted(want)
 
 
-def search(table, block=4096, queries=1024, bins=1024):
-    return sorted(map(tuple, topk.top_k(table, F.col("vec_id") % 10 == 0, k=5, block=block, query_block=queries, bins=bins).collect()))
+def search(table, block=4096, queries=1024, bins=1024, settled_at=256):
+    return sorted(map(tuple, topk.top_k(table, F.col("vec_id") % 10 == 0, k=5, block=block, query_block=queries, bins=bins, settled_at=settled_at).collect()))
 
 
 @pytest.mark.parametrize(("size", "others"), [(1e6, 1e6), (1e9, 1e4), (1e12, 10.0)])
@@ -105,6 +129,21 @@ def test_distrust_reaches_hosts_at_any_distance_and_of_any_rank(spark):
     assert set(got.values()) == {"block"} and len(got) == 38
 
 
+def test_hosts_are_seeds_by_the_shares_of_their_pages(spark):
+    """No host has most of its pages under a rule; pages elsewhere don't matter."""
+    rows = [("http://a.net/es/", None), ("http://a.net/x", "block"), ("http://a.net/y", "block"), ("http://t.org/en/", None), *((f"http://t.org/{x}", "allow") for x in "xyz")]
+    rows += [("http://near.org/", "block"), ("http://both.org/", "allow"), ("http://none.org/", "allow")]
+    # both.org: a host that is trusted by a quarter links to it, and it links to one that is distrusted by a third
+    html = {"http://near.org/": "<a href='//a.net/'>", "http://both.org/": "<a href='//a.net/'>", "http://t.org/x": "<a href='//both.org/'>"}
+    rules = [("t.org", "/en/", "allow"), ("net", "/es/", "block")]
+    pages = spark.createDataFrame([(i, u, html.get(u, "")) for i, (u, _) in enumerate(rows)], "page_id long, url string, html string")
+    for elsewhere in (0, 5000):
+        more = spark.range(1000, 1000 + elsewhere).selectExpr("id", "concat('http://h', id, '.net/es/')", "''")
+        got = {r["page_id"]: r for r in url_filters.judge(pages.union(more), rules).where("page_id < 1000").collect()}
+        assert {i: got[i]["verdict"] for i, (_, want) in enumerate(rows) if want} == {i: want for i, (_, want) in enumerate(rows) if want}
+        assert all((got[i]["rule"] is None) == (want is not None) for i, (_, want) in enumerate(rows))
+
+
 def test_spread_is_personalised_pagerank(spark):
     edges = [("a", "b", 1), ("a", "c", 3), ("b", "c", 1), ("c", "a", 2), ("c", "d", 2)]
     seeds = {"a": 0.75, "b": 0.25}
