@@ -23,6 +23,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache, reduce
+from itertools import combinations
 from random import Random
 
 import numpy as np
@@ -35,6 +36,8 @@ from tallybrook.llm.common import tidy, write_table
 from tallybrook.llm.token_counts import LATIN, segment_pattern
 
 Bin = list[int]
+#: One in so many bins, at most, is injected by a crossover, and as many of the worst-filled ones are taken apart.
+INJECTED = 20
 
 
 class SegmentIds:
@@ -134,23 +137,65 @@ def fitness(bins: list[Bin], size, capacity: int) -> tuple[int, float]:
     return len(bins), -sum((sum(size[i] for i in b) / capacity) ** 2 for b in bins)
 
 
+def exchange(bins: list[Bin], displaced: list[int], size, capacity: int, rounds: int = 2) -> tuple[list[Bin], list[int]]:
+    """The bins, fuller where pieces that they hold can be exchanged for displaced ones, and what is displaced then: as
+    many or more pieces, but smaller ones. In each round every bin with room gives one piece or two for the displaced piece
+    that fills it best, and failing that two pieces for two."""
+    free = sorted((size[i], i) for i in displaced)
+    for _ in range(rounds):
+        gained = False
+        for x in sorted(bins, key=lambda x: sum(size[i] for i in x)):
+            room = capacity - sum(size[i] for i in x)
+            if not room or not free:
+                continue
+            gives = [(i,) for i in x] + list(combinations(x, 2))
+            best, move = 0, None
+            for out in gives:
+                least = sum(size[i] for i in out)
+                at = bisect_left(free, (least + room + 1, -1)) - 1
+                if at >= 0 and free[at][0] - least > best:
+                    best, move = free[at][0] - least, (out, (at,))
+            if move is None and len(free) > 1:
+                sizes = np.array([n for n, _ in free])
+                for out in gives[len(x) :]:
+                    least = size[out[0]] + size[out[1]]
+                    at = np.minimum(np.searchsorted(sizes, least + room - sizes, "right") - 1, np.arange(len(sizes)) - 1)
+                    sums = np.where(at >= 0, sizes + sizes[at], 0)
+                    k = int(sums.argmax())
+                    if sums[k] - least > best:
+                        best, move = int(sums[k]) - least, (out, (k, int(at[k])))
+            if move:
+                out, taken = move
+                into = [free[k][1] for k in taken]
+                for k in sorted(taken, reverse=True):
+                    del free[k]
+                x[:] = [i for i in x if i not in out] + into
+                for i in out:
+                    insort(free, (size[i], i))
+                gained = True
+        if not gained:
+            break
+    return bins, [i for _, i in free]
+
+
 def crossover(a: list[Bin], b: list[Bin], size, capacity: int, rng: Random) -> list[Bin]:
-    """Injects well-filled bins of b into a; bins of a that hold any of their items go, and what they alone held is
-    put back best fit, as are the items of a few of the worst-filled bins that remain."""
+    """Injects a few well-filled bins of b into a; bins of a that hold any of their items go, and what they alone held is
+    displaced, as are the items of some of the worst-filled bins that remain. Displaced pieces are exchanged for smaller
+    ones where that fills a bin better, and the rest is put back best fit."""
     ranked = sorted(b, key=lambda x: -sum(size[i] for i in x))
-    few = max(1, len(ranked) // 4)
-    injected = rng.sample(ranked[: max(1, len(ranked) // 2)], min(few, max(1, len(ranked) // 2)))
+    injected = rng.sample(ranked[: max(1, len(ranked) // 2)], rng.randint(1, max(1, len(ranked) // INJECTED)))
     taken = {i for x in injected for i in x}
     kept, displaced = [], []
     for x in a:
         if taken.isdisjoint(x):
-            kept.append(x)
+            kept.append(list(x))
         else:
             displaced += [i for i in x if i not in taken]
     kept.sort(key=lambda x: sum(size[i] for i in x))
-    worst = rng.randint(0, min(3, len(kept)))
+    worst = rng.randint(1, max(1, len(kept) // INJECTED)) if kept else 0
     displaced += [i for x in kept[:worst] for i in x]
-    return best_fit(displaced, size, capacity, [list(x) for x in injected] + [list(x) for x in kept[worst:]])
+    kept, displaced = exchange(kept[worst:], displaced, size, capacity)
+    return best_fit(displaced, size, capacity, [list(x) for x in injected] + kept)
 
 
 def evolve(population: list[list[Bin]], size, capacity: int, rng: Random, generations: int) -> tuple[list[list[Bin]], int]:

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as vocabularies
+import pytest
 from tokenizers import Tokenizer
 
 from tallybrook.llm import packing as x
@@ -65,13 +66,35 @@ def test_crossover_keeps_every_piece_once():
         assert max(sum(size[i] for i in c) for c in child) <= 100
 
 
-def test_evolution_never_gets_worse_and_helps():
-    rng = random.Random(7)
-    size = [rng.randint(20, 60) for _ in range(90)]
-    first = x.seeds(size, 100, rng, 6)
-    (best, *_), ran = x.evolve(first, size, 100, rng, 200)
-    assert ran > 0
-    assert x.fitness(best, size, 100) <= min(x.fitness(p, size, 100) for p in first)
+def test_exchange_fills_bins_and_keeps_every_piece():
+    rng = random.Random(11)
+    for _ in range(50):
+        size = [rng.randint(10, 70) for _ in range(60)]
+        bins = x.best_fit(rng.sample(range(40), 40), size, 100, [])
+        before = [sum(size[i] for i in b) for b in bins]
+        after, displaced = x.exchange([list(b) for b in bins], list(range(40, 60)), size, 100)
+        assert sorted([*displaced, *(i for b in after for i in b)]) == list(range(60))
+        assert all(was <= sum(size[i] for i in b) <= 100 for was, b in zip(before, after))
+        assert sum(size[i] for i in displaced) <= sum(size[40:])
+
+
+@pytest.mark.parametrize(("pieces", "low", "high", "gain"), [(200, 500, 800, 2), (200, 300, 900, 1), (1000, 500, 800, 8), (1000, 200, 1100, 2), (4096, 200, 1100, 8)])
+def test_evolution_needs_fewer_sequences_than_its_seeds(pieces, low, high, gain):
+    """Pieces of which no greedy order fits whole sequences; the generations are those of the default."""
+    rng = random.Random(3)
+    size = [rng.randint(low, high) for _ in range(pieces)]
+    first = x.seeds(size, 2048, rng, 6)
+    (best, *_), ran = x.evolve(first, size, 2048, rng, 36)
+    assert ran > 0 and sorted(i for b in best for i in b) == list(range(pieces))
+    assert len(best) <= min(map(len, first)) - gain
+
+
+def test_islands_need_fewer_sequences_than_best_fit(spark):
+    rng = random.Random(4)
+    size = [rng.randint(500, 800) for _ in range(600)]
+    got = x.pack(spark.createDataFrame(list(enumerate(size)), "item long, length long"), shard_pieces=200).collect()
+    assert sorted(r["item"] for r in got) == list(range(600))
+    assert len({r["sequence_id"] for r in got}) <= len(x.best_fit(list(range(600)), size, 2048, [])) - 4
 
 
 def test_empty_table(spark):
