@@ -4,10 +4,10 @@ Every language has a codeword of bits; one binary classifier per bit scores hash
 text (whole text, in blocks). Decoding adds each bit's logistic loss against each codeword and takes the language of
 least loss; a small gap to the runner-up marks the document as ambiguous.
 
-The classifiers are fitted on a bounded sample of labelled training rows (`sample_rows`, shared out evenly among the
-languages, so that rare ones stay in) of at most `max_languages` languages, the most frequent ones: each language's mean
-n-gram distribution gives each bit's log odds between the languages that have the bit and those that don't, scaled so that the
-two sides' own expectations are +1 and -1.
+The classifiers are fitted on a bounded sample of labelled training rows (about `sample_rows`, shared out evenly among
+the languages, and of each language one row at least, so that all are learned): each language's mean n-gram distribution
+gives each bit's log odds between the languages that have the bit and those that don't, scaled so that the two sides' own
+expectations are +1 and -1. The distributions stay in a table; only sums and bounds for each bit come together.
 
 Defined results: null texts and texts without a letter are `und` with score 0; a very long text counts in blocks, whole;
 equal losses go to the language that sorts first, and equally frequent languages likewise; rows without a language don't
@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import fold, tidy
+from tallybrook.llm.common import drop_table, fold, tidy, write_table
 
 BITS = 15
 DIM = 1 << BITS
@@ -61,21 +61,33 @@ def codewords(languages: int) -> np.ndarray:
     return np.array(columns, dtype=float).T
 
 
+def smoothed(histograms: np.ndarray) -> np.ndarray:
+    """Distributions over the slots, none of them empty."""
+    return (1 - 1e-3) * histograms / np.maximum(histograms.sum(axis=-1, keepdims=True), 1e-12) + 1e-3 / DIM
+
+
 class Model:
     """languages, code (languages x bits), weights (slots x bits) and bias (bits)."""
 
-    def __init__(self, languages: list[str], histograms: np.ndarray):
+    def __init__(self, languages: list[str], histograms: np.ndarray | None = None):
+        """histograms: the languages' distributions, where they are few enough to hold together."""
         self.languages, self.code = languages, codewords(len(languages))
-        p = histograms / np.maximum(histograms.sum(axis=1, keepdims=True), 1e-12)
-        p = (1 - 1e-3) * p + 1e-3 / DIM
         self.weights, self.bias = np.zeros((DIM, self.code.shape[1]), np.float32), np.zeros(self.code.shape[1])
-        for b, signs in enumerate(self.code.T):
-            if len(set(signs)) == 2:
-                yes, no = p[signs > 0].mean(axis=0), p[signs < 0].mean(axis=0)
-                w = np.log(yes) - np.log(no)
-                high, low = min(p[i] @ w for i in np.flatnonzero(signs > 0)), max(p[i] @ w for i in np.flatnonzero(signs < 0))
-                half = max((high - low) / 2, 1e-6)
-                self.weights[:, b], self.bias[b] = w / half, -(high + low) / 2 / half
+        if histograms is not None:
+            p, has = smoothed(histograms), (self.code > 0).T
+            ends = lambda x: (np.where(has, x, np.inf).min(axis=1), np.where(has, -np.inf, x).max(axis=1))
+            self.learn(has @ p, p.sum(axis=0), lambda weights: ends((p @ weights).T))
+
+    def learn(self, having: np.ndarray, total: np.ndarray, ends) -> None:
+        """having: for each bit, the sum of the distributions of the languages that have it; total: that of all; ends: by
+        weights, each bit's least expectation of the languages that have it and the largest of the others."""
+        n, have = len(self.languages), (self.code > 0).sum(axis=0)
+        split = np.flatnonzero((have > 0) & (have < n))
+        weights = np.zeros((DIM, len(have)))
+        weights[:, split] = (np.log(having[split] / have[split, None]) - np.log((total - having[split]) / (n - have[split])[:, None])).T
+        high, low = ends(weights)
+        half = np.maximum((high - low)[split] / 2, 1e-6)
+        self.weights[:, split], self.bias[split] = weights[:, split] / half, -(high + low)[split] / 2 / half
 
     def margins(self, text: str) -> np.ndarray:
         total, n = np.zeros(len(self.bias)), 0
@@ -93,34 +105,98 @@ class Model:
         return self.languages[order[0]], float(1 / share.sum()), gap
 
 
+#: Languages whose distributions a task holds at once, a quarter of a megabyte each; and languages that are broadcast.
+TOGETHER, FEW = 64, 50_000
+
+
 def _histograms(pdfs):
+    """Sums of the rows' distributions by language, of some languages at a time."""
     sums: dict[str, np.ndarray] = {}
+    rows = lambda: pd.DataFrame({"lang": list(sums), "h": [v.tobytes() for v in sums.values()]})
     for pdf in pdfs:
         for text, lang in zip(pdf["text"], pdf["lang"]):
             h = np.zeros(DIM)
             for slots in grams(text):
                 h += np.bincount(slots, minlength=DIM)
+            if lang not in sums and len(sums) == TOGETHER:
+                yield rows()
+                sums = {}
             sums[lang] = sums.get(lang, 0) + h / h.sum()
     if sums:
-        yield pd.DataFrame({"lang": list(sums), "h": [v.tolist() for v in sums.values()]})
+        yield rows()
+
+
+def _together(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A language's distribution, smoothed."""
+    return pd.DataFrame({"lang": pdf["lang"][:1], "h": [smoothed(sum(np.frombuffer(h) for h in pdf["h"])).tobytes()]})
+
+
+def _sides(signs: dict[str, np.ndarray]):
+    """For each bit, the sum of the distributions of the languages that have it; and, as bit -1, that of all."""
+
+    def run(pdfs):
+        total = None
+        for pdf in pdfs:
+            for lang, h in zip(pdf["lang"], pdf["h"]):
+                own = np.append(signs[lang] > 0, True)
+                total = np.zeros((len(own), DIM)) if total is None else total
+                total[own] += np.frombuffer(h)
+        if total is not None:
+            for b, h in enumerate(total):
+                yield pd.DataFrame({"bit": [b if b < len(total) - 1 else -1], "h": [h.tobytes()]})
+
+    return run
+
+
+def _bounds(signs: dict[str, np.ndarray], weights: np.ndarray):
+    """For each bit, the least expectation of the languages that have it and the largest of those that don't."""
+
+    def run(pdfs):
+        for pdf in pdfs:
+            for lang, h in zip(pdf["lang"], pdf["h"]):
+                x = np.frombuffer(h) @ weights
+                yield pd.DataFrame({"bit": np.arange(len(x)), "high": np.where(signs[lang] > 0, x, np.inf), "low": np.where(signs[lang] > 0, -np.inf, x)})
+
+    return run
+
+
+def fitted(by_language: DataFrame, languages: list[str]) -> Model:
+    """by_language(lang, h): a written table with the distribution of each of the languages, which are in order."""
+    model = Model(languages)
+    signs, bits = dict(zip(languages, model.code)), model.code.shape[1]
+    having, total = np.zeros((bits, DIM)), np.zeros(DIM)
+    for r in by_language.mapInPandas(tidy(_sides(signs)), "bit int, h binary").toLocalIterator():
+        (total if r["bit"] < 0 else having[r["bit"]])[:] += np.frombuffer(r["h"])
+
+    def ends(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = by_language.mapInPandas(tidy(_bounds(signs, weights)), "bit int, high double, low double").groupBy("bit").agg(F.min("high"), F.max("low"))
+        return tuple(np.array(x) for x in list(zip(*sorted(map(tuple, found.collect()))))[1:])
+
+    if languages:
+        model.learn(having, total, ends)
+    return model
 
 
-def train(docs: DataFrame, training: Column, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", sample_rows: int = 20_000, max_languages: int = 500, parts: int = 8) -> Model:
-    """Fits on a sample of about sample_rows rows of those where `training` holds, chosen by a hash of id and text."""
+def train(docs: DataFrame, training: Column, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", sample_rows: int = 20_000, parts: int = 8) -> Model:
+    """Fits on a sample of about sample_rows rows of those where `training` holds, chosen by a hash of id and text, and of
+    each language on the row whose hash is the smallest."""
     rows = docs.where(training & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(key_col).alias("key"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    spot = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(spot).alias("least")).orderBy(F.desc("n"), "lang").collect()
     left, rates = sample_rows, []
     for k, r in enumerate(reversed(counts)):  # what a rare language leaves of its share goes to the others
         share = min(r["n"], left / (len(counts) - k))
         left -= share
-        rates.append((r["lang"], int(share / r["n"] * (1 << 30))))
+        rates.append((r["lang"], max(int(share / r["n"] * (1 << 30)), r["least"] + 1)))
     rate = docs.sparkSession.createDataFrame(rates, f"lang {docs.schema[lang_col].dataType.simpleString()}, rate long")
-    rows = rows.join(F.broadcast(rate), "lang").where(F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30)) < F.col("rate"))
-    found: dict[str, np.ndarray] = {}
-    for r in rows.select("text", F.col("lang").cast("string").alias("lang")).repartition(parts).mapInPandas(tidy(_histograms), "lang string, h array<double>").toLocalIterator():
-        found[r["lang"]] = found.get(r["lang"], 0) + np.array(r["h"])
-    languages = sorted(found)
-    return Model(languages, np.array([found[x] for x in languages]).reshape(len(languages), DIM))
+    rows = rows.join(F.broadcast(rate) if len(rates) <= FEW else rate, "lang").where(spot < F.col("rate"))
+    sums = rows.select("text", F.col("lang").cast("string").alias("lang")).repartition(parts).mapInPandas(tidy(_histograms), "lang string, h binary")
+    by_language = sums.groupBy("lang").applyInPandas(_together, "lang string, h binary")
+    table = write_table(by_language.repartition(max(1, -(-len(rates) // TOGETHER)), "lang"), "languages")
+    languages = sorted(r["lang"] for r in table.select("lang").collect())
+    model = fitted(table, languages)
+    drop_table(table)
+    return model
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", gap: float = 0.5, names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:

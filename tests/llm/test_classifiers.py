@@ -41,7 +41,23 @@ def test_rare_languages_stay_in_the_sample(spark):
     rows = [(i, prose(rng, "aa", 5), "aa") for i in range(3000)] + [(3000 + i, prose(rng, "bb", 5), "bb") for i in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert lang_id.train(docs, F.lit(True), sample_rows=60).languages == ["aa", "bb"]
-    assert lang_id.train(docs, F.lit(True), max_languages=1).languages == ["aa"]
+    # of a sample smaller than the languages are many, each has a row
+    assert lang_id.train(docs, F.lit(True), sample_rows=1).languages == ["aa", "bb"]
+
+
+def test_many_languages_are_all_learned_and_as_in_one_matrix(spark):
+    """More languages than a task holds at once: the table's sums give the weights that all distributions together give."""
+    rng = random.Random(23)
+    rows = [(i, " ".join("".join(rng.choice("abcdefghij"[k % 7 :] + chr(0x3B1 + k % 24)) for _ in range(4)) for _ in range(20)), f"l{k:03}") for i, k in enumerate([*range(150)] * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.train(docs, F.lit(True))
+    sums = {}
+    for _, text, lang in rows:
+        h = sum(np.bincount(slots, minlength=lang_id.DIM) for slots in lang_id.grams(text))
+        sums[lang] = sums.get(lang, 0) + h / h.sum()
+    want = lang_id.Model(sorted(sums), np.array([sums[x] for x in sorted(sums)]))
+    assert model.languages == want.languages and len(want.languages) == 150
+    assert np.allclose(model.weights, want.weights, rtol=1e-4, atol=1e-5) and np.allclose(model.bias, want.bias, rtol=1e-6)
 
 
 def plain_decode(model, text):
