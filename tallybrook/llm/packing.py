@@ -36,8 +36,9 @@ from tallybrook.llm.common import tidy, write_table
 from tallybrook.llm.token_counts import LATIN, segment_pattern
 
 Bin = list[int]
-#: One in so many bins, at most, is injected by a crossover, and as many of the worst-filled ones are taken apart.
-INJECTED = 20
+#: One in so many bins, at most, is injected by a crossover, and as many of the worst-filled ones are taken apart; and one
+#: in so many takes part in exchanges.
+INJECTED, EXCHANGED = 20, 20
 
 
 class SegmentIds:
@@ -139,15 +140,16 @@ def fitness(bins: list[Bin], size, capacity: int) -> tuple[int, float]:
 
 def exchange(bins: list[Bin], displaced: list[int], size, capacity: int, rounds: int = 2) -> tuple[list[Bin], list[int]]:
     """The bins, fuller where pieces that they hold can be exchanged for displaced ones, and what is displaced then: as
-    many or more pieces, but smaller ones. In each round every bin with room gives one piece or two for the displaced piece
-    that fills it best, and failing that two pieces for two."""
+    many or more pieces, but smaller ones. In each round each of the bins with the most room (one in EXCHANGED of all, and 64 at least)
+    gives one piece or two for the displaced piece that fills it best, and failing that two pieces for two."""
     free = sorted((size[i], i) for i in displaced)
     for _ in range(rounds):
         gained = False
-        for x in sorted(bins, key=lambda x: sum(size[i] for i in x)):
-            room = capacity - sum(size[i] for i in x)
+        filled = sorted(((sum([size[i] for i in x]), k) for k, x in enumerate(bins)))
+        for fill, k in filled[: max(64, len(filled) // EXCHANGED)]:
+            x, room = bins[k], capacity - fill
             if not room or not free:
-                continue
+                break
             gives = [(i,) for i in x] + list(combinations(x, 2))
             best, move = 0, None
             for out in gives:
