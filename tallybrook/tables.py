@@ -51,14 +51,19 @@ def beside(facts: DataFrame) -> DataFrame:
     return F.broadcast(facts) if facts.count() <= FEW_ROWS else facts
 
 
-def in_ranges(rows: DataFrame, order: list[Column]) -> DataFrame:
+def in_ranges(rows: DataFrame, order: list[Column], place: bool = False) -> DataFrame:
     """rows with __part, the range of the order in which a row lies, from 0; written. They are written and counted first:
-    few rows are one part."""
+    few rows are one part. place: also __at, the row's place in its part, from 1; parts are written in order, so that no
+    later step sorts them again for it."""
     held = write_table(rows, "rows")
     if held.count() <= FEW_ROWS:
-        return held.withColumn("__part", F.lit(0))
+        one = held.withColumn("__part", F.lit(0))
+        return one.withColumn("__at", F.row_number().over(Window.partitionBy("__part").orderBy(*order)).cast("long")) if place else one
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return write_table(held.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranges")
+    dealt = held.repartitionByRange(parts, *order)
+    if place:  # the lower 33 bits of the id count a task's rows
+        dealt = dealt.sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+    return write_table(dealt.withColumn("__part", F.spark_partition_id()), "ranges")
 
 
 def before_parts(parts: DataFrame, value: str, name: str) -> DataFrame:
@@ -69,7 +74,6 @@ def before_parts(parts: DataFrame, value: str, name: str) -> DataFrame:
 def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
     """rows with their rank in the order, from 1, as a long. Only the sizes of the order's ranges, a row each, are summed
     up in one task."""
-    dealt = in_ranges(rows, order)
+    dealt = in_ranges(rows, order, place=True)
     before = before_parts(dealt.groupBy("__part").agg(F.count("*").alias("__n")), "__n", "__before")
-    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    return dealt.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + inside).drop("__part", "__before")
+    return dealt.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__at")).drop("__part", "__at", "__before")

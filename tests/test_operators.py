@@ -217,6 +217,25 @@ def test_numbers_rank_the_whole(spark, monkeypatch, few):
     assert [r["n"] for r in got] == list(range(1, 1001)) and [r["x"] for r in got] == sorted((r["x"] for r in got), reverse=True)
 
 
+def test_numbers_need_no_second_sort_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(tables, "FEW_ROWS", 10)
+    held = numbered(spark.range(1000), [F.desc("id")], "n").where("id >= 0").select("id", "n")
+    assert "hashpartitioning(id" not in (plan := held._jdf.queryExecution().executedPlan().toString()) and "Sort [" not in plan.replace("Sort [__part", "")
+
+
+def test_raw_grids_are_spread_over_tasks(spark, sf_dir, monkeypatch):
+    """No task makes all lines of a file."""
+    monkeypatch.setattr(tables, "FEW_ROWS", 10)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        rows = testdata.raw_grids(spark, sf_dir)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    parts = rows.where("row_idx > 2").select("file", F.spark_partition_id().alias("part")).distinct().groupBy("file").count().collect()
+    assert len(parts) == 4 and sum(r["count"] for r in parts) > 4
+
+
 def test_folders_without_ledgers_are_an_error(spark, tmp_path):
     for f in (ledgers.standardized_files, ledgers.best_artifact):
         with pytest.raises(FileNotFoundError):
