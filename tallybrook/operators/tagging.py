@@ -3,13 +3,13 @@
 Rules meet texts by an index of grams: a keyword is filed under the one of its pairs of letters that stands in the
 fewest texts (or under its only letter), every distinct text of a scope emits each of its pairs once, and where they meet
 the text is searched for the keyword. Below `few_rules` rules (counted) the rules are
-broadcast and tested directly."""
+broadcast and tested directly; up to DIRECT_RULES are tested on each row in their order, which moves no rows at all."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.money import ANY, IN, OUT, direction_of
@@ -22,6 +22,8 @@ CONFIDENCE = {"对手名称": 0.9, "银行备注": 0.78, "账户方附言": 0.72
 BY_RULE = "规则库"
 NO_RULE = {"source": "兜底", "confidence": 0.3, "label_1": "其他类", "label_2": "其他", "income": "其他收入", "expense": "其他支出"}
 TEXTS = ["opp_name", "memo", "note"]
+#: So many rules at most are conditions of one expression.
+DIRECT_RULES = 50
 RULES = "rule_id string, direction string, scope string, keyword string, excludes array<string>, opp_any array<string>, label_1 string, label_2 string, label_3 string, priority double, rule_seq long"
 
 
@@ -31,14 +33,14 @@ def _scoped(fields: list[str]) -> Column:
 
 def _clean(column: str) -> Column:
     c = F.coalesce(column, F.lit(""))
-    return F.when(F.lower(c) == "nan", "").otherwise(c)
+    return F.when((F.octet_length(c) == 3) & (F.lower(c) == "nan"), "").otherwise(c)  # lower case only where it may matter
 
 
-def _hit_field(scope: Column, keyword: Column) -> Column:
+def _hit_field(scope: Column, keyword: Column, before: str = "") -> Column:
     """The first field of the scope that holds the keyword, else the scope's first field."""
     out = None
     for name, fields in SCOPES.items():
-        pick = reduce(lambda rest, f: F.when(F.col(f).contains(keyword), FIELD_NAMES[f]).otherwise(rest), reversed(fields), F.lit(FIELD_NAMES[fields[0]]))
+        pick = reduce(lambda rest, f: F.when(F.col(f"{before}{f}").contains(keyword), FIELD_NAMES[f]).otherwise(rest), reversed(fields), F.lit(FIELD_NAMES[fields[0]]))
         out = F.when(scope == name, pick) if out is None else out.when(scope == name, pick)
     return out
 
@@ -70,11 +72,14 @@ def _hits(rows: DataFrame, rules: DataFrame, few: bool) -> DataFrame:
     return indexed.unionByName(rows.join(rules.where("keyword = ''"), "scope"), allowMissingColumns=True)
 
 
+def _scoped_rules(rules: DataFrame) -> DataFrame:
+    return rules.withColumn("scope", F.when(F.col("scope").isin(*SCOPES), F.col("scope")).otherwise(ANY))
+
+
 def match_rules(texts: DataFrame, rules: DataFrame, few_rules: int = 500) -> DataFrame:
     """texts(direction, opp_name, memo, note; distinct, none null) with the columns of the best rule: highest priority,
     then rule order. An empty keyword stands in every text, a null one in none. Rules of an unknown scope cover all fields; rules of an unknown direction fit all."""
-    scope = F.when(F.col("scope").isin(*SCOPES), F.col("scope")).otherwise(ANY)
-    rules = rules.withColumn("scope", scope).withColumn("for", F.when(F.col("direction").isin(IN, OUT), F.col("direction")).otherwise(ANY)).drop("direction")
+    rules = _scoped_rules(rules).withColumn("for", F.when(F.col("direction").isin(IN, OUT), F.col("direction")).otherwise(ANY)).drop("direction")
     # only scopes that the rules use
     used = {r["scope"] for r in rules.select("scope").distinct().collect()}
     if not used:
@@ -97,14 +102,49 @@ def match_rules(texts: DataFrame, rules: DataFrame, few_rules: int = 500) -> Dat
     return found.groupBy("direction", *TEXTS).agg(F.min_by("x.rule", "x.order").alias("rule")).withColumn("hit_field", _hit_field(F.col("rule.scope"), F.col("rule.keyword")))
 
 
+CHOSEN = ["rule_id", "keyword", "scope", "label_1", "label_2", "label_3"]
+
+
+def _fits(rule: Row) -> Column:
+    """Whether a rule fits the row, whose cleaned texts stand in _opp_name, _memo and _note."""
+    text = _scoped([f"_{f}" for f in SCOPES[rule["scope"]]])
+    out = (text != "") & text.contains(F.lit(rule["keyword"]))
+    for word in rule["excludes"]:
+        out = out & ~text.contains(F.lit(word))
+    if rule["opp_any"]:
+        out = out & reduce(lambda a, b: a | b, (F.col("_opp_name").contains(F.lit(w)) for w in rule["opp_any"]))
+    # last, as few rows come here: a filter on the rule repeats the direction's expression
+    return out & (F.col("direction") == rule["direction"]) if rule["direction"] in (IN, OUT) else out
+
+
+def _tested(rows: DataFrame, rules: list[Row]) -> DataFrame:
+    """rows with rule and hit_field: the first of the rules, which come in their order, that fits."""
+    kind = "struct<{}>".format(", ".join(f"{c}:string" for c in CHOSEN))
+    lists = [r for r in rules if r["excludes"] is not None and r["opp_any"] is not None and r["keyword"] is not None]
+    if not lists:
+        return rows.withColumns({"rule": F.lit(None).cast(kind), "hit_field": F.lit(None).cast("string")})
+    nth = reduce(lambda rest, k: F.when(_fits(lists[k]), k).otherwise(rest), reversed(range(len(lists))), F.lit(None).cast("int"))
+    table = F.array(*(F.struct(*(F.lit(r[c]).cast("string").alias(c) for c in CHOSEN)) for r in lists))
+    found = rows.withColumn("_nth", nth).withColumn("rule", F.get(table, F.col("_nth")).cast(kind)).drop("_nth")
+    return found.withColumn("hit_field", _hit_field(F.col("rule.scope"), F.col("rule.keyword"), "_"))
+
+
 def tag(ledger: DataFrame, rules: DataFrame, few_rules: int = 500) -> DataFrame:
     """The ledger with direction, label_1 to label_3, label_source, label_confidence, rule_id, keyword, hit_field."""
     clean = {f"_{c}": _clean(c) for c in TEXTS}
     rows = ledger.withColumn("direction", direction_of(F.col("income"), F.col("expense"))).withColumns(clean)
+    most = min(few_rules, DIRECT_RULES)
+    ordered = _scoped_rules(rules).orderBy(-F.col("priority"), "rule_seq").limit(most + 1).collect() if most else []
+    if most and len(ordered) <= most:
+        return _labelled(_tested(rows, ordered)).drop("rule", *clean)
     texts = rows.select("direction", *(F.col(f"_{c}").alias(c) for c in TEXTS)).distinct()
     hits = match_rules(texts, rules, few_rules).select(F.col("direction").alias("_d"), *(F.col(c).alias(f"__{c}") for c in TEXTS), "rule", "hit_field")
     on = reduce(lambda a, b: a & b, (F.col(f"_{c}") == F.col(f"__{c}") for c in TEXTS), F.col("direction") == F.col("_d"))
-    found = rows.join(hits, on, "left")
+    return _labelled(rows.join(hits, on, "left")).drop("rule", "_d", *clean, *(f"__{c}" for c in TEXTS))
+
+
+def _labelled(found: DataFrame) -> DataFrame:
+    """Rows with the labels of their rule, or the fallback's."""
     hit = F.col("rule").isNotNull()
     trust = reduce(lambda rest, kv: F.when(F.col("hit_field") == kv[0], kv[1]).otherwise(rest), CONFIDENCE.items(), F.lit(None).cast("double"))
     fallback = F.when(F.col("direction") == OUT, NO_RULE["expense"]).otherwise(NO_RULE["income"])
@@ -112,7 +152,7 @@ def tag(ledger: DataFrame, rules: DataFrame, few_rules: int = 500) -> DataFrame:
         "label_1": F.when(hit, F.col("rule.label_1")).otherwise(NO_RULE["label_1"]), "label_2": F.when(hit, F.col("rule.label_2")).otherwise(NO_RULE["label_2"]), "label_3": F.when(hit, F.col("rule.label_3")).otherwise(fallback),
         "label_source": F.when(hit, BY_RULE).otherwise(NO_RULE["source"]), "label_confidence": F.when(hit, trust).otherwise(NO_RULE["confidence"]),
         "rule_id": F.col("rule.rule_id"), "keyword": F.col("rule.keyword"),
-    }).drop("rule", "_d", *clean, *(f"__{c}" for c in TEXTS))
+    })
 
 
 def _sums() -> list[Column]:
@@ -143,7 +183,8 @@ def hit_rate(tagged: DataFrame) -> DataFrame:
 def suggestions(tagged: DataFrame, top: int = 40, least: int = 5) -> DataFrame:
     """Counterparties of rows without a rule: the `top` most frequent, of those the ones with `least` rows, numbered;
     ties go to the first seen."""
-    open_rows = tagged.where(F.col("rule_id").isNull() & (F.coalesce("opp_name", F.lit("")) != ""))
-    found = open_rows.groupBy("direction", "opp_name").agg(F.count("*").alias("rows"), F.min("seq").alias("first_seq")).orderBy(F.desc("rows"), "first_seq").limit(top)
+    is_open = F.col("rule_id").isNull()  # counted, not filtered by, so that each row's rule is found once
+    groups = tagged.where(F.coalesce("opp_name", F.lit("")) != "").groupBy("direction", "opp_name").agg(F.count_if(is_open).alias("rows"), F.min(F.when(is_open, F.col("seq"))).alias("first_seq"))
+    found = groups.where("rows > 0").orderBy(F.desc("rows"), "first_seq").limit(top)
     number = F.format_string("NEW-%03d", F.row_number().over(Window.orderBy(F.desc("rows"), "first_seq")))  # `top` rows at most
     return found.where(F.col("rows") >= least).withColumn("suggestion_id", number)

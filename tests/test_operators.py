@@ -113,6 +113,21 @@ def test_empty_keywords_stand_in_every_text_either_way(spark, keyword):
     assert few == many == (["a ring", "bolt"] if keyword == "" else ["a ring"])
 
 
+def test_few_rules_are_tested_where_the_rows_are(spark, sf_dir, monkeypatch):
+    """Rules of every scope and direction, with lists, ties, odd keywords and texts: as the other ways, and no row moves."""
+    rng, texts = random.Random(5), [None, "", "nan", "NaN", "ring", "a ring of bolts", "bolt", "款项", "na"]
+    rows = ledger(spark, [{"income": rng.choice([None, 1.0]), "expense": rng.choice([None, 2.0]), **{c: rng.choice(texts) for c in tagging.TEXTS}} for _ in range(300)])
+    words = ["", "ring", "bolt", "款", "nan", "o", None]
+    some = lambda: [w for w in rng.sample(["s", "bolt", "款", "x"], rng.randint(0, 2))]
+    table = [(f"R{k}", rng.choice(["收入", "支出", "通用", "other"]), rng.choice([*tagging.SCOPES, "else"]), rng.choice(words), some(), some() if k % 2 else [], "a", "b", None, float(k % 5), k) for k in range(40)]
+    rules = spark.createDataFrame(table, tagging.RULES)
+    direct = tagging.tag(rows, rules)
+    assert "Exchange" not in direct._jdf.queryExecution().executedPlan().toString()
+    shown = lambda df: sorted(map(str, df.collect()))
+    monkeypatch.setattr(tagging, "DIRECT_RULES", 0)
+    assert shown(direct) == shown(tagging.tag(rows, rules).select(*direct.columns)) == shown(tagging.tag(rows, rules, few_rules=0).select(*direct.columns))
+
+
 def test_rows_without_a_rule_have_the_fallback_labels(spark):
     rows = ledger(spark, [{"income": 1.0, "txn_time": datetime(2024, 1, 1)}, {"expense": 1.0}, {"income": 0.0}])
     got = tagging.tag(rows, pipelines.rules.typed_rules(testdata.demo_rules(spark).where("false"))).orderBy("seq").select("label_1", "label_2", "label_3", "label_source", "label_confidence").collect()
