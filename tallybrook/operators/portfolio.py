@@ -104,10 +104,11 @@ def virtual_balance(ledger: DataFrame) -> DataFrame:
     order = [F.coalesce("txn_time", F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")), F.col("_acct"), F.coalesce("source_row", F.lit(LAST_ROW)), F.coalesce("seq", F.lit(LAST_ROW))]
     rows = in_ranges(keyed, order)
     back = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
-    ends = rows.groupBy("__part", "_acct").agg(F.max_by("balance", F.when(F.col("balance").isNotNull(), F.struct(*order))).alias("_end"))
-    carried = ends.select("__part", "_acct", F.last("_end", True).over(back(Window.partitionBy("_acct").orderBy("__part"))).alias("_carried"))
+    # rows without a balance change nothing, so they need nothing carried
+    ends = rows.where("balance is not null").groupBy("__part", "_acct").agg(F.max_by("balance", F.struct(*order)).alias("_end"))
+    carried = ends.select("__part", "_acct", F.last("_end").over(back(Window.partitionBy("_acct").orderBy("__part"))).alias("_carried"))
     known = F.coalesce(F.last("balance", True).over(back(Window.partitionBy("__part", "_acct").orderBy(*order))), "_carried", F.lit(0.0))
-    rows = rows.join(carried, ["__part", "_acct"]).withColumn("_delta", F.when(F.col("balance").isNull(), 0.0).otherwise(F.col("balance") - known))
+    rows = rows.join(carried, ["__part", "_acct"], "left").withColumn("_delta", F.when(F.col("balance").isNull(), 0.0).otherwise(F.col("balance") - known))
     before = before_parts(rows.groupBy("__part").agg(F.sum("_delta").alias("_sum")), "_sum", "_before")
     running = F.sum("_delta").over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     out = rows.withColumn("_running", running).join(F.broadcast(before), "__part")  # a row for each part
