@@ -18,7 +18,7 @@ from tallybrook.plans.workbook_sink import write_workbooks
 from tallybrook.queries import _CHECKS3, _DUP, _RULES, ACCOUNTS, BY_FILE, DAILY, L1, L2, ORACLE_SQL, QUERIES, _check, _steps, greedy, query
 from tallybrook.schema import PUBLISHED
 from tallybrook.sources import ledgers, testdata
-from tallybrook.sources.grids import read_grids, read_sheets, sheets_of, whole_files
+from tallybrook.sources.grids import read_grids, read_sheets, scan_files, sheets_of, whole_files
 from tallybrook.tables import new_path, numbered, write_table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -109,7 +109,8 @@ def files_of_any_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files in UTF-8 with a mark, GBK, UTF-16 and GB18030, read in many splits."""
     path = encoded_statements(spark, sf_dir)
     with small_splits(spark):
-        ledger, _ = pipelines.standardize_files(spark, f"{path}/n=*")
+        grids, outcomes = scan_files(spark, f"{path}/n=*")
+    ledger, _ = standardize(grids, outcomes=outcomes)
     name = F.concat(F.lit("f"), F.regexp_extract("source_file", r"n=(\d)", 1), F.lit(".csv"))
     return ledger.select(name.alias("source_file"), "source_row", F.date_format("txn_time", "yyyy-MM-dd HH:mm:ss").alias("txn_time"), "own_name", "own_account", "opp_name", "income", "expense", "balance", "memo")
 

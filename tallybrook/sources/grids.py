@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.sources import textfiles, workbooks
-from tallybrook.tables import write_table
+from tallybrook.tables import own_splits, write_table
 
 GRID = "file string, row_idx long, cells array<string>"
 # Extensions by reader, and those that are looked for in a folder.
@@ -93,13 +93,13 @@ def scan_files(spark: SparkSession, *paths: str, extractors: Extractors | None =
     known = [f for f in files if kind_of(f) in (*SPREADSHEET, *PDF, *extractors)]
     rows = textfiles.records(spark, text)
     if known:
-        rows = rows.unionByName(whole_files(textfiles.binary(spark, known), extractors))
-    table = write_table(rows, "grids")
-    failed = {r["file"]: r["error"] for r in table.where("error is not null").groupBy("file").agg(F.min("error").alias("error")).collect()}
+        rows = rows.unionByName(write_table(whole_files(textfiles.binary(spark, known), extractors), "grids"))
+    with own_splits(spark):
+        failed = {r["file"]: r["error"] for r in rows.where("error is not null").groupBy("file").agg(F.min("error").alias("error")).collect()}
     read = {*text, *known}
     shown = (lambda f: f) if full_path else posixpath.basename
     outcomes = [(shown(f), UNREADABLE if f in failed else READ if f in read else UNKNOWN_TYPE, failed.get(f) or (None if f in read else f"no reader for files of type {kind_of(f) or 'none'}")) for f in files]
-    grids = table.where("error is null")
+    grids = rows.where("error is null")
     if failed:
         grids = grids.join(spark.createDataFrame([(f,) for f in failed], "file string"), "file", "left_anti")
     name = F.col("file") if full_path else F.regexp_extract("file", r"([^/]*)$", 1)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.schema import conform, from_published
 from tallybrook.sources import textfiles
-from tallybrook.tables import beside, numbered, write_table
+from tallybrook.tables import beside, numbered, own_splits, write_table
 
 
 #: Names of the artifacts of a customer, the furthest processed first.
@@ -54,17 +54,26 @@ def read_csv_ledgers(spark: SparkSession, *paths: str) -> DataFrame:
         given.setdefault(p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString(), k)
     rank = lambda f: (given.get(f, given.get(f.rpartition("/")[0])), f)  # noqa: E731  a ledger may be a folder of part files
     files = sorted(textfiles.files_in(spark, *(textfiles.literally(g) for g in given)), key=rank)
-    table = write_table(textfiles.records(spark, files, record_safe=True), "ledgers")
+    table = textfiles.records(spark, files, record_safe=True)
+    with own_splits(spark):
+        return _typed(table, files)
+
+
+def _typed(table: DataFrame, files: list[str]) -> DataFrame:
+    """Records of ledgers to rows, the files in their order."""
+    spark = table.sparkSession
     if (bad := table.where("error is not null").first()) is not None:
         raise ValueError(f"{bad['file']}: {bad['error']}")
-    heads = table.groupBy("file").agg(F.max("record").alias("rows"), F.max(F.when(F.col("record") == 0, F.col("cells"))).alias("header"))
+    heads = table.groupBy("file").agg(F.max("record").alias("rows")).join(table.where("record = 0").select("file", F.col("cells").alias("header")), "file", "left")
     placed = heads.join(spark.createDataFrame(list(enumerate(files)), "place long, file string"), "file")
     # a row per file
     before = F.coalesce(F.sum("rows").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     facts = write_table(placed.select("file", "header", before.alias("before")), "headers")
     names = sorted({n for r in facts.select(F.explode(F.array_distinct("header")).alias("name")).distinct().collect() for n in (r["name"],) if n})
-    rows = table.where("record > 0").join(beside(facts), "file")
-    raw = rows.select((F.col("before") + F.col("record")).alias("_seq"), *(F.nullif(F.get("cells", F.nullif(F.array_position("header", n), F.lit(0)).cast("int") - 1), F.lit("")).alias(n) for n in names))
+    places = [f"_at{k}" for k in range(len(names))]
+    located = facts.select("file", "before", *((F.nullif(F.array_position("header", n), F.lit(0)).cast("int") - 1).alias(at) for n, at in zip(names, places)))
+    rows = table.where("record > 0").join(beside(located), "file")
+    raw = rows.select((F.col("before") + F.col("record")).alias("_seq"), *(F.nullif(F.get("cells", F.col(at)), F.lit("")).alias(n) for n, at in zip(names, places)))
     raw = from_published(raw)
     typed = {c: F.col(c).try_cast("double") for c in ("income", "expense", "amount", "balance") if c in raw.columns}
     typed |= {"source_row": F.col("source_row").try_cast("long")} if "source_row" in raw.columns else {}

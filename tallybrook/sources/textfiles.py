@@ -1,11 +1,10 @@
 """Delimited text files of any size as records, read in splits.
 
 Spark cuts the files between lines. A record may span lines, as a quoted field may hold line breaks; so a line is a map
-from the state before it (outside or inside a quoted field) to the state behind it. Each task walks its splits for both
-states at once and writes, with every line, the state and the number of records before it under either. The maps of
-whole splits are composed along each file, which gives every split its true first state and record, and so every line
-its record: a file's rows have numbers although no task sees the file. Records of one line are parsed where they are;
-the lines of a longer one meet by its number.
+from the state before it (outside or inside a quoted field) to the state behind it. A first scan walks each split for
+both states at once and keeps only the split's map: the state behind it and the records begun in it. The maps are composed
+along each file, which gives every split its true first state and record: a file's rows have numbers although no task sees
+the file. A second scan parses the records where they are; only what crosses the border of splits meets by its number.
 
 The encoding of a file is the first of `ENCODINGS` that all its lines fit, else UTF-8 with replacement characters.
 UTF-16 has its own line ends, so such files are read by themselves.
@@ -18,12 +17,16 @@ from __future__ import annotations
 
 import csv
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybrook.tables import beside, write_table
+from tallybrook.tables import own_splits, settings_of, write_table
 
 #: Tried in this order.
 ENCODINGS = ("utf-8", "gbk", "gb18030", "utf-16")
@@ -33,6 +36,8 @@ WHOLE = "utf-16"
 #: The longest field that the standard csv reader takes, and the longest record here, in characters.
 FIELD_LIMIT, RECORD_LIMIT = 131_072, 1 << 20
 BATCH = 5_000
+#: Splits of fewer bytes share tasks.
+SMALL_SPLIT = 8 << 20
 
 
 # Files --------------------------------------------------------------------------------------------------------------
@@ -177,123 +182,221 @@ def ends_inside(line: str, inside: bool) -> bool:
         at += 1
 
 
+def _codec(encoding: str) -> tuple[str, str]:
+    return ("utf-8", "replace") if encoding in (ANY_BYTES, WHOLE) else (encoding, "strict")
+
+
+def _runs(batches):
+    """The lines of a split that stand in one batch, with the columns before them, which hold one value in a split."""
+    for batch in batches:
+        *keys, values = batch.columns
+        ends = sorted({e for c in keys[:2] for e in pc.run_end_encode(c).run_ends.to_pylist()})
+        for at, end in zip([0, *ends], ends):
+            yield [c[at].as_py() for c in keys], values.slice(at, end - at).to_pylist()
+
+
+def _begun(block: int, lines: list[bytes], names: str) -> list[bytes]:
+    """The first lines of a split; those of a file without its mark."""
+    mark = b"\xef\xbb\xbf" if names == "utf-8" else b"\xff\xfe" if names == "utf-16-le" else b"\xfe\xff" if names.startswith("utf-16") else b""
+    return [lines[0].removeprefix(mark), *lines[1:]] if block == 0 else lines
+
+
+def _maps(encoding: str, record_safe: bool):
+    """For each split the states behind it and the records begun in it, for both states in which it may begin."""
+    names, errors = _codec(encoding)
+
+    def run(batches):
+        where, inside, seen = None, [False, True], [0, 0]
+        row = lambda: pa.record_batch([pa.array([where[0]]), pa.array([where[1]], pa.int64()), pa.array([inside]), pa.array([seen], pa.list_(pa.int64()))], names=["file", "block", "behind", "seen"])
+        for key, lines in _runs(batches):
+            if key != where:
+                if where is not None:
+                    yield row()
+                where, inside, seen = key, [False, True], [0, 0]
+                lines = _begun(key[1], lines, names)
+            for value in lines:
+                text = value.decode(names, errors)
+                for piece in [text] if record_safe else text.splitlines():
+                    bare = piece.strip()
+                    if bare and (record_safe or not bare.startswith("#")):
+                        seen = [n + (not s) for n, s in zip(seen, inside)]
+                        if '"' in piece:
+                            inside = [ends_inside(piece, s) for s in inside]
+        if where is not None:
+            yield row()
+
+    return run
+
+
+RECORD, COMMENT, PART = 0, 1, 2
+TOO_LONG = f"a record is longer than {RECORD_LIMIT} characters"
+PIECES = "file string, block long, at long, kind byte, record long, cells array<string>, error string, part string, size long"
+
+
 def _walk(encoding: str, record_safe: bool):
-    """Lines to pieces with what lies before them in their split, for both states in which it may begin."""
-    names, errors = ("utf-8", "replace") if encoding in (ANY_BYTES, WHOLE) else (encoding, "strict")
+    """Lines (file, block, state and records before the split, value) to records that lie in one split, parsed, to what
+    the split holds of others, and to comments."""
+    names, errors = _codec(encoding)
+    parse = _parsed(not record_safe, record_safe)
 
     def run(batches):
-        where, inside, seen, at = None, [False, True], [0, 0], 0
-        out: list[tuple] = []
+        where, at, number, inside, cut, begun, held, size = None, 0, -1, False, False, 0, [], 0
+        whole: list[tuple] = []
+        loose: list[tuple] = []
+
+        def close(cut: bool):
+            nonlocal held, size
+            if cut:  # no more than a part of a record
+                loose.append((*where, begun, PART, number, None, "\n".join(held) if size <= RECORD_LIMIT else None, size))
+            elif size > RECORD_LIMIT:
+                loose.append((*where, begun, RECORD, number, TOO_LONG, None, None))
+            else:
+                whole.append((*where, begun, number, "\n".join(held)))
+            held, size = [], 0
 
         def flush():
-            nonlocal out
-            columns = list(zip(*out))
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int8(), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.list_(pa.int64()))
-            out = []
-            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=["file", "block", "at", "line", "kind", "before", "behind", "seen"])
-
-        for batch in batches:
-            for file, block, value in zip(*(c.to_pylist() for c in batch.columns)):
-                if (file, block) != where:
-                    where, inside, seen, at = (file, block), [False, True], [0, 0], 0
-                    if block == 0:
-                        value = value.removeprefix(b"\xef\xbb\xbf") if names == "utf-8" else value.removeprefix(b"\xff\xfe" if names == "utf-16-le" else b"\xfe\xff") if names.startswith("utf-16") else value
+            nonlocal whole, loose
+            read, none = parse([w[4] for w in whole]), [None] * len(whole)
+            split, rest = list(zip(*whole)) or [()] * 5, list(zip(*loose)) or [()] * 8
+            columns = [split[0] + rest[0], split[1] + rest[1], split[2] + rest[2], (RECORD,) * len(whole) + rest[3], split[3] + rest[4], [c for c, _ in read] + [None] * len(loose), [e for _, e in read] + list(rest[5]), [*none, *rest[6]], [*none, *rest[7]]]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int64())
+            whole, loose = [], []
+            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=[c.split()[0] for c in PIECES.split(", ")])
+
+        for (file, block, state, before), lines in _runs(batches):
+            if (file, block) != where:
+                if held:
+                    close(True)
+                if state is None:
+                    raise RuntimeError(f"the splits of {file} changed between two scans")
+                where, at, number, inside, cut, begun = (file, block), 0, before - 1, bool(state), bool(state), 0
+                lines = _begun(block, lines, names)
+            for value in lines:
                 text = value.decode(names, errors)
                 for piece in [text] if record_safe else text.splitlines():
                     bare = piece.strip()
                     if not record_safe and bare.startswith("#"):
-                        out.append((file, block, at, bare.lstrip("#").strip(), COMMENT, inside, inside, seen))
-                    elif bare or record_safe:
-                        behind = [ends_inside(piece, s) for s in inside] if '"' in piece else inside
-                        begun = [n + (bool(bare) and not s) for n, s in zip(seen, inside)]
-                        out.append((file, block, at, piece, LINE if bare else BLANK, inside, behind, begun))
-                        inside, seen = behind, begun
+                        loose.append((file, block, at, COMMENT, -1, None, bare.lstrip("#").strip(), None))
+                    elif bare or inside and record_safe:
+                        if not inside:
+                            number, begun = number + 1, at
+                        behind = ends_inside(piece, inside) if '"' in piece else inside
+                        if inside or behind:
+                            size += len(piece) + 1
+                            if size <= RECORD_LIMIT:  # what is too long is not gathered
+                                held.append(piece)
+                            if not behind:
+                                close(cut)
+                                cut = False
+                        else:
+                            whole.append((file, block, at, number, piece))
+                        inside = behind
                     at += 1
-                    if len(out) >= BATCH:
+                    if len(whole) + len(loose) >= BATCH:
                         yield flush()
-        if out:
+        if held:
+            close(True)
+        if whole or loose:
             yield flush()
 
     return run
 
 
-LINE, COMMENT, BLANK = 0, 1, 2
-LINES = "file string, block long, at long, line string, kind byte, before array<boolean>, behind array<boolean>, seen array<long>"
-
-
-def _placed(lines: DataFrame) -> DataFrame:
-    """Lines with record (from 0; none of comments and of blank lines between records), inside (before the line) and open
-    (behind it)."""
-    ends = lines.groupBy("file", "block").agg(F.max_by(F.struct("behind", "seen"), "at").alias("e")).select("file", "block", "e.*")
+def _begins(maps: DataFrame) -> DataFrame:
+    """file, block, state (1: inside a quoted field) and first (records begun before) of each split."""
     # a split's map is constant, the identity or an exchange; the last constant before a split tells its first state
     along = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     fixed, swaps = F.col("behind")[0] == F.col("behind")[1], F.col("behind")[0] & ~F.col("behind")[1]
-    counted = ends.withColumn("swaps", F.coalesce(F.sum(swaps.cast("int")).over(along), F.lit(0)))
+    counted = maps.withColumn("swaps", F.coalesce(F.sum(swaps.cast("int")).over(along), F.lit(0)))
     marked = counted.withColumn("last", F.last(F.when(fixed, F.struct(F.col("behind")[0].cast("int").alias("state"), "swaps")), True).over(along))
     state = F.pmod(F.coalesce("last.state", F.lit(0)) + F.col("swaps") - F.coalesce("last.swaps", F.lit(0)), F.lit(2)).cast("int")
-    begins = marked.withColumn("state", state).withColumn("first", F.coalesce(F.sum(F.get("seen", F.col("state"))).over(along), F.lit(0))).select("file", "block", "state", "first")
-    begins = write_table(begins, "splits")
-    joined = lines.join(beside(begins), ["file", "block"])
-    of = lambda c: F.get(c, F.col("state"))
-    number = F.when((F.col("kind") == LINE) | (F.col("kind") == BLANK) & of("before"), F.col("first") + of("seen") - 1)
-    return joined.select("file", "block", "at", "line", "kind", number.alias("record"), of("before").alias("inside"), of("behind").alias("open"))
+    return marked.withColumn("state", state).withColumn("first", F.coalesce(F.sum(F.get("seen", F.col("state"))).over(along), F.lit(0))).select("file", "block", "state", "first")
 
 
 def _parsed(strip: bool, plain: bool):
-    """Whole records (file, record, text) to cells; of records that the reader refuses, the reason."""
+    """Whole records as texts to cells; of records that the reader refuses, the reason."""
 
     def cells_of(row: list[str]) -> list[str]:
         return [c.strip() for c in row] if strip else row
 
     def one(text: str) -> tuple[list[str] | None, str | None]:
         if len(text) > RECORD_LIMIT:
-            return None, f"a record is longer than {RECORD_LIMIT} characters"
+            return None, TOO_LONG
         try:
             return cells_of(next(csv.reader([text]), [])), None
         except csv.Error as e:
             return None, str(e)
 
+    def parse(texts: list[str]) -> list[tuple[list[str] | None, str | None]]:
+        texts = [t.removesuffix("\r") for t in texts] if plain else texts
+        try:
+            rows = [(cells_of(r), None) for r in csv.reader(texts)] if all(len(t) <= RECORD_LIMIT for t in texts) else []
+        except csv.Error:
+            rows = []
+        return rows if len(rows) == len(texts) else [one(t) for t in texts]
+
+    return parse
+
+
+def _gathered(record_safe: bool):
+    """Records (file, record, text) that lay in several splits, parsed."""
+    parse = _parsed(not record_safe, record_safe)
+
     def run(batches):
         for batch in batches:
-            files, records, texts = (c.to_pylist() for c in batch.columns)
-            texts = [t.removesuffix("\r") for t in texts] if plain else texts
-            try:
-                rows = [(cells_of(r), None) for r in csv.reader(texts)] if all(len(t) <= RECORD_LIMIT for t in texts) else []
-            except csv.Error:
-                rows = []
-            if len(rows) != len(texts):
-                rows = [one(t) for t in texts]
-            yield pa.record_batch([pa.array(files, pa.string()), pa.array(records, pa.int64()), pa.array([c for c, _ in rows], pa.list_(pa.string())), pa.array([e for _, e in rows], pa.string())], names=["file", "record", "cells", "error"])
+            rows = parse(batch.column(2).to_pylist())
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([c for c, _ in rows], pa.list_(pa.string())), pa.array([e for _, e in rows], pa.string())], names=["file", "record", "cells", "error"])
 
     return run
 
 
+@contextmanager
+def _scans(spark: SparkSession) -> Iterator[None]:
+    """Inside, every scan cuts the files alike, whatever executors come and go. Where the session asks for small splits, they
+    are dealt out to a bounded number of tasks, one after another."""
+    conf, cores = spark.conf, spark.sparkContext.defaultParallelism
+    settings = {"spark.sql.files.minPartitionNum": conf.get("spark.sql.files.minPartitionNum", None) or str(cores)}
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get("spark.sql.files.maxPartitionBytes")) < SMALL_SPLIT:
+        settings["spark.sql.files.maxPartitionNum"] = str(4 * max(cores, int(conf.get("spark.sql.shuffle.partitions"))))
+    with settings_of(spark, settings):
+        yield
+
+
 def records(spark: SparkSession, files: list[str], record_safe: bool = False) -> DataFrame:
-    """file, record (from 0; comments have -1, in one row), cells, error (why a file's record can't be read).
+    """file, record (from 0; comments have -1, in one row), cells, error (why a file's record can't be read); written.
 
     As a rule lines that are blank or begin with # are left out first, also inside quotes, and cells are trimmed.
     record_safe: there are no comments, line breaks inside quotes stay as they are, and so do the cells.
     """
-    groups: dict[str, list[str]] = {}
-    for file, encoding in encodings_of(spark, files, record_safe).items():
-        groups.setdefault(encoding, []).append(file)
     kind = "file string, record long, cells array<string>, error string"
-    if not groups:
+    if not files:
         return spark.createDataFrame([], kind)
-    lines = None
-    for encoding, some in groups.items():
-        part = _lines(spark, some, encoding, record_safe).mapInArrow(_walk(encoding, record_safe), LINES)
-        lines = part if lines is None else lines.unionByName(part)
-    placed = _placed(write_table(lines, "lines"))
-    comments = placed.where(F.col("kind") == COMMENT).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("all"))
-    shown = comments.select("file", F.lit(-1).cast("long").alias("record"), F.array(F.array_join(F.transform("all", lambda x: x["line"]), "\n")).alias("cells"), F.lit(None).cast("string").alias("error"))
-    table = placed.where("record is not null")
-    parse = _parsed(not record_safe, record_safe)
-    whole = table.where("not inside and not open").select("file", "record", F.col("line").alias("text"))
-    # the lines of longer records; what is too long is not gathered
-    parts = table.where("inside or open").select("file", "record", "block", "at", "line")
-    size = parts.groupBy("file", "record").agg(F.sum(F.length("line") + 1).alias("size"))
-    gathered = parts.join(size.where(F.col("size") <= RECORD_LIMIT).select("file", "record"), ["file", "record"], "left_semi").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("all"))
-    long = gathered.select("file", "record", F.array_join(F.transform("all", lambda x: x["line"]), "\n").alias("text"))
-    refused = size.where(F.col("size") > RECORD_LIMIT).select("file", "record", F.lit(None).cast("array<string>").alias("cells"), F.lit(f"a record is longer than {RECORD_LIMIT} characters").alias("error"))
-    return whole.mapInArrow(parse, kind).unionByName(long.mapInArrow(parse, kind)).unionByName(refused).unionByName(shown)
+    with _scans(spark):
+        groups: dict[str, list[str]] = {}
+        for file, encoding in encodings_of(spark, files, record_safe).items():
+            groups.setdefault(encoding, []).append(file)
+        scans = [(_lines(spark, some, encoding, record_safe), encoding) for encoding, some in groups.items()]
+        maps = [lines.mapInArrow(_maps(encoding, record_safe), "file string, block long, behind array<boolean>, seen array<long>") for lines, encoding in scans]
+        # a row per split, as the driver has one to plan a scan; joined otherwise the lines would lose their order
+        begins = F.broadcast(write_table(_begins(reduce(DataFrame.unionByName, maps)), "splits"))
+        pieces = [lines.join(begins, ["file", "block"], "left").select("file", "block", "state", "first", "value").mapInArrow(_walk(encoding, record_safe), PIECES) for lines, encoding in scans]
+        table = write_table(reduce(DataFrame.unionByName, pieces), "pieces")
+    with own_splits(spark):
+        return _joined(table, record_safe)
+
+
+def _joined(table: DataFrame, record_safe: bool) -> DataFrame:
+    """Pieces to records; those of several splits, and comments, as a table of their own."""
+    kind = "file string, record long, cells array<string>, error string"
+    comments = table.where(F.col("kind") == COMMENT).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("block", "at", "part"))).alias("all"))
+    joined = F.array_join(F.transform("all", lambda x: x["part"]), "\n")
+    shown = comments.select("file", F.lit(-1).cast("long").alias("record"), F.array(joined).alias("cells"), F.lit(None).cast("string").alias("error"))
+    # the parts of records over several splits; what is too long is not gathered
+    parts = table.where(F.col("kind") == PART).select("file", "record", "block", "at", "part", "size")
+    size = parts.groupBy("file", "record").agg(F.sum("size").alias("size"))
+    gathered = parts.join(size.where(F.col("size") <= RECORD_LIMIT).select("file", "record"), ["file", "record"], "left_semi").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("block", "at", "part"))).alias("all"))
+    long = gathered.select("file", "record", joined.alias("text")).mapInArrow(_gathered(record_safe), kind)
+    refused = size.where(F.col("size") > RECORD_LIMIT).select("file", "record", F.lit(None).cast("array<string>").alias("cells"), F.lit(TOO_LONG).alias("error"))
+    others = write_table(long.unionByName(refused).unionByName(shown).withColumn("kind", F.lit(RECORD).cast("byte")), "others")
+    both = table.sparkSession.read.schema(f"{kind}, kind byte").parquet(table.written_to, others.written_to)  # one scan
+    return both.where(F.col("kind") == RECORD).drop("kind")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +36,25 @@ def write_table(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+@contextmanager
+def settings_of(spark: SparkSession, settings: dict[str, str | None]) -> Iterator[None]:
+    """Settings of the session for a while; None stands for the application's own."""
+    before = {n: spark.conf.get(n, None) for n in settings}
+    put = lambda n, v: spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+    for n, v in settings.items():
+        put(n, v)
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            put(n, v)
+
+
+def own_splits(spark: SparkSession):
+    """Inside, tables are read in the splits that the application is set to, not in those the session has for files."""
+    return settings_of(spark, dict.fromkeys(("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")))
+
+
 def drop_table(table: DataFrame) -> None:
     """Removes a table of write_table that no later step reads."""
     spark = table.sparkSession

@@ -227,6 +227,20 @@ def test_many_ledgers_of_any_columns_are_one_scan(spark, tmp_path):
     assert plan.count("Union") == 0
 
 
+def test_small_splits_share_tasks(spark, tmp_path):
+    (tmp_path / "a__standardized.csv").write_text("交易唯一编号,银行备注\n" + "".join(f'T{k},"x\n{k}"\n' for k in range(600)))
+    sc = spark.sparkContext
+    sc.setJobGroup("splits", "")
+    with small_splits(spark, "64"):
+        assert textfiles._lines(spark, textfiles.files_in(spark, str(tmp_path)), "utf-8", True).rdd.getNumPartitions() > 100
+        back = ledgers.read_csv_ledgers(spark, str(tmp_path))
+    assert [(r["txn_id"], r["memo"]) for r in back.orderBy("seq").collect()] == [(f"T{k}", f"x\n{k}") for k in range(600)]
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("splits") for s in tracker.getJobInfo(j).stageIds]
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(stages) > 5 and max(s.numTasks for s in stages if s) <= 40
+
+
 def test_unreadable_ledgers_are_an_error(spark, tmp_path):
     (tmp_path / "a__standardized.csv").write_text("交易唯一编号\n" + "x" * 200_000 + "\n")
     with pytest.raises(ValueError, match="field limit"):
