@@ -372,8 +372,9 @@ def deliverable_main(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deliverable_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deliverable as workbooks of 3000 rows a sheet, written by tasks and read back: its main sheet, by workbook."""
     sheets = pipelines.deliverable("client", [("a", testdata.events_ledger(spark, sf_dir))], testdata.demo_rules(spark))
-    books = write_workbooks(sheets, new_path(spark, "deliverable"), sheet_rows=3000)
-    rows = read_sheets(spark, *books, sheet="整合打标流水").where("row_idx > 0")
+    folder = new_path(spark, "deliverable")
+    write_workbooks(sheets, folder, sheet_rows=3000)
+    rows = read_sheets(spark, folder, sheet="整合打标流水").where("row_idx > 0")
     at = {n: F.get("cells", F.lit(k)) for k, n in enumerate(sheets["整合打标流水"].columns)}
     number = lambda n: at[PUBLISHED[n]].cast("double").alias(n)
     return rows.select(

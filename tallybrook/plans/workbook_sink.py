@@ -1,7 +1,7 @@
 """Sheets as workbooks (xlsx), written by Spark tasks.
 
-Rows are numbered in their order and dealt out to workbooks of as many rows as a sheet may have, and in those to blocks.
-A task turns a block into compressed rows of XML; one task for each workbook strings its blocks together, and Spark's
+Rows are numbered where they lie, in their order, which deals them out to workbooks of as many rows as a sheet may have. A
+task turns runs of its rows into compressed XML, so that rows aren't shuffled for it; one task for each workbook strings its blocks together, and Spark's
 text writer stores the bytes. So no task holds more than one workbook, compressed, and the driver moves names only.
 """
 
@@ -18,16 +18,18 @@ from functools import reduce
 from xml.sax.saxutils import escape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.tables import new_path, numbered, write_table
+from tallybrook.tables import before_parts, new_path, write_table
 
 # The rows of a sheet below its header, the most characters of a cell, the largest exact whole number.
 SHEET_ROWS, CELL_CHARS, EXACT = 1_048_575, 32_767, 10**15
 BLOCK_ROWS = 20_000
 #: Characters that XML can't hold.
 _BAD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ud800-\udfff￾￿]")
+_SPECIAL = re.compile(f"[&<>\r{_BAD.pattern[1:]}")
 PLAIN, MONEY, HEAD = 0, 1, 2
 _STYLES = (
     "<styleSheet xmlns='http://schemas.openxmlformats.org/spreadsheetml/2006/main'><fonts count='2'><font/><font><b/></font></fonts><fills count='1'><fill/></fills><borders count='1'><border/></borders>"
@@ -47,16 +49,33 @@ def cell(value, style: int = PLAIN) -> str:
     if isinstance(value, (float, Decimal)) and math.isfinite(value):
         return f"<c s='{MONEY}'><v>{value!r}</v></c>" if isinstance(value, float) else f"<c s='{MONEY}'><v>{value}</v></c>"
     text = value.strftime("%Y-%m-%d %H:%M:%S") if isinstance(value, datetime) else value.isoformat() if isinstance(value, date) else str(value)
-    shown = escape(_BAD.sub("", text)[:CELL_CHARS], {"\r": "&#13;"})
+    shown = escape(_BAD.sub("", text)[:CELL_CHARS], {"\r": "&#13;"}) if _SPECIAL.search(text) else text[:CELL_CHARS]
     return f"<c t='inlineStr'{f" s='{style}'" if style else ''}><is><t xml:space='preserve'>{shown}</t></is></c>"
 
 
-def _block(sheet: int, columns: list[str]):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_rank")
-        values = [[None if x is pd.NaT or x is None else x.to_pydatetime() if isinstance(x, pd.Timestamp) else x for x in pdf[c].astype(object).tolist()] for c in columns]
-        rows = "".join(f"<row>{''.join(map(cell, row))}</row>" for row in zip(*values))
-        return pd.DataFrame({"book": [int(pdf["_book"].iloc[0])], "sheet": [sheet], "block": [int(pdf["_block"].iloc[0])], "data": [zlib.compress(rows.encode())]})
+def _pieces(sheet: int, sheet_rows: int):
+    """Rows (rank from 0, cells) as they lie in order to runs of rows that follow each other in a workbook, compressed; block
+    is the place of a run's first row."""
+
+    def run(batches):
+        held: list[str] = []
+        begin = 0
+
+        def piece():
+            nonlocal held
+            data, held = zlib.compress("".join(held).encode(), 1), []
+            return pa.record_batch([pa.array([begin // sheet_rows]), pa.array([sheet], pa.int32()), pa.array([begin % sheet_rows]), pa.array([data], pa.binary())], names=["book", "sheet", "block", "data"])
+
+        for batch in batches:
+            ranks, *columns = (c.to_pylist() for c in batch.columns)
+            for rank, row in zip(ranks, zip(*columns)):
+                if held and (rank != begin + len(held) or rank % sheet_rows == 0 or len(held) >= BLOCK_ROWS):
+                    yield piece()
+                if not held:
+                    begin = rank
+                held.append(f"<row>{''.join(map(cell, row))}</row>")
+        if held:
+            yield piece()
 
     return run
 
@@ -102,9 +121,11 @@ def write_workbooks(sheets: dict[str, DataFrame], path: str, sheet_rows: int = S
         columns = [f"c{i}" for i in range(len(df.columns))]
         heads.append(df.columns)
         # partitions of an ordered DataFrame follow each other
-        held = numbered(df.toDF(*columns).withColumn("_at", F.monotonically_increasing_id()), [F.col("_at")], "_rank")
-        place = held.withColumns({"_book": F.floor((F.col("_rank") - 1) / sheet_rows), "_block": F.floor(((F.col("_rank") - 1) % sheet_rows) / BLOCK_ROWS)})
-        parts.append(place.groupBy("_book", "_block").applyInPandas(_block(k, columns), "book long, sheet int, block long, data binary"))
+        held = write_table(df.toDF(*columns).withColumn("_at", F.monotonically_increasing_id()), "rows")
+        part, place = F.shiftright("_at", 33).alias("__part"), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+        before = before_parts(held.groupBy(part).agg(F.count("*").alias("__n")), "__n", "__before")  # a row for each part
+        ranked = held.withColumn("__part", part).join(F.broadcast(before), "__part").select((F.col("__before") + place).alias("_rank"), *columns)
+        parts.append(ranked.mapInArrow(_pieces(k, sheet_rows), "book long, sheet int, block long, data binary"))
         empty = [(0, k, -1, bytearray(zlib.compress(b"")))]
         parts.append(df.sparkSession.createDataFrame(empty, "book long, sheet int, block long, data binary"))
     blocks = write_table(reduce(DataFrame.unionByName, parts), "blocks")
@@ -116,9 +137,9 @@ def write_workbooks(sheets: dict[str, DataFrame], path: str, sheet_rows: int = S
     fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(hadoop(path))
     out = []
-    for folder in fs.globStatus(hadoop(f"{written}/book=*")):
-        number = int(folder.getPath().getName().partition("=")[2])
-        (part,) = [x.getPath() for x in fs.listStatus(folder.getPath()) if x.getPath().getName().startswith("part-")]
+    for found in fs.globStatus(hadoop(f"{written}/book=*/part-*")):
+        part = found.getPath()
+        number = int(part.getParent().getName().partition("=")[2])
         target = f"{path.rstrip('/')}/{number + 1}.xlsx"
         fs.delete(hadoop(target), False)
         if not fs.rename(part, hadoop(target)):

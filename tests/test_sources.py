@@ -4,8 +4,10 @@ import csv
 import io
 import random
 import zipfile
+import zlib
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,6 +203,19 @@ def test_a_clients_folder_is_wiped_and_its_name_made_safe(spark, tmp_path):
         pipelines.subject_spec("only")
 
 
+def test_rows_of_a_sheet_stay_in_their_tasks(spark, tmp_path):
+    """Runs of rows that follow each other in a workbook, whatever the batches; whole numbers with gaps stay whole."""
+    batches = [pa.record_batch([pa.array(r), pa.array(r)], names=["rank", "n"]) for r in ([4, 5, 6], [7, 8], [20, 21])]
+    got = [(p["book"], p["sheet"], p["block"], zlib.decompress(p["data"]).decode().count("<row>")) for b in workbook_sink._pieces(1, 7)(batches) for p in b.to_pylist()]
+    assert got == [(0, 1, 4, 3), (1, 1, 0, 2), (2, 1, 6, 1), (3, 1, 0, 1)]
+    books = workbook_sink.write_workbooks({"s": spark.range(50, numPartitions=7).selectExpr("id", "if(id % 5 = 0, null, id) AS n")}, str(tmp_path), sheet_rows=12)
+    assert [b.rpartition("/")[2] for b in books] == [f"{k}.xlsx" for k in range(1, 6)]
+    for k, book in enumerate(books):
+        rows = workbooks.first_table(open(book, "rb").read())
+        assert rows == [["id", "n"], *([str(i), None if i % 5 == 0 else str(i)] for i in range(12 * k, min(12 * k + 12, 50)))]
+        assert b"s='1'" not in zipfile.ZipFile(book).read("xl/worksheets/sheet0.xml")
+
+
 TEXTS = ["plain", "one\ntwo", 'a "quoted", text', "\r\n", " blanks ", "# no comment", "\n\n", "tail\\", "甲，乙", None, ",", '"']
 
 
