@@ -201,19 +201,31 @@ def pdf_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_grids(spark, path, extractors={".pdf": json.loads}).where("row_idx >= 0").select("row_idx", F.array_join("cells", "|").alias("cells"))
 
 
+#: The most rows of a bare statement.
+BARE_ROWS = 250_000
+
+
+def bare_statements(spark: SparkSession, sf_dir: str, most: int = BARE_ROWS) -> str:
+    """The events as statements without account, counterparty and balance, below folders n=0 on; the first also holds lines
+    with a memo only. However many rows there are, a statement has at most so many, and no task holds all of them."""
+    n = F.floor(F.col("seq") / most)
+    rows = testdata.events_ledger(spark, sf_dir).select(F.date_format("txn_time", "yyyy-MM-dd HH:mm:ss").alias("交易时间"), F.format_string("%.2f", "amount").alias("交易金额"), F.col("memo").alias("摘要"), n.alias("n"), F.col("seq").alias("at"))
+    top = spark.createDataFrame([(None, None, "nothing but a memo", 0, -2), (None, None, "another", 0, -1)], "`交易时间` string, `交易金额` string, `摘要` string, n long, at long")
+    path = new_path(spark, "bare")
+    sinks.write_csv(top.unionByName(rows).repartition("n").sortWithinPartitions("n", "at").drop("at"), path, names=False, mark=False, partition="n")
+    return path
+
+
 @query(f"""
     WITH {L1} SELECT '未识别账户#bare' AS own_account, '对手名称,账户余额,账户类型' AS review, count(*) AS rows, 2::BIGINT AS lines_without_data FROM l1""")
 def bare_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statements without account, counterparty and balance, and lines that hold a memo only."""
-    rows = testdata.events_ledger(spark, sf_dir).select(F.concat_ws(",", F.date_format("txn_time", "yyyy-MM-dd HH:mm:ss"), F.format_string("%.2f", "amount"), F.coalesce("memo", F.lit(""))).alias("value"), F.col("seq").alias("at"))
-    top = spark.createDataFrame([("交易时间,交易金额,摘要", -9), (",,nothing but a memo", -8), (",,another", -7)], "value string, at long")
-    path = f"{new_path(spark, 'bare')}"
-    top.unionByName(rows).repartition(1).sortWithinPartitions("at").select("value").write.text(path)  # one file, as a statement is
-    grids = read_grids(spark, path).withColumn("file", F.lit("x/bare.txt"))
+    grids = read_grids(spark, f"{bare_statements(spark, sf_dir)}/n=*").withColumn("file", F.concat(F.lit("x/"), F.regexp_extract("file", r"n=(\d+)", 1), F.lit("/bare.txt")))
     ledger, report = standardize(grids)
     lines = grids.where("row_idx > 0").agg(F.count("*").alias("lines"))
     found = ledger.groupBy("own_account").agg(F.count("*").alias("rows"))
-    return found.crossJoin(report.select(F.array_join("review", ",").alias("review"))).crossJoin(lines).select("own_account", "review", "rows", (F.col("lines") - F.col("rows")).alias("lines_without_data"))  # single rows
+    reviews = report.select(F.array_join("review", ",").alias("review")).distinct()
+    return found.crossJoin(reviews).crossJoin(lines).select("own_account", "review", "rows", (F.col("lines") - F.col("rows")).alias("lines_without_data"))  # single rows
 
 
 # Ledgers and rules --------------------------------------------------------------------------------------------------

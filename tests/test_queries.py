@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tallybrook import file_queries as queries
 
@@ -57,3 +58,13 @@ def test_amounts_of_zero_keep_their_direction(spark, sf_dir, tmp_path, name):
     con.execute(f"COPY events TO '{tmp_path}/events.parquet'")
     got, want = queries.QUERIES[name](spark, str(tmp_path)).toPandas(), con.execute(queries.ORACLE_SQL[name]).df()
     assert plain(got) == plain(want)
+
+
+def test_bare_statements_are_of_bounded_size(spark, sf_dir, duck, monkeypatch):
+    """Several statements give what SQL gives over all rows, and each has its header."""
+    path = queries.bare_statements(spark, sf_dir, 300)
+    files = {r["f"]: r["n"] for r in spark.read.text(path).groupBy(F.regexp_extract(F.col("_metadata.file_path"), r"n=\d+/.*", 0).alias("f")).agg(F.count("*").alias("n")).collect()}
+    assert len(files) > 3 and max(files.values()) <= 300 + 3
+    monkeypatch.setattr(queries.bare_statements, "__defaults__", (300,))
+    got, want = queries.QUERIES["bare_statement"](spark, sf_dir).toPandas(), duck.execute(queries.ORACLE_SQL["bare_statement"]).df()
+    assert plain(got) == plain(want)
