@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.operators.checks import LAST_ROW
 from tallybrook.schema import TOLERANCE
-from tallybrook.tables import before_parts, in_ranges
+from tallybrook.tables import before_parts, in_ranges, write_table
 
 
 def account_key(ledger: DataFrame) -> Column:
@@ -93,16 +93,21 @@ def summary(ledger: DataFrame, by: list[str] | None = None) -> DataFrame:
     return accounts.join(out, by) if by else accounts.crossJoin(out)  # both are single rows
 
 
-def virtual_balance(ledger: DataFrame) -> DataFrame:
+def virtual_balance(ledger: DataFrame, written: bool = False) -> DataFrame:
     """The ledger with virtual_balance: after each row, the sum over all accounts of the balance last known, in the
-    order of time, account, row and load; rows without a time come last.
+    order of time, account, row and load; rows without a time come last. written: it stands in a written table, which may
+    be read as often as needed. A ledger without any balance has a sum of 0 after each row, whatever their order, and its
+    rows stay where they are.
 
     Each row changes the sum by its balance less its account's last one. The order is cut into ranges of even size, so a
     day or an account may hold any share of the rows. Between ranges go each account's last balance there, and a sum.
     """
-    keyed = ledger.withColumn("_acct", account_key(ledger))
+    held = ledger if written else write_table(ledger, "rows")
+    if held.where("balance is not null").isEmpty():
+        return held.withColumn("virtual_balance", F.lit(0.0))
+    keyed = held.withColumn("_acct", account_key(held))
     order = [F.coalesce("txn_time", F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")), F.col("_acct"), F.coalesce("source_row", F.lit(LAST_ROW)), F.coalesce("seq", F.lit(LAST_ROW))]
-    rows = in_ranges(keyed, order)
+    rows = in_ranges(keyed, order, written=True)
     back = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
     # rows without a balance change nothing, so they need nothing carried
     ends = rows.where("balance is not null").groupBy("__part", "_acct").agg(F.max_by("balance", F.struct(*order)).alias("_end"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,19 +71,44 @@ def several_customers(specs: list[tuple]) -> dict[str, DataFrame]:
     }
 
 
-def deliverable(client: str, subjects: list[tuple[str, DataFrame]], rule_table: DataFrame) -> dict[str, DataFrame]:
+class Sheets(Mapping):
+    """DataFrames by name. Each is made when it is first asked for, and kept: steps that write tables (numbered lists,
+    virtual balances) run for the sheets that are read, not for all."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def deliverable(client: str, subjects: list[tuple[str, DataFrame]], rule_table: DataFrame) -> Mapping[str, DataFrame]:
     """The sheets of a client's workbook, under published column names. subjects: (name, ledger)."""
     parts = [ledger.withColumn("subject_name", F.coalesce(F.nullif(F.trim("own_name"), F.lit("")), F.lit(name or client))) for name, ledger in subjects]
-    ledger = ledgers.in_load_order(parts)
-    main = portfolio.virtual_balance(tagging.tag(ledger, rules.typed_rules(rule_table))).withColumn("bank", F.lit("")).withColumn("customer_name", F.lit(client))
+    ledger = ledgers.one_after_another(parts)
     columns = ["customer_name", "subject_name", "bank", *(n for n, *_ in CANONICAL), "virtual_balance", *(n for n, _ in TAGS)]
     assert {n for n, _ in DELIVERABLE} <= set(columns)
-    check = checks.balance_check(ledger, ["own_account"])
-    daily = portfolio.daily_balance(ledger)
-    return {
-        "封面与说明": portfolio.overview(ledger), "整合打标流水": published(ledgers.integrated(main).select(*columns)), "组合日余额": portfolio.daily_with_total(daily), "主体账户清单": portfolio.account_index(ledger),
-        "余额校验": check, "标签汇总": published(tagging.tag_summary(main)), "人工复核事项": reports.review_items(checks=check, duplicates=duplicates.duplicate_groups(ledger), tagged=main),
-    }
+    typed = cache(lambda: rules.typed_rules(rule_table))
+    check = lambda: checks.balance_check(ledger, ["own_account"])
+
+    def main() -> DataFrame:
+        # tagged last, so that ranges of balances are dealt out without the labels
+        tagged = tagging.tag(portfolio.virtual_balance(ledger, written=True), typed())
+        return published(ledgers.integrated(tagged.withColumn("bank", F.lit("")).withColumn("customer_name", F.lit(client))).select(*columns))
+
+    return Sheets({
+        "封面与说明": lambda: portfolio.overview(ledger), "整合打标流水": main, "组合日余额": lambda: portfolio.daily_with_total(portfolio.daily_balance(ledger)), "主体账户清单": lambda: portfolio.account_index(ledger),
+        "余额校验": check, "标签汇总": lambda: published(tagging.tag_summary(tagging.tag(ledger, typed()))),
+        "人工复核事项": lambda: reports.review_items(checks=check(), duplicates=duplicates.duplicate_groups(ledger), tagged=tagging.tag(ledger, typed())),
+    })
 
 
 def subject_spec(spec: str) -> tuple[str, str, str | None]:
@@ -95,7 +121,7 @@ def subject_spec(spec: str) -> tuple[str, str, str | None]:
     return (name, path, kind or None) if path and "/" not in kind else (name, rest, None)
 
 
-def deliverable_of_files(spark: SparkSession, client: str, specs: list[str], rule_table: DataFrame, **options) -> tuple[dict[str, DataFrame], DataFrame]:
+def deliverable_of_files(spark: SparkSession, client: str, specs: list[str], rule_table: DataFrame, **options) -> tuple[Mapping[str, DataFrame], DataFrame]:
     """The sheets of a client from raw files, and a report row per file. specs: subjects as `name:path[:type]`, whose name
     is the own name of their rows; or one path without a name, where names come from the files."""
     parts, reports_of = [], []
@@ -107,7 +133,7 @@ def deliverable_of_files(spark: SparkSession, client: str, specs: list[str], rul
     return deliverable(client, parts, rule_table), ledgers.union_all(reports_of)
 
 
-def write_deliverable(client: str, sheets: dict[str, DataFrame], out_dir: str) -> list[str]:
+def write_deliverable(client: str, sheets: Mapping[str, DataFrame], out_dir: str) -> list[str]:
     """The sheets as workbooks in the client's folder below out_dir, which is wiped first; the paths of the workbooks."""
     spark = next(iter(sheets.values())).sparkSession
     folder = f"{out_dir.rstrip('/')}/{sinks.safe_name(client)}"

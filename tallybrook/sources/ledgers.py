@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallybrook.operators.checks import LAST_ROW
 from tallybrook.schema import conform, from_published
 from tallybrook.sources import textfiles
 from tallybrook.tables import beside, numbered, own_splits, write_table
@@ -81,10 +82,33 @@ def _typed(table: DataFrame, files: list[str]) -> DataFrame:
     return conform(raw.drop("seq").withColumns(typed | time).withColumnRenamed("_seq", "seq"))
 
 
+def _side_by_side(parts: list[DataFrame]) -> DataFrame:
+    """Ledgers as one with _ledger, the place of each row's ledger. Rows without a load order are refused."""
+    return union_all([p.withColumns({"_ledger": F.lit(k), "seq": F.coalesce("seq", F.raise_error(F.lit("a ledger row has no load order (seq)")).cast("long"))}) for k, p in enumerate(parts)])
+
+
+def _in_one_order(rows: DataFrame) -> DataFrame:
+    return numbered(rows.withColumnRenamed("seq", "_seq"), [F.col("_ledger"), F.col("_seq")], "seq").drop("_ledger", "_seq")
+
+
 def in_load_order(parts: list[DataFrame]) -> DataFrame:
-    """Ledgers as one whose load order is theirs, one after another. Rows without one are refused."""
-    held = [p.withColumns({"_ledger": F.lit(k), "seq": F.coalesce("seq", F.raise_error(F.lit("a ledger row has no load order (seq)")).cast("long"))}) for k, p in enumerate(parts)]
-    return numbered(union_all(held).withColumnRenamed("seq", "_seq"), [F.col("_ledger"), F.col("_seq")], "seq").drop("_ledger", "_seq")
+    """Ledgers as one whose load order is theirs, one after another, from 1 without gaps. Rows without one are refused."""
+    return _in_one_order(_side_by_side(parts))
+
+
+def one_after_another(parts: list[DataFrame]) -> DataFrame:
+    """Ledgers as one, written, whose load order is theirs, one after another, with the gaps that it has in them: each
+    ledger's is shifted behind the last of the one before, so that no row is moved for it. Only where that leaves the range
+    of a long are the rows numbered. Rows without a load order are refused."""
+    rows = write_table(_side_by_side(parts), "ledger")
+    shifts, end = [0] * len(parts), 0
+    for r in rows.groupBy("_ledger").agg(F.min("seq").alias("first"), F.max("seq").alias("last")).orderBy("_ledger").collect():  # a row per ledger
+        shifts[r["_ledger"]] = end + 1 - r["first"]
+        end += 1 + r["last"] - r["first"]
+    if max(end, *map(abs, shifts)) >= LAST_ROW:
+        return _in_one_order(rows)
+    shift = F.get(F.array(*(F.lit(s).cast("long") for s in shifts)), F.col("_ledger"))
+    return rows.withColumn("seq", F.col("seq") + shift).drop("_ledger")
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

@@ -72,11 +72,11 @@ def beside(facts: DataFrame) -> DataFrame:
     return F.broadcast(facts) if facts.count() <= FEW_ROWS else facts
 
 
-def in_ranges(rows: DataFrame, order: list[Column], place: bool = False) -> DataFrame:
-    """rows with __part, the range of the order in which a row lies, from 0; written. They are written and counted first:
-    few rows are one part. place: also __at, the row's place in its part, from 1; parts are written in order, so that no
-    later step sorts them again for it."""
-    held = write_table(rows, "rows")
+def in_ranges(rows: DataFrame, order: list[Column], place: bool = False, written: bool = False) -> DataFrame:
+    """rows with __part, the range of the order in which a row lies, from 0; written. They are written (unless they stand in
+    a written table) and counted first: few rows are one part. place: also __at, the row's place in its part, from 1; parts
+    are written in order, so that no later step sorts them again for it."""
+    held = rows if written else write_table(rows, "rows")
     if held.count() <= FEW_ROWS:
         one = held.withColumn("__part", F.lit(0))
         return one.withColumn("__at", F.row_number().over(Window.partitionBy("__part").orderBy(*order)).cast("long")) if place else one

@@ -3,12 +3,13 @@
 import random
 import zipfile
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallybrook import file_queries, tables
-from tallybrook.operators import checks, duplicates, portfolio, tagging, transfers
+from tallybrook.operators import checks, duplicates, portfolio, reports, tagging, transfers
 from tallybrook.plans import pipelines
 from tallybrook.schema import LEDGER
 from tallybrook.sources import ledgers, testdata
@@ -289,6 +290,36 @@ def test_pipelines_compose(spark, sf_dir):
     assert both["batch"].first()["customers"] == 2
 
 
+@pytest.mark.parametrize("orders", [[[7, 3, 5], [], [2, -4], [9]], [[2**63 - 1, -(2**63)], [5, 0]]])
+def test_ledgers_go_one_after_another(spark, monkeypatch, orders):
+    """In the order of the ledgers, then their own; rows are numbered only where shifted numbers would not fit."""
+    parts = [ledger(spark, [{"seq": s, "txn_id": f"{k}:{s}"} for s in part]) for k, part in enumerate(orders)]
+    if max(map(abs, sum(orders, []))) < 2**60:
+        monkeypatch.setattr(ledgers, "numbered", None)
+    got = [r["txn_id"] for r in ledgers.one_after_another(parts).orderBy("seq").collect()]
+    assert got == [f"{k}:{s}" for k, part in enumerate(orders) for s in sorted(part)]
+    with pytest.raises(Exception, match="no load order"):
+        ledgers.one_after_another([ledger(spark, [{"seq": None}])])
+
+
+def test_main_sheet_of_a_ledger_without_balances_writes_each_row_once(spark, monkeypatch):
+    """The load order, the virtual balances and the sheets that aren't read move and write none."""
+    monkeypatch.setattr(tables, "FEW_ROWS", 10)
+    monkeypatch.setattr(reports, "review_items", None)  # of another sheet
+    rows = [r | {"balance": None} for r in random_rows(3)]
+    twice = [("a", ledger(spark, rows)), ("b", ledger(spark, rows[:50]))]
+    before = {p.name for p in Path(tables.shared_dir(spark)).iterdir()}
+    sheet = pipelines.deliverable("client", twice, testdata.demo_rules(spark))["整合打标流水"]
+    written = {p for p in Path(tables.shared_dir(spark)).iterdir() if p.name not in before}
+    many = [n for p in written if (n := spark.read.parquet(str(p)).count()) > 10]
+    assert many == [170]
+    late = datetime(9999, 1, 1)
+    want = sorted((r["own_account"], r["txn_time"] or late, i) for part in (rows, rows[:50]) for i, r in enumerate(part))
+    got = [(r["本方账户"], r["交易时间"] or late, r["来源行号"]) for r in sheet.collect()]
+    assert got == want
+    assert {r["虚拟账户余额"] for r in sheet.collect()} == {0.0}
+
+
 def test_stream_of_balances(spark, sf_dir, tmp_path):
     from tallybrook.streaming.balance import balance_breaks
 
